@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from catchment.llm import toxicity
 from catchment.llm.byte_bpe import encode_bytes
 from catchment.llm.exact_dedup import find_copies
 from catchment.llm.jaccard_join import link_classes
@@ -30,6 +31,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_classes(table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_blocks": op1_token_blocks,
         "op2_token_counts": op2_token_counts,
+        "op4_toxicity": op4_toxicity,
         "op5_ngram_jaccard": op5_ngram_jaccard,
         "op6_byte_bpe": op6_byte_bpe,
         "op7_entropy_mix": op7_entropy_mix,
