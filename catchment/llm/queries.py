@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from catchment.llm import toxicity
 from catchment.llm.byte_bpe import encode_bytes
+from catchment.llm.embedding_links import link_vectors
 from catchment.llm.exact_dedup import find_copies
+from catchment.llm.html_text import extract
 from catchment.llm.jaccard_join import link_classes
+from catchment.llm.licenses import scan
 from catchment.llm.mixing import mix
 from catchment.llm.shared import shared_dir
 from catchment.llm.token_blocks import read_digests, write_blocks
@@ -31,6 +34,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op3_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,6 +54,14 @@ def op7_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_copies(table(spark, sf_dir, "documents"))
 
@@ -67,10 +82,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_blocks": op1_token_blocks,
         "op2_token_counts": op2_token_counts,
+        "op3_embedding_links": op3_embedding_links,
         "op4_toxicity": op4_toxicity,
         "op5_ngram_jaccard": op5_ngram_jaccard,
         "op6_byte_bpe": op6_byte_bpe,
         "op7_entropy_mix": op7_entropy_mix,
+        "op8_license_scan": op8_license_scan,
+        "op9_html_text": op9_html_text,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
