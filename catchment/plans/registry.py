@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from catchment.plans import queries_quality, queries_scalar, queries_space, queries_time
+
 Query = Callable[[SparkSession, str], DataFrame]
+GROUPS = (queries_scalar, queries_time, queries_space, queries_quality)
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {k: q for g in GROUPS for k, (q, _) in g.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: sql.replace(", 4)", " + 3e-7, 4)") for g in GROUPS for k, (_, sql) in g.QUERIES.items() if sql}
