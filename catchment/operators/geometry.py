@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,13 +103,15 @@ def clip_area(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> f
     return abs(float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum())) / 2
 
 
-def _clip_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
+def _clip_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rings_of, *box = (batch.column(c).to_pylist() for c in ("rings", "x_lo", "y_lo", "x_hi", "y_hi"))
         areas = []
-        for rings, a, b, c, d in zip(f["rings"], f["x_lo"], f["y_lo"], f["x_hi"], f["y_hi"], strict=True):
-            parts = [clip_area(np.array([(p["x"], p["y"]) for p in r], float).reshape(-1, 2), a, b, c, d) for r in rings]
+        for rings, *edges in zip(rings_of, *box, strict=True):
+            parts = [clip_area(np.array([(p["x"], p["y"]) for p in r], float).reshape(-1, 2), *edges) for r in rings]
             areas.append(parts[0] - sum(parts[1:]) if parts else 0.0)
-        yield pd.DataFrame({"iy": f["iy"], "ix": f["ix"], "hru": f["hru"], "area": areas}).query("area > 0")
+        keep = pa.array([a > 0 for a in areas], pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column("iy"), batch.column("ix"), batch.column("hru").cast(pa.int64()), pa.array(areas, pa.float64())], names=["iy", "ix", "hru", "area"]).filter(keep)
 
 
 def weights(fabric: DataFrame, x0: float, y0: float, dx: float, dy: float, nx: int, ny: int, hru: str = "hru", rings: str = "rings") -> DataFrame:
@@ -124,7 +126,7 @@ def weights(fabric: DataFrame, x0: float, y0: float, dx: float, dy: float, nx: i
     box = fabric.select(F.col(hru).alias("hru"), F.col(rings).alias("rings"), lo(w, x0, dx, nx).alias("a"), hi(e, x0, dx, nx).alias("b"), lo(s, y0, dy, ny).alias("c"), hi(n, y0, dy, ny).alias("d")).where("a <= b and c <= d")
     cells = box.withColumn("ix", F.explode(F.sequence("a", "b"))).withColumn("iy", F.explode(F.sequence("c", "d")))
     cells = cells.select("hru", "rings", "iy", "ix", (x0 + F.col("ix") * dx).alias("x_lo"), (y0 + F.col("iy") * dy).alias("y_lo"), (x0 + (F.col("ix") + 1) * dx).alias("x_hi"), (y0 + (F.col("iy") + 1) * dy).alias("y_hi"))
-    return cells.repartition("hru", "iy").mapInPandas(_clip_rows, "iy int, ix int, hru long, area double")
+    return cells.repartition("hru", "iy").mapInArrow(_clip_rows, "iy int, ix int, hru long, area double")
 
 
 def irregular_weights(fabric: DataFrame, x_axis: DataFrame, y_axis: DataFrame, hru: str = "hru", rings: str = "rings") -> DataFrame:
@@ -134,7 +136,7 @@ def irregular_weights(fabric: DataFrame, x_axis: DataFrame, y_axis: DataFrame, h
     x = x_axis.select(F.col("idx").alias("ix"), F.col("lo").alias("x_lo"), F.col("hi").alias("x_hi"))
     y = y_axis.select(F.col("idx").alias("iy"), F.col("lo").alias("y_lo"), F.col("hi").alias("y_hi"))
     cells = box.join(F.broadcast(x), (F.col("x_lo") < F.col("e")) & (F.col("x_hi") > F.col("w"))).join(F.broadcast(y), (F.col("y_lo") < F.col("n")) & (F.col("y_hi") > F.col("s")))
-    return cells.select("hru", "rings", "iy", "ix", "x_lo", "y_lo", "x_hi", "y_hi").repartition("hru", "iy").mapInPandas(_clip_rows, "iy int, ix int, hru long, area double")
+    return cells.select("hru", "rings", "iy", "ix", "x_lo", "y_lo", "x_hi", "y_hi").repartition("hru", "iy").mapInArrow(_clip_rows, "iy int, ix int, hru long, area double")
 
 
 def inside(px: Column, py: Column, rings: Column) -> Column:
