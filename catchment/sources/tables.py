@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,3 +109,9 @@ def read_target(spark: SparkSession, path: str, start: dt.date | None = None, en
 def read_file_listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(path, length, modificationTime); the contents are not read."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path).select("path", "length", "modificationTime")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder that driver and executors share: below spark.checkpoint.dir, or a temporary one where a session has none."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    return f"{base.rstrip('/')}/catchment-{uuid.uuid4().hex}"
