@@ -12,14 +12,15 @@ around documents alone would not part them. The join therefore works on two leve
    global order; two sets within the radius always share such a region (prefix length
    n - ceil(t n) + 1). The order puts crowded shingles last. Crowding is counted over all
    documents in a sketch of fixed size; it only chooses the order, so it cannot lose a link.
-2. Document pivots. In a region the least set is the pivot; distances to it are computed
-   exactly and those within the radius are linked to it, so they form one component with it.
-   What is left recurses: a small region compares its remaining pairs, a larger one takes
-   several pivots, sends each set to the Voronoi cell of its nearest pivot and to those
-   cells that the triangle inequality allows (distance up to nearest + 2 radii), and goes on
-   there. Each round takes its pivots out, so it ends. Pairs that are one component already,
-   that differ by more than the radius in their distance to the pivot, or whose sizes
-   exclude a link are not compared.
+2. Document pivots. In each of these regions the least set is the pivot, and all sets that
+   share a pivot make up its region. Distances to the pivot are computed exactly; what is
+   within the radius is linked to it and so is one component with it. What is left of a
+   region is parted again, into rings by distance to the pivot: by the triangle inequality
+   linked sets lie in one ring or in neighbouring ones, and of the region's main component
+   only the rows in the window around the others are kept. Rings are cut into tiles of
+   bounded size; sets outside the main component meet all rows of their windows, two tiles
+   at a time. A pair of tiles returns a spanning forest of its links, so a dense group does
+   not turn into all its pairs.
 
 Equal sets are one node. All candidates are checked on whole sets. Shingles are compared by
 64-bit hashes. Groups are reduced before shuffles; wide joins are plain shuffle joins that
@@ -44,9 +45,8 @@ from catchment.llm.shared import components, cut, shared_dir
 
 #: Counters of the crowding sketch, and how many of them make one row.
 COUNTERS, CHUNK = 1 << 20, 1 << 14
-#: Rows of a region that are compared pair by pair.
-LEAF = 32
-PIVOTS = 8
+#: Tiles of a region hold so many rows and hashes at most, on average.
+TILE_ROWS, TILE_HASHES = 256, 200_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -303,6 +303,50 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"a": ids, "b": b.to_pylist(), "inter": inter, "na": na, "nb": nb}, schema=PAIRS)
 
 
+def _tile(num: int, den: int):
+    """Compares two tiles of a region; returns a spanning forest of their links."""
+
+    def tile(group: pa.Table) -> pa.Table:
+        side = group.column("side").to_numpy()
+        fp, d, c = (group.column(n).to_numpy() for n in ("fp", "d", "c"))
+        sets = [np.frombuffer(x.as_buffer(), _U) for x in group.column("s")]
+        size = np.array([len(x) for x in sets])
+        # Only hashes that several sets have can be part of an overlap.
+        h = np.concatenate(sets)
+        row = np.repeat(np.arange(len(sets)), size)
+        order = np.argsort(h, kind="stable")
+        h, row = h[order], row[order]
+        code = np.cumsum(np.concatenate([[False], h[1:] != h[:-1]]))
+        count = np.bincount(code)
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        inter = np.zeros((len(x), len(y)))
+        common = count[code] > 1
+        code, row = code[common], row[common]
+        code = np.cumsum(np.concatenate([[False], code[1:] != code[:-1]])) if len(code) else code
+        wide = 4096
+        for lo in range(0, int(code[-1]) + 1 if len(code) else 0, wide):
+            a, b = np.searchsorted(code, [lo, lo + wide])
+            hold = np.zeros((len(sets), wide), np.float32)
+            hold[row[a:b], code[a:b] - lo] = 1
+            inter += hold[x] @ hold[y].T
+        union = size[x][:, None] + size[y][None, :] - inter
+        linked = (inter * den >= union * num) & (c[x][:, None] != c[y][None, :])
+        low = fp.copy()
+        i, j = np.nonzero(linked)
+        i, j = x[i], y[j]
+        while True:
+            new = low.copy()
+            np.minimum.at(new, i, low[j])
+            np.minimum.at(new, j, new[i])
+            if (new == low).all():
+                break
+            low = new
+        hit = low != fp
+        return pa.table({"a": pa.array(fp[hit]), "b": pa.array(low[hit])})
+
+    return tile
+
+
 def link_classes(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id; linked means intersection/union >= num/den."""
     spark = docs.sparkSession
@@ -324,7 +368,7 @@ def link_classes(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4, id_col
 
     keys = members.select("fp", "s").mapInArrow(_prefixes(num, den, crowded), "h long, fp long, n int")
     shared = keys.groupBy("h").agg(F.min("fp").alias("p"), F.max("fp").alias("top")).where("p < top").select("h", "p")
-    region = cut(keys.join(shared, "h").where("fp <> p"), f"{path}/regions")
+    region = cut(keys.join(shared, "h").where("fp <> p").select(F.col("p").alias("a"), F.col("fp").alias("b")).distinct(), f"{path}/regions")
 
     def distances(pairs: DataFrame, name: str) -> DataFrame:
         """Exact overlaps of the distinct pairs (a, b)."""
@@ -334,47 +378,38 @@ def link_classes(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4, id_col
         return cut(both.mapInArrow(_overlaps, "a long, b long, inter int, na int, nb int"), f"{path}/{name}")
 
     union = F.col("na") + F.col("nb") - F.col("inter")
-    linked = (F.col("inter") * den >= union * num).alias("linked")
-    dist = (1 - F.col("inter") / union).alias("d")
+    linked = F.col("inter") * den >= union * num
     radius = 1 - num / den
 
-    # Round 0: each region's least set is its pivot.
-    star = distances(region.select(F.col("p").alias("a"), F.col("fp").alias("b")).distinct(), "star0")
+    # Every set against the pivots of its regions. From here on a region is all that shares
+    # a pivot, each row with its exact distance to it.
+    star = distances(region, "star")
     links = star.where(linked).select("a", "b")
-    told = star.select(F.col("a").alias("p"), F.col("b").alias("fp"), linked, dist)
-    apart = told.where("not linked").select("p", "fp")
-    open_ = region.join(apart, ["p", "fp"], "left_semi").select("h").distinct()
-    left = region.join(open_, "h", "left_semi").join(told, ["p", "fp"]).select("h", "fp", "n", "linked", "d")
-    step = 0
-    while True:
-        left = cut(left, f"{path}/left{step}")
-        if left.isEmpty():
-            break
-        step += 1
-        comp = components(links, f"{path}/comp{step}", "a", "b").select(F.col("node").alias("fp"), F.col("component").alias("c"))
-        left = left.join(comp, "fp", "left").withColumn("c", F.coalesce("c", "fp"))
-        # Linked rows matter only as far as the triangle inequality lets them reach an unlinked one.
-        size = left.groupBy("h").agg(F.min(F.when(~F.col("linked"), F.col("d"))).alias("near"), F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("m")).where("c0 < c1 and near is not null").select("h", "near", "m")
-        left = cut(left.join(size, "h").where(~F.col("linked") | (F.col("d") >= F.col("near") - radius - 1e-9)).select("h", "fp", "n", "linked", "d", "c", "m"), f"{path}/open{step}")
-        x, y = left.where(F.col("m") <= LEAF), left.where(F.col("m") <= LEAF).select("h", *[F.col(v).alias(f"{v}2") for v in ("fp", "n", "linked", "d", "c")])
-        leaf = x.join(y, "h").where(
-            (F.col("fp") < F.col("fp2")) & (F.col("c") != F.col("c2")) & ~(F.col("linked") & F.col("linked2")) & (F.abs(F.col("d") - F.col("d2")) <= radius + 1e-9)
-            & (F.least("n", "n2") * den >= F.greatest("n", "n2") * num)
-        ).select(F.col("fp").alias("a"), F.col("fp2").alias("b"))
-        big = left.where(F.col("m") > LEAF)
-        cell = F.pmod(F.xxhash64("fp"), F.lit(PIVOTS)).cast("int")
-        pivots = cut(big.where(~F.col("linked")).groupBy("h", cell.alias("cell")).agg(F.min("fp").alias("p")), f"{path}/pivots{step}")
-        many = cut(big.join(pivots, "h").where("fp <> p"), f"{path}/cells{step}")
-        stars = many.select(F.least("p", "fp").alias("a"), F.greatest("p", "fp").alias("b"))
-        got = distances(leaf.unionByName(stars).distinct(), f"star{step}")
-        links = cut(links.unionByName(got.where(linked).select("a", "b")), f"{path}/links{step}")
-        told = got.select("a", "b", linked, dist)
-        here = many.drop("linked", "d").join(told, (F.least("p", "fp") == F.col("a")) & (F.greatest("p", "fp") == F.col("b")))
-        here = here.join(pivots.select("h", F.col("p").alias("fp")), ["h", "fp"], "left_anti")
-        home = here.groupBy("h", "fp").agg(F.min("d").alias("least"))
-        left = here.join(home, ["h", "fp"]).where(F.col("d") <= F.col("least") + 2 * radius + 1e-9).select(F.xxhash64("h", "cell").alias("h"), "fp", "n", "linked", "d")
-
-    comp = components(links, f"{path}/links", "a", "b").select(F.col("node").alias("fp"), F.col("component").alias("c"))
+    rows_of = star.select(F.col("a").alias("p"), F.col("b").alias("fp"), F.col("nb").alias("n"), (1 - F.col("inter") / union).alias("d"))
+    comp = components(links, f"{path}/comp1").select(F.col("node").alias("fp"), F.col("component").alias("c"))
+    rows_of = rows_of.join(comp, "fp", "left").withColumn("c", F.coalesce("c", "fp"))
+    parts = rows_of.groupBy("p", "c").agg(F.count("*").alias("k"), F.min("d").alias("near"), F.max("d").alias("far"))
+    main = parts.groupBy("p").agg(F.max_by("c", F.struct("k", "c")).alias("c0"), F.count("*").alias("parts"))
+    edge = parts.join(main.where("parts > 1"), "p").where("c <> c0").groupBy("p", "c0").agg(F.min("near").alias("near"), F.max("far").alias("far"))
+    # Rows of the main component matter only as far as the triangle inequality lets them reach the others.
+    reach = (F.col("c") != F.col("c0")) | F.col("d").between(F.col("near") - radius - 1e-9, F.col("far") + radius + 1e-9)
+    ring = F.floor(F.col("d") / radius).cast("int").alias("r")
+    open_ = cut(rows_of.join(edge, "p").where(reach).select("p", "fp", "n", "d", "c", "c0", ring), f"{path}/open")
+    if not open_.isEmpty():
+        tiles = F.greatest(F.ceil(F.sum("n") / TILE_HASHES), F.ceil(F.count("*") / TILE_ROWS)).cast("int")
+        sides = []
+        for name, side in (("x", open_.where("c <> c0")), ("y", open_)):
+            count = side.groupBy("p", "r").agg(tiles.alias("t"))
+            dealt = side.join(count, ["p", "r"]).select("p", F.col("r").alias(f"r{name}"), F.pmod(F.xxhash64("fp"), F.col("t")).cast("int").alias(f"t{name}"), "fp", "d", "c")
+            sides.append((count.select("p", F.col("r").alias(f"r{name}"), F.explode(F.sequence(F.lit(0), F.col("t") - 1)).alias(f"t{name}")), dealt))
+        (xs, left), (ys, right) = sides
+        asked = xs.join(ys, "p").where(F.abs(F.col("rx") - F.col("ry")) <= 1)
+        key = ["p", "rx", "tx", "ry", "ty"]
+        spread = left.join(asked, ["p", "rx", "tx"]).select(*key, F.lit(0).alias("side"), "fp", "d", "c").unionByName(right.join(asked, ["p", "ry", "ty"]).select(*key, F.lit(1).alias("side"), "fp", "d", "c"))
+        full = spread.join(members.select("fp", "s"), "fp").select(*key, "side", "fp", "d", "c", "s")
+        more = cut(full.groupBy(*key).applyInArrow(_tile(num, den), "a long, b long"), f"{path}/more")
+        comp = components(links.unionByName(more), f"{path}/comp2").select(F.col("node").alias("fp"), F.col("component").alias("c"))
+
     placed = sets.join(comp, "fp", "left").withColumn("c", F.coalesce("c", "fp"))
     least = placed.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))
     some = placed.where("n > 0").join(least, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")

@@ -66,14 +66,11 @@ def components(edges: DataFrame, path: str, a: str = "a", b: str = "b") -> DataF
         .distinct(),
         f"{path}/edges",
     )
-    seen, step = None, 0
+    step = 0
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (
-            both.where(F.col("v") > F.col("u")).join(low, "u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        )
+        large = both.where(F.col("v") > F.col("u")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(low, "u")
@@ -82,10 +79,11 @@ def components(edges: DataFrame, path: str, a: str = "a", b: str = "b") -> DataF
         )
         step += 1
         now = cut(small, f"{path}/step{step}")
-        state = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if state == seen:
+        # Done when all edges are stars: each node has one root, and no root has another.
+        up = now.groupBy("u").agg(F.count("*").alias("k"))
+        roots = now.select(F.col("v").alias("u"))
+        if up.where("k > 1").select("u").unionByName(up.join(roots, "u", "left_semi").select("u")).isEmpty():
             break
-        seen = state
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -131,8 +131,7 @@ def brute_components(texts):
 
 def test_jaccard_join(spark, monkeypatch):
     """Families of near copies at all distances, a shared passage, short texts; regions of all sizes."""
-    monkeypatch.setattr(jaccard_join, "LEAF", 6)
-    monkeypatch.setattr(jaccard_join, "PIVOTS", 3)
+    monkeypatch.setattr(jaccard_join, "TILE_ROWS", 5)
     rng = random.Random(7)
     texts, k = {}, 0
     passage = [f"p{i}" for i in range(25)]
