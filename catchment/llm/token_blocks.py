@@ -111,33 +111,47 @@ def unpack_segment(payload: bytes) -> tuple[list[int | None], np.ndarray, np.nda
     return [None if z else int(x) for x, z in zip(doc_ids, null, strict=True)], counts, unpack_blocks(payload[at + 17 * docs + 4 * k :], starts, n)
 
 
+#: A word that ends in a Latin-1 letter or digit and these marks: the tokenizer always splits there.
+ENDING = re.compile(r"(.*[0-9A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+)", re.S)
+
+
+def _stem(word: str) -> str:
+    """The word in lower case where that is what the tokenizer's normaliser does: Latin-1 without special tokens."""
+    return word.lower() if max(word) <= "\xff" and "<|" not in word else word
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), Table(400_000)
+    return Tokenizer.from_file(path), Table(400_000), Table(300_000)
 
 
 def encode_texts(texts: list[str], path: str) -> list[bytes]:
     """The ids of each text as little-endian unsigned 32-bit integers.
 
     The tokenizer's splitting never joins what ASCII white space parts, so a worker keeps a
-    table of encoded words. New words are encoded as lines of some hundred words, and the
-    tokens dealt out to the words by their offsets.
+    table of encoded words. New words are parted from the marks at their end and lower-cased;
+    the stems that are new as well are encoded as lines of some hundred, and the tokens dealt
+    out to them by their offsets.
     """
-    tok, table = _tokenizer(path)
+    tok, table, stems = _tokenizer(path)
     words = list(map(WORD.findall, texts))
-    new = table.missing(set().union(*words))
-    known = table.young
-    for lo in range(0, len(new), 25_600):
-        groups = [new[at : at + 200] for at in range(lo, min(lo + 25_600, len(new)), 200)]
+    new = [(w, (_stem(m[1]), m[2]) if (m := ENDING.fullmatch(w)) else (_stem(w),)) for w in table.missing(set().union(*words))]
+    missing = stems.missing({x for _, parts in new for x in parts})
+    known = stems.young
+    for lo in range(0, len(missing), 25_600):
+        groups = [missing[at : at + 200] for at in range(lo, min(lo + 25_600, len(missing)), 200)]
         for group, e in zip(groups, tok.encode_batch(list(map(" ".join, groups)), add_special_tokens=False), strict=True):
             begins = np.cumsum([0, *map(len, group)])[:-1] + np.arange(len(group))
             at = np.searchsorted([x for x, _ in e.offsets], begins).tolist() + [len(e.ids)]
             raw = np.array(e.ids, "<u4").tobytes()
             for k, w in enumerate(group):
                 known[w] = raw[4 * at[k] : 4 * at[k + 1]]
-    return [b"".join(map(known.__getitem__, ws)) for ws in words]
+    full = table.young
+    for w, parts in new:
+        full[w] = known[parts[0]] if len(parts) == 1 else known[parts[0]] + known[parts[1]]
+    return [b"".join(map(full.__getitem__, ws)) for ws in words]
 
 
 def write_blocks(docs: DataFrame, out: str, tokenizer: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text", segment_tokens: int = 1 << 19, percentile: float = 0.98) -> None:

@@ -33,9 +33,10 @@ def test_segment_round_trip():
 
 def test_words_as_the_library():
     path = P.path("word_bpe_49k.json")
-    tok, _ = token_blocks._tokenizer(path)
-    want = [e.ids for e in tok.encode_batch(TEXTS, add_special_tokens=False)]
-    assert [np.frombuffer(x, "<u4").tolist() for x in token_blocks.encode_texts(TEXTS, path)] == want
+    tok, *_ = token_blocks._tokenizer(path)
+    texts = [*TEXTS, "End. END! End... #. a_. x's. 12. É! <|ENDOFTEXT|>. <|endoftext|>. ΣΑΣ. İ. µ? ﬁ."]
+    want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in token_blocks.encode_texts(texts, path)] == want
 
 
 def test_merge_replay_as_the_library():
