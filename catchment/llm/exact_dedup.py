@@ -39,7 +39,7 @@ def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     path = path or shared_dir(spark)
     digest = F.shiftrightunsigned(F.xxhash64("norm"), 64 - digest_bits) if digest_bits < 64 else F.xxhash64("norm")
     rows = docs.select(
-        F.col(id_col).alias("doc_id"),
+        F.col(id_col).cast("long").alias("doc_id"),
         F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("cp"),
         normalised(F.col(text_col)).alias("norm"),
     ).withColumn("digest", digest)
@@ -86,9 +86,13 @@ def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all its columns as they were."""
-    found = find_copies(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
-    keyed = docs.withColumn("__sha", F.sha2(normalised(F.col(text_col)), 256)).withColumn("__cp", F.char_length(F.coalesce(F.col(text_col), F.lit(""))))
-    on = keyed["__sha"].eqNullSafe(found["__sha"]) & keyed[id_col].eqNullSafe(found["__id"])
-    kept = keyed.join(found.select("__id", "__sha"), on, "left_semi")
-    return kept.dropDuplicates(["__sha"]).select(*docs.columns)
+    """``docs`` with one row of each group of equal texts, all its columns as they were.
+
+    Texts are shuffled once: the join and the removal of repeated rows share their keys.
+    """
+    keys = ["__sha", "__key"]
+    found = find_copies(docs, id_col, text_col).where("kept").select(F.col("text_sha256").alias("__sha"), F.xxhash64("doc_id").alias("__key")).distinct()
+    keyed = docs.withColumn("__sha", F.sha2(normalised(F.col(text_col)), 256)).withColumn("__key", F.xxhash64(F.col(id_col).cast("long"))).withColumn("__length", F.char_length(F.coalesce(F.col(text_col), F.lit(""))))
+    longest = keyed.join(found, keys, "left_semi")
+    best = F.max_by(F.struct(*[F.col(c) for c in docs.columns]), "__length").alias("__row")
+    return longest.groupBy(*keys).agg(best).select("__row.*")
