@@ -3,11 +3,13 @@
 A page is cut into text nodes, each with the path of tags from the root down. Per path,
 text length and punctuation are aggregated per node; the ratios are smoothed over paths
 that follow one another, the share of text outside links is taken in, and the three are
-fused into one score. Paths whose score passes ``threshold`` standard deviations are
-content. Two kinds of markup overrule the score: what stands below an element that names
-itself a menu, header, footer, sidebar, notice, advert, form or comment list is never
-content, and where a page has an article (or main) element, all other paths inside it are.
-Content nodes are put together to blocks, in page order.
+fused into one score with two priors. A path below elements that name themselves a menu,
+header, footer, sidebar, notice, advert, form or comment list counts a tenth per such
+element; a path inside (outside) the article or main elements counts by the share of the
+page's running text that stands inside (outside) them. Paths whose score passes
+``threshold`` standard deviations are content, and headings beside or above such paths. Only
+what a browser does not show as text (scripts, hidden elements, controls) is left out
+unscored. Content nodes are put together to blocks, in page order.
 
 Each page is worked on by itself, so nothing is shuffled and a page costs what it is long.
 
@@ -37,9 +39,12 @@ BLOCKS = frozenset(
     "table tbody td tfoot th thead title tr ul".split()
 )
 CLOSES_P = BLOCKS - frozenset("button caption head body html td th tr tbody thead tfoot option optgroup legend".split())
-NEVER = frozenset("head script style noscript template iframe object svg math canvas audio video textarea select option button form nav aside menu dialog footer title input label map search".split())
+NEVER = frozenset("head script style noscript template iframe object svg math canvas audio video textarea select option button title input label map".split())
+ASIDE = frozenset("form nav aside menu dialog footer search".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLE = frozenset(["article", "main"])
+#: What a path counts per element around it that names itself boilerplate, and the least that it counts for its side of the articles.
+NAMED, SIDE = 0.1, 0.05
 #: Words in a class, id or role that name something other than the article.
 BOILER = frozenset(
     "ad ads advert adverts advertisement advertising advertorial banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies "
@@ -61,19 +66,23 @@ def _names(attrs: str) -> list[str]:
     return [w.lower() for m in NAMES.finditer(attrs) for w in PART.findall(m[1] or m[2] or m[3] or "")]
 
 
-def text_nodes(html: str) -> tuple[list[tuple[int, tuple, bool, bool, bool, str]], bool]:
-    """(block number, path, never, inside an article, inside a link, text) per node; whether there is an article."""
-    nodes: list[tuple[int, tuple, bool, bool, bool, str]] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, never, article, link
-    block, some = 0, False
+def text_nodes(html: str) -> list[tuple[int, tuple, bool, bool, str]]:
+    """(block number, path, never, inside a link, text) per node.
+
+    A path is (names of block elements, number of elements around that name themselves
+    boilerplate, whether it is inside an article).
+    """
+    nodes: list[tuple[int, tuple, bool, bool, str]] = []
+    stack: list[tuple[str, bool, int, bool, bool]] = []  # name, never, boilerplate around, article, link
+    block = 0
     at, size = 0, len(html)
     never = article = link = False
-    path: tuple = ()
+    named, path = 0, ((), 0, False)
 
     def settle() -> None:
-        nonlocal never, article, link, path
-        _, never, article, link = stack[-1] if stack else ("", False, False, False)
-        path = tuple(x[0] for x in stack)
+        nonlocal never, named, article, link, path
+        _, never, named, article, link = stack[-1] if stack else ("", False, 0, False, False)
+        path = (tuple(x[0] for x in stack if x[0] in BLOCKS), named, article)
 
     def leave(i: int) -> None:
         nonlocal block
@@ -89,10 +98,10 @@ def text_nodes(html: str) -> tuple[list[tuple[int, tuple, bool, bool, bool, str]
         name = m[1]
         if name is None:
             if token[0] != "<" or len(token) == 1:
-                if nodes and nodes[-1][0] == block and nodes[-1][1] == path:
-                    nodes[-1] = (*nodes[-1][:5], nodes[-1][5] + token)
+                if nodes and nodes[-1][:4] == (block, path, never, link):
+                    nodes[-1] = (*nodes[-1][:4], nodes[-1][4] + token)
                 else:
-                    nodes.append((block, path, never, article, link, token))
+                    nodes.append((block, path, never, link, token))
             continue
         name = name.lower()
         if token[1] == "/":
@@ -128,7 +137,7 @@ def text_nodes(html: str) -> tuple[list[tuple[int, tuple, bool, bool, bool, str]
             block += 1
         attrs = m[2] or ""
         if name == "br" or name == "hr":
-            nodes.append((block, path, never, article, link, " "))
+            nodes.append((block, path, never, link, " "))
         if name in VOID or attrs.endswith("/") and name not in BLOCKS and name not in RAW:
             continue
         if name in RAW:
@@ -140,29 +149,26 @@ def text_nodes(html: str) -> tuple[list[tuple[int, tuple, bool, bool, bool, str]
             continue
         words = _names(attrs) if attrs else []
         is_article = name in ARTICLE or "articlebody" in "".join(words) or words == ["main"]
-        named = bool(words) and not is_article and name not in ("html", "body") and not BOILER.isdisjoint(words)
-        out = never or name in NEVER or named or (name == "header" and not article) or bool(attrs and HIDDEN.search(attrs))
-        some = some or is_article and not out
-        stack.append((name, out, article or is_article, link or name == "a"))
+        other = name in ASIDE or name == "header" and not article or bool(words) and not is_article and name not in ("html", "body") and not BOILER.isdisjoint(words)
+        out = never or name in NEVER or bool(attrs and HIDDEN.search(attrs))
+        stack.append((name, out, named + other, article or is_article and not named, link or name == "a"))
         settle()
-    return nodes, some
+    return nodes
 
 
 def content_paths(nodes: list, threshold: float = 0.5) -> set:
-    """Paths that the fused ratios select, among those that the markup does not rule out."""
+    """Paths that the fused ratios and priors select."""
     order: dict[tuple, int] = {}
     length: list[float] = []
     marks: list[float] = []
     count: list[int] = []
     linked: list[float] = []
-    for _, path, never, _, link, text in nodes:
-        if never or not text.strip():
+    for _, path, never, link, text in nodes:
+        if never or not (n := len(text.strip())):
             continue
-        path = tuple(x for x in path if x in BLOCKS)
         k = order.setdefault(path, len(order))
         if k == len(length):
             length.append(0.0), marks.append(0.0), count.append(0), linked.append(0.0)
-        n = len(text.strip())
         length[k] += n
         marks[k] += len(PUNCT.findall(text))
         linked[k] += n if link else 0
@@ -173,7 +179,10 @@ def content_paths(nodes: list, threshold: float = 0.5) -> set:
     ratio = np.array([np.array(length) / n, np.array(marks) / n])
     wide = np.pad(ratio, ((0, 0), (1, 1)), mode="edge")
     smooth = 0.25 * wide[:, :-2] + 0.5 * ratio + 0.25 * wide[:, 2:]
-    score = np.sqrt(smooth[0] * (smooth[1] + 0.1)) * (1 - np.array(linked) / np.array(length))
+    named, inside = np.array([p[1] for p in order]), np.array([p[2] for p in order])
+    running = np.where(named == 0, np.array(length) - np.array(linked), 0)
+    side = np.where(inside, running[inside].sum(), running[~inside].sum()) / max(running.sum(), 1)
+    score = np.sqrt(smooth[0] * (smooth[1] + 0.1)) * (1 - np.array(linked) / np.array(length)) * NAMED**named * (SIDE + side)
     return {p for p, k in order.items() if score[k] > 0 and score[k] >= threshold * score.std()}
 
 
@@ -181,12 +190,13 @@ def main_text(html: str | None, threshold: float = 0.5) -> str:
     """The article of a page: its blocks joined by blank lines."""
     if not html:
         return ""
-    nodes, some = text_nodes(html)
-    good = set() if some else content_paths(nodes, threshold)
+    nodes = text_nodes(html)
+    good = content_paths(nodes, threshold)
+    above = {(p[0][:i], *p[1:]) for p in good for i in range(len(p[0]) + 1)}
     blocks: list[str] = []
     last = None
-    for block, path, never, article, _, text in nodes:
-        if never or not (article if some else tuple(x for x in path if x in BLOCKS) in good or path and path[-1] in HEADINGS and good):
+    for block, path, never, _, text in nodes:
+        if never or not (path in good or path[0] and path[0][-1] in HEADINGS and (path[0][:-1], *path[1:]) in above):
             continue
         if block == last:
             blocks[-1] += text

@@ -102,6 +102,17 @@ def test_html():
         html_text.main_text(page[:cut])
 
 
+def test_html_scores_every_page():
+    long = "A sentence, with points; and more of them. " * 4
+    two = f"<p>{long}</p><p>{long}</p>"
+    want = "\n\n".join([long.strip()] * 2)
+    assert html_text.main_text(f"<body><div>{two}</div><article><h3>Card</h3><p>Read this.</p></article></body>") == want
+    assert html_text.main_text(f"<body><article>{two}<div><a href=1>One more</a> <a href=2>Another</a></div></article></body>") == want
+    assert html_text.main_text(f"<body><div class=has-sidebar>{two}<div class=ad>Buy, now.</div></div></body>") == want
+    for name in ("article", "div"):
+        assert html_text.main_text(f"<body><nav><a href=1>x</a></nav><{name}><h1>T</h1>{two}</{name}><footer>&copy; A, b.</footer></body>") == f"T\n\n{want}"
+
+
 def test_licences():
     scan = lambda t: licenses.match(licenses.identify(t, {licenses.normalise(s): i for i, s in licenses.SENTENCES.items()}, {}), licenses.RULES)
     s = licenses.SENTENCES
