@@ -1,9 +1,10 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences at line ends and at full stops before white space; a sentence
-is normalised (lower case, letters and digits only, single blanks, years and names after a
-copyright sign left out). Known licence sentences have identifiers; sentences that are not
-known end a run. The sequence of identifiers of each text is then matched against ordered
+A text is cut into parts at line ends, list marks and full stops before white space; a part
+is normalised (lower case, letters and digits only, single blanks). Known licence sentences
+have identifiers, and parts that follow one another are joined to the longest of them, so a
+sentence may be wrapped anywhere between words. What is not known ends a run, other than
+list marks, copyright notices (sign or year, and names) and reserved rights. The sequence of identifiers of each text is then matched against ordered
 rules: a rule names a licence and the identifiers that must follow one another, in order,
 without another known sentence in between. The longest rule that matches at a position
 wins, and matching goes on behind it.
@@ -27,6 +28,8 @@ from pyspark.sql import DataFrame
 SCANNED = pa.schema([("doc_id", pa.int64()), ("licenses", pa.list_(pa.string())), ("n_matches", pa.int64()), ("n_sentences", pa.int64())])
 SPLIT = re.compile(r"[\r\n]+|(?<=[.;:!?])\s+")
 WORDS = re.compile(r"[^\W_]+")
+LIST = re.compile(r"[^\w\s]*\s*[^\w\s]*(?:\d{1,2}|[a-zA-Z]|[ivxIVX]{2,4})[.)](?:\s+|$)")
+NOTICE = re.compile(r"[\W_]*(?:copyright[\s:,]*(?:\(c\)|©|&copy;|\d{4})|\(c\)\s*\d{4}|©|all rights reserved\W*$)", re.I)
 
 # Sentences of public licences and their identifiers.
 SENTENCES: dict[str, str] = {
@@ -92,24 +95,45 @@ def normalise(sentence: str) -> str:
     return " ".join(WORDS.findall(sentence.lower()))
 
 
+def parts_of(text: str) -> list[tuple[str, bool]]:
+    """Normalised parts of a text in order, each with whether it may be left out between sentences."""
+    out = []
+    for part in SPLIT.split(text):
+        notice = NOTICE.match(part) is not None
+        if not notice and (mark := LIST.match(part)):
+            out.append((normalise(mark[0]), True))
+            part = part[mark.end() :]
+        out.append((normalise(part), notice))
+    return [x for x in out if x[0]]
+
+
+def by_first_word(known: dict[str, str]) -> dict[str, list[str]]:
+    """Normalised sentences by their first words."""
+    heads: dict[str, list[str]] = {}
+    for whole in known:
+        heads.setdefault(whole.split(" ", 1)[0], []).append(whole)
+    return heads
+
+
 def identify(text: str | None, known: dict[str, str], heads: dict[str, list[str]]) -> list[str | None]:
     """Identifiers of the text's sentences in order; None where unknown sentences stand.
 
     ``known`` is keyed by the normalised sentence, ``heads`` lists by first word the
-    normalised sentences that hold a sentence break inside.
+    normalised sentences that may be spread over several parts.
     """
     out: list[str | None] = []
-    parts = [n for n in map(normalise, SPLIT.split(text or "")) if n]
+    parts = parts_of(text or "")
     k = 0
     while k < len(parts):
-        found, step = known.get(parts[k]), 1
-        for whole in heads.get(parts[k].split(" ", 1)[0], ()):
-            joined, j = parts[k], k + 1
+        first, loose = parts[k]
+        found, step = known.get(first), 1
+        for whole in heads.get(first.split(" ", 1)[0], ()):
+            joined, j = first, k + 1
             while len(joined) < len(whole) and j < len(parts) and whole.startswith(joined):
-                joined, j = f"{joined} {parts[j]}", j + 1
+                joined, j = f"{joined} {parts[j][0]}", j + 1
             if joined == whole and j - k > step:
                 found, step = known[whole], j - k
-        if found is not None or not out or out[-1] is not None:
+        if found is not None or not loose and (not out or out[-1] is not None):
             out.append(found)
         k += step
     return out
@@ -134,10 +158,7 @@ def match(ids: list[str | None], rules: list[tuple[str, tuple[str, ...]]]) -> li
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: dict[str, str] | None = None, rules: list[tuple[str, tuple[str, ...]]] | None = None) -> DataFrame:
     """Per row: doc_id, licenses (sorted, distinct), n_matches, n_sentences (known ones)."""
     known = {normalise(s): i for i, s in (sentences or SENTENCES).items()}
-    heads: dict[str, list[str]] = {}
-    for i, s in (sentences or SENTENCES).items():
-        if len([p for p in SPLIT.split(s) if normalise(p)]) > 1:
-            heads.setdefault(normalise(s).split(" ", 1)[0], []).append(normalise(s))
+    heads = by_first_word(known)
     order = rules or RULES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

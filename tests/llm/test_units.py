@@ -125,6 +125,32 @@ def test_licences():
     assert scan(None) == [] and scan("") == []
 
 
+def test_wrapped_and_numbered_licences():
+    import textwrap
+
+    known = {licenses.normalise(s): i for i, s in licenses.SENTENCES.items()}
+    scan = lambda t: licenses.match(licenses.identify(t, known, licenses.by_first_word(known)), licenses.RULES)
+    s = licenses.SENTENCES
+    for name, seq in licenses.RULES:
+        for mark in ("", "# ", " * ", "// "):
+            for width in (30, 50, 78):
+                one = textwrap.fill(" ".join(s[k] for k in seq), width)
+                each = "\n".join(textwrap.fill(s[k], width) for k in seq)
+                for t in (one, each):
+                    t = f"code\n\nCopyright (c) 2020 A. Name\nAll rights reserved.\n\n{t}\n\nmore"
+                    assert scan("\n".join(mark + x for x in t.split("\n"))) == [name], (name, mark, width, t)
+    clauses = [s[k] for k in ("bsd-source", "bsd-binary", "bsd-names")]
+    for form in ("{}. ", "{}) ", "({}) "):
+        for marks in ("123", "abc"):
+            wrapped = [textwrap.fill(form.format(m) + c, 60, subsequent_indent="   ") for m, c in zip(marks, clauses, strict=True)]
+            assert scan("\n".join([textwrap.fill(s["bsd-grant"], 60), "", *wrapped])) == ["BSD-3-Clause"]
+            assert scan("\n".join([s["bsd-grant"], *wrapped[:2], "Something else."])) == ["BSD-2-Clause"]
+            assert scan(" ".join([s["bsd-grant"], *(form.format(m) + c for m, c in zip(marks, clauses, strict=True))])) == ["BSD-3-Clause"]
+    assert scan("\n".join([s["mit-grant"], "(c) 2019 B", s["mit-notice"]])) == ["MIT"]
+    assert scan("\n".join([s["mit-grant"], "In 2019 B", s["mit-notice"]])) == []
+    assert scan("Copyright 2020 C. Released under the MIT License.") == ["MIT"]
+
+
 def test_label_model_and_classifier():
     rng = np.random.default_rng(2)
     y = rng.random(3000) < 0.15
