@@ -56,6 +56,7 @@ def count_long(text: str, path: str, chunk: int, overlap: int) -> int:
     """Tokens of ``text``, encoded chunk by chunk."""
     sp, pairs = _model(path)
     done, total, size = 0, 0, len(text)
+    before = 0  # the stable boundary before ``done``
     held: list[int] = []
     end = min(size, chunk)
     held = _starts(sp, text[:end], 0)
@@ -73,7 +74,8 @@ def count_long(text: str, path: str, chunk: int, overlap: int) -> int:
             if begin == done:
                 # No boundary at all since the last one: grow this chunk instead.
                 end = min(size, end + chunk)
-                held = _starts(sp, text[done:end], done)
+                # From the boundary before, as the model puts a blank before what it encodes.
+                held = [x for x in _starts(sp, text[before:end], before) if x >= done]
                 if end == size:
                     at = None
                     break
@@ -83,6 +85,7 @@ def count_long(text: str, path: str, chunk: int, overlap: int) -> int:
         if at is None:
             break
         total += sum(1 for x in held if x < at)
+        before = done if at > done else before
         done, held, end = at, [x for x in nxt if x >= at], stop
     return total + len(held)
 

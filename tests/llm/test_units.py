@@ -71,6 +71,13 @@ def test_spliced_counts(text):
     assert token_counts.count_long(text, path, 200, 8) == len(sp.encode(text))
 
 
+@pytest.mark.parametrize("text", ["x " + "=" * 60_000, "x " + "=" * 60_000 + " y z" * 9000, "ab c " * 5000 + "=" * 50_000])
+def test_long_run_behind_a_word(text):
+    path = P.path("piece_bpe_32k.model")
+    sp, _ = token_counts._model(path)
+    assert token_counts.count_long(text, path, 16_384, 512) == len(sp.encode(text))
+
+
 def test_shingles_as_sets():
     def plain(t):
         w = [x for x in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t).replace("\t", " ").replace("\n", " ").replace("\r", " ").replace("\x0b", " ").replace("\x0c", " ").split(" ") if x]
