@@ -2,49 +2,89 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import math
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def nearest(gaps: DataFrame, points: DataFrame, k: int, cell: float, hru: str = "hru", x: str = "x", y: str = "y", rings: int = 40) -> DataFrame:
-    """(hru, donor, rank): the ``k`` nearest other points of each gap, ties by donor id.
+def nearest(gaps: DataFrame, points: DataFrame, k: int, cell: float, hru: str = "hru", x: str = "x", y: str = "y") -> DataFrame:
+    """(hru, donor, rank): the ``k`` nearest other points of each gap at any distance, ties by donor id.
 
-    Points are keyed by square cells; ring by ring of cells around a gap is an equi-join. A
-    gap is done once its k-th neighbour is nearer than the ring's edge; the others go on
-    with twice the ring, and the last ring takes what there is.
+    Points are keyed by square cells of side ``cell`` (halved while cells would hold many
+    points) and, level by level, of twice the side until one cell holds all. A gap is searched at the first level where its cell and the
+    eight around it hold k + 1 points: the k-th neighbour is then within 2.83 sides, so an
+    equi-join with the cells up to three away finds all k. Points of one place are searched
+    for once, and only the k + 1 smallest ids of a place can be donors.
     """
-    at = lambda c: F.floor(F.col(c) / cell)
-    donors = points.select(F.col(hru).alias("donor"), F.col(x).alias("dx"), F.col(y).alias("dy"), at(x).alias("cx"), at(y).alias("cy"))
-    span = points.agg(F.max(at(x)) - F.min(at(x)), F.max(at(y)) - F.min(at(y))).first()
-    widest = int(max(1, span[0] or 0, span[1] or 0)) + 1
-    left = gaps.join(points, hru, "left_semi").select(hru).distinct().join(points, hru).select(hru, x, y)
-    out, r = None, 1
+    ends = points.agg(F.min(x), F.min(y), F.max(x) - F.min(x), F.max(y) - F.min(y), F.count("*")).first()
+    x0, y0, *span, n = (v or 0.0 for v in ends)
+    levels = max(0, math.ceil(math.log2(max(*span, cell) / cell))) + 1
+    finest = min(0, math.floor(math.log2(max(span) / math.sqrt(n) / cell))) if n and max(span) > 0 else 0
+    side = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("level"))
+    key = lambda c, o: F.floor((F.col(c) - o) / side)
+    every = lambda df: df.withColumn("level", F.explode(F.sequence(F.lit(finest), F.lit(levels)))).withColumns({"cx": key("px", x0), "cy": key("py", y0)})
+    around = lambda df, r: df.withColumn("cx", F.explode(F.sequence(F.col("cx") - r, F.col("cx") + r))).withColumn("cy", F.explode(F.sequence(F.col("cy") - r, F.col("cy") + r)))
+    known = points.select(F.col(hru).alias("donor"), F.col(x).alias("px"), F.col(y).alias("py")).where("px is not null and py is not null")
+    first = F.row_number().over(Window.partitionBy("px", "py").orderBy("donor"))
+    donors = every(known.withColumn("n", first).where(F.col("n") <= k + 1).drop("n"))
+    asked = gaps.select(F.col(hru).alias("donor")).distinct().join(known, "donor").withColumnRenamed("donor", hru)
+    places = every(asked.select("px", "py").distinct())
+    count = donors.groupBy("level", "cx", "cy").agg(F.count("*").alias("n"))
+    level = around(places, 1).join(count, ["level", "cx", "cy"]).groupBy("px", "py", "level").agg(F.sum("n").alias("n"))
+    level = level.where((F.col("n") > k) | (F.col("level") == levels)).groupBy("px", "py").agg(F.min("level").alias("level"))
+    reach = around(level.withColumns({"cx": key("px", x0), "cy": key("py", y0)}), 3)
+    near = reach.join(donors.withColumnsRenamed({"px": "dx", "py": "dy"}), ["level", "cx", "cy"])
+    near = near.select("px", "py", "donor", ((F.col("px") - F.col("dx")) ** 2 + (F.col("py") - F.col("dy")) ** 2).alias("d2"))
+    best = near.withColumn("n", F.row_number().over(Window.partitionBy("px", "py").orderBy("d2", "donor"))).where(F.col("n") <= k + 1)
+    best = best.groupBy("px", "py").agg(F.array_sort(F.collect_list(F.struct("n", "donor"))).alias("best"))
+    others = F.slice(F.filter(F.transform("best", lambda s: s["donor"]), lambda d: d != F.col(hru)), 1, k)
+    return asked.join(best, ["px", "py"]).select(hru, F.posexplode(others).alias("rank", "donor")).select(hru, "donor", (F.col("rank") + 1).alias("rank"))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _roots(gaps: DataFrame, have: DataFrame, near: DataFrame) -> DataFrame:
+    """(hru, t, root): the observed polygon that a chained gap's value comes from, in rounds of written joins.
+
+    A gap can be filled if a candidate is observed, or a gap of a smaller id that can be
+    filled; it takes the first such candidate. Pointers to gaps are then halved.
+    """
+    spark = gaps.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    path = f"{base.rstrip('/')}/fill-{uuid.uuid4().hex}"
+    edges = gaps.join(near, "hru").join(have.select(F.col("hru").alias("donor"), "t", F.lit(True).alias("seen")).unionByName(gaps.select(F.col("hru").alias("donor"), "t", F.lit(False).alias("seen"))), ["donor", "t"])
+    edges = _written(edges.where(F.col("seen") | (F.col("donor") < F.col("hru"))), f"{path}/edges")
+    can = new = _written(edges.where("seen").select("hru", "t").distinct(), f"{path}/can0")
+    step = 0
     while True:
-        r = min(r, widest)
-        reach = left.withColumn("cx", F.explode(F.sequence(at(x) - r, at(x) + r))).withColumn("cy", F.explode(F.sequence(at(y) - r, at(y) + r)))
-        near = reach.join(donors, ["cx", "cy"]).where(F.col(hru) != F.col("donor"))
-        d2 = (F.col(x) - F.col("dx")) ** 2 + (F.col(y) - F.col("dy")) ** 2
-        rank = F.row_number().over(Window.partitionBy(hru).orderBy("d2", "donor"))
-        best = near.withColumn("d2", d2).withColumn("rank", rank).where(F.col("rank") <= k).select(hru, "donor", "d2", "rank")
-        if r >= widest or r >= rings:
-            done = best
-        else:
-            sure = best.groupBy(hru).agg(F.count("*").alias("n"), F.max("d2").alias("far")).where((F.col("n") == k) & (F.col("far") <= (r * cell) ** 2)).select(hru)
-            done, left = best.join(sure, hru, "left_semi"), left.join(sure, hru, "left_anti")
-        done = done.select(hru, "donor", "rank")
-        out = done if out is None else out.unionByName(done)
-        if r >= widest or r >= rings:
-            return out
-        r = rings if r * 4 > rings else r * 4
+        step += 1
+        reached = edges.where("not seen").join(new.withColumnRenamed("hru", "donor"), ["donor", "t"], "left_semi").select("hru", "t").distinct()
+        new = _written(reached.join(can, ["hru", "t"], "left_anti"), f"{path}/can{step}")
+        if new.isEmpty():
+            break
+        can = can.unionByName(new)
+    good = edges.where("seen").unionByName(edges.where("not seen").join(can.withColumnRenamed("hru", "donor"), ["donor", "t"], "left_semi").select(edges.columns))
+    up = _written(good.groupBy("hru", "t").agg(F.min_by(F.struct("donor", "seen"), "rank").alias("d")).select("hru", "t", F.col("d.donor").alias("root"), "d.seen"), f"{path}/up0")
+    step = 0
+    while not up.where("not seen").isEmpty():
+        step += 1
+        next_ = up.select(F.col("hru").alias("root"), "t", F.col("root").alias("r2"), F.col("seen").alias("s2"))
+        jumped = up.where("not seen").join(next_, ["root", "t"]).select("hru", "t", F.col("r2").alias("root"), F.col("s2").alias("seen"))
+        up = _written(up.where("seen").unionByName(jumped), f"{path}/up{step}")
+    return up.select("hru", "t", "root")
 
 
 def fill(bounds: DataFrame, centroids: DataFrame, max_candidates: int = 10, cell: float = 1.0, donors: str = "observed") -> DataFrame:
     """Bounds with both ends missing take those of the nearest polygon that has both at the same time.
 
     Adds ``nn_filled`` (0 or 1). "observed": only observed bounds are given on. "chained":
-    polygons are gone through in id order and a filled one can give on, as one series of
-    frames, one per time step.
+    polygons are gone through in id order and a filled one can give on.
     """
     b = bounds.withColumn("__gap", F.col("lower_bound").isNull() & F.col("upper_bound").isNull())
     near = nearest(b.where("__gap").select("hru").distinct(), centroids, max_candidates, cell)
@@ -56,24 +96,9 @@ def fill(bounds: DataFrame, centroids: DataFrame, max_candidates: int = 10, cell
         out = b.join(got, ["hru", "t"], "left")
         filled = F.col("__gap") & F.col("d").isNotNull()
         return out.select("hru", "t", F.when(filled, F.col("d.dl")).otherwise(F.col("lower_bound")).alias("lower_bound"), F.when(filled, F.col("d.du")).otherwise(F.col("upper_bound")).alias("upper_bound"), *rest, filled.cast("tinyint").alias("nn_filled"))
-    lists = near.groupBy("hru").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "donor"))), lambda s: s["donor"]).alias("__near"))
-    rows = bounds.join(lists, "hru", "left")
-
-    def chain(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("hru").reset_index(drop=True)
-        place = {h: i for i, h in enumerate(f["hru"])}
-        low, up, flag = f["lower_bound"].to_numpy(float).copy(), f["upper_bound"].to_numpy(float).copy(), [0] * len(f)
-        for i, near_ids in enumerate(f["__near"]):
-            if low[i] == low[i] or up[i] == up[i] or near_ids is None:
-                continue
-            for h in near_ids:
-                j = place.get(h)
-                if j is not None and low[j] == low[j] and up[j] == up[j]:
-                    low[i], up[i], flag[i] = low[j], up[j], 1
-                    break
-        return f.assign(lower_bound=low, upper_bound=up, nn_filled=flag).drop(columns="__near")
-
-    schema = ", ".join(f"{n} {'double' if n in ('lower_bound', 'upper_bound') else k}" for n, k in bounds.dtypes) + ", nn_filled tinyint"
-    names = [*bounds.columns, "nn_filled"]
-    out = rows.groupBy("t").applyInPandas(lambda f: chain(f)[names], schema)
-    return out.withColumns({c: F.nanvl(c, F.lit(None)) for c in ("lower_bound", "upper_bound")})
+    real = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None))
+    have = bounds.select("hru", "t", real("lower_bound").alias("dl"), real("upper_bound").alias("du")).where("dl is not null and du is not null")
+    roots = _roots(b.where("__gap").select("hru", "t"), have, near)
+    got = roots.join(have.withColumnRenamed("hru", "root"), ["root", "t"]).select("hru", "t", "dl", "du", F.lit(1).alias("__filled"))
+    out = b.join(got, ["hru", "t"], "left").withColumns({"lower_bound": F.coalesce("dl", real("lower_bound")), "upper_bound": F.coalesce("du", real("upper_bound"))})
+    return out.withColumn("nn_filled", F.coalesce("__filled", F.lit(0)).cast("tinyint")).select(*bounds.columns, "nn_filled")

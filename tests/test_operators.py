@@ -3,6 +3,7 @@
 import datetime as dt
 import gzip
 import io
+import random
 import struct
 import tarfile
 
@@ -198,6 +199,35 @@ def test_fill(spark):
     assert fill(spark, [10.0, None, None, 99.0], [0.5, 1, 2, 10], 1, donors="chained") == [(10, 0), (10, 1), (10, 1), (99, 0)]
 
 
+def test_far_donors(spark):
+    assert fill(spark, [10.0, None, 50.0], [0, 500, 100_000], 1) == [(10, 0), (10, 1), (50, 0)]
+    assert fill(spark, [None, None, 50.0], [0, 1, -3_000_000], 2) == [(50, 1), (50, 1), (50, 0)]
+    assert fill(spark, [10.0, None, None, None, 99.0], [0, 200, 450, 900, 1e6], 1, donors="chained") == [(10, 0), (10, 1), (10, 1), (10, 1), (99, 0)]
+    at = [(h, float((h * 7919) % 1009) ** 2, float((h * 104729) % 997) ** 2 if h % 7 else 4.0) for h in range(150)] + [(h, 9.0, 9.0) for h in range(150, 170)]
+    p = spark.createDataFrame(at, "hru long, x double, y double")
+    got = {}
+    for r in nnfill.nearest(p.where("hru % 3 <> 0"), p, 4, 1.0).collect():
+        got.setdefault(r["hru"], {})[r["rank"]] = r["donor"]
+    for h, x, y in at:
+        want = [d for _, d in sorted(((x - u) ** 2 + (y - v) ** 2, d) for d, u, v in at if d != h)[:4]]
+        assert got.get(h) == (dict(enumerate(want, 1)) if h % 3 else None)
+
+
+def test_chained_fill_goes_by_id(spark):
+    rng = random.Random(2)
+    n, k = 80, 3
+    low = [float(i) if rng.random() < 0.25 else None for i in range(n)]
+    at = [rng.random() * 1000 for _ in range(n)]
+    want, flag = list(low), [0] * n
+    for i in range(n):
+        if low[i] is None:
+            for j in sorted((j for j in range(n) if j != i), key=lambda j: ((at[i] - at[j]) ** 2, j))[:k]:
+                if want[j] is not None:
+                    want[i], flag[i] = want[j], 1
+                    break
+    assert fill(spark, low, at, k, donors="chained") == list(zip(want, flag, strict=True))
+
+
 def test_one_sided_gap_stays(spark):
     b = spark.createDataFrame([(1, D(2000, 1, 1), 10.0, 20.0, 1), (2, D(2000, 1, 1), None, 30.0, 1)], "hru long, t date, lower_bound double, upper_bound double, n_sources tinyint")
     c = spark.createDataFrame([(1, 0.0, 0.0), (2, 1.0, 0.0)], "hru long, x double, y double")
