@@ -5,7 +5,8 @@ encoded in chunks that overlap; both encodings of an overlap are compared, and t
 are spliced at the first token boundary that both have and that is proven stable: no piece
 of the vocabulary holds the two characters beside it next to each other, so no merge ever
 crosses it, whatever stands around. If an overlap has no such boundary it is doubled, up to
-the whole rest of the text. Memory is bounded by the chunk, not by the document.
+the whole rest of the text. Memory is bounded by the chunk, or by
+the longest run without a boundary if that is longer.
 
 Nulls and ties: a null or empty text has no tokens and no bytes. A null id stays null.
 Rows that repeat are counted each. Extra columns are ignored. An empty table gives an empty
