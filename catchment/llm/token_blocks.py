@@ -1,7 +1,8 @@
 """Token ids as a binary table of patched frame-of-reference blocks.
 
 Documents are range-partitioned by id; each task tokenises its documents in order and packs
-the ids into segments. A segment holds whole documents (about ``segment_tokens`` ids), a
+the ids into segments. Pieces of words are encoded once per worker where the tokenizer's
+own description shows that it parts texts into them, whole texts otherwise. A segment holds whole documents (about ``segment_tokens`` ids), a
 document table, an index of block starts, and blocks of ``BLOCK`` ids. In a block the
 minimum is subtracted and the rest packed at the width that ``percentile`` of its values
 need; the high bits of the others are stored in a list of exceptions.
@@ -20,14 +21,17 @@ order of a hash of their text. Extra columns are ignored. An empty table writes
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -111,69 +115,150 @@ def unpack_segment(payload: bytes) -> tuple[list[int | None], np.ndarray, np.nda
     return [None if z else int(x) for x, z in zip(doc_ids, null, strict=True)], counts, unpack_blocks(payload[at + 17 * docs + 4 * k :], starts, n)
 
 
-#: A word that ends in a Latin-1 letter or digit and these marks: the tokenizer always splits there.
-ENDING = re.compile(r"(.*[0-9A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?]+)", re.S)
+# The splitting rules that may be applied word by word. Nothing that they match holds or looks at white space.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTERS = [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+#: Visible Latin-1: no combining marks, and letter cases that every Unicode version has.
+PLAIN = "^[!-~\u00a1-\u00ac\u00ae-\u00ff]*$"
+#: Longer pieces are not kept.
+LONGEST = 64
 
 
-def _stem(word: str) -> str:
-    """The word in lower case where that is what the tokenizer's normaliser does: Latin-1 without special tokens."""
-    return word.lower() if max(word) <= "\xff" and "<|" not in word else word
+def _byte_letters() -> dict[int, str]:
+    """The letter by which the library's byte level writes each byte that UTF-8 uses."""
+    from tokenizers.pre_tokenizers import ByteLevel
 
+    level = ByteLevel(add_prefix_space=False, use_regex=False)
+    some = [*range(0x800), *range(0x800, 0xD800, 0x800), 0xE000, 0xF000, *range(0x10000, 0x110000, 0x10000)]
+    return {b: x for c in map(chr, some) for b, x in zip(c.encode(), level.pre_tokenize_str(c)[0][0], strict=True)}
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), Table(400_000), Table(300_000)
+class Encoder:
+    """A tokenizer of the library, and what it has made of words and their pieces so far.
+
+    The tokenizer's own description decides: where it normalises and splits by the rules
+    above and leaves no room for chance, pieces of words are encoded by themselves; with any
+    other tokenizer whole texts are.
+    """
 
+    def __init__(self, path: str, keep: int = 400_000):
+        from tokenizers import Tokenizer
+
+        self.tok = tok = Tokenizer.from_file(path)
+        told = json.loads(tok.to_str())
+        model, added = told["model"], [x["content"] for x in told["added_tokens"]]
+        self.by_word = (
+            told["normalizer"] == NORMALIZER and told["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": SPLITTERS}
+            and not told["truncation"] and not told["padding"] and model["type"] == "BPE" and not model["dropout"]
+            and not any(x["lstrip"] or x["rstrip"] or WORD.sub("", x["content"]) for x in told["added_tokens"])
+        )
+        self.added = "|".join(map(re.escape, added)) or "^$"
+        self.letters = _byte_letters()
+        self.pieces = Table(keep)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``texts`` (strings without nulls), one text after another, and the number of each text's.
+
+        Arrow splits texts into words and the distinct words into pieces; only distinct
+        pieces become Python strings. Words with special tokens or characters that are not
+        plain go to the library as they are.
+        """
+        if not self.by_word:
+            return self.join(*self.library(texts))
+        words, word_ends = _distinct(texts)
+        plain = pc.and_not(pc.match_substring_regex(words.dictionary, PLAIN), pc.match_substring_regex(words.dictionary, self.added, ignore_case=True))
+        spaced = pc.replace_substring_regex(pc.utf8_lower(words.dictionary.filter(plain)), f"({SPLITTERS[0]['pattern']['Regex']})", r"\1 ")
+        pieces, piece_ends = _distinct(spaced)
+        ids, n = self.join(self.spell(_strings(pieces.dictionary)), pieces.indices.to_numpy(), piece_ends)
+        if not (mask := plain.to_numpy(zero_copy_only=False)).all():
+            other, m = self.join(*self.library(words.dictionary.filter(pc.invert(plain))))
+            ids, size = np.concatenate([ids, other]), np.zeros(len(mask), np.int64)
+            size[mask], size[~mask] = n, m
+            start = np.zeros(len(mask), np.int64)
+            start[mask], start[~mask] = np.cumsum(n) - n, np.cumsum(m) - m + n.sum()
+        else:
+            size, start = n, np.cumsum(n) - n
+        return _gather(ids, start, size, words.indices.to_numpy(), word_ends)
+
+    def join(self, known: list[bytes], at: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        return _gather(np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size, size, at, edges)
+
+    def spell(self, distinct: list[str]) -> list[bytes]:
+        """The ids of each piece as little-endian unsigned 32-bit integers."""
+        new = self.pieces.missing(set(distinct))
+        known, one, letters = self.pieces.young, self.tok.model.tokenize, self.letters
+        for p in new:
+            spelt = p if p.isascii() else p.encode().decode("latin-1").translate(letters)
+            known[p] = array("I", [t.id for t in one(spelt)]).tobytes()
+        out = list(map(known.__getitem__, distinct))
+        for p in new:
+            if len(p) > LONGEST:
+                del known[p]
+        return out
+
+    def library(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        found = self.tok.encode_batch_fast(_strings(texts), add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found], np.arange(len(texts)), np.arange(len(texts) + 1)
+
+
+def _strings(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
+def _distinct(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words between ASCII white space of all ``texts``, and at which of them each text ends, after a 0."""
+    split = pc.ascii_split_whitespace(texts)
+    return split.flatten().dictionary_encode(), split.offsets.to_numpy() - split.offsets[0].as_py()
+
+
+def _gather(ids: np.ndarray, start: np.ndarray, size: np.ndarray, at: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``at`` of ``ids`` one after another, and how many ids lie between ``edges`` of these runs."""
+    n = size[at]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    return ids[np.repeat(start[at] - ends[:-1], n) + np.arange(ends[-1])], np.diff(ends[edges])
 
-def encode_texts(texts: list[str], path: str) -> list[bytes]:
-    """The ids of each text as little-endian unsigned 32-bit integers.
 
-    The tokenizer's splitting never joins what ASCII white space parts, so a worker keeps a
-    table of encoded words. New words are parted from the marks at their end and lower-cased;
-    the stems that are new as well are encoded as lines of some hundred, and the tokens dealt
-    out to them by their offsets.
-    """
-    tok, table, stems = _tokenizer(path)
-    words = list(map(WORD.findall, texts))
-    new = [(w, (_stem(m[1]), m[2]) if (m := ENDING.fullmatch(w)) else (_stem(w),)) for w in table.missing(set().union(*words))]
-    missing = stems.missing({x for _, parts in new for x in parts})
-    known = stems.young
-    for lo in range(0, len(missing), 25_600):
-        groups = [missing[at : at + 200] for at in range(lo, min(lo + 25_600, len(missing)), 200)]
-        for group, e in zip(groups, tok.encode_batch(list(map(" ".join, groups)), add_special_tokens=False), strict=True):
-            begins = np.cumsum([0, *map(len, group)])[:-1] + np.arange(len(group))
-            at = np.searchsorted([x for x, _ in e.offsets], begins).tolist() + [len(e.ids)]
-            raw = np.array(e.ids, "<u4").tobytes()
-            for k, w in enumerate(group):
-                known[w] = raw[4 * at[k] : 4 * at[k + 1]]
-    full = table.young
-    for w, parts in new:
-        full[w] = known[parts[0]] if len(parts) == 1 else known[parts[0]] + known[parts[1]]
-    return [b"".join(map(full.__getitem__, ws)) for ws in words]
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
+
+
+def slices(texts: pa.Array, size: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of ``texts`` of about ``size`` bytes each, one text at least."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + size, "right")))
+        yield lo, hi
+        lo = hi
 
 
 def write_blocks(docs: DataFrame, out: str, tokenizer: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text", segment_tokens: int = 1 << 19, percentile: float = 0.98) -> None:
     """Encode ``docs`` in ascending id order and write segments below ``out``."""
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    end = np.zeros(0, "<u4") if end_id is None else np.array([end_id], "<u4")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, seq = TaskContext.get().partitionId(), 0
-        held: list[tuple[int | None, bytes]] = []
+        encoder = _encoder(tokenizer)
+        held: list[tuple[int | None, np.ndarray]] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(x for _, x in held), "<u4")
-            payload = pack_segment([i for i, _ in held], [len(x) // 4 for _, x in held], ids, percentile)
+            ids = np.concatenate([x for _, some in held for x in (some, end)])
+            payload = pack_segment([i for i, _ in held], [len(x) + len(end) for _, x in held], ids, percentile)
             return pa.RecordBatch.from_pydict({"shard": [shard], "seq": [seq], "n_docs": [len(held)], "n_tokens": [len(ids)], "payload": [payload]}, schema=SEGMENT)
 
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for lo in range(0, len(texts), 256):
-                for key, ids in zip(keys[lo : lo + 256], encode_texts(texts[lo : lo + 256], tokenizer), strict=True):
-                    held.append((key, ids + end))
-                    size += len(ids) // 4 + 1
+            keys, texts = batch.column(0).to_pylist(), batch.column(1).fill_null("")
+            for lo, hi in slices(texts):
+                ids, counts = encoder.encode(texts[lo:hi])
+                for key, some in zip(keys[lo:hi], np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+                    held.append((key, some))
+                    size += len(some) + len(end)
                     if size >= segment_tokens:
                         yield flush()
                         held, size, seq = [], 0, seq + 1

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 
 from catchment.llm import byte_bpe, html_text, jaccard_join, licenses, token_blocks, token_counts, toxicity
@@ -31,12 +32,18 @@ def test_segment_round_trip():
         token_blocks.unpack_segment(b"nope")
 
 
-def test_words_as_the_library():
-    path = P.path("word_bpe_49k.json")
-    tok, *_ = token_blocks._tokenizer(path)
-    texts = [*TEXTS, "End. END! End... #. a_. x's. 12. É! <|ENDOFTEXT|>. <|endoftext|>. ΣΑΣ. İ. µ? ﬁ."]
-    want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
-    assert [np.frombuffer(x, "<u4").tolist() for x in token_blocks.encode_texts(texts, path)] == want
+@pytest.mark.parametrize("file", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_tokens_as_the_library(file):
+    encoder = token_blocks.Encoder(P.path(file), keep=50)
+    assert encoder.by_word == (file == "word_bpe_49k.json")
+    rng = random.Random(8)
+    some = [*"ab Éè'sl 12 ²½ªµß\x1c\x85\xa0\xad!?.-_~\t\n日ﬁ", "<|endoftext|>", "<|ENDOFTEXT|>", "'re", "'S", "e\u0301", "A\u030a", "Σ"]
+    texts = [*TEXTS, "End. END! End... #. a_. x's. 12. É! <|ENDOFTEXT|>. <|endoftext|>. ΣΑΣ. İ. µ? ﬁ.", "x" * 5000, *("".join(rng.choice(some) for _ in range(rng.randrange(25))) for _ in range(2000))]
+    want = [e.ids for e in encoder.tok.encode_batch(texts, add_special_tokens=False)]
+    for lo, hi in token_blocks.slices(pa.array(texts), 3000):
+        ids, counts = encoder.encode(pa.array(texts)[lo:hi])
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want[lo:hi]
+    assert all(len(p) <= token_blocks.LONGEST for p in encoder.pieces.young)
 
 
 def test_merge_replay_as_the_library():
