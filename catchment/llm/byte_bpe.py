@@ -1,15 +1,16 @@
 """Byte-level BPE encoding and decoding by merge replay over a corpus of words.
 
-Texts are split by the pattern into words. The distinct new words of a batch are the corpus
-of one replay: an inverted index maps each mergeable token pair, under the rank of its
+Texts are split by the pattern into words. A task's texts, up to ``corpus`` bytes at a time,
+give the distinct words that are not yet known, and these are the corpus of one replay: an
+inverted index maps each mergeable token pair, under the rank of its
 merge, to the positions where it stands. Merges are applied in rank order, lowest first; a
 merge visits only the indexed positions and re-indexes only the two neighbours it touched.
 If a merge creates a pair of a lower rank than its own, that rank goes first. Encoded words
 are kept in a table of bounded size, so a frequent word is replayed once per worker.
 
-No word crosses a single blank or line feed between two other characters, so texts whose
-white space is only of that kind are cut there and the pieces looked up whole; all other
-texts go through the pattern as they are.
+The pattern never matches across the start of a run of white space, so texts are cut there
+by Arrow and only distinct pieces go through the pattern; texts with white space other than
+blanks, tabs and line ends go through it whole.
 
 Nothing is shuffled: the words of a task are its corpus, and a task's work follows its
 input.
@@ -24,20 +25,21 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from catchment.llm.shared import Table
+from catchment.llm.shared import Table, gather, slices, strings
 
 CODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("ids", pa.binary()), ("decoded", pa.binary())])
-#: White space other than single blanks and line feeds between other characters.
-ODD = re.compile(r"\s\s|[^\S \n]|^\s|\s\Z")
+#: White space other than blanks, tabs and line ends, and what stands for cuts.
+ODD = "[\\x01\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+#: Longer words and pieces are not kept.
+LONGEST = 64
 
 
 class Ranks:
@@ -55,29 +57,33 @@ class Ranks:
                 if a is not None and b is not None:
                     self.pair[a << 32 | b] = r
 
-    def replay(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of each of the distinct ``words``."""
-        out: list[list[int]] = [[]] * len(words)
-        token: list[int] = []
-        after: list[int] = []
-        before: list[int] = []
-        first: list[tuple[int, int]] = []
-        places: dict[int, list[int]] = {}
-        pair, single = self.pair, self.single
-        for k, w in enumerate(words):
-            if (whole := self.rank.get(w)) is not None:
-                out[k] = [whole]
-                continue
-            at, n = len(token), len(w)
-            token += [single[b] for b in w]
-            after += range(at + 1, at + n + 1)
-            before += range(at - 1, at + n - 1)
-            if n:
-                after[-1] = before[at] = -1
-                first.append((k, at))
-            for i in range(at, at + n - 1):
-                if (r := pair.get(token[i] << 32 | token[i + 1])) is not None:
-                    places.setdefault(r, []).append(i)
+        self.first = np.full((256, 256), -1, np.int32)
+        for x, a in enumerate(self.single):
+            for y, b in enumerate(self.single):
+                self.first[x, y] = self.pair.get(a << 32 | b, -1)
+
+    def replay(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each of the distinct, not empty ``words``, as little-endian unsigned 32-bit integers."""
+        whole = list(map(self.rank.get, words))
+        if rest := [w for w, r in zip(words, whole, strict=True) if r is None]:
+            replayed = iter(self._merge(rest))
+        return [next(replayed) if r is None else r.to_bytes(4, "little") for r in whole]
+
+    def _merge(self, words: list[bytes]) -> list[bytes]:
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        edge = np.cumsum(size)
+        token: list[int] = np.array(self.single, np.int64)[raw].tolist()
+        after, before = np.arange(1, len(raw) + 1), np.arange(-1, len(raw) - 1)
+        after[edge - 1] = before[edge - size] = -1
+        # The inverted index: every position of a pair that merges, under the rank of its merge.
+        rank = np.append(self.first[raw[:-1], raw[1:]], -1)
+        rank[edge - 1] = -1
+        order = np.argsort(rank, kind="stable")
+        order = order[np.searchsorted(rank[order], 0) :]
+        ranks, cuts = np.unique(rank[order], return_index=True)
+        places: dict[int, list[int]] = {r: at.tolist() for r, at in zip(ranks.tolist(), np.split(order, cuts[1:]), strict=False)}
+        after, before, pair = after.tolist(), before.tolist(), self.pair
         queue = list(places)
         heapq.heapify(queue)
         while queue:
@@ -112,13 +118,11 @@ class Ranks:
                         places[r] = todo[done + 1 :]
                         heapq.heappush(queue, r)
                     break
-        for k, at in first:
-            ids = []
-            while at >= 0:
-                ids.append(token[at])
-                at = after[at]
-            out[k] = ids
-        return out
+        left = np.array(token, np.int64)
+        alive = left >= 0
+        ends = (4 * np.cumsum(alive)[edge - 1]).tolist()
+        flat = left[alive].astype("<u4").tobytes()
+        return [flat[x:y] for x, y in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 class Coder:
@@ -129,31 +133,44 @@ class Coder:
 
         self.ranks, self.split = Ranks(path), regex.compile(pattern).findall
         self.words, self.pieces = Table(keep), Table(keep)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        parts: list[list[str]] = []
-        odd = set()
-        for i, t in enumerate(texts):
-            if ODD.search(t):
-                odd.add(i)
-                parts.append([])
-            else:  # Each piece carries the blank or line feed before it.
-                cut = t.replace("\n", " \n").split(" ")
-                parts.append([cut[0], *[x if x[:1] == "\n" else " " + x for x in cut[1:]]])
-        new = self.pieces.missing(set().union(*parts))
+        size = np.array([len(self.ranks.bytes.get(i, b"")) for i in range(max(self.ranks.bytes) + 1)])
+        self.size, self.start = size, np.cumsum(size) - size
+        self.flat = np.frombuffer(b"".join(self.ranks.bytes.get(i, b"") for i in range(len(size))), np.uint8)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``texts`` (strings without nulls), one text after another, and the number of each text's."""
+        odd = pc.match_substring_regex(texts, ODD)
+        cut = pc.if_else(odd, texts, pc.replace_substring_regex(texts, r"([ \t\n\r]+)", "\x01\\1"))
+        # A text that is not cut keeps its separators: as one list of one piece.
+        split = pc.split_pattern(pc.if_else(odd, "", cut), "\x01")
+        pieces, edges = split.flatten().dictionary_encode(), split.offsets.to_numpy() - split.offsets[0].as_py()
+        whole = strings(texts.filter(odd))
+        distinct = strings(pieces.dictionary)
+        known = self.spell(distinct + whole)
+        at = pieces.indices.to_numpy().copy()
+        at[edges[:-1][odd.to_numpy(zero_copy_only=False)]] = len(distinct) + np.arange(len(whole))
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        return gather(np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size, size, at, edges)
+
+    def spell(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece; all words that are new are the corpus of one replay."""
+        new = self.pieces.missing(set(pieces))
         split = list(map(self.split, new))
-        whole = {i: self.split(texts[i]) for i in odd}
-        unknown = self.words.missing(set().union(*split, *whole.values()))
-        words, pieces = self.words.young, self.pieces.young
-        for w, ids in zip(unknown, self.ranks.replay([w.encode() for w in unknown]), strict=True):
-            words[w] = array("I", ids).tobytes()
+        unknown = self.words.missing(set().union(*split))
+        words, known = self.words.young, self.pieces.young
+        words.update(zip(unknown, self.ranks.replay([w.encode() for w in unknown]), strict=True))
         for p, ws in zip(new, split, strict=True):
-            pieces[p] = b"".join([words[w] for w in ws])
-        return [b"".join([words[w] for w in whole[i]]) if i in odd else b"".join(map(pieces.__getitem__, ps)) for i, ps in enumerate(parts)]
+            known[p] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
+        out = list(map(known.__getitem__, pieces))
+        for table, keys in ((words, unknown), (known, new)):
+            for k in keys:
+                if len(k) > LONGEST:
+                    del table[k]
+        return out
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.ranks.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids, one text after another, and the number of each text's."""
+        return gather(self.flat, self.start, self.size, ids, np.concatenate([[0], np.cumsum(counts)]))
 
 
 @lru_cache(maxsize=2)
@@ -161,21 +178,48 @@ def _coder(path: str, pattern: str) -> Coder:
     return Coder(path, pattern)
 
 
-def encode_bytes(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", outputs: bool = True) -> DataFrame:
-    """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256, and with ``outputs`` ids and decoded."""
-    names = CODED.names if outputs else CODED.names[:4]
-    schema = pa.schema([CODED.field(n) for n in names])
+def encode_bytes(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", columns: tuple[str, ...] = tuple(CODED.names), corpus: int = 16 << 20) -> DataFrame:
+    """Per row the ``columns`` asked for: doc_id, n_tokens, ids_sha256, decoded_sha256, ids, decoded.
+
+    ``corpus`` bytes of text at most, or one text, are replayed at once.
+    """
+    schema = pa.schema([CODED.field(n) for n in columns])
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(ranks, pattern)
-        for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for lo in range(0, len(texts), 256):
-                ids = coder.encode(texts[lo : lo + 256])
-                back = [coder.decode(x) for x in ids]
-                cols = {"doc_id": keys[lo : lo + 256], "n_tokens": [len(x) // 4 for x in ids], "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids], "decoded_sha256": [hashlib.sha256(x).hexdigest() for x in back], "ids": ids, "decoded": back}
-                yield pa.RecordBatch.from_pydict({n: cols[n] for n in names}, schema=schema)
+        for keys, texts in _corpora(batches, corpus):
+            ids, counts = coder.encode(texts)
+            cols = {"doc_id": keys, "n_tokens": counts}
+            for name, digest, (flat, size) in (("ids", "ids_sha256", (ids, 4 * counts)), ("decoded", "decoded_sha256", coder.decode(ids, counts))):
+                ends = np.cumsum(size).tolist()
+                raw = memoryview(np.ascontiguousarray(flat)).cast("B")
+                some = [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                cols[digest] = [hashlib.sha256(x).hexdigest() for x in some]
+                if name in columns:
+                    cols[name] = [bytes(x) for x in some]
+            yield pa.RecordBatch.from_pydict({n: cols[n] for n in columns}, schema=schema)
 
     kinds = {"doc_id": "long", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string", "ids": "binary", "decoded": "binary"}
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    return rows.mapInArrow(code, ", ".join(f"{n} {kinds[n]}" for n in names))
+    return rows.mapInArrow(code, ", ".join(f"{n} {kinds[n]}" for n in columns))
+
+
+def _corpora(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Ids and texts of a task, put together or cut to about ``size`` bytes."""
+    held: list[tuple[pa.Array, pa.Array]] = []
+    n = 0
+
+    def put() -> tuple[pa.Array, pa.Array]:
+        return tuple(pa.concat_arrays(x) for x in zip(*held, strict=True))
+
+    for batch in batches:
+        keys, texts = batch.column(0), batch.column(1).fill_null("")
+        for lo, hi in slices(texts, size):
+            more = int(pc.sum(pc.binary_length(texts[lo:hi])).as_py())
+            if held and n + more > size:
+                yield put()
+                held, n = [], 0
+            held.append((keys[lo:hi], texts[lo:hi]))
+            n += more
+    if held:
+        yield put()

@@ -47,7 +47,7 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_bytes(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, outputs=False)
+    return encode_bytes(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, columns=("doc_id", "n_tokens", "ids_sha256", "decoded_sha256"))
 
 
 def op7_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +38,27 @@ class Table:
         return new
 
 
+def strings(texts: pa.Array) -> list[str]:
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
+def slices(texts: pa.Array, size: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of ``texts`` of about ``size`` bytes each, one text at least."""
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + size, "right")))
+        yield lo, hi
+        lo = hi
+
+
+def gather(ids: np.ndarray, start: np.ndarray, size: np.ndarray, at: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``at`` of ``ids`` one after another, and how many ids lie between ``edges`` of these runs."""
+    n = size[at]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    return ids[np.repeat(start[at] - ends[:-1], n) + np.arange(ends[-1])], np.diff(ends[edges])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below the one that driver and executors share.
 

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from catchment.llm.shared import Table
+from catchment.llm.shared import Table, gather, slices, strings
 
 BLOCK = 1024
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -172,7 +172,7 @@ class Encoder:
         plain = pc.and_not(pc.match_substring_regex(words.dictionary, PLAIN), pc.match_substring_regex(words.dictionary, self.added, ignore_case=True))
         spaced = pc.replace_substring_regex(pc.utf8_lower(words.dictionary.filter(plain)), f"({SPLITTERS[0]['pattern']['Regex']})", r"\1 ")
         pieces, piece_ends = _distinct(spaced)
-        ids, n = self.join(self.spell(_strings(pieces.dictionary)), pieces.indices.to_numpy(), piece_ends)
+        ids, n = self.join(self.spell(strings(pieces.dictionary)), pieces.indices.to_numpy(), piece_ends)
         if not (mask := plain.to_numpy(zero_copy_only=False)).all():
             other, m = self.join(*self.library(words.dictionary.filter(pc.invert(plain))))
             ids, size = np.concatenate([ids, other]), np.zeros(len(mask), np.int64)
@@ -181,11 +181,11 @@ class Encoder:
             start[mask], start[~mask] = np.cumsum(n) - n, np.cumsum(m) - m + n.sum()
         else:
             size, start = n, np.cumsum(n) - n
-        return _gather(ids, start, size, words.indices.to_numpy(), word_ends)
+        return gather(ids, start, size, words.indices.to_numpy(), word_ends)
 
     def join(self, known: list[bytes], at: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         size = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        return _gather(np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size, size, at, edges)
+        return gather(np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size, size, at, edges)
 
     def spell(self, distinct: list[str]) -> list[bytes]:
         """The ids of each piece as little-endian unsigned 32-bit integers."""
@@ -201,42 +201,21 @@ class Encoder:
         return out
 
     def library(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        found = self.tok.encode_batch_fast(_strings(texts), add_special_tokens=False)
+        found = self.tok.encode_batch_fast(strings(texts), add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found], np.arange(len(texts)), np.arange(len(texts) + 1)
 
 
-def _strings(texts: pa.Array) -> list[str]:
-    return texts.to_numpy(zero_copy_only=False).tolist()
-
-
 def _distinct(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """The words between ASCII white space of all ``texts``, and at which of them each text ends, after a 0."""
     split = pc.ascii_split_whitespace(texts)
     return split.flatten().dictionary_encode(), split.offsets.to_numpy() - split.offsets[0].as_py()
 
 
-def _gather(ids: np.ndarray, start: np.ndarray, size: np.ndarray, at: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs ``at`` of ``ids`` one after another, and how many ids lie between ``edges`` of these runs."""
-    n = size[at]
-    ends = np.concatenate([[0], np.cumsum(n)])
-    return ids[np.repeat(start[at] - ends[:-1], n) + np.arange(ends[-1])], np.diff(ends[edges])
-
-
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def slices(texts: pa.Array, size: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` of about ``size`` bytes each, one text at least."""
-    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    lo = 0
-    while lo < len(texts):
-        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + size, "right")))
-        yield lo, hi
-        lo = hi
-
-
 def write_blocks(docs: DataFrame, out: str, tokenizer: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text", segment_tokens: int = 1 << 19, percentile: float = 0.98) -> None:
     """Encode ``docs`` in ascending id order and write segments below ``out``."""
     end = np.zeros(0, "<u4") if end_id is None else np.array([end_id], "<u4")

@@ -54,21 +54,21 @@ def test_merge_replay_as_the_library():
     want = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     coder = byte_bpe.Coder(path, P.PATTERN, keep=50)
     rng = random.Random(3)
-    texts = TEXTS + ["".join(rng.choice("ab e\n é1,日") for _ in range(rng.randrange(60))) for _ in range(400)]
+    texts = TEXTS + ["".join(rng.choice("ab e\n é1,日\t\r\x1c\x85\xa0\u3000\x01's") for _ in range(rng.randrange(60))) for _ in range(3000)]
     for lo in range(0, len(texts), 37):
-        got = coder.encode(texts[lo : lo + 37])
-        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [want.encode_ordinary(t) for t in texts[lo : lo + 37]]
-        assert [coder.decode(x).decode() for x in got] == texts[lo : lo + 37]
+        ids, counts = coder.encode(pa.array(texts[lo : lo + 37]))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [want.encode_ordinary(t) for t in texts[lo : lo + 37]]
+        flat, size = coder.decode(ids, counts)
+        assert [x.tobytes().decode() for x in np.split(flat, np.cumsum(size)[:-1])] == texts[lo : lo + 37]
 
 
-def test_lower_rank_goes_first():
+def test_lower_rank_goes_first(tmp_path):
     """A merge may create a pair of a lower rank than its own, which is then merged before the rest."""
-    ranks = object.__new__(byte_bpe.Ranks)
-    ranks.rank = {bytes([b]): b for b in range(256)} | {b"abc": 256, b"ab": 257, b"bc": 258}
-    ranks.bytes = {v: k for k, v in ranks.rank.items()}
-    ranks.single = list(range(256))
-    ranks.pair = {a << 32 | b: r for t, r in ranks.rank.items() for k in range(1, len(t)) if (a := ranks.rank.get(t[:k])) is not None and (b := ranks.rank.get(t[k:])) is not None}
-    assert ranks.replay([b"abcab", b"xabab"]) == [[256, 257], [120, 257, 257]]
+    tokens = [bytes([b]) for b in range(256)] + [b"abc", b"ab", b"bc"]
+    file = tmp_path / "ranks"
+    file.write_bytes(b"\n".join(base64.b64encode(t) + b" %d" % k for k, t in enumerate(tokens)))
+    got = byte_bpe.Ranks(str(file)).replay([b"abcab", b"xabab", b"z"])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [[256, 257], [120, 257, 257], [122]]
 
 
 @pytest.mark.parametrize("text", [*TEXTS, "a" * 3000, " " * 3000, "日本" * 900, "ab c" * 900, "▁x y" * 500])
