@@ -107,7 +107,7 @@ def fingerprint(s: np.ndarray) -> int:
     return int(h.astype(np.int64))
 
 
-SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("fp", pa.int64()), ("chunk", pa.int32()), ("counts", pa.binary())])
+SETS = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("n", pa.int64()), ("fp", pa.int64()), ("chunk", pa.int32()), ("counts", pa.binary())])
 KEYS = pa.schema([("h", pa.int64()), ("fp", pa.int64()), ("n", pa.int32())])
 MEMBERS = pa.schema([("fp", pa.int64()), ("n", pa.int32()), ("s", pa.binary())])
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("inter", pa.int32()), ("na", pa.int32()), ("nb", pa.int32())])
@@ -120,8 +120,8 @@ def _scan(k: int):
         counts = np.zeros(COUNTERS, np.uint32)
         seen: set[int] = set()
         for batch in batches:
-            ids, sizes, fps = batch.column(0).to_pylist(), [], []
-            for t in batch.column(1).to_pylist():
+            sizes, fps = [], []
+            for t in batch.column(2).to_pylist():
                 s = shingles(t, k)
                 fp = fingerprint(s)
                 sizes.append(len(s))
@@ -131,12 +131,12 @@ def _scan(k: int):
                     np.add.at(counts, (s >> _U(44)).astype(np.int64), 1)
             if len(seen) > 500_000:
                 seen.clear()
-            none = [None] * len(ids)
-            yield pa.RecordBatch.from_pydict({"doc_id": ids, "n": sizes, "fp": fps, "chunk": none, "counts": none}, schema=SETS)
+            none = [None] * batch.num_rows
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "tie": batch.column(1), "n": sizes, "fp": fps, "chunk": none, "counts": none}, schema=SETS)
         if seen:
             for c in range(COUNTERS // CHUNK):
                 part = counts[c * CHUNK : (c + 1) * CHUNK]
-                yield pa.RecordBatch.from_pydict({"doc_id": [None], "n": [None], "fp": [None], "chunk": [c], "counts": [part.tobytes()]}, schema=SETS)
+                yield pa.RecordBatch.from_pydict({"doc_id": [None], "tie": [None], "n": [None], "fp": [None], "chunk": [c], "counts": [part.tobytes()]}, schema=SETS)
 
     return scan
 
@@ -349,11 +349,32 @@ def _tile(num: int, den: int):
 
 def link_classes(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id; linked means intersection/union >= num/den."""
+    placed = _classes(docs, k, num, den, id_col, text_col, path or shared_dir(docs.sparkSession))
+    least = placed.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    some = placed.where("n > 0").join(least, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return some.unionByName(placed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+
+
+def drop_linked(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
+    """``docs`` with one row of each component, that with the least id (null ids last), all its columns as they were.
+
+    Rows without words stay. Rows that agree in id and text are one document, of which one row stays.
+    """
+    placed = _classes(docs, k, num, den, id_col, text_col, path or shared_dir(docs.sparkSession))
+    one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie")).alias("one")
+    kept = placed.where("n > 0").groupBy("c").agg(one).select("one.doc_id", "one.tie").unionByName(placed.where("n = 0").select("doc_id", "tie"))
+    keys = ["__key", "__tie"]
+    kept = kept.select(F.xxhash64("doc_id").alias("__key"), F.col("tie").alias("__tie")).distinct()
+    keyed = docs.withColumn("__key", F.xxhash64(F.col(id_col).cast("long"))).withColumn("__tie", F.xxhash64(text_col))
+    return keyed.join(kept, keys, "left_semi").groupBy(*keys).agg(F.first(F.struct(*[F.col(c) for c in docs.columns])).alias("__row")).select("__row.*")
+
+
+def _classes(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str, path: str) -> DataFrame:
+    """Per row: doc_id, tie (a hash of the text), n (shingles), c (the least fingerprint of its component)."""
     spark = docs.sparkSession
-    path = path or shared_dir(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    scanned = cut(rows.mapInArrow(_scan(k), "doc_id long, n long, fp long, chunk int, counts binary"), f"{path}/scan")
-    sets = scanned.where("chunk is null").select("doc_id", "n", "fp")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
+    scanned = cut(rows.mapInArrow(_scan(k), "doc_id long, tie long, n long, fp long, chunk int, counts binary"), f"{path}/scan")
+    sets = scanned.where("chunk is null").select("doc_id", "tie", "n", "fp")
     crowded = spark.sparkContext.broadcast(_crowded(scanned.where("chunk is not null")))
 
     chars = rows.agg(F.sum(F.char_length("text"))).first()[0] or 0
@@ -410,7 +431,4 @@ def link_classes(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4, id_col
         more = cut(full.groupBy(*key).applyInArrow(_tile(num, den), "a long, b long"), f"{path}/more")
         comp = components(links.unionByName(more), f"{path}/comp2").select(F.col("node").alias("fp"), F.col("component").alias("c"))
 
-    placed = sets.join(comp, "fp", "left").withColumn("c", F.coalesce("c", "fp"))
-    least = placed.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))
-    some = placed.where("n > 0").join(least, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return some.unionByName(placed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    return sets.join(comp, "fp", "left").select("doc_id", "tie", "n", F.coalesce("c", "fp").alias("c"))

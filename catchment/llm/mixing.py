@@ -102,9 +102,9 @@ def _round(hist: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cycle: tuple[int, ...] = (5, 2, 1), share: float = 1.5, levels: tuple[float, ...] = (0.05, 0.01, 0.002), bucket_rows: int = 200, path: str | None = None) -> DataFrame:
-    """One row per input row: doc_id, size, source_size, target, taken, rate, copies."""
+    """One row per input row: doc_id, size, source_size, target, taken, rate, copies, source, row_hash."""
     path = path or shared_dir(docs.sparkSession)
-    rows = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(F.col(id_col), F.lit("mix")).alias("h")), f"{path}/rows")
+    rows = cut(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit("mix")).alias("h")), f"{path}/rows")
     hist = cut(rows.groupBy("source", "size").agg(F.count("*").alias("n")), f"{path}/hist")
     per = hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum(F.when(F.col("size") > 0, F.col("n")).otherwise(0)).alias("docs"))
     goals = cut(targets(per.select("source", "source_size"), cycle, share).join(per.select(F.col("source").alias("s2"), "docs"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2"), f"{path}/targets")
@@ -142,12 +142,25 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     g = goals.select(F.col("source").alias("s2"), "source_size", "target")
     return out.join(g, F.col("source").eqNullSafe(F.col("s2")), "left").select(
         "doc_id", "size", F.col("source_size").cast("long").alias("source_size"), F.col("target").cast("double").alias("target"),
-        (F.col("copies") * F.col("size")).cast("long").alias("taken"), F.coalesce("rate", F.lit(0.0)).alias("rate"), F.col("copies").cast("long").alias("copies"), "source",
+        (F.col("copies") * F.col("size")).cast("long").alias("taken"), F.coalesce("rate", F.lit(0.0)).alias("rate"), F.col("copies").cast("long").alias("copies"), "source", F.col("h").alias("row_hash"),
     )
 
 
-def take(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """``docs`` with every row repeated as often as the mix takes it, all its columns as they were."""
-    n = mix(docs, id_col, **how).groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("__n"))
-    out = docs.join(n, docs[id_col].eqNullSafe(n["__id"])).withColumn("__k", F.explode(F.sequence(F.lit(1), F.greatest(F.col("__n"), F.lit(1)).cast("int")))).where("__n > 0")
-    return out.select(*docs.columns)
+def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", path: str | None = None, **how) -> DataFrame:
+    """``docs`` with every row repeated as often as the mix takes it, all its columns as they were.
+
+    Rows find their copies by source, id and a hash of id and text. Rows that agree in all
+    of them share what the mix takes of them evenly.
+    """
+    path = path or shared_dir(docs.sparkSession)
+    dealt = mix(docs, id_col, text_col, source_col, path=path, **how).groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("row_hash").alias("__h"))
+    dealt = cut(dealt.agg(F.sum("copies").alias("__n"), F.count("*").alias("__m")).where("__n > 0"), f"{path}/copies")
+    keyed = docs.withColumn("__h2", F.xxhash64(F.col(id_col), F.col(text_col), F.lit("mix")))
+    same = (F.col("__h2") == F.col("__h")) & F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source"))
+    out = keyed.join(dealt, same)
+    if not dealt.where("__m > 1").isEmpty():
+        at = F.row_number().over(Window.partitionBy("__h", "__id", "__source").orderBy("__h"))
+        alone, several = out.where("__m = 1"), out.where("__m > 1").withColumn("__k", at)
+        share = F.floor(F.col("__n") * F.col("__k") / F.col("__m")) - F.floor(F.col("__n") * (F.col("__k") - 1) / F.col("__m"))
+        out = alone.unionByName(several.withColumn("__n", share).drop("__k").where("__n > 0"))
+    return out.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).select(*docs.columns)

@@ -149,23 +149,45 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, voters: i
     return dict(zip(picked, w[:-1].tolist(), strict=True)), float(w[-1])
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, **how) -> DataFrame:
-    """Per row of ``docs``: doc_id, held_out, score, predicted."""
-    weights, base = fit(docs, labels, id_col=id_col, text_col=text_col, folds=folds, **how)
+def _judge(weights: dict[str, float], base: float):
+    """Scores of texts by the linear classifier."""
     lexicon = {w: v for w, v in weights.items() if not w.endswith("-")}
     starts = [(n, {w: v for w, v in weights.items() if len(w) == n + 1 and w.endswith("-")}) for n in STARTS]
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(texts: pa.Array) -> list[float]:
+        scores = []
+        for t in texts.to_pylist():
+            words = set(WORD.findall((t or "").lower()))
+            z = base + sum(sorted(lexicon[w] for w in words & lexicon.keys()))
+            for n, some in starts:
+                if some:
+                    z += sum(sorted(some[s] for s in {w[:n] + "-" for w in words if len(w) > n} & some.keys()))
+            scores.append(1 / (1 + float(np.exp(-max(-30.0, min(30.0, z))))))
+        return scores
+
+    return judge
+
+
+def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, **how) -> DataFrame:
+    """Per row of ``docs``: doc_id, held_out, score, predicted."""
+    judge = _judge(*fit(docs, labels, id_col=id_col, text_col=text_col, folds=folds, **how))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = []
-            for t in batch.column(2).to_pylist():
-                words = set(WORD.findall((t or "").lower()))
-                z = base + sum(sorted(lexicon[w] for w in words & lexicon.keys()))
-                for n, some in starts:
-                    if some:
-                        z += sum(sorted(some[s] for s in {w[:n] + "-" for w in words if len(w) > n} & some.keys()))
-                scores.append(1 / (1 + float(np.exp(-max(-30.0, min(30.0, z))))))
+            scores = judge(batch.column(2))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores), pa.array([int(s >= 0.5) for s in scores], pa.int32())], schema=SCORED)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col), folds).alias("held_out"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(judge, "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """Rows of ``docs`` that score less than 0.5, all their columns as they were; each row is judged by itself."""
+    judge = _judge(*fit(docs, labels, id_col=id_col, text_col=text_col, **how))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([s < 0.5 for s in judge(batch.column(at))], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -1,5 +1,6 @@
 """The operators as Spark jobs, against brute force and on awkward tables."""
 
+import base64
 import hashlib
 import random
 import re
@@ -93,15 +94,16 @@ def documents(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
 
 
-@pytest.mark.parametrize("bits", [64, 6])
-def test_exact_copies(spark, bits):
+@pytest.mark.parametrize(("bits", "fan_in", "room"), [(64, 256, 1 << 20), (64, 2, 0), (6, 2, 1 << 20)])
+def test_exact_copies(spark, bits, fan_in, room):
     """With a digest of 6 bits nearly every hit is false, and the bytes decide."""
-    d = documents(spark).unionByName(documents(spark).limit(40).withColumn("doc_id", F.col("doc_id") + 10_000).withColumn("text", F.concat(F.lit(" "), "text")))
+    d = documents(spark).repartition(7)
+    d = d.unionByName(documents(spark).limit(40).withColumn("doc_id", F.col("doc_id") + 10_000).withColumn("text", F.concat(F.lit(" "), "text")))
     groups = {}
     for r in d.collect():
         groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", r["text"] or ""), []).append((-len(r["text"] or ""), r["doc_id"]))
     want = {i: (min(g)[1], len(g), min(g)[1] == i, hashlib.sha256(k.encode()).hexdigest()) for k, g in groups.items() for _, i in g}
-    got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in exact_dedup.find_copies(d, digest_bits=bits).collect()}
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in exact_dedup.find_copies(d, digest_bits=bits, fan_in=fan_in, broadcast_bytes=room).collect()}
     assert got == want
     left = exact_dedup.drop_copies(d)
     assert left.columns == d.columns and {r["doc_id"] for r in left.collect()} == {x[0] for x in want.values()}
@@ -237,6 +239,79 @@ def test_toxicity_held_out(spark):
     assert sum(r["predicted"] == r["toxic"] for r in got) >= 0.93 * len(got)
 
 
+def test_filter_of_hits(spark):
+    rows = spark.range(5000).select(F.xxhash64("id").alias("digest"), "id")
+    hits = rows.where("id % 50 = 0")
+    for room in (1 << 20, 0):
+        got = {r["id"] for r in exact_dedup._may_hit(rows, hits, shared_dir(spark), 16, room).collect()}
+        assert set(range(0, 5000, 50)) <= got and len(got) < 600 and (room or len(got) == 100)
+
+
+def test_rows_not_ids_decide(spark):
+    """Rows that share an id, null or not, are judged, taken and kept by what they hold."""
+    y = spark.createDataFrame([(i, 0, int(i % 3 == 0 and i % 5 > 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    word = lambda i: "vile scum" if i % 3 == 0 and i % 5 > 0 else "fine day"
+    d = spark.createDataFrame([(i, f"{word(i)} number {i}") for i in range(600)], "doc_id long, text string")
+    same = spark.createDataFrame([(None, "vile scum", "a"), (None, "fine day", "b"), (7, "vile scum", "c"), (7, "a fine day", "d")], "doc_id long, text string, score string")
+    weights = toxicity.fit(d, y)
+    assert weights[0]
+    kept = toxicity.drop_toxic(d.withColumn("score", F.lit("x")).unionByName(same), y)
+    assert kept.columns == ["doc_id", "text", "score"] and {r["score"] for r in kept.collect()} == {"x", "b", "d"}
+
+    rng = random.Random(12)
+    rows = [(rng.choice([None, 7, 7, i]), " ".join(["w"] * rng.choice([5, 5, 50])), rng.choice(["a", "a", "b", None]), i) for i in range(300)]
+    t = spark.createDataFrame(rows, "doc_id long, text string, source string, k long")
+    dealt = {}
+    for r in mixing.mix(t).collect():
+        key = (r["doc_id"], r["size"], r["source"])
+        dealt[key] = dealt.get(key, 0) + r["copies"]
+    got, times = {}, {}
+    for r in mixing.take(t).collect():
+        key = (r["doc_id"], len(r["text"].split()), r["source"])
+        got[key] = got.get(key, 0) + 1
+        times[r["k"]] = times.get(r["k"], 0) + 1
+    assert got == {k: n for k, n in dealt.items() if n} and max(times.values()) <= 2
+
+    base = " ".join(f"b{i}" for i in range(60))
+    rows = [(9, base, 0), (9, base + " x", 1), (None, base, 2), (None, "one two", 3), (None, "three four", 4), (9, "five six", 5), (9, "five six", 6), (3, "", 7), (3, None, 8), (4, "five six", 9)]
+    left = jaccard_join.drop_linked(spark.createDataFrame(rows, "doc_id long, text string, n long")).collect()
+    assert sorted(r["n"] for r in left if r["n"] > 2) == [3, 4, 7, 8, 9] and sum(r["n"] < 3 for r in left) == 1
+
+
+def test_pipeline_as_plain_python(spark):
+    """Every stage against what it says, on whole tables."""
+    import corpus_pipeline
+    import tiktoken
+
+    stages = dict(corpus_pipeline.STAGES)
+    d, sf = documents(spark), SF
+    y = spark.read.parquet(f"{SF}/labels.parquet")
+    bad = {r["doc_id"] for r in toxicity.score(d, y).collect() if r["predicted"]}
+    one = stages["toxicity"](spark, d, sf).collect()
+    assert {r["doc_id"] for r in one} == {r["doc_id"] for r in d.collect()} - bad
+    groups = {}
+    for r in one:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", r["text"] or ""), []).append((-len(r["text"] or ""), r["doc_id"]))
+    two = stages["exact dedup"](spark, spark.createDataFrame(one, d.schema), sf).collect()
+    assert {r["doc_id"] for r in two} == {min(g)[1] for g in groups.values()} and len(two) == len(groups)
+    three = stages["n-gram jaccard join"](spark, spark.createDataFrame(two, d.schema), sf).collect()
+    parts = brute_components({r["doc_id"]: r["text"] for r in two})
+    assert sorted(r["doc_id"] for r in three) == sorted(i for i, (_, c) in parts.items() if i == c)
+    t = spark.createDataFrame(three, d.schema)
+    copies = {r["doc_id"]: r["copies"] for r in mixing.mix(t).collect() if r["copies"]}
+    four = stages["mixing"](spark, t, sf).collect()
+    texts = {r["doc_id"]: r["text"] or "" for r in four}
+    assert {i: sum(r["doc_id"] == i for r in four) for i in texts} == copies
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    tok = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    five = corpus_pipeline.run(spark, SF).collect()
+    assert sorted(r["doc_id"] for r in five) == sorted(r["doc_id"] for r in four)
+    for r in five:
+        ids = np.array(tok.encode_ordinary(texts[r["doc_id"]]), "<u4").tobytes()
+        assert (bytes(r["ids"]), r["n_tokens"], r["ids_sha256"]) == (ids, len(ids) // 4, hashlib.sha256(ids).hexdigest())
+        assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
@@ -252,7 +327,3 @@ def test_pipeline(spark, tmp_path):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
-    out = corpus_pipeline.run(spark, SF)
-    left = {r["doc_id"] for r in out.collect()}
-    kept = jaccard_join.link_classes(exact_dedup.drop_copies(documents(spark))).where("doc_id = component_id")
-    assert left <= {r["doc_id"] for r in documents(spark).collect()} and out.count() > 0 and kept.count() > 0
