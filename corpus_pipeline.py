@@ -4,21 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from catchment.llm import toxicity
 from catchment.llm.byte_bpe import encode_bytes
 from catchment.llm.exact_dedup import drop_copies
-from catchment.llm.jaccard_join import link_classes
+from catchment.llm.jaccard_join import drop_linked
 from catchment.llm.mixing import take
 from catchment.llm.shared import shared_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score of 0.5 or more go."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    bad = toxicity.score(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad"]), "left_anti")
+    """Documents with a score of 0.5 or more go; rows are judged by their text, whatever their id."""
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +25,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies stays, that with the least id."""
-    found = link_classes(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["__id"]), "left_semi")
+    return drop_linked(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +34,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left, and the digest of the text they decode to."""
-    return encode_bytes(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, outputs=False)
+    """Token ids of every document that is left (little-endian unsigned 32-bit integers), and the digest of the text they decode to."""
+    return encode_bytes(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, columns=("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"))
 
 
 STAGES = [
