@@ -1,11 +1,13 @@
 """Toxicity scores by weak supervision.
 
-Voters are lexicon words and word-start patterns that the labelled rows single out; each
-votes "toxic" on a document or abstains. A generative label model (two latent classes,
-fitted by expectation maximisation on the votes alone) estimates how often each voter
-speaks up in either class, and the correlations between voters that the class does not
-explain; a voter counts the less, the more it repeats others. The posterior of the class is
-the label on which a linear classifier is trained. Only its weights are used for scoring.
+Voters are lexicon words, word starts, phrases of two words, and shapes of the text
+(shouting, exclamation marks), as the labelled rows single them out for or against the
+toxic class; each fires on a document or abstains. A generative label model (two latent
+classes, fitted by expectation maximisation on the votes alone) estimates how often each
+voter fires in either class, and its correlations: every voter may depend on one other, its
+parent in a spanning forest of the dependencies that the classes leave open, so a voter that
+repeats another adds nothing. The posterior of the class is the label on which a linear
+classifier is trained. Only its weights are used for scoring.
 
 Labels are learned from rows whose crc32 of the id as text, modulo ``folds``, is not 0, and
 from ``sample_rows`` of these at most, the first in hash order: that bound is what lets the
@@ -38,10 +40,18 @@ STARTS = (4, 5, 6)
 SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
 
+def shapes(text: str) -> set[str]:
+    """Patterns of the text as a whole, as "#name"."""
+    found = {"#exclaims"} if "!!" in text else set()
+    upper = sum(map(text.count, "ETAOINSR"))
+    return found | {"#shouts"} if upper >= 8 and upper > sum(map(text.count, "etaoinsr")) else found
+
+
 def evidence(text: str | None) -> set[str]:
-    """Lower-case words of the text, and as "start-" the starts of its longer words."""
-    words = set(WORD.findall((text or "").lower()))
-    found = set(words)
+    """Lower-case words and pairs of words of the text, as "start-" the starts of its longer words, and its shapes."""
+    order = WORD.findall((text or "").lower())
+    words = set(order)
+    found = words | {f"{a} {b}" for a, b in zip(order, order[1:])} | shapes(text or "")
     for n in STARTS:
         found.update([w[:n] + "-" for w in words if len(w) > n])
     return found
@@ -51,27 +61,57 @@ def held_out(id_col, folds: int = 5):
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit(""))), F.lit(folds)) == 0
 
 
-def label_model(votes: np.ndarray, rounds: int = 25) -> np.ndarray:
-    """Posterior probability of the toxic class for each row of 0/1 ``votes``.
+def _parents(both: list[np.ndarray], fired: list[np.ndarray], size: list[float], least: float) -> np.ndarray:
+    """For each voter the one it depends on, or -1: a spanning forest of the largest mutual information within the classes.
 
-    A voter that abstains says nothing by itself; that all abstain is one observation.
+    ``both`` counts common firings in each class, ``fired`` single ones, ``size`` rows.
+    """
+    m = len(fired[0])
+    info = np.zeros((m, m))
+    for t, f, n in zip(both, fired, size, strict=True):
+        for joint, one, two in ((t, f[:, None], f[None, :]), (f[:, None] - t, f[:, None], n - f[None, :]), (f[None, :] - t, n - f[:, None], f[None, :]), (n - f[:, None] - f[None, :] + t, n - f[:, None], n - f[None, :])):
+            joint = np.maximum(joint, 1e-9)
+            info += joint * np.log(joint * n / np.maximum(one * two, 1e-9))
+    np.fill_diagonal(info, 0)
+    parent, best, source = np.full(m, -1), np.full(m, -1.0), np.full(m, -1)
+    left = np.ones(m, bool)
+    for _ in range(m):
+        j = int(np.argmax(np.where(left, best, -np.inf)))
+        left[j] = False
+        if best[j] > least:
+            parent[j] = source[j]
+        more = left & (info[j] > best)
+        best[more], source[more] = info[j][more], j
+    return parent
+
+
+def label_model(votes: np.ndarray, times: np.ndarray | None = None, against: np.ndarray | None = None, rounds: int = 40) -> np.ndarray:
+    """Posterior probability of the toxic class for each row of 0/1 ``votes``, which stands for ``times`` documents.
+
+    ``against`` marks voters for the other class; it only starts the estimate. A voter that
+    abstains says nothing by itself; that all abstain is one observation.
     """
-    n, m = votes.shape
+    times = np.ones(len(votes)) if times is None else times
+    against = np.zeros(votes.shape[1], bool) if against is None else against
     silent = ~votes.any(axis=1)
-    post = np.where(silent, 0.02, 0.9)
-    fired = votes.sum(axis=0)
-    together = votes.T @ votes
+    post = np.where(votes[:, ~against].any(axis=1), np.where(votes[:, against].any(axis=1), 0.5, 0.9), 0.02)
     for _ in range(rounds):
-        ones, zeros = post.sum(), (1 - post).sum()
-        hit = (votes.T @ post + 0.1) / (ones + 1.0)
-        false = (votes.T @ (1 - post) + 0.1) / (zeros + 1.0)
-        miss = ((post @ silent + 0.1) / (ones + 1.0), ((1 - post) @ silent + 0.1) / (zeros + 1.0))
-        # Correlation: the share of common votes that the classes do not explain.
-        expected = ones * np.outer(hit, hit) + zeros * np.outer(false, false)
-        corr = (together - expected) / np.sqrt(np.outer(fired, fired) + 1e-9)
-        np.fill_diagonal(corr, 0)
-        weight = 1 / (1 + np.where(corr > 0.5, corr, 0).sum(axis=1))
-        odds = np.log(ones / zeros) + votes @ (weight * np.log(hit / false)) + silent * np.log(miss[0] / miss[1])
+        share = [times * (1 - post), times * post]
+        size = [s.sum() for s in share]
+        fired = [s @ votes for s in share]
+        both = [(votes * s[:, None]).T @ votes for s in share]
+        parent = _parents(both, fired, size, least=8.0)
+        alone, at = parent < 0, np.maximum(parent, 0)
+        # Rates of firing: given that the parent fires, and given that it does not (or that there is none).
+        rate = []
+        for t, f, n in zip(both, fired, size, strict=True):
+            with_, given = t[np.arange(len(at)), at], f[at]
+            prior = (f + 0.1) / (n + 1.0)
+            rate.append((np.where(alone, prior, (with_ + prior) / (given + 1.0)), np.where(alone, prior, (f - with_ + prior) / (n - given + 1.0))))
+        on, off = (np.log(rate[1][k] / rate[0][k]) for k in (0, 1))
+        up = votes[:, at] * ~alone
+        quiet = np.log((share[1] @ silent + 0.1) / (size[1] + 1.0)) - np.log((share[0] @ silent + 0.1) / (size[0] + 1.0))
+        odds = np.log((size[1] + 1e-9) / (size[0] + 1e-9)) + (votes * (up * on + (1 - up) * off)).sum(axis=1) + silent * quiet
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         moved, post = np.abs(new - post).max(), new
         if moved < 1e-4:
@@ -79,16 +119,17 @@ def label_model(votes: np.ndarray, rounds: int = 25) -> np.ndarray:
     return post
 
 
-def linear_model(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 12) -> np.ndarray:
-    """Weights of a ridge logistic regression on soft labels; the last one is the intercept."""
+def linear_model(x: np.ndarray, y: np.ndarray, times: np.ndarray | None = None, ridge: float = 0.05, rounds: int = 12) -> np.ndarray:
+    """Weights of a ridge logistic regression on soft labels of rows that stand for ``times`` documents; the last one is the intercept."""
+    times = np.ones(len(x)) if times is None else times
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-6
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - y) + penalty * w
-        hess = (x * np.maximum(p * (1 - p), 1e-4)[:, None]).T @ x + np.diag(penalty)
+        grad = x.T @ (times * (p - y)) + penalty * w
+        hess = (x * (times * np.maximum(p * (1 - p), 1e-4))[:, None]).T @ x + np.diag(penalty)
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-4:
@@ -97,7 +138,7 @@ def linear_model(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, voters: int = 300, folds: int = 5, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> tuple[dict[str, float], float]:
-    """Weights by word or start, and the intercept."""
+    """Weights by what voters look for, and the intercept."""
     path = path or shared_dir(docs.sparkSession)
     known = labels.select(F.col("doc_id").alias("i"), F.col("toxic").alias("y")).where("i is not null and y in (0, 1)").where(~held_out(F.col("i"), folds))
     sample = known.groupBy("i").agg(F.max("y").alias("y")).orderBy(F.xxhash64("i"), "i").limit(sample_rows)
@@ -126,10 +167,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, voters: i
     words = rows.mapInArrow(count, "word string, neg long, pos long").groupBy("word").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))
     # Likelihood ratio against independence, beyond what the best of all candidates shows by chance.
     share, n = size[1] / (size[0] + size[1]), F.col("pos") + F.col("neg")
-    gain = F.col("pos") * F.log(F.col("pos") / n / share) + F.when(F.col("neg") > 0, F.col("neg") * F.log(F.col("neg") / n / (1 - share))).otherwise(0.0)
-    words = cut(words.where(F.col("pos") >= 4).where(F.col("pos") >= 0.92 * n).select("word", gain.alias("gain")), f"{path}/words")
+    term = lambda c, p: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / n / p)).otherwise(0.0)
+    for_, against = F.col("pos") >= 0.92 * n, F.col("neg") >= (1 - 0.08 * share) * n
+    words = cut(words.where((n >= 4) & (for_ | against)).select("word", against.alias("against"), (term("pos", share) + term("neg", 1 - share)).alias("gain")), f"{path}/words")
     least = float(np.log(max(1, words.count()))) + 3
-    picked = [r["word"] for r in words.where(F.col("gain") > least).orderBy(F.col("gain").desc(), "word").limit(voters).collect()]
+    best = words.where(F.col("gain") > least).orderBy(F.col("gain").desc(), "word").limit(4 * voters).collect()
+    picked, polarity = [], []
+    for r in best:  # A phrase with a voter in it says no more than that voter.
+        if len(picked) < voters and not (" " in r["word"] and any(w in picked for w in r["word"].split(" "))):
+            picked.append(r["word"])
+            polarity.append(r["against"])
     if not picked:
         return {}, float(np.log(size[1] / size[0]))
 
@@ -144,24 +191,30 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, voters: i
     for k, r in enumerate(seen):
         x[k, r["votes"]] = 1
     times = np.array([r["count"] for r in seen])
-    full = np.repeat(x, times, axis=0)
-    w = linear_model(full, label_model(full))
+    w = linear_model(x, label_model(x, times, np.array(polarity)), times)
     return dict(zip(picked, w[:-1].tolist(), strict=True)), float(w[-1])
 
 
 def _judge(weights: dict[str, float], base: float):
     """Scores of texts by the linear classifier."""
-    lexicon = {w: v for w, v in weights.items() if not w.endswith("-")}
+    marks = {w: v for w, v in weights.items() if w[0] == "#"}
+    phrases = [(frozenset(w.split(" ")), re.compile(r"\b" + r"\W+".join(map(re.escape, w.split(" "))) + r"\b"), v) for w, v in weights.items() if " " in w]
     starts = [(n, {w: v for w, v in weights.items() if len(w) == n + 1 and w.endswith("-")}) for n in STARTS]
+    lexicon = {w: v for w, v in weights.items() if w[0] != "#" and " " not in w and not w.endswith("-")}
 
     def judge(texts: pa.Array) -> list[float]:
         scores = []
         for t in texts.to_pylist():
-            words = set(WORD.findall((t or "").lower()))
+            t = t or ""
+            low = t.lower()
+            words = set(WORD.findall(low))
             z = base + sum(sorted(lexicon[w] for w in words & lexicon.keys()))
             for n, some in starts:
                 if some:
                     z += sum(sorted(some[s] for s in {w[:n] + "-" for w in words if len(w) > n} & some.keys()))
+            z += sum(v for some, pattern, v in phrases if some <= words and pattern.search(low))
+            if marks:
+                z += sum(sorted(marks[s] for s in shapes(t) & marks.keys()))
             scores.append(1 / (1 + float(np.exp(-max(-30.0, min(30.0, z))))))
         return scores
 

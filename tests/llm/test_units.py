@@ -175,3 +175,25 @@ def test_label_model_and_classifier():
     assert (post[seen] > 0.5).all() and (post[~seen] < 0.5).all()
     w = toxicity.linear_model(votes, post)
     assert (((votes @ w[:-1] + w[-1]) > 0) == seen).all()
+
+
+def test_label_model_knows_repeats_and_both_sides():
+    """Twelve voters that repeat one unreliable voter count as that one; a voter against weighs as such."""
+    rng = np.random.default_rng(5)
+    y = rng.random(6000) < 0.2
+    good = ((rng.random((6000, 4)) < 0.5) & y[:, None]) | (rng.random((6000, 4)) < 0.01)
+    noisy = (rng.random(6000) < np.where(y, 0.3, 0.15))[:, None]
+    clean = ((rng.random((6000, 2)) < 0.5) & ~y[:, None]) | (rng.random((6000, 2)) < 0.02)
+    votes = np.hstack([good, np.repeat(noisy, 12, axis=1), clean]).astype(float)
+    post = toxicity.label_model(votes, against=np.array([False] * 16 + [True] * 2))
+    right = (post > 0.5) == y
+    alone = noisy[:, 0] & ~good.any(axis=1) & ~clean.any(axis=1)
+    assert right.mean() > 0.93 and alone.sum() > 100 and (post[alone] < 0.9).all()
+    assert (post[clean.any(axis=1) & ~good.any(axis=1) & ~noisy[:, 0]] < 0.1).all()
+
+
+def test_voters_and_shapes():
+    assert {"#exclaims", "#shouts", "you", "you fool", "foolis-"} <= toxicity.evidence("YOU FOOL!! THE FOOLISHNESS ENTERS") and not toxicity.shapes("a. b!")
+    judge = toxicity._judge({"you fool": 4.0, "clow-": 2.0, "#exclaims": 1.0, "idiot": 3.0}, -2.0)
+    z = [float(np.log(p / (1 - p))) for p in judge(pa.array(["You, fool", "fool you", "clowns!!", "an idiot", None]))]
+    assert np.allclose(z, [2, -2, 1, 1, -2])
