@@ -62,7 +62,74 @@ SENTENCES: dict[str, str] = {
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "mpl2": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
+    "apache-copyright-grant": "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements.",
+    "apache-notice": "See the NOTICE file distributed with this work for additional information regarding copyright ownership.",
+    "apache-asf": 'The ASF licenses this file to You under the Apache License, Version 2.0 (the "License");',
+    "apache-see": "See the License for the specific language governing permissions and limitations under the License.",
+    "gpl2-work": "This work is licensed under the GNU General Public License, version 2.",
+    "gpl2-only": "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    "gpl3-only": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, version 3.",
+    "gpl-copy": "You should have received a copy of the GNU General Public License along with this program.",
+    "gpl-copy-see": "If not, see <https://www.gnu.org/licenses/>.",
+    "lgpl-free": "This library is free software;",
+    "lgpl21-terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl3-terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl-hope": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
+    "lgpl-see": "See the GNU Lesser General Public License for more details.",
+    "agpl3-terms": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl3-only": "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, version 3.",
+    "agpl-see": "See the GNU Affero General Public License for more details.",
+    "mit-licensed": "Licensed under the MIT License.",
+    "mit-terms": "Use of this source code is governed by an MIT-style license that can be found in the LICENSE file.",
+    "mit-liable": "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "mit0-grant": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so.',
+    "bsd-governed": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+    "bsd-asis": 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.',
+    "bsd-advertising": "All advertising materials mentioning features or use of this software must display the following acknowledgement:",
+    "isc-asis": 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.',
+    "zero-bsd-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "mpl2-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "mpl2-incompatible": 'This Source Code Form is "Incompatible With Secondary Licenses", as defined by the Mozilla Public License, v. 2.0.',
+    "epl2": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    "epl1": "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution,",
+    "epl1-terms": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0",
+    "bsl": "Distributed under the Boost Software License, Version 1.0.",
+    "zlib-asis": "This software is provided 'as-is', without any express or implied warranty.",
+    "zlib-liable": "In no event will the authors be held liable for any damages arising from the use of this software.",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "zlib-origin": "The origin of this software must not be misrepresented;",
+    "zlib-claim": "you must not claim that you wrote the original software.",
+    "wtfpl": "This work is free. You can redistribute it and/or modify it under the terms of the Do What The Fuck You Want To Public License, Version 2,",
+    "ms-pl": "This code is licensed under the Microsoft Public License (Ms-PL).",
+    "artistic2": "This program is free software; you can redistribute it and/or modify it under the terms of the Artistic License 2.0.",
+    "cc-by-nd-4": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nc-sa-4": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-nd-4": "Licensed under CC BY-NC-ND 4.0.",
+    "cc0-dedicated": "The person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law.",
+    "cc0-licensed": "Licensed under CC0 1.0.",
 }
+# The wording of public Creative Commons licences by identifier.
+CREATIVE = {
+    "CC-BY": "Attribution",
+    "CC-BY-SA": "Attribution-ShareAlike",
+    "CC-BY-ND": "Attribution-NoDerivatives",
+    "CC-BY-NC": "Attribution-NonCommercial",
+    "CC-BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "CC-BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+# SPDX identifiers that tags may name.
+TAGS = (
+    "0BSD AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSD-4-Clause BSL-1.0 CC-BY-3.0 CC-BY-4.0 CC-BY-NC-4.0 CC-BY-NC-ND-4.0 CC-BY-NC-SA-4.0 "
+    "CC-BY-ND-4.0 CC-BY-SA-3.0 CC-BY-SA-4.0 CC0-1.0 EPL-1.0 EPL-2.0 EUPL-1.2 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1-only LGPL-2.1-or-later "
+    "LGPL-3.0-only LGPL-3.0-or-later MIT MIT-0 MPL-2.0 MS-PL Unlicense WTFPL Zlib"
+).split()
+for _name, _words in CREATIVE.items():
+    for _version in ("3.0", "4.0"):
+        _kind = "Unported" if _version == "3.0" else "International"
+        SENTENCES[f"{_name}-{_version}-deed"] = f"This work is licensed under a Creative Commons {_words} {_version} {_kind} License."
+        SENTENCES[f"{_name}-{_version}-the-deed"] = f"This work is licensed under the Creative Commons {_words} {_version} {_kind} License."
+for _name in TAGS:
+    SENTENCES[f"tag-{_name}"] = f"SPDX-License-Identifier: {_name}"
 # Licences (SPDX identifiers) and the sentence sequences that grant them.
 RULES: list[tuple[str, tuple[str, ...]]] = [
     ("Apache-2.0", ("apache-grant",)),
@@ -87,6 +154,53 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("ISC", ("isc-grant",)),
     ("MPL-2.0", ("mpl2",)),
     ("Unlicense", ("unlicense",)),
+    ("Apache-2.0", ("apache-grant-long", "apache-comply", "apache-copy", "apache-asis", "apache-see")),
+    ("Apache-2.0", ("apache-grant-long", "apache-comply", "apache-copy-short", "apache-url", "apache-asis", "apache-see")),
+    ("Apache-2.0", ("apache-copyright-grant", "apache-notice", "apache-asf", "apache-comply")),
+    ("Apache-2.0", ("apache-copyright-grant", "apache-notice", "apache-asf", "apache-comply", "apache-copy-short", "apache-url", "apache-asis", "apache-see")),
+    ("GPL-2.0-only", ("gpl2-work",)),
+    ("GPL-2.0-only", ("gpl-free", "gpl2-only")),
+    ("GPL-2.0-only", ("gpl-free", "gpl2-only", "gpl-hope", "gpl-implied", "gpl-see")),
+    ("GPL-3.0-only", ("gpl-free", "gpl3-only")),
+    ("GPL-3.0-only", ("gpl-free", "gpl3-only", "gpl-hope", "gpl-implied", "gpl-see")),
+    ("GPL-2.0-or-later", ("gpl-free", "gpl2-terms", "gpl-hope", "gpl-implied", "gpl-see", "gpl-copy", "gpl-copy-see")),
+    ("GPL-3.0-or-later", ("gpl-free", "gpl3-terms", "gpl-hope", "gpl-implied", "gpl-see", "gpl-copy", "gpl-copy-see")),
+    ("LGPL-2.1-or-later", ("lgpl-free", "lgpl21-terms")),
+    ("LGPL-2.1-or-later", ("lgpl-free", "lgpl21-terms", "lgpl-hope", "gpl-implied", "lgpl-see")),
+    ("LGPL-3.0-or-later", ("lgpl-free", "lgpl3-terms")),
+    ("LGPL-3.0-or-later", ("lgpl-free", "lgpl3-terms", "lgpl-hope", "gpl-implied", "lgpl-see")),
+    ("LGPL-3.0-or-later", ("gpl-free", "lgpl3-terms")),
+    ("AGPL-3.0-or-later", ("gpl-free", "agpl3-terms")),
+    ("AGPL-3.0-or-later", ("gpl-free", "agpl3-terms", "gpl-hope", "gpl-implied", "agpl-see")),
+    ("AGPL-3.0-only", ("gpl-free", "agpl3-only")),
+    ("MIT", ("mit-licensed",)),
+    ("MIT", ("mit-terms",)),
+    ("MIT", ("mit-grant", "mit-notice", "mit-asis", "mit-liable")),
+    ("MIT-0", ("mit0-grant", "mit-asis")),
+    ("BSD-3-Clause", ("bsd-governed",)),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-asis")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-asis")),
+    ("BSD-4-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-advertising")),
+    ("ISC", ("isc-grant", "isc-asis")),
+    ("0BSD", ("zero-bsd-grant", "isc-asis")),
+    ("MPL-2.0", ("mpl2", "mpl2-copy")),
+    ("MPL-2.0-no-copyleft-exception", ("mpl2", "mpl2-copy", "mpl2-incompatible")),
+    ("EPL-2.0", ("epl2",)),
+    ("EPL-1.0", ("epl1",)),
+    ("EPL-1.0", ("epl1-terms",)),
+    ("BSL-1.0", ("bsl",)),
+    ("Zlib", ("zlib-asis", "zlib-liable", "zlib-grant")),
+    ("Zlib", ("zlib-asis", "zlib-liable", "zlib-grant", "zlib-origin", "zlib-claim")),
+    ("WTFPL", ("wtfpl",)),
+    ("MS-PL", ("ms-pl",)),
+    ("Artistic-2.0", ("artistic2",)),
+    ("CC-BY-ND-4.0", ("cc-by-nd-4",)),
+    ("CC-BY-NC-SA-4.0", ("cc-by-nc-sa-4",)),
+    ("CC-BY-NC-ND-4.0", ("cc-by-nc-nd-4",)),
+    ("CC0-1.0", ("cc0-dedicated",)),
+    ("CC0-1.0", ("cc0-licensed",)),
+    *((f"{name}-{version}", (f"{name}-{version}-{deed}",)) for name in CREATIVE for version in ("3.0", "4.0") for deed in ("deed", "the-deed")),
+    *((name, (f"tag-{name}",)) for name in TAGS),
 ]
 
 
