@@ -6,15 +6,22 @@ products per task, reduced to one matrix of fixed size) orders the dimensions by
 Classes fall into cells of the first two components of their unit vectors; linked ones lie
 in the same or in neighbouring cells, since their distance is at most
 sqrt(2 - 2 threshold). Cells are cut into tiles of about ``tile`` vectors, and pairs of
-tiles from neighbouring cells are the unit of work.
+tiles from neighbouring cells are the unit of work; a vector travels once for each of them,
+so tiles are as large as a task's memory easily allows.
 
-Within a pair of tiles, products are accumulated over the leading dimensions first; what is
+A task cuts its tiles into blocks along the first component. Two blocks are left out if
+their centres are farther apart than their radii and the distance of linked vectors allow.
+Within a pair of blocks, products are accumulated over the leading dimensions first; what is
 left is bounded by the product of the suffix norms, and pairs that cannot reach the
-threshold any more are dropped, the whole pair of tiles once none is left. Survivors are
+threshold any more are dropped, the whole pair of blocks once none is left. Survivors are
 decided by the plain cosine of the original vectors in double precision. A pair of tiles
 returns link counts per class and a spanning forest of its links, so dense groups do not
 turn into all their pairs.
 
+Where vectors of a label have no structure (the same spread in all components), no bound
+parts tiles or blocks, and the work is that of all pairs of the label, cut short after some
+of the dimensions. ``compare`` tells how many pairs of blocks it went through.
+
 Nulls and ties: vectors that are null, zero, or hold null or non-finite components link with
 nothing, and neither do rows with a null label or a null id; such a row is its own
 component (null for a null id). Vectors of different length are not compared. Rows with
@@ -70,53 +77,80 @@ def _axes(vectors: DataFrame) -> dict[int, np.ndarray]:
     return out
 
 
-def compare(ids_a, va, ids_b, vb, wa, wb, axes: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Link counts of both tiles (by the other's weights), and a spanning forest of the links."""
-    na, nb = np.linalg.norm(va, axis=1), np.linalg.norm(vb, axis=1)
-    ua, ub = va / na[:, None] @ axes, vb / nb[:, None] @ axes
+def _block_links(va, vb, na, nb, ua, ub, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The linked pairs of two blocks, by their places; ``ua`` and ``ub`` are the unit vectors along the axes."""
     d = ua.shape[1]
     dot = np.zeros((len(ua), len(ub)))
     alive = np.ones(dot.shape, bool)
     if same:
         alive = np.triu(alive, 1)
-    lo, step = 0, max(4, d // 8)
+    ra, rb = (np.sqrt(np.maximum(0, 1 - np.cumsum(u * u, axis=1))) for u in (ua, ub))
+    lo, step = 0, max(4, d // 4)
     pairs = None
     while lo < d:
         hi = min(d, lo + step)
         dot += ua[:, lo:hi] @ ub[:, lo:hi].T
-        rest = np.sqrt(np.maximum(0, 1 - (ua[:, :hi] ** 2).sum(axis=1)))[:, None] * np.sqrt(np.maximum(0, 1 - (ub[:, :hi] ** 2).sum(axis=1)))[None, :]
-        alive &= dot + rest >= threshold - 1e-9
-        left = int(alive.sum())
+        alive &= dot + ra[:, hi - 1, None] * rb[None, :, hi - 1] >= threshold - 1e-9
+        left = int(np.count_nonzero(alive))
         if not left:
             break
         if left < alive.size // 64:
             pairs = np.nonzero(alive)
             break
         lo, step = hi, step * 2
-    linked = np.zeros(dot.shape, bool)
-    if alive.any():
-        i, j = pairs if pairs is not None else np.nonzero(alive)
-        for at in range(0, len(i), 65_536):
-            x, y = i[at : at + 65_536], j[at : at + 65_536]
-            linked[x, y] = (va[x] * vb[y]).sum(axis=1) / (na[x] * nb[y]) >= threshold
-    ca, cb = linked @ wb, linked.T @ wa
-    # Least reachable id within the two tiles.
+    i, j = pairs if pairs is not None else np.nonzero(alive)
+    linked = np.zeros(len(i), bool)
+    for at in range(0, len(i), 65_536):
+        x, y = i[at : at + 65_536], j[at : at + 65_536]
+        linked[at : at + 65_536] = (va[x] * vb[y]).sum(axis=1) / (na[x] * nb[y]) >= threshold
+    return i[linked], j[linked]
+
+
+def compare(ids_a, va, ids_b, vb, wa, wb, axes: np.ndarray, threshold: float, same: bool, block: int = 512) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[int, int]]:
+    """Link counts of both tiles (by the other's weights), edges that join what the links join, and the pairs of blocks (compared, all)."""
+    sides = []
+    for v in (va, vb):
+        n = np.linalg.norm(v, axis=1)
+        u = v / n[:, None] @ axes
+        order = np.argsort(u[:, 0], kind="stable")
+        blocks = [order[lo : lo + block] for lo in range(0, len(order), block)]
+        middle = [u[x].mean(axis=0) for x in blocks]
+        sides.append((n, u, blocks, middle, [float(np.sqrt(((u[x] - m) ** 2).sum(axis=1).max())) for x, m in zip(blocks, middle, strict=True)]))
+    (na, ua, blocks_a, mid_a, far_a), (nb, ub, blocks_b, mid_b, far_b) = sides
+    reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-9
+    ca, cb = np.zeros(len(va), np.int64), np.zeros(len(vb), np.int64)
     la, lb = ids_a.copy(), ids_b.copy()
-    if linked.any():
-        x, y = np.nonzero(linked)
-        while True:
-            ma, mb = la.copy(), lb.copy()
-            np.minimum.at(ma, x, lb[y])
-            np.minimum.at(mb, y, ma[x])
-            if same:
-                ma = mb = np.minimum(ma, mb)
-            if (ma == la).all() and (mb == lb).all():
-                break
-            la, lb = ma, mb
-    return ca, cb, la, lb
-
-
-def link_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", tile: int = 512, path: str | None = None) -> DataFrame:
+    edges: list[np.ndarray] = []
+    done = total = 0
+    for s, x in enumerate(blocks_a):
+        for t, y in enumerate(blocks_b):
+            if same and t < s:
+                continue
+            total += 1
+            if np.sqrt(((mid_a[s] - mid_b[t]) ** 2).sum()) > far_a[s] + far_b[t] + reach:
+                continue
+            done += 1
+            i, j = _block_links(va[x], vb[y], na[x], nb[y], ua[x], ub[y], threshold, same and s == t)
+            i, j = x[i], y[j]
+            np.add.at(ca, i, wb[j])
+            np.add.at(cb, j, wa[i])
+            before = np.concatenate([la, lb])
+            while len(i):  # Least reachable id, until all linked ones agree.
+                ma, mb = la.copy(), lb.copy()
+                np.minimum.at(ma, i, lb[j])
+                np.minimum.at(mb, j, ma[i])
+                if same:
+                    ma = mb = np.minimum(ma, mb)
+                if (ma == la).all() and (mb == lb).all():
+                    break
+                la, lb = ma, mb
+            now = np.concatenate([la, lb])
+            if (fell := now != before).any():
+                edges.append(np.unique(np.stack([before[fell], now[fell]]), axis=1))
+    return ca, cb, np.concatenate([np.zeros((2, 0), np.int64), *edges], axis=1), (done, total)
+
+
+def link_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", tile: int = 4096, path: str | None = None) -> DataFrame:
     """Per row: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     path = path or shared_dir(spark)
@@ -146,7 +180,10 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
     cells = placed.groupBy("label", "dim", "x", "y").agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     where = ["label", "dim", "x", "y"]
-    tiled = placed.join(cells, where).withColumn("part", part)
+    # A cell may hold a third of all vectors: its tiles are dealt out, not the cell.
+    cells = cut(cells, f"{path}/cells")
+    small = cells.count() <= 100_000
+    tiled = placed.join(F.broadcast(cells) if small else cells, where).withColumn("part", part).repartition(*where, "part")
 
     def pack(group: pa.Table) -> pa.Table:
         return pa.table({
@@ -172,12 +209,14 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec
                 ia, ib = np.frombuffer(row["nodes"], np.int64), np.frombuffer(row["nodes2"], np.int64)
                 wa, wb = np.frombuffer(row["weights"], np.int64), np.frombuffer(row["weights2"], np.int64)
                 va, vb = np.frombuffer(row["raw"], np.float64).reshape(-1, d), np.frombuffer(row["raw2"], np.float64).reshape(-1, d)
-                ca, cb, la, lb = compare(ia, va, ib, vb, wa, wb, shared_axes.value[d], threshold, row["same"])
+                ca, cb, edges, _ = compare(ia, va, ib, vb, wa, wb, shared_axes.value[d], threshold, row["same"])
                 if row["same"]:
-                    ca, cb, ib, lb = ca + cb, cb[:0], ib[:0], lb[:0]
-                node, count, low = np.concatenate([ia, ib]), np.concatenate([ca, cb]), np.concatenate([la, lb])
+                    ca, cb, ib = ca + cb, cb[:0], ib[:0]
+                node, count = np.concatenate([ia, ib]), np.concatenate([ca, cb])
                 keep = count > 0
-                yield pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(count[keep]), pa.array(low[keep])], schema=FOUND)
+                node, count = np.concatenate([node[keep], edges[0]]), np.concatenate([count[keep], np.zeros(edges.shape[1], np.int64)])
+                other = np.concatenate([np.full(int(keep.sum()), -1), edges[1]])
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(count), pa.array(other, mask=np.arange(len(other)) < keep.sum())], schema=FOUND)
 
     found = cut(pairs.mapInArrow(links, "node long, links long, other long"), f"{path}/found")
     comp = components(found.select(F.col("node").alias("a"), F.col("other").alias("b")), path).select("node", "component")

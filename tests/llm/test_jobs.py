@@ -171,8 +171,41 @@ def test_embedding_links(spark):
         if (new == low).all():
             break
         low = new
-    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_links.link_vectors(d, tile=37).collect()}
-    assert got == {i: (int(hit[i].sum()), int(low[i]), int(low[i]) == i) for i in range(480)}
+    for tile in (37, 4096):
+        got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_links.link_vectors(d, tile=tile).collect()}
+        assert got == {i: (int(hit[i].sum()), int(low[i]), int(low[i]) == i) for i in range(480)}
+
+
+def test_blocks_of_tiles():
+    """Many small blocks: chains that later blocks join, counts, and bounds that leave blocks out."""
+    rng = np.random.default_rng(6)
+    way = np.cumsum(rng.normal(size=(300, 6)) * 0.12, axis=0) + 3 * np.eye(6)[0]
+    ids, w, axes = rng.permutation(300), rng.integers(1, 4, 300), np.linalg.qr(rng.normal(size=(6, 6)))[0]
+    n = np.linalg.norm(way, axis=1)
+    hit = way @ way.T / np.outer(n, n) >= 0.97
+    np.fill_diagonal(hit, False)
+    for same in (True, False):
+        x, y = (np.arange(300), np.arange(300)) if same else (np.arange(150), np.arange(150, 300))
+        ca, cb, edges, (done, total) = embedding_links.compare(ids[x], way[x], ids[y], way[y], w[x], w[y], axes, 0.97, same, block=20)
+        mine = hit if same else hit[:150, 150:]
+        assert ((ca + cb if same else ca) == mine @ w[y]).all() and (same or (cb == mine.T @ w[x]).all()) and 0 < done < total
+        i, j = np.nonzero(mine)
+        assert parts(ids[x][i], ids[y][j]) == parts(*edges)
+
+
+def parts(a, b):
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        x, y = find(x), find(y)
+        root[max(x, y)] = min(x, y)
+    return {x: find(x) for x in root}
 
 
 def test_token_blocks_in_order(spark):
