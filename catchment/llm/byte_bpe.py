@@ -178,7 +178,7 @@ def _coder(path: str, pattern: str) -> Coder:
     return Coder(path, pattern)
 
 
-def encode_bytes(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", columns: tuple[str, ...] = tuple(CODED.names), corpus: int = 16 << 20) -> DataFrame:
+def encode_bytes(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", columns: tuple[str, ...] = tuple(CODED.names), corpus: int = 8 << 20) -> DataFrame:
     """Per row the ``columns`` asked for: doc_id, n_tokens, ids_sha256, decoded_sha256, ids, decoded.
 
     ``corpus`` bytes of text at most, or one text, are replayed at once.

@@ -7,7 +7,8 @@ classes, fitted by expectation maximisation on the votes alone) estimates how of
 voter fires in either class, and its correlations: every voter may depend on one other, its
 parent in a spanning forest of the dependencies that the classes leave open, so a voter that
 repeats another adds nothing. The posterior of the class is the label on which a linear
-classifier is trained. Only its weights are used for scoring.
+classifier is trained, on the voters for the toxic class alone: what speaks against never
+makes up for an insult. Only its weights are used for scoring.
 
 Labels are learned from rows whose crc32 of the id as text, modulo ``folds``, is not 0, and
 from ``sample_rows`` of these at most, the first in hash order: that bound is what lets the
@@ -61,10 +62,11 @@ def held_out(id_col, folds: int = 5):
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit(""))), F.lit(folds)) == 0
 
 
-def _parents(both: list[np.ndarray], fired: list[np.ndarray], size: list[float], least: float) -> np.ndarray:
+def _parents(both: list[np.ndarray], fired: list[np.ndarray], size: list[float], against: np.ndarray, least: float) -> np.ndarray:
     """For each voter the one it depends on, or -1: a spanning forest of the largest mutual information within the classes.
 
-    ``both`` counts common firings in each class, ``fired`` single ones, ``size`` rows.
+    ``both`` counts common firings in each class, ``fired`` single ones, ``size`` rows. That
+    voters for different classes avoid each other is what the classes say, so they do not depend on one another.
     """
     m = len(fired[0])
     info = np.zeros((m, m))
@@ -72,6 +74,7 @@ def _parents(both: list[np.ndarray], fired: list[np.ndarray], size: list[float],
         for joint, one, two in ((t, f[:, None], f[None, :]), (f[:, None] - t, f[:, None], n - f[None, :]), (f[None, :] - t, n - f[:, None], f[None, :]), (n - f[:, None] - f[None, :] + t, n - f[:, None], n - f[None, :])):
             joint = np.maximum(joint, 1e-9)
             info += joint * np.log(joint * n / np.maximum(one * two, 1e-9))
+    info[against[:, None] != against[None, :]] = 0
     np.fill_diagonal(info, 0)
     parent, best, source = np.full(m, -1), np.full(m, -1.0), np.full(m, -1)
     left = np.ones(m, bool)
@@ -85,33 +88,36 @@ def _parents(both: list[np.ndarray], fired: list[np.ndarray], size: list[float],
     return parent
 
 
-def label_model(votes: np.ndarray, times: np.ndarray | None = None, against: np.ndarray | None = None, rounds: int = 40) -> np.ndarray:
+def label_model(votes: np.ndarray, times: np.ndarray | None = None, against: np.ndarray | None = None, share: float | None = None, rounds: int = 40) -> np.ndarray:
     """Posterior probability of the toxic class for each row of 0/1 ``votes``, which stands for ``times`` documents.
 
     ``against`` marks voters for the other class; it only starts the estimate. A voter that
-    abstains says nothing by itself; that all abstain is one observation.
+    abstains says nothing by itself; that all abstain is one observation. The ``share`` of the
+    class is given, or that of rows with voters for it.
     """
     times = np.ones(len(votes)) if times is None else times
     against = np.zeros(votes.shape[1], bool) if against is None else against
     silent = ~votes.any(axis=1)
     post = np.where(votes[:, ~against].any(axis=1), np.where(votes[:, against].any(axis=1), 0.5, 0.9), 0.02)
+    prior = times @ post / times.sum() if share is None else share
+    prior_odds = np.log((prior + 1e-9) / (1 - prior + 1e-9))
     for _ in range(rounds):
-        share = [times * (1 - post), times * post]
-        size = [s.sum() for s in share]
-        fired = [s @ votes for s in share]
-        both = [(votes * s[:, None]).T @ votes for s in share]
-        parent = _parents(both, fired, size, least=8.0)
+        mass = [times * (1 - post), times * post]
+        size = [s.sum() for s in mass]
+        fired = [s @ votes for s in mass]
+        both = [(votes * s[:, None]).T @ votes for s in mass]
+        parent = _parents(both, fired, size, against, least=8.0)
         alone, at = parent < 0, np.maximum(parent, 0)
         # Rates of firing: given that the parent fires, and given that it does not (or that there is none).
         rate = []
         for t, f, n in zip(both, fired, size, strict=True):
             with_, given = t[np.arange(len(at)), at], f[at]
-            prior = (f + 0.1) / (n + 1.0)
-            rate.append((np.where(alone, prior, (with_ + prior) / (given + 1.0)), np.where(alone, prior, (f - with_ + prior) / (n - given + 1.0))))
+            usual = (f + 0.1) / (n + 1.0)
+            rate.append((np.where(alone, usual, (with_ + usual) / (given + 1.0)), np.where(alone, usual, (f - with_ + usual) / (n - given + 1.0))))
         on, off = (np.log(rate[1][k] / rate[0][k]) for k in (0, 1))
         up = votes[:, at] * ~alone
-        quiet = np.log((share[1] @ silent + 0.1) / (size[1] + 1.0)) - np.log((share[0] @ silent + 0.1) / (size[0] + 1.0))
-        odds = np.log((size[1] + 1e-9) / (size[0] + 1e-9)) + (votes * (up * on + (1 - up) * off)).sum(axis=1) + silent * quiet
+        quiet = np.log((mass[1] @ silent + 0.1) / (size[1] + 1.0)) - np.log((mass[0] @ silent + 0.1) / (size[0] + 1.0))
+        odds = prior_odds + (votes * (up * on + (1 - up) * off)).sum(axis=1) + silent * quiet
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         moved, post = np.abs(new - post).max(), new
         if moved < 1e-4:
@@ -169,14 +175,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, voters: i
     share, n = size[1] / (size[0] + size[1]), F.col("pos") + F.col("neg")
     term = lambda c, p: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / n / p)).otherwise(0.0)
     for_, against = F.col("pos") >= 0.92 * n, F.col("neg") >= (1 - 0.08 * share) * n
-    words = cut(words.where((n >= 4) & (for_ | against)).select("word", against.alias("against"), (term("pos", share) + term("neg", 1 - share)).alias("gain")), f"{path}/words")
+    counts = cut(words.where(n >= 4), f"{path}/counts")
+    words = counts.where(for_ | against).select("word", n.alias("n"), against.alias("against"), (term("pos", share) + term("neg", 1 - share)).alias("gain"))
     least = float(np.log(max(1, words.count()))) + 3
-    best = words.where(F.col("gain") > least).orderBy(F.col("gain").desc(), "word").limit(4 * voters).collect()
     picked, polarity = [], []
-    for r in best:  # A phrase with a voter in it says no more than that voter.
-        if len(picked) < voters and not (" " in r["word"] and any(w in picked for w in r["word"].split(" "))):
-            picked.append(r["word"])
-            polarity.append(r["against"])
+    for side, most in ((False, voters), (True, voters // 4)):
+        best = words.where((F.col("gain") > least) & (F.col("against") == side)).orderBy(F.col("gain").desc(), "word").limit(4 * most).collect()
+        parts = {w for r in best if " " in r["word"] for w in r["word"].split(" ")}
+        alone = {r["word"]: r["n"] for r in counts.where(F.col("word").isin(*parts)).select("word", n.alias("n")).collect()} if parts else {}
+        chosen: set[str] = set()
+        for r in best:
+            # At most a tenth are phrases. A phrase with a voter in it says no more than that voter; one of rare words is a copied passage rather than a phrase.
+            if " " in r["word"] and (side or sum(" " in w for w in chosen) >= most // 10 or any(w in chosen or alone.get(w, 0) < 5 * r["n"] for w in r["word"].split(" "))):
+                continue
+            if len(chosen) < most:
+                chosen.add(r["word"])
+                picked.append(r["word"])
+                polarity.append(side)
     if not picked:
         return {}, float(np.log(size[1] / size[0]))
 
@@ -191,8 +206,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, voters: i
     for k, r in enumerate(seen):
         x[k, r["votes"]] = 1
     times = np.array([r["count"] for r in seen])
-    w = linear_model(x, label_model(x, times, np.array(polarity)), times)
-    return dict(zip(picked, w[:-1].tolist(), strict=True)), float(w[-1])
+    against = np.array(polarity)
+    w = linear_model(x[:, ~against], label_model(x, times, against, share), times)
+    return dict(zip([p for p, n in zip(picked, polarity, strict=True) if not n], w[:-1].tolist(), strict=True)), float(w[-1])
 
 
 def _judge(weights: dict[str, float], base: float):

@@ -185,7 +185,7 @@ def test_label_model_knows_repeats_and_both_sides():
     noisy = (rng.random(6000) < np.where(y, 0.3, 0.15))[:, None]
     clean = ((rng.random((6000, 2)) < 0.5) & ~y[:, None]) | (rng.random((6000, 2)) < 0.02)
     votes = np.hstack([good, np.repeat(noisy, 12, axis=1), clean]).astype(float)
-    post = toxicity.label_model(votes, against=np.array([False] * 16 + [True] * 2))
+    post = toxicity.label_model(votes, against=np.array([False] * 16 + [True] * 2), share=0.2)
     right = (post > 0.5) == y
     alone = noisy[:, 0] & ~good.any(axis=1) & ~clean.any(axis=1)
     assert right.mean() > 0.93 and alone.sum() > 100 and (post[alone] < 0.9).all()
