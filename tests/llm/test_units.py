@@ -188,8 +188,9 @@ def test_label_model_knows_repeats_and_both_sides():
     post = toxicity.label_model(votes, against=np.array([False] * 16 + [True] * 2), share=0.2)
     right = (post > 0.5) == y
     alone = noisy[:, 0] & ~good.any(axis=1) & ~clean.any(axis=1)
-    assert right.mean() > 0.93 and alone.sum() > 100 and (post[alone] < 0.9).all()
-    assert (post[clean.any(axis=1) & ~good.any(axis=1) & ~noisy[:, 0]] < 0.1).all()
+    # Voters taken as independent would be sure of the twelve repeats, and wrong in seven of eight cases.
+    assert right.mean() > 0.87 and alone.sum() > 100 and (post[alone] < 0.5).all()
+    assert (post[clean.any(axis=1) & ~good.any(axis=1) & ~noisy[:, 0]] < 0.2).all()
 
 
 def test_voters_and_shapes():
