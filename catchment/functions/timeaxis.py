@@ -30,8 +30,8 @@ def in_period(t: Column, start: dt.date, end: dt.date) -> Column:
     return (t >= F.lit(start)) & (t < F.lit(end + dt.timedelta(days=1)))
 
 
-def spine(spark: SparkSession, start: dt.date, end: dt.date, step: str = "month") -> DataFrame:
-    """(t): every ``step`` label within the period; the first label is at or after its start."""
+def labels(start: dt.date, end: dt.date, step: str = "month") -> Column:
+    """An array of every ``step`` label within the period; the first label is at or after its start."""
     if step not in ("day", "month", "year"):
         raise ValueError(f"no such step: {step}")
     first = F.lit(start).cast("date")
@@ -39,8 +39,12 @@ def spine(spark: SparkSession, start: dt.date, end: dt.date, step: str = "month"
         floor = F.trunc(first, step)
         first = F.when(floor < first, F.add_months(floor, 1 if step == "month" else 12)).otherwise(floor)
     last = F.lit(end).cast("date")
-    labels = F.when(first <= last, F.sequence(first, last, F.expr(f"interval 1 {step}")))
-    return spark.range(1).select(F.explode(labels).alias("t"))
+    return F.when(first <= last, F.sequence(first, last, F.expr(f"interval 1 {step}")))
+
+
+def spine(spark: SparkSession, start: dt.date, end: dt.date, step: str = "month") -> DataFrame:
+    """(t): the labels of a period as rows."""
+    return spark.range(1).select(F.explode(labels(start, end, step)).alias("t"))
 
 
 def months_in_period(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:

@@ -48,9 +48,17 @@ def missing_count(df: DataFrame, value: str = "value") -> DataFrame:
     return df.agg(n.alias("n_missing"), (n / F.count("*")).alias("missing_share"))
 
 
-def percentiles(df: DataFrame, by: list[str], at: list[float], value: str = "value") -> DataFrame:
-    """Exact, interpolated percentiles, a column each: p2 for 0.02."""
-    return df.groupBy(*by).agg(*[F.percentile(value, F.lit(p)).alias(f"p{round(p * 100)}") for p in at])
+def _percentile(c: Column, p: float, accuracy: int | None) -> Column:
+    return F.percentile(c, F.lit(p)) if accuracy is None else F.percentile_approx(c, p, accuracy)
+
+
+def percentiles(df: DataFrame, by: list[str], at: list[float], value: str = "value", accuracy: int | None = None) -> DataFrame:
+    """Percentiles, a column each: p2 for 0.02.
+
+    Exact and interpolated ones keep a group's distinct values in one task. With ``accuracy``
+    (say 100,000) they come from sketches of bounded size, off by a share of 1 / accuracy of the rows.
+    """
+    return df.groupBy(*by).agg(*[_percentile(F.col(value), p, accuracy).alias(f"p{round(p * 100)}") for p in at])
 
 
 def histogram(df: DataFrame, by: str, bins: int = 60, value: str = "value") -> DataFrame:
@@ -62,9 +70,10 @@ def histogram(df: DataFrame, by: str, bins: int = 60, value: str = "value") -> D
     return out.select(by, "bin", "n", (F.col("n") / (F.col("all") * (F.col("hi") - F.col("lo")) / bins)).alias("density"))
 
 
-def describe(df: DataFrame, value: str) -> DataFrame:
+def describe(df: DataFrame, value: str, accuracy: int | None = None) -> DataFrame:
+    """One row of summary figures; ``accuracy`` as in ``percentiles``."""
     c = F.col(value)
-    return df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("std"), F.min(c).alias("min"), F.percentile(c, F.lit(0.25)).alias("p25"), F.percentile(c, F.lit(0.5)).alias("p50"), F.percentile(c, F.lit(0.75)).alias("p75"), F.max(c).alias("max"), F.sum(c).alias("total"))
+    return df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("std"), F.min(c).alias("min"), *[_percentile(c, p / 100, accuracy).alias(f"p{p}") for p in (25, 50, 75)], F.max(c).alias("max"), F.sum(c).alias("total"))
 
 
 def granules_by(df: DataFrame, key: str, path: str = "path") -> DataFrame:
@@ -88,9 +97,10 @@ def difference_of_means(df: DataFrame, by: list[str], a: str, b: str) -> DataFra
     return df.groupBy(*by).agg((F.avg(a) - F.avg(b)).alias("difference"))
 
 
-def field_statistics(df: DataFrame, value: str, limit: float) -> DataFrame:
+def field_statistics(df: DataFrame, value: str, limit: float, accuracy: int | None = None) -> DataFrame:
+    """One row of a field's figures; ``accuracy`` as in ``percentiles``."""
     c = F.col(value)
-    return df.agg(F.min(c).alias("least"), F.max(c).alias("greatest"), F.avg(c).alias("mean"), (F.count_if(c.isNull()) / F.count("*")).alias("missing_share"), F.percentile(c, F.lit(0.99)).alias("p99"), F.count_if(c > limit).alias("n_above"))
+    return df.agg(F.min(c).alias("least"), F.max(c).alias("greatest"), F.avg(c).alias("mean"), (F.count_if(c.isNull()) / F.count("*")).alias("missing_share"), _percentile(c, 0.99, accuracy).alias("p99"), F.count_if(c > limit).alias("n_above"))
 
 
 def category_shares(df: DataFrame, code: str, labels: DataFrame | None = None) -> DataFrame:

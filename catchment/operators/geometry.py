@@ -50,9 +50,15 @@ def centroid(rings: Column) -> tuple[Column, Column]:
 
 
 def area_and_centroids(fabric: DataFrame, rings: str = "rings") -> DataFrame:
-    """Adds area_m2, centroid_x, centroid_y, centroid_lon, centroid_lat to a fabric in the equal-area system."""
+    """Adds area_m2, centroid_x, centroid_y, centroid_lon, centroid_lat to a fabric in the equal-area system.
+
+    A fabric with a ``part`` column gives one row (hru and these) per polygon of all its parts.
+    """
     x, y = centroid(F.col(rings))
     out = fabric.withColumn("area_m2", area(F.col(rings))).withColumn("centroid_x", x).withColumn("centroid_y", y)
+    if "part" in fabric.columns:
+        middle = lambda c: F.try_divide(F.sum(F.col(c) * F.col("area_m2")), F.sum("area_m2")).alias(c)
+        out = out.groupBy("hru").agg(F.sum("area_m2").alias("area_m2"), middle("centroid_x"), middle("centroid_y"))
     lon, lat = from_albers(F.col("centroid_x"), F.col("centroid_y"))
     return out.withColumn("centroid_lon", lon).withColumn("centroid_lat", lat)
 
@@ -79,64 +85,104 @@ def extent(fabric: DataFrame, buffer: float = 0.0, rings: str = "rings") -> Data
     return fabric.select(w.alias("w"), s.alias("s"), e.alias("e"), n.alias("n")).agg((F.min("w") - buffer).alias("west"), (F.min("s") - buffer).alias("south"), (F.max("e") + buffer).alias("east"), (F.max("n") + buffer).alias("north"), F.count("*").alias("n_polygons"))
 
 
-def clip_area(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> float:
-    """Area of a ring inside a box: the half planes of the box are cut off one after another.
+def _left_of(ring: np.ndarray, lines: np.ndarray, y0: float, y1: float) -> np.ndarray:
+    """Signed area of the ring within y0..y1 and left of each vertical line, up to one constant.
 
-    Concave rings may leave edges that run back over themselves; their area cancels out.
+    By Green's theorem this is the integral of min(x, line) dy along the edges, cut to the
+    band; along an edge that has a closed form. Concave rings need no special care.
     """
-    for axis, at, keep in ((0, x0, 1), (0, x1, -1), (1, y0, 1), (1, y1, -1)):
-        if not len(ring):
-            return 0.0
-        side = (ring[:, axis] - at) * keep
-        after, side_after = np.roll(ring, -1, axis=0), np.roll(side, -1)
-        inside, cross = side >= 0, (side >= 0) != (side_after >= 0)
-        out = []
-        for k in range(len(ring)):
-            if inside[k]:
-                out.append(ring[k])
-            if cross[k]:
-                out.append(ring[k] + (after[k] - ring[k]) * (side[k] / (side[k] - side_after[k])))
-        ring = np.array(out).reshape(-1, 2)
-    if len(ring) < 3:
-        return 0.0
-    x, y = ring[:, 0], ring[:, 1]
-    return abs(float((x * np.roll(y, -1) - np.roll(x, -1) * y).sum())) / 2
-
-
-def _clip_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rings_of, *box = (batch.column(c).to_pylist() for c in ("rings", "x_lo", "y_lo", "x_hi", "y_hi"))
-        areas = []
-        for rings, *edges in zip(rings_of, *box, strict=True):
-            parts = [clip_area(np.array([(p["x"], p["y"]) for p in r], float).reshape(-1, 2), *edges) for r in rings]
-            areas.append(parts[0] - sum(parts[1:]) if parts else 0.0)
-        keep = pa.array([a > 0 for a in areas], pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column("iy"), batch.column("ix"), batch.column("hru").cast(pa.int64()), pa.array(areas, pa.float64())], names=["iy", "ix", "hru", "area"]).filter(keep)
+    a, b = ring, np.roll(ring, -1, axis=0)
+    rise = b[:, 1] - a[:, 1]
+    use = (rise != 0) & (np.maximum(a[:, 1], b[:, 1]) > y0) & (np.minimum(a[:, 1], b[:, 1]) < y1)
+    a, b, rise = a[use], b[use], rise[use]
+    slope = (b[:, 0] - a[:, 0]) / rise
+    ya, yb = np.clip(a[:, 1], y0, y1), np.clip(b[:, 1], y0, y1)
+    xa, xb = a[:, 0] + (ya - a[:, 1]) * slope, a[:, 0] + (yb - a[:, 1]) * slope
+    lo, hi = np.minimum(xa, xb)[:, None], np.maximum(xa, xb)[:, None]
+    c = np.clip(lines[None, :], lo, hi)
+    part = np.divide(c - lo, hi - lo, out=np.zeros_like(c), where=hi > lo)
+    mean = np.where(lines[None, :] <= lo, lines[None, :], part * (lo + c) / 2 + (1 - part) * c)
+    mean = np.where(lines[None, :] >= hi, (lo + hi) / 2, mean)
+    return ((yb - ya)[:, None] * mean).sum(axis=0)
+
+
+def clip_area(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> float:
+    """Area of a ring inside a box."""
+    left = _left_of(np.asarray(ring, float).reshape(-1, 2), np.array([x0, x1]), y0, y1)
+    return abs(float(left[1] - left[0]))
+
+
+def _cover(rings: list[np.ndarray], x_lo: np.ndarray, x_hi: np.ndarray, y_lo: np.ndarray, y_hi: np.ndarray) -> np.ndarray:
+    """Area of a polygon in each cell, a row per interval of y; holes are taken off."""
+    out = np.zeros((len(y_lo), len(x_lo)))
+    lines = np.concatenate([x_lo, x_hi])
+    for k, ring in enumerate(rings):
+        for r, (lo, hi) in enumerate(zip(y_lo, y_hi, strict=True)):
+            left = _left_of(ring, lines, lo, hi)
+            out[r] += np.abs(left[len(x_lo) :] - left[: len(x_lo)]) * (-1 if k else 1)
+    return out
+
+
+def _weigh(fabric: DataFrame, hru: str, rings: str, axes) -> DataFrame:
+    """(iy, ix, hru, area); ``axes(w, s, e, n)`` gives indices and edges of the columns and rows that a box meets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                shape = [np.array([(p["x"], p["y"]) for p in r], float).reshape(-1, 2) for r in parts or []]
+                if not shape or not len(shape[0]):
+                    continue
+                (w, s), (e, n) = shape[0].min(axis=0), shape[0].max(axis=0)
+                ix, x_lo, x_hi, iy, y_lo, y_hi = axes(w, s, e, n)
+                area = _cover(shape, x_lo, x_hi, y_lo, y_hi)
+                # What is left of a cell that only touches the polygon is rounding.
+                r, c = np.nonzero(area > 1e-12 * (x_hi - x_lo)[None, :] * (y_hi - y_lo)[:, None])
+                yield pa.RecordBatch.from_arrays([pa.array(iy[r], pa.int32()), pa.array(ix[c], pa.int32()), pa.array(np.full(len(r), one), pa.int64()), pa.array(area[r, c])], names=["iy", "ix", "hru", "area"])
+
+    # Polygons differ in size, so they are dealt out before the work; each travels once.
+    some = fabric.select(F.col(hru).cast("long").alias("hru"), F.col(rings).alias("rings"))
+    out = some.repartition("hru").mapInArrow(run, "iy int, ix int, hru long, area double")
+    return out.groupBy("iy", "ix", "hru").agg(F.sum("area").alias("area")) if "part" in fabric.columns else out
 
 
 def weights(fabric: DataFrame, x0: float, y0: float, dx: float, dy: float, nx: int, ny: int, hru: str = "hru", rings: str = "rings") -> DataFrame:
     """(iy, ix, hru, area) of every grid cell that a polygon covers in part.
 
-    Candidate cells come from the bounding box by index arithmetic, so no join is needed;
-    they are spread over the cluster before clipping, since polygons differ in size.
+    Candidate cells come from the bounding box by index arithmetic, so no join is needed. A
+    fabric with a ``part`` column has a row per part of a polygon; the parts are added up.
     """
-    w, s, e, n = bounds(F.col(rings))
-    lo = lambda v, o, step, m: F.greatest(F.lit(0), F.floor((v - o) / step)).cast("int")
-    hi = lambda v, o, step, m: F.least(F.lit(m - 1), F.ceil((v - o) / step) - 1).cast("int")
-    box = fabric.select(F.col(hru).alias("hru"), F.col(rings).alias("rings"), lo(w, x0, dx, nx).alias("a"), hi(e, x0, dx, nx).alias("b"), lo(s, y0, dy, ny).alias("c"), hi(n, y0, dy, ny).alias("d")).where("a <= b and c <= d")
-    cells = box.withColumn("ix", F.explode(F.sequence("a", "b"))).withColumn("iy", F.explode(F.sequence("c", "d")))
-    cells = cells.select("hru", "rings", "iy", "ix", (x0 + F.col("ix") * dx).alias("x_lo"), (y0 + F.col("iy") * dy).alias("y_lo"), (x0 + (F.col("ix") + 1) * dx).alias("x_hi"), (y0 + (F.col("iy") + 1) * dy).alias("y_hi"))
-    return cells.repartition("hru", "iy").mapInArrow(_clip_rows, "iy int, ix int, hru long, area double")
 
+    def axes(w, s, e, n):
+        ix = np.arange(max(0, int(np.floor((w - x0) / dx))), min(nx, int(np.ceil((e - x0) / dx))))
+        iy = np.arange(max(0, int(np.floor((s - y0) / dy))), min(ny, int(np.ceil((n - y0) / dy))))
+        return ix, x0 + ix * dx, x0 + (ix + 1) * dx, iy, y0 + iy * dy, y0 + (iy + 1) * dy
 
-def irregular_weights(fabric: DataFrame, x_axis: DataFrame, y_axis: DataFrame, hru: str = "hru", rings: str = "rings") -> DataFrame:
-    """The same for irregular axes (idx, lo, hi), such as Gaussian latitudes; axes are some thousand rows and broadcast."""
-    w, s, e, n = bounds(F.col(rings))
-    box = fabric.select(F.col(hru).alias("hru"), F.col(rings).alias("rings"), w.alias("w"), s.alias("s"), e.alias("e"), n.alias("n"))
-    x = x_axis.select(F.col("idx").alias("ix"), F.col("lo").alias("x_lo"), F.col("hi").alias("x_hi"))
-    y = y_axis.select(F.col("idx").alias("iy"), F.col("lo").alias("y_lo"), F.col("hi").alias("y_hi"))
-    cells = box.join(F.broadcast(x), (F.col("x_lo") < F.col("e")) & (F.col("x_hi") > F.col("w"))).join(F.broadcast(y), (F.col("y_lo") < F.col("n")) & (F.col("y_hi") > F.col("s")))
-    return cells.select("hru", "rings", "iy", "ix", "x_lo", "y_lo", "x_hi", "y_hi").repartition("hru", "iy").mapInArrow(_clip_rows, "iy int, ix int, hru long, area double")
+    return _weigh(fabric, hru, rings, axes)
+
+
+def irregular_weights(fabric: DataFrame, x_axis: DataFrame, y_axis: DataFrame, hru: str = "hru", rings: str = "rings", most: int = 1_000_000) -> DataFrame:
+    """The same for irregular axes (idx, lo, hi), such as Gaussian latitudes.
+
+    Axes go to every task as sorted arrays, ``most`` intervals each at most; a polygon finds
+    its intervals by bisection.
+    """
+    sides = []
+    for axis in (x_axis, y_axis):
+        rows = axis.select("idx", F.col("lo").cast("double").alias("lo"), F.col("hi").cast("double").alias("hi")).orderBy("lo").limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"an axis has more than {most} intervals")
+        idx, lo, hi = (np.array([r[c] for r in rows], t) for c, t in (("idx", np.int64), ("lo", float), ("hi", float)))
+        sides.append((idx, lo, hi, np.maximum.accumulate(hi) if len(hi) else hi))
+
+    def axes(w, s, e, n):
+        out = []
+        for (idx, lo, hi, reach), a, b in zip(sides, (w, s), (e, n), strict=True):
+            at = slice(int(np.searchsorted(reach, a, "right")), int(np.searchsorted(lo, b, "left")))
+            keep = hi[at] > a
+            out += [idx[at][keep], lo[at][keep], hi[at][keep]]
+        return out
+
+    return _weigh(fabric, hru, rings, axes)
 
 
 def inside(px: Column, py: Column, rings: Column) -> Column:
@@ -156,16 +202,17 @@ def inside(px: Column, py: Column, rings: Column) -> Column:
 def locate(points: DataFrame, fabric: DataFrame, cell: float, x: str = "x", y: str = "y", hru: str = "hru", rings: str = "rings") -> DataFrame:
     """``points`` with the polygon each lies in, NULL outside; the least id of several.
 
-    Both sides are keyed by square cells of size ``cell``, so the join is an equi-join.
+    Both sides are keyed by square cells of size ``cell``, so the join is an equi-join;
+    points of one place are looked up once.
     """
     w, s, e, n = bounds(F.col(rings))
     at = lambda v: F.floor(v / cell)
     keyed = fabric.select(F.col(hru).alias("__hru"), F.col(rings).alias("__rings"), F.explode(F.sequence(at(w), at(e))).alias("__cx"), at(s).alias("__s"), at(n).alias("__n")).withColumn("__cy", F.explode(F.sequence("__s", "__n"))).drop("__s", "__n")
-    p = points.withColumn("__cx", at(F.col(x))).withColumn("__cy", at(F.col(y)))
-    found = p.join(keyed, ["__cx", "__cy"]).where(inside(F.col(x), F.col(y), F.col("__rings")))
-    found = found.groupBy(*points.columns).agg(F.min("__hru").alias(hru)).withColumnsRenamed({c: f"__{c}" for c in points.columns})
-    on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in points.columns]
-    return points.join(found, on, "left").select(*points.columns, hru)
+    places = points.select(F.col(x).alias("__x"), F.col(y).alias("__y")).where("__x is not null and __y is not null").distinct()
+    p = places.withColumn("__cx", at(F.col("__x"))).withColumn("__cy", at(F.col("__y")))
+    found = p.join(keyed, ["__cx", "__cy"]).where(inside(F.col("__x"), F.col("__y"), F.col("__rings")))
+    found = found.groupBy("__x", "__y").agg(F.min("__hru").alias(hru))
+    return points.join(found, (F.col(x) == F.col("__x")) & (F.col(y) == F.col("__y")), "left").select(*points.columns, hru)
 
 
 def locate_all(points: DataFrame, fabric: DataFrame, cell: float, **how) -> DataFrame:

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from catchment.sources.tables import scratch
+
 
 def nearest(gaps: DataFrame, points: DataFrame, k: int, cell: float, hru: str = "hru", x: str = "x", y: str = "y") -> DataFrame:
     """(hru, donor, rank): the ``k`` nearest other points of each gap at any distance, ties by donor id.
@@ -55,9 +55,7 @@ def _roots(gaps: DataFrame, have: DataFrame, near: DataFrame) -> DataFrame:
     A gap can be filled if a candidate is observed, or a gap of a smaller id that can be
     filled; it takes the first such candidate. Pointers to gaps are then halved.
     """
-    spark = gaps.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    path = f"{base.rstrip('/')}/fill-{uuid.uuid4().hex}"
+    path = scratch(gaps.sparkSession)
     edges = gaps.join(near, "hru").join(have.select(F.col("hru").alias("donor"), "t", F.lit(True).alias("seen")).unionByName(gaps.select(F.col("hru").alias("donor"), "t", F.lit(False).alias("seen"))), ["donor", "t"])
     edges = _written(edges.where(F.col("seen") | (F.col("donor") < F.col("hru"))), f"{path}/edges")
     can = new = _written(edges.where("seen").select("hru", "t").distinct(), f"{path}/can0")

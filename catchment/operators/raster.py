@@ -32,6 +32,36 @@ def to_grid(pixels: DataFrame, grid: tuple[float, float, float, float, int, int]
     return p.groupBy(*by, "ty", "tx").agg(F.min_by(value, off).alias(value))
 
 
+def overlap_average(cells: DataFrame, source: tuple[float, float, float, float, int, int], grid: tuple[float, float, float, float, int, int], by: list[str], value: str = "value") -> DataFrame:
+    """Cells (iy, ix) of a regular grid averaged onto another by the area that they share; missing ones weigh nothing.
+
+    Grids are (x0, y1, dx, dy, nx, ny) with rows from the north. A cell is exploded to the
+    target cells that it meets by index arithmetic; target cells finer than the source's get its value.
+    """
+    (sx, sy, sdx, sdy, _, _), (gx, gy, gdx, gdy, nx, ny) = source, grid
+    lo = {"x": sx + F.col("ix") * sdx - gx, "y": F.col("iy") * sdy + (gy - sy)}  # towards the east, and towards the south
+    rows = cells.where(F.col(value).isNotNull())
+    for axis, step, width, n in (("x", gdx, sdx, nx), ("y", gdy, sdy, ny)):
+        first, last = F.greatest(F.floor(lo[axis] / step), F.lit(0)), F.least(F.ceil((lo[axis] + width) / step) - 1, F.lit(n - 1))
+        rows = rows.withColumn(f"__{axis}", lo[axis]).withColumn(f"t{axis}", F.explode(F.when(first <= last, F.sequence(first.cast("int"), last.cast("int")))))
+        shared = F.least(F.col(f"__{axis}") + width, (F.col(f"t{axis}") + 1) * step) - F.greatest(F.col(f"__{axis}"), F.col(f"t{axis}") * step)
+        rows = rows.withColumn(f"__w{axis}", shared).where(F.col(f"__w{axis}") > 1e-9 * min(step, width))
+    w = F.col("__wx") * F.col("__wy")
+    return rows.groupBy(*by, "ty", "tx").agg((F.sum(w * F.col(value)) / F.sum(w)).alias(value))
+
+
+def on_common_grid(values: DataFrame, source: tuple[float, float, float, float, int, int], other: DataFrame, grid: tuple[float, float, float, float, int, int], by: list[str], value: str = "value") -> DataFrame:
+    """``other``'s cells (iy, ix on ``grid``) inside both grids, with ``value`` of the source cell that holds their centre as "source_" + value.
+
+    Both tables are cropped to the common box; cells and ``by`` that one side lacks stay, as missing there.
+    """
+    (sx, sy, sdx, sdy, snx, sny), (gx, gy, gdx, gdy, _, _) = source, grid
+    centre = other.withColumn("__x", gx + (F.col("ix") + 0.5) * gdx).withColumn("__y", gy - (F.col("iy") + 0.5) * gdy).withColumnsRenamed({"iy": "ty", "ix": "tx"})
+    inside = nearest_lookup(centre, sx, sy, sdx, sdy, snx, sny, "__x", "__y").drop("__x", "__y")
+    mine = values.select(*by, "iy", "ix", F.col(value).alias(f"source_{value}"))
+    return inside.join(mine, [*by, "iy", "ix"], "left").drop("iy", "ix").withColumnsRenamed({"ty": "iy", "tx": "ix"})
+
+
 def sinusoidal_to_grid(pixels: DataFrame, grid: tuple, how: str, by: list[str], value: str = "value", x: str = "x", y: str = "y") -> DataFrame:
     lon, lat = from_sinusoidal(F.col(x), F.col(y))
     return to_grid(pixels.withColumn("lon", lon).withColumn("lat", lat), grid, how, by, value)

@@ -43,12 +43,7 @@ def aggregate(grid: DataFrame, weights: DataFrame, values: list[str], stat: str
         raise ValueError(f"no such statistic: {stat}")
     rows = weighted(grid, weights, cell)
     if name == "median":
-        out = None
-        for v in values:
-            one = _median(rows, v, time)
-            out = one if out is None else out.join(one, ["hru", time], "full")
-        full = rows.groupBy("hru", time).agg(*[F.count(v).alias(f"__n_{v}") for v in values])
-        out = full.join(out, ["hru", time], "left")
+        out = _medians(rows, values, time)
     else:
         out = rows.groupBy("hru", time).agg(*[_plain(name, F.col(v), F.col("area")).alias(v) for v in values], *[F.count(v).alias(f"__n_{v}") for v in values])
     if not masked:
@@ -56,11 +51,18 @@ def aggregate(grid: DataFrame, weights: DataFrame, values: list[str], stat: str
     return out.select("hru", time, *values)
 
 
-def _median(rows: DataFrame, v: str, time: str) -> DataFrame:
-    run = Window.partitionBy("hru", time).orderBy(v).rangeBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("hru", time)
-    there = rows.where(F.col(v).isNotNull()).withColumn("__run", F.sum("area").over(run)).withColumn("__all", F.sum("area").over(whole))
-    return there.where(F.col("__run") >= F.col("__all") / 2).groupBy("hru", time).agg(F.min(v).alias(v))
+def _medians(rows: DataFrame, values: list[str], time: str) -> DataFrame:
+    """Weighted medians and counts (``__n_``) of all values at once: weights are added up by distinct value before they run."""
+    kinds = dict(rows.dtypes)
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(v).cast("double").alias("v")) for k, v in enumerate(values)])).alias("e")
+    mass = rows.select("hru", time, "area", each).groupBy("hru", time, "e.k", "e.v").agg(F.sum("area").alias("w"), F.count("*").alias("n"))
+    whole = Window.partitionBy("hru", time, "k")
+    there = F.when(F.col("v").isNotNull(), F.col("w"))
+    half = mass.withColumn("__run", F.sum(there).over(whole.orderBy(F.col("v").asc_nulls_last()))).withColumn("__all", F.sum(there).over(whole))
+    reached = F.col("v").isNotNull() & (F.col("__run") >= F.col("__all") / 2)
+    pick = [F.min(F.when((F.col("k") == k) & reached, F.col("v"))).cast(kinds[v]).alias(v) for k, v in enumerate(values)]
+    count = [F.coalesce(F.sum(F.when((F.col("k") == k) & F.col("v").isNotNull(), F.col("n"))), F.lit(0)).alias(f"__n_{v}") for k, v in enumerate(values)]
+    return half.groupBy("hru", time).agg(*pick, *count)
 
 
 def covered_fraction(grid: DataFrame, weights: DataFrame, value: str, time: str = "t", cell: tuple[str, ...] = ("iy", "ix")) -> DataFrame:

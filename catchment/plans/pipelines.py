@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from catchment.functions.masks import et_fill_by_tile
 from catchment.operators import raster, temporal, zonal
+from catchment.operators.quality import drift_summary
+from catchment.sources.archives import snow_headers, snow_pixels
 from catchment.sources.specs import SourceSpec
 
 
 def aggregate_source(grid: DataFrame, weights: DataFrame, spec: SourceSpec, time: str = "t", cell: tuple[str, ...] = ("iy", "ix")) -> DataFrame:
     """Pixel hook, weighted statistic of all variables in one pass, polygon hook."""
     pixels = grid.transform(spec.before) if spec.before else grid
-    # Cells that no polygon needs go before anything is shuffled for the statistic.
-    pixels = pixels.join(weights.select(*cell).distinct(), list(cell), "left_semi")
     out = zonal.aggregate(pixels, weights, list(spec.variables), spec.stat, time, cell)
     return out.transform(spec.after) if spec.after else out
 
@@ -44,6 +44,18 @@ def et_tiles(pixels: DataFrame, grid: tuple, tile: list[str]) -> DataFrame:
     return raster.sinusoidal_to_grid(raster.mosaic(clean, ["t", "x", "y"], tile[0]), grid, "average", ["t"])
 
 
-def snow_archives(pixels: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Daily snow pixels (t, iy, ix, value) onto the cells of a fixed grid by a lookup made once."""
+def snow_archives(files: DataFrame, targets: DataFrame, day: str = r"(\d{8})") -> DataFrame:
+    """Daily archives (path, content) onto the target points (x, y): checked headers, decoded pixels, a lookup made once.
+
+    The day is the first group of ``day`` in the path, as yyyymmdd. The grid is that of the
+    first day; archives that differ from it by more than half a pixel or in shape raise.
+    """
+    date = F.to_date(F.regexp_extract("path", day, 1), "yyyyMMdd")
+    heads = snow_headers(files).withColumn("day", date)
+    g = heads.orderBy("day").first()
+    if g is None:
+        raise FileNotFoundError("no snow archives")
+    drift_summary(heads, half_pixel=g["dx"] / 2)
+    lookup = raster.nearest_lookup(targets, g["min_x"], g["max_y"], g["dx"], g["dy"], g["columns"], g["rows"])
+    pixels = snow_pixels(files).select(date.alias("t"), "iy", "ix", "value")
     return raster.resample(pixels, lookup)

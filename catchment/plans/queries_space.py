@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+
 from pyspark.sql import functions as F
 
 from catchment.functions import projections
@@ -9,6 +11,7 @@ from catchment.operators import geometry, partitioning, raster, zonal
 from catchment.plans import pipelines, views
 from catchment.plans.targets import sca_inputs
 from catchment.plans.views import with_views
+from catchment.sources import archives
 from catchment.sources.specs import SourceSpec
 
 QUERIES: dict = {}
@@ -63,16 +66,16 @@ def e7(spark, d):
 QUERIES["e7_sca_inputs"] = (e7, with_views("pixels grid weights", "g AS (SELECT cell, t, CASE WHEN quality > 70 AND value * 3 <= 100 THEN value * 3 END AS snow, CASE WHEN quality > 70 THEN 1 ELSE 0 END AS ok FROM grid)", "SELECT hru, t, round(sum(snow * area) / sum(CASE WHEN snow IS NOT NULL THEN area END) / 100, 4) AS snow_fraction, round(sum(ok * area) / sum(area), 4) AS valid_area_fraction FROM g JOIN weights USING (cell) GROUP BY ALL"))
 QUERIES["q17_without_cells"] = (lambda s, d: zonal.without_cells(views.table(s, d, "customer").select((F.col("c_custkey") % 500).alias("hru")).distinct(), views.weights(s, d)), with_views("weights", "", "SELECT DISTINCT c_custkey % 500 AS hru FROM customer WHERE c_custkey % 500 NOT IN (SELECT hru FROM weights)"))
 QUERIES["g3_area_and_centroid"] = (lambda s, d: rounded(views.boxes(s, d).select("hru", geometry.area(F.col("rings")).alias("area"), *[c.alias(n) for c, n in zip(geometry.centroid(F.col("rings")), ("cx", "cy"), strict=True)]), "area", "cx", "cy"), with_views("boxes", "", "SELECT hru, round(1.7::DOUBLE * 1.7::DOUBLE, 4) AS area, round(x0 + 0.85, 4) AS cx, round(y0 + 0.85, 4) AS cy FROM boxes"))
-OVERLAP = "c AS (SELECT hru, x0, y0, ix, iy FROM boxes, (SELECT unnest(range(12)) AS ix), (SELECT unnest(range(2100)) AS iy)), a AS (SELECT CAST(iy AS INT) AS iy, CAST(ix AS INT) AS ix, hru, (least(x0 + 1.7, ix + 1) - greatest(x0, ix)) * (least(y0 + 1.7, iy + 1) - greatest(y0, iy)) AS area FROM c WHERE x0 < ix + 1 AND x0 + 1.7 > ix AND y0 < iy + 1 AND y0 + 1.7 > iy)"
-QUERIES["g5_weights"] = (lambda s, d: rounded(geometry.weights(views.boxes(s, d), 0.0, 0.0, 1.0, 1.0, 12, 2100), "area"), with_views("boxes", OVERLAP, "SELECT iy, ix, hru, round(area, 4) AS area FROM a"))
+OVERLAP = "c AS (SELECT hru, x0, y0, ix, iy FROM boxes JOIN (SELECT unnest(range(12)) AS ix) ON ix BETWEEN floor(x0) AND floor(x0) + 2 JOIN (SELECT unnest(range(rows)) AS iy FROM box_rows) ON iy BETWEEN floor(y0) AND floor(y0) + 2), a AS (SELECT CAST(iy AS INT) AS iy, CAST(ix AS INT) AS ix, hru, (least(x0 + 1.7, ix + 1) - greatest(x0, ix)) * (least(y0 + 1.7, iy + 1) - greatest(y0, iy)) AS area FROM c WHERE x0 < ix + 1 AND x0 + 1.7 > ix AND y0 < iy + 1 AND y0 + 1.7 > iy)"
+QUERIES["g5_weights"] = (lambda s, d: rounded(geometry.weights(views.boxes(s, d), 0.0, 0.0, 1.0, 1.0, 12, views.box_rows(s, d)), "area"), with_views("boxes box_rows", OVERLAP, "SELECT iy, ix, hru, round(area, 4) AS area FROM a"))
 
 
 def g5_irregular(spark, d):
     axis = lambda n: spark.range(n).select(F.col("id").cast("int").alias("idx"), F.col("id").cast("double").alias("lo"), (F.col("id") + 1).cast("double").alias("hi"))
-    return rounded(geometry.irregular_weights(views.boxes(spark, d), axis(12), axis(2100)), "area")
+    return rounded(geometry.irregular_weights(views.boxes(spark, d), axis(12), axis(views.box_rows(spark, d))), "area")
 
 
-QUERIES["g5_irregular_weights"] = (g5_irregular, with_views("boxes", OVERLAP, "SELECT iy, ix, hru, round(area, 4) AS area FROM a"))
+QUERIES["g5_irregular_weights"] = (g5_irregular, with_views("boxes box_rows", OVERLAP, "SELECT iy, ix, hru, round(area, 4) AS area FROM a"))
 QUERIES["g12_extent"] = (lambda s, d: rounded(geometry.extent(views.boxes(s, d), 0.5), "west", "south", "east", "north"), with_views("boxes", "", "SELECT round(min(x0) - 0.5, 4) AS west, round(min(y0) - 0.5, 4) AS south, round(max(x0) + 2.2, 4) AS east, round(max(y0) + 2.2, 4) AS north, count(*) AS n_polygons FROM boxes"))
 
 
@@ -93,9 +96,51 @@ def g4(spark, d):
 
 
 QUERIES["g4_reproject"] = (g4, with_views("centroids", "p AS (SELECT hru, -100.0::DOUBLE + x * 20 AS lon, 38.0::DOUBLE + y * 10 AS lat FROM centroids)", "SELECT hru, round(lon, 6) AS lon, round(lat, 6) AS lat, round(6371007.181::DOUBLE * radians(lon) * cos(radians(lat)), 2) AS sx, round(6371007.181::DOUBLE * radians(lat), 2) AS sy FROM p"))
-QUERIES["g6_weight_key"] = (lambda s, d: partitioning.fingerprint(views.boxes(s, d), "unit"), None)
-QUERIES["g7_spatial_batches"] = (lambda s, d: partitioning.spatial_batches(views.centroids(s, d), 50).select("hru", "batch_id"), None)
-QUERIES["a24_batch_statistics"] = (lambda s, d: partitioning.batch_statistics(partitioning.spatial_batches(views.centroids(s, d), 50)), None)
+MD5 = "sum(('0x' || substr(md5(CAST(hru AS VARCHAR)), {at}, 15))::UBIGINT)"
+QUERIES["g6_weight_key"] = (lambda s, d: partitioning.fingerprint(views.boxes(s, d), "unit"), with_views("boxes", "", f"SELECT sha256(concat_ws('#', count(*), {MD5.format(at=1)}, {MD5.format(at=17)}, 'unit')) AS key FROM boxes"))
+
+
+def _batches_sql(levels: int = 12) -> str:
+    """Bisection level by level; those beyond the depth that the table needs change nothing."""
+    out = ["depth AS (SELECT greatest(0, ceil(log2(greatest(1.0, count(*) / 50.0)))) AS depth FROM centroids)", "l0 AS (SELECT hru, x, y, '' AS path, true AS open FROM centroids)"]
+    for k in range(levels):
+        c = "x" if k % 2 == 0 else "y"
+        out.append(f"c{k} AS (SELECT path, cut FROM (SELECT path, quantile_disc({c}, 0.5) AS cut, count(*) AS n, max({c}) AS hi FROM l{k} WHERE open GROUP BY path), depth WHERE n > 25 AND hi > cut AND {k} < depth)")
+        out.append(f"l{k + 1} AS (SELECT hru, x, y, CASE WHEN open AND cut IS NOT NULL THEN path || CASE WHEN {c} <= cut THEN '0' ELSE '1' END ELSE path END AS path, open AND cut IS NOT NULL AS open FROM l{k} LEFT JOIN c{k} USING (path))")
+    return ", ".join([*out, f"batches AS (SELECT hru, CAST(dense_rank() OVER (ORDER BY path) - 1 AS INT) AS batch_id FROM l{levels})"])
+
+
+QUERIES["g7_spatial_batches"] = (lambda s, d: partitioning.spatial_batches(views.centroids(s, d), 50).select("hru", "batch_id"), with_views("centroids", _batches_sql(), "SELECT hru, batch_id FROM batches"))
+QUERIES["a24_batch_statistics"] = (
+    lambda s, d: rounded(partitioning.batch_statistics(partitioning.spatial_batches(views.centroids(s, d), 50)), "mean_size", "median_size"),
+    with_views("centroids", f"{_batches_sql()}, n AS (SELECT batch_id, count(*) AS n FROM batches GROUP BY 1)", "SELECT count(*) AS n_batches, min(n) AS smallest, max(n) AS largest, round(avg(n), 4) AS mean_size, round(quantile_cont(n::DOUBLE, 0.5), 4) AS median_size FROM n"),
+)
+
+
+def parts(spark, d):
+    """Boxes and the same boxes three units to the east as multipolygons in well-known binary."""
+    def encode(frames):
+        for f in frames:
+            blobs = []
+            for x, y in zip(f["x0"], f["y0"], strict=True):
+                ring = [(x, y), (x + 1.7, y), (x + 1.7, y + 1.7), (x, y + 1.7), (x, y)]
+                part = lambda by: struct.pack("<BIII", 1, 3, 1, 5) + b"".join(struct.pack("<dd", a + by, b) for a, b in ring)  # noqa: B023, E731
+                blobs.append(struct.pack("<BII", 1, 6, 2) + part(0.0) + part(3.0))
+            yield f.assign(geometry=blobs)[["hru", "geometry"]]
+
+    return archives.polygons(views.boxes(spark, d).select("hru", "x0", "y0").mapInPandas(encode, "hru long, geometry binary"))
+
+
+QUERIES["s3_multi_polygons"] = (
+    lambda s, d: rounded(geometry.area_and_centroids(parts(s, d)).select("hru", F.col("area_m2").alias("area"), F.col("centroid_x").alias("cx"), F.col("centroid_y").alias("cy")), "area", "cx", "cy"),
+    with_views("boxes", "", "SELECT hru, round(2 * 1.7::DOUBLE * 1.7::DOUBLE, 4) AS area, round(x0 + 2.35, 4) AS cx, round(y0 + 0.85, 4) AS cy FROM boxes"),
+)
+QUERIES["g5_multi_polygon_weights"] = (
+    lambda s, d: rounded(geometry.weights(parts(s, d), 0.0, 0.0, 2.0, 1.0, 8, views.box_rows(s, d)), "area"),
+    with_views("boxes box_rows", """p AS (SELECT hru, x0, y0 FROM boxes UNION ALL SELECT hru, x0 + 3, y0 FROM boxes),
+    c AS (SELECT hru, CAST(ix AS INT) AS ix, CAST(iy AS INT) AS iy, least(x0 + 1.7, 2 * ix + 2) - greatest(x0, 2 * ix) AS w, least(y0 + 1.7, iy + 1) - greatest(y0, iy) AS h FROM (SELECT hru, x0, y0, unnest(range(8)) AS ix FROM p) JOIN (SELECT unnest(range(rows)) AS iy FROM box_rows) ON iy BETWEEN floor(y0) AND floor(y0) + 2)""",
+    "SELECT iy, ix, hru, round(sum(w * h), 4) AS area FROM c WHERE w > 0 AND h > 0 GROUP BY ALL"),
+)
 
 
 def tiles(spark, d):
@@ -120,10 +165,40 @@ QUERIES["g10_average_to_grid"] = (g10, with_views("centroids", "", "SELECT 1 AS
 
 def g11(spark, d):
     target = views.boxes(spark, d).select("hru", (F.col("x0") + 0.85).alias("x"), (F.col("y0") + 0.85).alias("y"))
-    look = raster.nearest_lookup(target, 0.0, 12.0, 1.0, 1.0, 12, 12)
-    days = views.pixels(spark, d).where("cell < 144").groupBy((F.floor(F.col("cell") / 12)).cast("int").alias("iy"), (F.col("cell") % 12).cast("int").alias("ix"), "t").agg(F.max("value").alias("value"))
-    return raster.resample(days, look).select("hru", "t", "value")
+    n = views.box_rows(spark, d)
+    look = raster.nearest_lookup(target, 0.0, float(n), 1.0, 1.0, 12, n)
+    return raster.resample(views.gridded(spark, d, F.max), look).select("hru", "t", "value")
+
+
+QUERIES["g11_nearest_resample"] = (g11, with_views("pixels boxes box_rows", "k AS (SELECT hru, CAST(floor(x0 + 0.85) AS INT) AS ix, CAST(floor(rows - (y0 + 0.85)) AS INT) AS iy FROM boxes, box_rows), v AS (SELECT CAST(floor(cell / 12) % rows AS INT) AS iy, CAST(cell % 12 AS INT) AS ix, t, max(value) AS value FROM pixels, box_rows GROUP BY ALL)", "SELECT hru, t, value FROM k JOIN v USING (ix, iy)"))
+
+
+def g10_overlap(spark, d):
+    """Cells of 1 by 0.8 onto cells of 0.7 by 0.9 that start a little aside."""
+    n = views.box_rows(spark, d)
+    return rounded(raster.overlap_average(views.gridded(spark, d, F.max), (0.0, float(n), 1.0, 0.8, 12, n), (0.4, n - 0.3, 0.7, 0.9, 17, n), ["t"]), "value")
+
+
+QUERIES["g10_overlap_average"] = (
+    g10_overlap,
+    with_views("pixels box_rows", """v AS (SELECT CAST(floor(cell / 12) % rows AS INT) AS iy, CAST(cell % 12 AS INT) AS ix, t, max(value) AS value FROM pixels, box_rows GROUP BY ALL),
+    xs AS (SELECT ix, CAST(tx AS INT) AS tx, least(ix + 1, 0.4::DOUBLE + (tx + 1) * 0.7::DOUBLE) - greatest(ix, 0.4::DOUBLE + tx * 0.7::DOUBLE) AS wx FROM (SELECT unnest(range(12)) AS ix), (SELECT unnest(range(17)) AS tx)),
+    ys AS (SELECT iy, CAST(ty AS INT) AS ty, least((iy + 1) * 0.8::DOUBLE, 0.3::DOUBLE + (ty + 1) * 0.9::DOUBLE) - greatest(iy * 0.8::DOUBLE, 0.3::DOUBLE + ty * 0.9::DOUBLE) AS wy FROM (SELECT unnest(range(rows)) AS iy FROM box_rows), (SELECT unnest(range(rows)) AS ty FROM box_rows))""",
+    "SELECT t, ty, tx, round(sum(wx * wy * value) / sum(wx * wy), 4) AS value FROM v JOIN xs USING (ix) JOIN ys USING (iy) WHERE wx > 1e-9 AND wy > 1e-9 AND value IS NOT NULL GROUP BY ALL"),
+)
+
+
+def g13(spark, d):
+    """The largest value of each cell and day, put on a shifted grid of half the columns that has the least values."""
+    n = views.box_rows(spark, d)
+    other = views.gridded(spark, d, F.min).where("ix % 2 = 0").withColumn("ix", (F.col("ix") / 2).cast("int"))
+    out = raster.on_common_grid(views.gridded(spark, d, F.max), (0.0, float(n), 1.0, 1.0, 12, n), other, (2.5, n + 1.25, 2.0, 1.0, 6, n), ["t"])
+    return out.select("t", "iy", "ix", "value", "source_value")
 
 
-QUERIES["g11_nearest_resample"] = (g11, with_views("pixels boxes", "k AS (SELECT hru, CAST(floor(x0 + 0.85) AS INT) AS ix, CAST(floor(12.0 - (y0 + 0.85)) AS INT) AS iy FROM boxes), v AS (SELECT CAST(floor(cell / 12) AS INT) AS iy, CAST(cell % 12 AS INT) AS ix, t, max(value) AS value FROM pixels WHERE cell < 144 GROUP BY ALL)", "SELECT hru, t, value FROM k JOIN v USING (ix, iy)"))
+QUERIES["g13_on_common_grid"] = (
+    g13,
+    with_views("pixels box_rows", "v AS (SELECT CAST(floor(cell / 12) % rows AS INT) AS iy, CAST(cell % 12 AS INT) AS ix, t, min(value) AS lo, max(value) AS hi FROM pixels, box_rows GROUP BY ALL)",
+    "SELECT o.t, o.iy, CAST(o.ix / 2 AS INT) AS ix, o.lo AS value, s.hi AS source_value FROM v o CROSS JOIN box_rows LEFT JOIN v s ON s.t = o.t AND s.ix = floor(2.5 + o.ix + 1) AND s.iy = floor(o.iy + 0.5 - 1.25) WHERE o.ix % 2 = 0 AND floor(2.5 + o.ix + 1) BETWEEN 0 AND 11 AND floor(o.iy + 0.5 - 1.25) BETWEEN 0 AND rows - 1"),
+)
 QUERIES["j13_attach_to_fabric"] = (lambda s, d: views.boxes(s, d).join(views.one(s, d, "A").groupBy("hru").agg(r4(F.avg("value")).alias("mean")), "hru").select("hru", r4(F.col("x0")).alias("x0"), "mean"), with_views("boxes series", "", "SELECT b.hru, round(x0, 4) AS x0, m.mean FROM boxes b JOIN (SELECT hru, round(avg(value), 4) AS mean FROM series WHERE source = 'A' GROUP BY hru) m ON b.hru = m.hru"))

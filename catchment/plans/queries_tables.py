@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
+import io
+import tarfile
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from catchment.functions import projections
 from catchment.operators import raster
 from catchment.operators.bounds import multi_source_bounds
-from catchment.plans import pipelines, queries_time, views
+from catchment.plans import pipelines, queries_time, views, yearly
 from catchment.plans.queries_time import r4, rounded
 from catchment.plans.views import with_views
 from catchment.sources import tables
+from catchment.sources.archives import SNOW_MEMBER
 
 QUERIES: dict = {}
 
@@ -37,18 +43,38 @@ def s11(spark, d):
 QUERIES["s11_s15_target_round_trip"] = (s11, with_views("series", "b AS (SELECT hru, t, count(value) AS k FROM series GROUP BY ALL)", "SELECT hru, count(*) AS n, CAST(sum(k) AS BIGINT) AS sources, min(t) AS first, max(t) AS last FROM b WHERE t BETWEEN DATE '1997-01-01' AND DATE '1998-12-01' GROUP BY hru"))
 
 
-def s12(spark, d):
+def _years(spark, d):
+    """The years of the series, and what builds one of them."""
     s = views.series(spark, d)
-    out = None
-    for year in range(1995, 2002):
-        one = multi_source_bounds([s.where((F.col("source") == x) & (F.year("t") == year)) for x in "ABC"])
-        out = one if out is None else out.unionByName(one)
-    return rounded(out, "lower_bound", "upper_bound")
+    ends = s.agg(F.min(F.year("t")), F.max(F.year("t"))).first()
+    one = lambda y: multi_source_bounds([s.where((F.col("source") == x) & (F.year("t") == y)) for x in "ABC"])
+    return range(ends[0], ends[1] + 1), one
+
+
+def s12(spark, d):
+    years, one = _years(spark, d)
+    path = f"{tables.scratch(spark)}/years"
+    yearly.run_years(spark, years, one, path)
+    return rounded(yearly.stitch(spark, path, years), "lower_bound", "upper_bound")
 
 
 QUERIES["s12_stitched_years"] = (s12, queries_time.QUERIES["a9_multi_source_bounds"][1])
 
 
+def s10_resumed(spark, d):
+    """A run over every other year that a run over all years goes on from."""
+    years, one = _years(spark, d)
+    path = f"{tables.scratch(spark)}/years"
+    first = yearly.run_years(spark, years[::2], one, path)
+    then = yearly.run_years(spark, years, one, path)
+    if set(first) & set(then) or len(first) + len(then) != len(years):
+        raise ValueError("years were built twice or not at all")
+    return rounded(yearly.stitch(spark, path, years), "lower_bound", "upper_bound")
+
+
+QUERIES["s10_resumed_years"] = (s10_resumed, queries_time.QUERIES["a9_multi_source_bounds"][1])
+
+
 def s13(spark, d):
     path = f"{tables.scratch(spark)}/regions"
     views.table(spark, d, "customer").select("c_custkey", F.when(F.col("c_nationkey") < 10, "na").otherwise("eu").alias("region")).write.partitionBy("region").parquet(path)
@@ -89,11 +115,29 @@ def e8(spark, d):
 QUERIES["e8_et_tiles"] = (e8, None)
 
 
+def _archive(key, frame):
+    """One day's grid (rows, iy, ix, value) as an archive: gzipped header and big-endian numbers in a tar file."""
+    rows = int(frame["rows"].iloc[0])
+    grid = np.full((rows, 12), -9999, ">i2")
+    some = frame[frame["value"].notna()]
+    grid[some["iy"], some["ix"]] = some["value"]
+    day = key[0].strftime("%Y%m%d")
+    head = f"Number of rows: {rows}\nNumber of columns: 12\nMinimum x-axis coordinate: 0\nMaximum y-axis coordinate: {rows}\nX-axis resolution: 1\nY-axis resolution: 1\n"
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w") as tar:
+        for end, body in (("txt", head.encode()), ("dat", grid.tobytes())):
+            info = tarfile.TarInfo(f"{SNOW_MEMBER}_{day}.{end}.gz")
+            packed = gzip.compress(body)
+            info.size = len(packed)
+            tar.addfile(info, io.BytesIO(packed))
+    return pd.DataFrame({"path": [f"archives/day_{day}.tar"], "content": [out.getvalue()]})
+
+
 def e9(spark, d):
+    """Every day's pixels are packed into an archive, and the archives go all the way to the boxes."""
     target = views.boxes(spark, d).select("hru", (F.col("x0") + 0.85).alias("x"), (F.col("y0") + 0.85).alias("y"))
-    look = raster.nearest_lookup(target, 0.0, 12.0, 1.0, 1.0, 12, 12)
-    px = views.pixels(spark, d).where("cell < 144").groupBy("t", (F.floor(F.col("cell") / 12)).cast("int").alias("iy"), (F.col("cell") % 12).cast("int").alias("ix")).agg(F.min("value").alias("value"))
-    return pipelines.snow_archives(px, look).select("hru", "t", "value")
+    files = views.gridded(spark, d, F.min).withColumn("rows", F.lit(views.box_rows(spark, d))).groupBy("t").applyInPandas(_archive, "path string, content binary")
+    return pipelines.snow_archives(files, target).select("hru", "t", "value")
 
 
-QUERIES["e9_snow_archives"] = (e9, with_views("pixels boxes", "k AS (SELECT hru, CAST(floor(x0 + 0.85) AS INT) AS ix, CAST(floor(12.0 - (y0 + 0.85)) AS INT) AS iy FROM boxes), v AS (SELECT CAST(floor(cell / 12) AS INT) AS iy, CAST(cell % 12 AS INT) AS ix, t, min(value) AS value FROM pixels WHERE cell < 144 GROUP BY ALL)", "SELECT hru, t, value FROM k JOIN v USING (ix, iy)"))
+QUERIES["e9_snow_archives"] = (e9, with_views("pixels boxes box_rows", "k AS (SELECT hru, CAST(floor(x0 + 0.85) AS INT) AS ix, CAST(floor(rows - (y0 + 0.85)) AS INT) AS iy FROM boxes, box_rows), v AS (SELECT CAST(floor(cell / 12) % rows AS INT) AS iy, CAST(cell % 12 AS INT) AS ix, t, min(value) AS value FROM pixels, box_rows GROUP BY ALL)", "SELECT hru, t, CAST(value AS DOUBLE) AS value FROM k JOIN v USING (ix, iy) WHERE value IS NOT NULL"))

@@ -110,14 +110,13 @@ QUERIES["e2_runoff_bounds"] = (e2, _bounds_sql("series meta", f"{SPINE}, {CFS}",
 
 
 def e3(spark, d):
-    hrus = views.meta(spark, d).where("hru < 5")
-    return rounded(aet.build({"mod16": views.composites(spark, d), "ssebop": views.one(spark, d, "B"), "mwbm": views.one(spark, d, "C")}, hrus, PERIOD), "lower_bound", "upper_bound")
+    return rounded(aet.build({"mod16": views.composites(spark, d), "ssebop": views.one(spark, d, "B"), "mwbm": views.one(spark, d, "C")}, views.meta(spark, d), PERIOD), "lower_bound", "upper_bound")
 
 
 QUERIES["e3_aet_bounds"] = (e3, _bounds_sql("series composites meta", f"""{SPINE}, {MONTHLY},
     every AS (SELECT 'A' AS source, hru, t, value FROM monthly UNION ALL SELECT source, hru, t, value FROM series WHERE source IN ('B', 'C')),
     inch AS (SELECT source, hru, t, value / 25.4 / {DAYS} AS value FROM every), sources AS (SELECT unnest(['A', 'B', 'C']) AS source),
-    aligned AS (SELECT hru, t, value FROM (SELECT hru FROM ids WHERE hru < 5) CROSS JOIN months CROSS JOIN sources LEFT JOIN inch USING (source, hru, t))""", "aligned"))
+    aligned AS (SELECT hru, t, value FROM ids CROSS JOIN months CROSS JOIN sources LEFT JOIN inch USING (source, hru, t))""", "aligned"))
 ANNUAL = f"""mm AS (SELECT source, hru, t, CASE source WHEN 'B' THEN value * {DAYS} * 86400 ELSE value * 1000 END AS value FROM series WHERE t >= DATE '1996-01-01' AND t <= DATE '2000-12-31'),
     y AS (SELECT source, hru, CAST(date_trunc('year', t) AS DATE) AS t, sum(value) AS value FROM mm GROUP BY ALL),
     lim AS (SELECT source, hru, min(value) AS lo, max(value) AS hi FROM y {IN_WINDOW} GROUP BY ALL),
@@ -177,7 +176,15 @@ QUERIES["w6_nearest_fill"] = (
     lambda s, d: nnfill.fill(gappy(s, d), views.centroids(s, d), 3, 0.02).select("hru", "t", "lower_bound", "upper_bound", "n_sources", "nn_filled"),
     with_views("centroids", f"{GAPPY}, got AS (SELECT g.hru, g.t, arg_min(o.lower_bound, n.rank) AS v FROM gappy g JOIN near n ON g.hru = n.hru JOIN gappy o ON o.hru = n.donor AND o.t = g.t WHERE g.lower_bound IS NULL AND o.lower_bound IS NOT NULL GROUP BY ALL)", "SELECT hru, t, coalesce(lower_bound, v) AS lower_bound, coalesce(lower_bound, v) + 1 AS upper_bound, n_sources, CAST(CASE WHEN lower_bound IS NULL AND v IS NOT NULL THEN 1 ELSE 0 END AS TINYINT) AS nn_filled FROM gappy LEFT JOIN got USING (hru, t)"),
 )
-QUERIES["w6_chained_fill"] = (lambda s, d: nnfill.fill(gappy(s, d), views.centroids(s, d), 3, 0.02, "chained"), None)
+CHAINED = """edges AS (SELECT g.hru, g.t, n.donor, n.rank, o.lower_bound IS NOT NULL AS seen FROM gappy g JOIN near n ON g.hru = n.hru JOIN gappy o ON o.hru = n.donor AND o.t = g.t WHERE g.lower_bound IS NULL AND (o.lower_bound IS NOT NULL OR n.donor < g.hru)),
+    can AS (SELECT hru, t FROM edges WHERE seen UNION SELECT e.hru, e.t FROM edges e JOIN can c ON c.hru = e.donor AND c.t = e.t WHERE NOT e.seen),
+    up AS (SELECT e.hru, e.t, arg_min(e.donor, e.rank) AS d, arg_min(e.seen, e.rank) AS s FROM edges e LEFT JOIN can c ON c.hru = e.donor AND c.t = e.t WHERE e.seen OR c.hru IS NOT NULL GROUP BY ALL),
+    way AS (SELECT hru, t, d, s FROM up UNION ALL SELECT w.hru, w.t, u.d, u.s FROM way w JOIN up u ON u.hru = w.d AND u.t = w.t WHERE NOT w.s),
+    got AS (SELECT w.hru, w.t, o.lower_bound AS v FROM way w JOIN gappy o ON o.hru = w.d AND o.t = w.t WHERE w.s)"""
+QUERIES["w6_chained_fill"] = (
+    lambda s, d: nnfill.fill(gappy(s, d), views.centroids(s, d), 3, 0.02, "chained"),
+    with_views("centroids", f"{GAPPY}, {CHAINED}", "SELECT hru, t, coalesce(lower_bound, v) AS lower_bound, coalesce(lower_bound, v) + 1 AS upper_bound, n_sources, CAST(CASE WHEN lower_bound IS NULL AND v IS NOT NULL THEN 1 ELSE 0 END AS TINYINT) AS nn_filled FROM gappy LEFT JOIN got USING (hru, t)").replace("WITH ", "WITH RECURSIVE ", 1),
+)
 QUERIES["j2_attach"] = (lambda s, d: bounds.attach(views.one(s, d, "A"), views.meta(s, d)).select("hru", "t", r4(F.col("value")).alias("value"), "area_m2"), with_views("series meta", "", "SELECT hru, t, round(value, 4) AS value, area_m2 FROM series JOIN meta USING (hru) WHERE source = 'A'"))
 QUERIES["j5_limits_by_month"] = (lambda s, d: rounded(views.one(s, d, "A").withColumn("month", F.month("t")).join(views.one(s, d, "A").groupBy("hru", F.month("t").alias("month")).agg(F.min("value").alias("low"), F.max("value").alias("high")), ["hru", "month"]).select("hru", "t", "low", "high"), "low", "high"), with_views("series", "a AS (SELECT *, month(t) AS mo FROM series WHERE source = 'A')", "SELECT hru, t, round(min(value) OVER w, 4) AS low, round(max(value) OVER w, 4) AS high FROM a WINDOW w AS (PARTITION BY hru, mo)"))
 QUERIES["j10_merge_variables"] = (lambda s, d: rounded(bounds.merge_variables([views.one(s, d, x).withColumnRenamed("value", x.lower()) for x in "ABC"]), "a", "b", "c"), with_views("series", "", "SELECT hru, t, round(max(value) FILTER (source = 'A'), 4) AS a, round(max(value) FILTER (source = 'B'), 4) AS b, round(max(value) FILTER (source = 'C'), 4) AS c FROM series GROUP BY ALL"))

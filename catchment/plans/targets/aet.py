@@ -7,9 +7,9 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catchment.functions.timeaxis import spine
+from catchment.functions.timeaxis import labels
 from catchment.functions.units import mm_to_inches_per_day
-from catchment.operators.bounds import align, multi_source_bounds
+from catchment.operators.bounds import bounds_on_calendar
 from catchment.operators.nnfill import fill
 from catchment.operators.temporal import composites_to_monthly
 from catchment.plans.targets.runoff import monthly
@@ -17,11 +17,10 @@ from catchment.plans.targets.runoff import monthly
 
 def build(sources: dict[str, DataFrame], hrus: DataFrame, period: tuple[dt.date, dt.date], composites: str = "mod16", centroids: DataFrame | None = None) -> DataFrame:
     """Composite sources go to calendar months before the period is cut, so that its edges are whole."""
-    months = spine(hrus.sparkSession, *period, "month")
     parts = []
     for label, series in sources.items():
         rows = composites_to_monthly(series, ["hru"]) if label == composites else series
         mm = monthly(rows, label, "aet", period)
-        parts.append(align(mm.select("hru", "t", mm_to_inches_per_day(F.col("value"), F.col("t")).alias("value")), months, hrus))
-    out = multi_source_bounds(parts)
+        parts.append(mm.select("hru", "t", mm_to_inches_per_day(F.col("value"), F.col("t")).alias("value")))
+    out = bounds_on_calendar(parts, hrus, labels(*period, "month"))
     return fill(out, centroids) if centroids is not None else out

@@ -7,9 +7,9 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catchment.functions.timeaxis import in_period, month_start, spine
+from catchment.functions.timeaxis import in_period, labels, month_start
 from catchment.functions.units import mm_to_cfs
-from catchment.operators.bounds import align, multi_source_bounds
+from catchment.operators.bounds import bounds_on_calendar
 from catchment.operators.nnfill import fill
 from catchment.sources.specs import SHIMS, shims_by
 
@@ -23,11 +23,9 @@ def monthly(series: DataFrame, label: str, target: str, period: tuple[dt.date, d
 
 def build(sources: dict[str, DataFrame], meta: DataFrame, period: tuple[dt.date, dt.date], centroids: DataFrame | None = None) -> DataFrame:
     """(hru, t, lower_bound, upper_bound, n_sources) from series by label; filled from neighbours if centroids are given."""
-    months = spine(meta.sparkSession, *period, "month")
     parts = []
     for label, series in sources.items():
         rows = monthly(series, label, "runoff", period).join(meta.select("hru", "area_m2"), "hru")
-        cfs = rows.select("hru", "t", mm_to_cfs(F.col("value"), F.col("t"), F.col("area_m2")).alias("value"))
-        parts.append(align(cfs, months, meta))
-    out = multi_source_bounds(parts)
+        parts.append(rows.select("hru", "t", mm_to_cfs(F.col("value"), F.col("t"), F.col("area_m2")).alias("value")))
+    out = bounds_on_calendar(parts, meta, labels(*period, "month"))
     return fill(out, centroids) if centroids is not None else out

@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catchment.functions.timeaxis import in_period, month_start, spine
-from catchment.operators.bounds import align, multi_source_bounds
+from catchment.functions.timeaxis import in_period, labels, month_start
+from catchment.operators.bounds import bounds_on_calendar
 from catchment.operators.normalize import normalize
 from catchment.operators.temporal import annual
 
@@ -16,12 +16,10 @@ from catchment.operators.temporal import annual
 def build(sources: dict[str, DataFrame], hrus: DataFrame, period: tuple[dt.date, dt.date], window: tuple[dt.date, dt.date] | None = None) -> tuple[DataFrame, DataFrame]:
     """(monthly, annual): monthly limits per calendar month, annual ones over the whole window; the window defaults to the period."""
     window = window or period
-    spark = hrus.sparkSession
-    months, years = spine(spark, *period, "month"), spine(spark, *period, "year")
     by_month, by_year = [], []
     for series in sources.values():
         t = F.col("t")
         rows = series.where(in_period(t, *period) | in_period(t, *window)).select("hru", month_start(t).alias("t"), "value")
-        by_month.append(align(normalize(rows, ["hru"], window=window, monthly=True).where(in_period(t, *period)), months, hrus))
-        by_year.append(align(normalize(annual(rows, ["hru"], "mean"), ["hru"], window=window).where(in_period(t, *period)), years, hrus))
-    return multi_source_bounds(by_month), multi_source_bounds(by_year)
+        by_month.append(normalize(rows, ["hru"], window=window, monthly=True).where(in_period(t, *period)))
+        by_year.append(normalize(annual(rows, ["hru"], "mean"), ["hru"], window=window).where(in_period(t, *period)))
+    return bounds_on_calendar(by_month, hrus, labels(*period, "month")), bounds_on_calendar(by_year, hrus, labels(*period, "year"))

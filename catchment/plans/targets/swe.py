@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catchment.functions.masks import in_scope
-from catchment.functions.timeaxis import day_floor, in_period, spine
+from catchment.functions.timeaxis import day_floor, in_period, labels as calendar
 from catchment.functions.units import mm_to_inches
-from catchment.operators.bounds import align, multi_source_bounds
+from catchment.operators.bounds import bounds_on_calendar
 from catchment.operators.nnfill import fill
 from catchment.sources.specs import SHIMS, catalog, shims_by
 
@@ -25,12 +25,11 @@ def scoped(hrus: DataFrame, labels: list[str], token: str | None) -> list[str]:
 def build(sources: dict[str, DataFrame], hrus: DataFrame, period: tuple[dt.date, dt.date], token: str | None = None, centroids: DataFrame | None = None) -> DataFrame:
     """One plan for all years. A source without data in a year counts as absent there; a year without any raises."""
     shims = shims_by("label", SHIMS["snow_water_equivalent"])
-    days = spine(hrus.sparkSession, *period, "day")
     parts = []
     for label in scoped(hrus, list(sources), token):
         rows = sources[label].where(in_period(F.col("t"), *period)).select("hru", day_floor(F.col("t")).alias("t"), mm_to_inches(shims[label].convert(F.col("value"), F.col("t"))).alias("value"))
-        parts.append(align(rows, days, hrus))
-    out = multi_source_bounds(parts)
+        parts.append(rows)
+    out = bounds_on_calendar(parts, hrus, calendar(*period, "day"))
     return fill(out, centroids) if centroids is not None else out
 
 

@@ -80,6 +80,17 @@ def boxes(spark: SparkSession, d: str) -> DataFrame:
     return s.withColumn("rings", F.array(F.array(p(a, b), p(c, b), p(c, e), p(a, e))))
 
 
+def box_rows(spark: SparkSession, d: str) -> int:
+    """Rows of a grid of unit cells, twelve columns wide, that all boxes' centres lie in."""
+    return (table(spark, d, "supplier").agg(F.max("s_suppkey")).first()[0] or 0) // 10 + 2
+
+
+def gridded(spark: SparkSession, d: str, how) -> DataFrame:
+    """(t, iy, ix, value): all pixels folded onto that grid by their cell's number."""
+    n = box_rows(spark, d)
+    return pixels(spark, d).groupBy("t", F.pmod(F.floor(F.col("cell") / 12), F.lit(n)).cast("int").alias("iy"), (F.col("cell") % 12).cast("int").alias("ix")).agg(how("value").alias("value"))
+
+
 def centroids(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select(F.col("vec_id").alias("hru"), F.col("embedding")[0].cast("double").alias("x"), F.col("embedding")[1].cast("double").alias("y"))
 
@@ -103,6 +114,7 @@ SQL = {
     "composites": """bins AS (SELECT o_custkey % 5 AS hru, CAST(floor((dayofyear(o_orderdate) - 1) / 8) AS INT) AS k, CAST(date_trunc('year', o_orderdate) AS DATE) AS y, sum(o_totalprice / 1000) AS s FROM orders GROUP BY ALL),
         composites AS (SELECT hru, y + k * 8 AS t, CASE WHEN NOT (hru = 3 AND k = 9) THEN s END AS value FROM bins)""",
     "boxes": "boxes AS (SELECT s_suppkey AS hru, CAST(s_suppkey % 10 + 0.3 AS DOUBLE) AS x0, CAST(floor(s_suppkey / 10) + 0.3 AS DOUBLE) AS y0 FROM supplier)",
+    "box_rows": "box_rows AS (SELECT max(s_suppkey) // 10 + 2 AS rows FROM supplier)",
     "centroids": "centroids AS (SELECT vec_id AS hru, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)",
     "meta": "meta AS (SELECT s_suppkey % 20 AS hru, count(*) * 1e6 AS area_m2 FROM supplier GROUP BY 1)",
 }

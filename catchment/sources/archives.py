@@ -70,31 +70,34 @@ def snow_headers(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, "path string, rows int, columns int, min_x double, max_y double, dx double, dy double")
 
 
-def decode_wkb(blob: bytes) -> list[list[dict[str, float]]]:
-    """Rings of a WKB polygon, or of a multipolygon with one part."""
-    order = "<" if blob[0] else ">"
-    kind, count = struct.unpack_from(order + "II", blob, 1)
-    at = 9
-    if kind == 6:
-        if count != 1:
-            raise ValueError("multipolygons with several parts must be split first")
-        return decode_wkb(blob[at:])
-    if kind != 3:
-        raise ValueError(f"not a polygon: WKB type {kind}")
-    rings = []
-    for _ in range(count):
-        (n,) = struct.unpack_from(order + "I", blob, at)
-        xy = np.frombuffer(blob, order + "f8", 2 * n, at + 4).reshape(-1, 2)
-        rings.append([{"x": float(x), "y": float(y)} for x, y in xy])
-        at += 4 + 16 * n
-    return rings
+def decode_wkb(blob: bytes) -> list[list[list[dict[str, float]]]]:
+    """The parts of a WKB polygon or multipolygon, each a list of rings. Other kinds raise."""
+    parts, at, left = [], 0, 1
+    while left:
+        order = "<" if blob[at] else ">"
+        kind, count = struct.unpack_from(order + "II", blob, at + 1)
+        at, left = at + 9, left - 1
+        if kind == 6:
+            left += count
+        elif kind == 3:
+            rings = []
+            for _ in range(count):
+                (n,) = struct.unpack_from(order + "I", blob, at)
+                xy = np.frombuffer(blob, order + "f8", 2 * n, at + 4).reshape(-1, 2)
+                rings.append([{"x": float(x), "y": float(y)} for x, y in xy])
+                at += 4 + 16 * n
+            parts.append(rings)
+        else:
+            raise ValueError(f"not a polygon: WKB type {kind}")
+    return parts
 
 
 def polygons(fabric: DataFrame, id_col: str = "hru", blob: str = "geometry") -> DataFrame:
-    """(hru, rings) from a GeoParquet table's WKB column."""
+    """(hru, part, rings) from a GeoParquet table's WKB column, a row per part; null and empty shapes have none."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield pd.DataFrame({"hru": f["hru"], "rings": [decode_wkb(bytes(b)) for b in f["blob"]]})
+            rows = [(h, k, rings) for h, b in zip(f["hru"], f["blob"], strict=True) if b is not None for k, rings in enumerate(decode_wkb(bytes(b)))]
+            yield pd.DataFrame(rows, columns=["hru", "part", "rings"])
 
-    return fabric.selectExpr(f"cast({id_col} as bigint) as hru", f"{blob} as blob").mapInPandas(run, "hru long, rings array<array<struct<x: double, y: double>>>")
+    return fabric.selectExpr(f"cast({id_col} as bigint) as hru", f"{blob} as blob").mapInPandas(run, "hru long, part int, rings array<array<struct<x: double, y: double>>>")

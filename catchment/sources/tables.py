@@ -83,9 +83,14 @@ def file_stamps(df: DataFrame, key: str = "year") -> DataFrame:
     return df.groupBy(key).agg(F.max("_metadata.file_modification_time").alias("modified"))
 
 
-def write_series(df: DataFrame, path: str, t: str = "t") -> None:
-    """Write by source and year; only the partitions at hand are replaced, so that reruns repeat nothing else."""
-    out = df.withColumn("year", F.year(t)).repartition("source", "year").sortWithinPartitions("hru", t)
+def write_series(df: DataFrame, path: str, t: str = "t", hru_span: int = 10_000) -> None:
+    """Write by source and year; only the partitions at hand are replaced, so that reruns repeat nothing else.
+
+    A year of a source is dealt out by ranges of ``hru_span`` polygon ids, so that no task
+    takes all of its polygons; each file holds neighbouring ids in order.
+    """
+    out = df.withColumn("year", F.year(t)).withColumn("__span", F.floor(F.col("hru") / hru_span))
+    out = out.repartition("source", "year", "__span").sortWithinPartitions("source", "year", "hru", t).drop("__span")
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source", "year").parquet(path)
 
 
@@ -112,6 +117,10 @@ def read_file_listing(spark: SparkSession, path: str, pattern: str = "*") -> Dat
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder that driver and executors share: below spark.checkpoint.dir, or a temporary one where a session has none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    """A new folder that driver and executors share: below spark.checkpoint.dir. Only a local session that has none gets a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/catchment-{uuid.uuid4().hex}"

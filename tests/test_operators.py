@@ -259,6 +259,144 @@ def archive(rows=2, columns=3, short=False, drop=False):
     return buf.getvalue()
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_batches_start_from_rows(spark):
+    """Each level is written, so the last one's plan does not hold the others; batches are even."""
+    p = spark.range(3000).select(F.col("id").alias("hru"), (F.col("id") * 7919 % 3001).cast("double").alias("x"), (F.col("id") * 104729 % 3001).cast("double").alias("y"))
+    out = partitioning.spatial_batches(p, 50)
+    assert plan_of(out).count("Relation") <= 2
+    sizes = [r["count"] for r in out.groupBy("batch_id").count().collect()]
+    assert len(sizes) == 64 and max(sizes) - min(sizes) <= 2
+
+
+def test_calendar_of_all_sources(spark):
+    """The same as aligning each source, with one grouping and no product of tables."""
+    months = (D(2000, 1, 1), D(2000, 6, 1), "month")
+    a = spark.createDataFrame([(1, D(2000, 1, 1), 3.0), (1, D(2000, 2, 1), None), (9, D(2000, 1, 1), 1.0), (2, D(1999, 1, 1), 5.0)], "hru long, t date, value double")
+    b = spark.createDataFrame([(1, D(2000, 1, 1), 1.0), (2, D(2000, 3, 1), 7.0)], "hru long, t date, value double")
+    hrus = spark.createDataFrame([(1,), (2,), (2,)], "hru long")
+    got = bounds.bounds_on_calendar([a, b], hrus, timeaxis.labels(*months))
+    want = bounds.multi_source_bounds([bounds.align(x, timeaxis.spine(spark, *months), hrus) for x in (a, b)])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 12
+    assert plan_of(got).count("Join") == 1 and "Cross" not in plan_of(got)
+    with pytest.raises(Exception, match="occurs twice"):
+        bounds.bounds_on_calendar([a.unionByName(a), b], hrus, timeaxis.labels(*months)).collect()
+
+
+def test_areas_in_cells(spark):
+    """Any ring, either way round, with a hole: areas by cell against points on a fine raster, and whole."""
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        angle = np.sort(rng.random(9)) * 2 * np.pi
+        r = rng.uniform(0.5, 2.5, 9)
+        ring = np.stack([3 + r * np.cos(angle), 3 + r * np.sin(angle)], axis=1)[:: rng.choice([-1, 1])]
+        x, y = ring.T
+        whole = abs((x * np.roll(y, -1) - np.roll(x, -1) * y).sum()) / 2
+        cells = geometry._cover([ring], np.arange(6.0), np.arange(1.0, 7), np.arange(6.0), np.arange(1.0, 7))
+        assert cells.sum() == pytest.approx(whole)
+        gx, gy = (v.ravel() for v in np.meshgrid(np.arange(0.005, 6, 0.01), np.arange(0.005, 6, 0.01)))
+        a, b = ring, np.roll(ring, -1, axis=0)
+        hit = sum(((p[1] > gy) != (q[1] > gy)) & (gx < p[0] + (gy - p[1]) * (q[0] - p[0]) / (q[1] - p[1])) for p, q in zip(a, b, strict=True)) % 2 == 1
+        fine = np.zeros((6, 6))
+        np.add.at(fine, (gy[hit].astype(int), gx[hit].astype(int)), 1e-4)
+        assert np.abs(fine - cells).max() < 0.01
+    f = spark.createDataFrame([(1, [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)], [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 2.0)]]), (2, None)], "hru long, rings array<array<struct<x: double, y: double>>>")
+    got = {(r["iy"], r["ix"]): r["area"] for r in geometry.weights(f, 0.0, 0.0, 1.0, 1.0, 4, 4).collect()}
+    assert (1, 1) not in got and len(got) == 15 and sum(got.values()) == pytest.approx(15)
+    axis = spark.createDataFrame([(5, 2.0, 3.5), (7, 0.5, 1.0), (6, 1.0, 2.0), (9, 8.0, 9.0)], "idx int, lo double, hi double")
+    odd = {(r["iy"], r["ix"]): r["area"] for r in geometry.irregular_weights(f, axis, axis).collect()}
+    assert odd == {(5, 5): pytest.approx(2.25), (5, 6): pytest.approx(1.5), (6, 5): pytest.approx(1.5), (7, 7): pytest.approx(0.25), (7, 6): pytest.approx(0.5), (6, 7): pytest.approx(0.5), (5, 7): pytest.approx(0.75), (7, 5): pytest.approx(0.75)}
+
+
+def test_grids_of_different_steps(spark):
+    v = spark.createDataFrame([("a", 0, 0, 1.0), ("a", 0, 1, 3.0), ("a", 1, 0, None), ("a", 1, 1, 5.0)], "t string, iy int, ix int, value double")
+    source = (0.0, 2.0, 1.0, 1.0, 2, 2)
+    get = lambda df: {(r["ty"], r["tx"]): r["value"] for r in df.collect()}
+    assert get(raster.overlap_average(v, source, (0.0, 2.0, 2.0, 2.0, 1, 1), ["t"])) == {(0, 0): pytest.approx(3.0)}
+    assert get(raster.overlap_average(v, source, (0.5, 2.0, 1.0, 1.0, 2, 2), ["t"])) == {(0, 0): pytest.approx(2.0), (0, 1): pytest.approx(3.0), (1, 0): pytest.approx(5.0), (1, 1): pytest.approx(5.0)}
+    fine = get(raster.overlap_average(v, source, (0.0, 2.0, 0.25, 0.25, 8, 8), ["t"]))
+    assert len(fine) == 48 and fine[0, 3] == 1 and fine[0, 4] == 3 and fine[7, 7] == 5
+    other = spark.createDataFrame([("a", 0, k, float(k)) for k in range(4)] + [("b", 0, 1, 9.0)], "t string, iy int, ix int, value double")
+    got = {(r["t"], r["iy"], r["ix"], r["value"], r["source_value"]) for r in raster.on_common_grid(v, source, other, (-1.0, 2.0, 1.0, 1.0, 4, 1), ["t"]).collect()}
+    assert got == {("a", 0, 1, 1.0, 1.0), ("a", 0, 2, 2.0, 3.0), ("b", 0, 1, 9.0, None)}
+
+
+def test_medians_of_several(spark):
+    g = spark.createDataFrame([(0, k, D(2000, 1, 1), float(k), k * 10, None) for k in range(5)] + [(0, 0, D(2001, 1, 1), None, None, None)], "iy int, ix int, t date, a double, b int, c double")
+    w = spark.createDataFrame([(0, k, 1, 4.0 if k == 3 else 1.0) for k in range(5)], "iy int, ix int, hru long, area double")
+    out = zonal.aggregate(g, w, ["a", "b", "c"], "masked_median")
+    assert dict(out.dtypes)["b"] == "int" and sorted(map(tuple, out.collect())) == [(1, D(2000, 1, 1), 3.0, 30, None), (1, D(2001, 1, 1), None, None, None)]
+
+
+def test_percentile_sketches(spark):
+    d = spark.range(1001).select(F.lit("g").alias("g"), F.col("id").cast("double").alias("value"))
+    exact, near = (diagnostics.percentiles(d, ["g"], [0.02, 0.5], accuracy=k).first() for k in (None, 100_000))
+    assert tuple(exact) == tuple(near) == ("g", 20.0, 500.0)
+    assert diagnostics.describe(d, "value", 1000).first()["p50"] == 500 and diagnostics.field_statistics(d, "value", 990, 1000).first()["p99"] == 990
+
+
+def test_years_go_on(spark, tmp_path):
+    from catchment.plans import yearly
+
+    path, built = f"{tmp_path}/years", []
+
+    def build(y):
+        built.append(y)
+        return spark.createDataFrame([(1, float(y)), (2, 0.0)] if y != 2004 else [(1, 4.0), (3, 0.0)], "hru long, value double").coalesce(1)
+
+    assert yearly.run_years(spark, [2001, 2003], build, path) == [2001, 2003]
+    assert yearly.run_years(spark, range(2001, 2004), build, path) == [2002] and built == [2001, 2003, 2002]
+    assert {r["value"] for r in yearly.stitch(spark, path, range(2001, 2004)).collect()} == {2001.0, 2002.0, 2003.0, 0.0}
+    (part,) = (tmp_path / "years" / "year=2002").glob("*.parquet")
+    part.write_bytes(b"")
+    inputs = spark.createDataFrame([(2001, dt.datetime(2000, 1, 1)), (2003, dt.datetime(2100, 1, 1))], "year int, modified timestamp")
+    assert yearly.run_years(spark, range(2001, 2004), build, path, inputs) == [2002, 2003]
+    with pytest.raises(ValueError, match="no data"):
+        yearly.stitch(spark, path, range(2001, 2005))
+    yearly.run_years(spark, [2004], build, path)
+    with pytest.raises(ValueError, match="other polygons"):
+        yearly.stitch(spark, path, range(2001, 2005))
+
+
+def test_grid_files(spark, tmp_path):
+    for year in (2000, 2001):
+        spark.createDataFrame([(year, 0, 1.0)], "year int, ix int, v double").coalesce(1).write.parquet(f"{tmp_path}/grids/y{year}")
+    grids = tables.read_grids(spark, f"{tmp_path}/grids", "year int, ix int, v double")
+    assert {r["year"] for r in grids.collect()} == {2000, 2001}
+    with pytest.raises(FileNotFoundError):
+        tables.read_grids(spark, f"{tmp_path}/grids", "year int, ix int, v double", "*.nothing")
+    stamps = {r["year"]: r["modified"] for r in tables.file_stamps(grids).collect()}
+    listing = tables.read_file_listing(spark, f"{tmp_path}/grids", "*.parquet").collect()
+    assert sorted(stamps) == [2000, 2001] and len(listing) == 2 and {r["modificationTime"] for r in listing} == set(stamps.values()) and all(r["length"] > 0 for r in listing)
+
+
+def test_years_in_many_files(spark, tmp_path):
+    rows = spark.range(50).select(F.lit("a").alias("source"), F.lit("v").alias("var"), F.col("id").alias("hru"), F.lit(D(2000, 1, 1)).alias("t"), F.lit(1.0).alias("value"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else so few rows come together again
+    try:
+        tables.write_series(rows, f"{tmp_path}/s", hru_span=5)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    got = spark.read.parquet(f"{tmp_path}/s").select("hru", F.input_file_name().alias("f")).collect()
+    assert len(got) == 50 and len({r["f"] for r in got}) > 1
+
+
+def test_archives_to_targets(spark):
+    content = lambda **k: bytearray(archive(**k))
+    files = spark.createDataFrame([("x/SNODAS_20050117.tar", content()), ("x/SNODAS_20050118.tar", content())], "path string, content binary")
+    at = spark.createDataFrame([(1, -124.45, 52.45), (2, -124.25, 52.45), (3, -124.45, 52.35), (4, 0.0, 0.0), (5, -124.35, 52.45)], "hru long, x double, y double")
+    got = {(r["t"], r["hru"], r["value"]) for r in pipelines.snow_archives(files, at).select("t", "hru", "value").collect()}
+    assert got == {(D(2005, 1, d), h, v) for d in (17, 18) for h, v in ((1, 1.0), (2, 3.0), (3, 4.0))}
+    other = files.unionByName(spark.createDataFrame([("x/SNODAS_20050119.tar", content(columns=2))], "path string, content binary"))
+    with pytest.raises(ValueError):
+        pipelines.snow_archives(other, at)
+    with pytest.raises(FileNotFoundError):
+        pipelines.snow_archives(files.limit(0), at)
+
+
 def test_archives(spark, tmp_path):
     (tmp_path / "SNODAS_20050117.tar").write_bytes(archive())
     files = spark.read.format("binaryFile").load(str(tmp_path))
@@ -274,6 +412,16 @@ def test_wkb(spark):
     blob = struct.pack("<BIII", 1, 3, 1, 4) + b"".join(struct.pack("<dd", *p) for p in ring)
     f = archives.polygons(spark.createDataFrame([(7, bytearray(blob))], "id int, geometry binary"), "id")
     assert f.select(geometry.area(F.col("rings"))).first()[0] == 1.0
+    island = struct.pack("<BIII", 1, 3, 1, 4) + b"".join(struct.pack("<dd", x + 6, y) for x, y in ring)
+    big = struct.pack(">BIII", 0, 3, 1, 4) + b"".join(struct.pack(">dd", *p) for p in ring)
+    several = struct.pack("<BII", 1, 6, 2) + big + island
+    f = archives.polygons(spark.createDataFrame([(7, bytearray(several)), (8, None), (9, bytearray(struct.pack("<BII", 1, 6, 0)))], "hru int, geometry binary"))
+    assert [(r["hru"], r["part"]) for r in f.orderBy("part").collect()] == [(7, 0), (7, 1)]
+    (r,) = geometry.area_and_centroids(f).collect()
+    assert (r["hru"], r["area_m2"], r["centroid_x"]) == (7, 2.0, pytest.approx(2 / 3 + 3))
+    assert sum(w["area"] for w in geometry.weights(f, 0.0, 0.0, 10.0, 10.0, 1, 1).collect()) == pytest.approx(2.0) and geometry.weights(f, 0.0, 0.0, 10.0, 10.0, 1, 1).count() == 1
+    with pytest.raises(ValueError):
+        archives.decode_wkb(struct.pack("<BI", 1, 1) + bytes(16))
 
 
 def test_drift_and_checks(spark):
