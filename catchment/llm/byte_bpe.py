@@ -132,7 +132,7 @@ class Coder:
         import regex
 
         self.ranks, self.split = Ranks(path), regex.compile(pattern).findall
-        self.words, self.pieces = Table(keep), Table(keep)
+        self.table = Table(keep)
         size = np.array([len(self.ranks.bytes.get(i, b"")) for i in range(max(self.ranks.bytes) + 1)])
         self.size, self.start = size, np.cumsum(size) - size
         self.flat = np.frombuffer(b"".join(self.ranks.bytes.get(i, b"") for i in range(len(size))), np.uint8)
@@ -153,19 +153,23 @@ class Coder:
         return gather(np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size, size, at, edges)
 
     def spell(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece; all words that are new are the corpus of one replay."""
-        new = self.pieces.missing(set(pieces))
+        """The ids of each piece; all words that are new are the corpus of one replay.
+
+        One table holds pieces and words, since a word by itself is a piece of one word.
+        """
+        new = self.table.missing(set(pieces))
         split = list(map(self.split, new))
-        unknown = self.words.missing(set().union(*split))
-        words, known = self.words.young, self.pieces.young
-        words.update(zip(unknown, self.ranks.replay([w.encode() for w in unknown]), strict=True))
-        for p, ws in zip(new, split, strict=True):
-            known[p] = words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])
+        single = [p for p, ws in zip(new, split, strict=True) if len(ws) == 1]
+        several = [(p, ws) for p, ws in zip(new, split, strict=True) if len(ws) != 1]
+        inner = self.table.missing({w for _, ws in several for w in ws}.difference(single), turn=False)
+        known, unknown = self.table.young, single + inner
+        known.update(zip(unknown, self.ranks.replay([w.encode() for w in unknown]), strict=True))
+        for p, ws in several:
+            known[p] = b"".join([known[w] for w in ws])
         out = list(map(known.__getitem__, pieces))
-        for table, keys in ((words, unknown), (known, new)):
-            for k in keys:
-                if len(k) > LONGEST:
-                    del table[k]
+        for k in {*new, *inner}:
+            if len(k) > LONGEST:
+                del known[k]
         return out
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,7 +182,7 @@ def _coder(path: str, pattern: str) -> Coder:
     return Coder(path, pattern)
 
 
-def encode_bytes(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", columns: tuple[str, ...] = tuple(CODED.names), corpus: int = 8 << 20) -> DataFrame:
+def encode_bytes(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", columns: tuple[str, ...] = tuple(CODED.names), corpus: int = 4 << 20) -> DataFrame:
     """Per row the ``columns`` asked for: doc_id, n_tokens, ids_sha256, decoded_sha256, ids, decoded.
 
     ``corpus`` bytes of text at most, or one text, are replayed at once.
@@ -198,6 +202,7 @@ def encode_bytes(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_i
                 if name in columns:
                     cols[name] = [bytes(x) for x in some]
             yield pa.RecordBatch.from_pydict({n: cols[n] for n in columns}, schema=schema)
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     kinds = {"doc_id": "long", "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string", "ids": "binary", "decoded": "binary"}
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))

@@ -25,9 +25,9 @@ class Table:
     def __init__(self, size: int):
         self.size, self.young, self.old = size, {}, {}
 
-    def missing(self, keys: set) -> list:
-        """Those of ``keys`` that must be worked out; the others stand in ``young`` now."""
-        if len(self.young) > self.size:
+    def missing(self, keys: set, turn: bool = True) -> list:
+        """Those of ``keys`` that must be worked out; the others stand in ``young`` now, and what stood there stays without ``turn``."""
+        if turn and len(self.young) > self.size:
             self.old, self.young = self.young, {}
         young, old, new = self.young, self.old, []
         for k in keys.difference(young):

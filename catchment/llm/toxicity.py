@@ -161,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, voters: i
         for batch in batches:
             for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 tally[y].update(evidence(t))
-                if len(tally[0]) + len(tally[1]) > 1_000_000:
+                if len(tally[0]) + len(tally[1]) > 200_000:
                     yield out()
                     tally[0].clear(), tally[1].clear()
         yield out()
