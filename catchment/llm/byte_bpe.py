@@ -128,7 +128,7 @@ class Ranks:
 class Coder:
     """Encodes and decodes texts; keeps the ids of words and of pieces between blanks."""
 
-    def __init__(self, path: str, pattern: str, keep: int = 400_000):
+    def __init__(self, path: str, pattern: str, keep: int = 300_000):
         import regex
 
         self.ranks, self.split = Ranks(path), regex.compile(pattern).findall
