@@ -112,7 +112,13 @@ def e8(spark, d):
     return rounded(pipelines.et_tiles(pixels, raster.target_grid(-102.0, 38.0, -98.0, 42.0, 1.0), ["tile"]), "value")
 
 
-QUERIES["e8_et_tiles"] = (e8, None)
+QUERIES["e8_et_tiles"] = (
+    e8,
+    with_views("centroids", """p AS (SELECT 'h' || (hru % 4) AS tile, -100.0::DOUBLE + x * 5 AS lon, 40.0::DOUBLE + y * 5 AS lat, CAST(hru % 3600 AS DOUBLE) AS value FROM centroids),
+    f AS (SELECT tile, lon, lat, CASE WHEN value <= CASE WHEN max(value) OVER (PARTITION BY tile) > 5000 THEN 32700 ELSE 3270 END THEN value END AS value FROM p),
+    m AS (SELECT lon, lat, value FROM f QUALIFY row_number() OVER (PARTITION BY lon, lat ORDER BY tile) = 1)""",
+    "SELECT 1 AS t, CAST(floor(42 - lat) AS INT) AS ty, CAST(floor(lon + 102) AS INT) AS tx, round(avg(value), 4) AS value FROM m WHERE floor(42 - lat) BETWEEN 0 AND 3 AND floor(lon + 102) BETWEEN 0 AND 3 GROUP BY ALL"),
+)
 
 
 def _archive(key, frame):
