@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catchment.functions.projections import from_sinusoidal
+from catchment.functions.projections import SPHERE, from_sinusoidal
 
 
 def mosaic(tiles: DataFrame, cell: list[str], order: str) -> DataFrame:
@@ -67,6 +67,52 @@ def sinusoidal_to_grid(pixels: DataFrame, grid: tuple, how: str, by: list[str],
     return to_grid(pixels.withColumn("lon", lon).withColumn("lat", lat), grid, how, by, value)
 
 
+def _swept(lon: Column, x_lo: Column, x_hi: Column, p: Column, r: Column, radius: float) -> Column:
+    """Integral over latitudes p..r (radians, 0 <= p <= r) of what lies in x_lo..x_hi to the west of a meridian (radians).
+
+    The meridian stands at radius * lon * cos(latitude), so it leaves the strip at its ends'
+    arc cosines and is a sine in between.
+    """
+    a = F.abs(radius * lon)
+    lo, hi = F.when(lon > 0, x_lo).otherwise(-x_hi), F.when(lon > 0, x_hi).otherwise(-x_lo)
+    at = lambda x: F.least(F.greatest(F.acos(F.least(F.greatest(x / F.when(a > 0, a), F.lit(-1.0)), F.lit(1.0))), p), r)
+    beyond, before = at(hi), at(lo)
+    east = (hi - lo) * (beyond - p) + a * (F.sin(before) - F.sin(beyond)) - lo * (before - beyond)
+    on_axis = F.least(F.greatest(-x_lo, F.lit(0.0)), x_hi - x_lo) * (r - p)
+    return F.when(lon == 0, on_axis).when(lon > 0, east).otherwise((hi - lo) * (r - p) - east)
+
+
+def sinusoidal_weights(cells: DataFrame, source: tuple[float, float, float, float], grid: tuple[float, float, float, float, int, int], radius: float = SPHERE) -> DataFrame:
+    """(iy, ix, ty, tx, area) of sinusoidal pixels (iy, ix) and the cells of a geographic grid that they share area with.
+
+    ``source`` is (x0, y1, dx, dy) in metres, ``grid`` as in ``target_grid`` in degrees, rows from
+    the north. A row of pixels is flat in latitude and its pixels' edges move with the cosine, so
+    areas on the sphere have a closed form; a pixel inside the grid gives its whole area away.
+    Each hemisphere is taken by itself.
+    """
+    (sx, sy, sdx, sdy), (gx, gy, gdx, gdy, nx, ny) = source, grid
+    top = (sy - F.col("iy") * sdy) / radius
+    rows = cells.select("iy", "ix").distinct().withColumns({"__l": sx + F.col("ix") * sdx, "__r": sx + (F.col("ix") + 1) * sdx, "__n": top, "__s": top - sdy / radius})
+    first, last = F.greatest(F.floor((gy - F.degrees("__n")) / gdy), F.lit(0)), F.least(F.ceil((gy - F.degrees("__s")) / gdy) - 1, F.lit(ny - 1))
+    rows = rows.withColumn("ty", F.explode(F.when(first <= last, F.sequence(first.cast("int"), last.cast("int")))))
+    north, south = F.least("__n", F.radians(gy - F.col("ty") * gdy)), F.greatest("__s", F.radians(gy - (F.col("ty") + 1) * gdy))
+    rows = rows.withColumns({"__n": north, "__s": south})
+    halves = F.array(F.struct(F.greatest("__s", F.lit(0.0)).alias("p"), F.col("__n").alias("r")), F.struct(F.greatest(-F.col("__n"), F.lit(0.0)).alias("p"), (-F.col("__s")).alias("r")))
+    rows = rows.withColumn("h", F.explode(F.filter(halves, lambda h: h["r"] - h["p"] > 1e-9 * sdy / radius))).select("*", "h.p", "h.r")
+    lons = [F.degrees(F.col(x) / (radius * F.cos(F.col(t)))) for x in ("__l", "__r") for t in ("p", "r")]
+    first, last = F.greatest(F.floor((F.least(*lons) - gx) / gdx), F.lit(0)), F.least(F.ceil((F.greatest(*lons) - gx) / gdx) - 1, F.lit(nx - 1))
+    rows = rows.withColumn("tx", F.explode(F.when(first <= last, F.sequence(first.cast("int"), last.cast("int")))))
+    west = lambda k: _swept(F.radians(gx + (F.col("tx") + k) * gdx), F.col("__l"), F.col("__r"), F.col("p"), F.col("r"), radius)
+    shared = rows.groupBy("iy", "ix", "ty", "tx").agg((radius * F.sum(west(1) - west(0))).alias("area"))
+    return shared.where(F.col("area") > 1e-9 * sdx * sdy)
+
+
+def average_by_weights(values: DataFrame, weights: DataFrame, by: list[str], value: str = "value") -> DataFrame:
+    """Values (iy, ix) averaged by the areas that they share with target cells (ty, tx); missing ones weigh nothing."""
+    rows = values.where(F.col(value).isNotNull()).join(weights, ["iy", "ix"])
+    return rows.groupBy(*by, "ty", "tx").agg((F.sum(F.col("area") * F.col(value)) / F.sum("area")).alias(value))
+
+
 def nearest_lookup(targets: DataFrame, x0: float, y1: float, dx: float, dy: float, nx: int, ny: int, x: str = "x", y: str = "y") -> DataFrame:
     """Source index (iy, ix) of each target centre given in the source's system; targets off the source go.
 

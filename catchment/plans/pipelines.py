@@ -44,6 +44,15 @@ def et_tiles(pixels: DataFrame, grid: tuple, tile: list[str]) -> DataFrame:
     return raster.sinusoidal_to_grid(raster.mosaic(clean, ["t", "x", "y"], tile[0]), grid, "average", ["t"])
 
 
+def et_tiles_by_overlap(pixels: DataFrame, source: tuple[float, float, float, float], grid: tuple, tile: list[str]) -> DataFrame:
+    """The same for pixels numbered (iy, ix) on one sinusoidal grid, averaged by the area that they share with each cell.
+
+    The weights do not depend on time: they are made once for all days and tiles.
+    """
+    clean = raster.mosaic(et_fill_by_tile(pixels, "value", tile), ["t", "iy", "ix"], tile[0])
+    return raster.average_by_weights(clean, raster.sinusoidal_weights(pixels, source, grid), ["t"])
+
+
 def snow_archives(files: DataFrame, targets: DataFrame, day: str = r"(\d{8})") -> DataFrame:
     """Daily archives (path, content) onto the target points (x, y): checked headers, decoded pixels, a lookup made once.
 
