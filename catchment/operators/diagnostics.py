@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from catchment.operators import selection
+
 
 def _area_mean(v: Column, area: Column) -> Column:
     mass = F.sum(F.when(v.isNotNull(), area))
@@ -48,17 +50,21 @@ def missing_count(df: DataFrame, value: str = "value") -> DataFrame:
     return df.agg(n.alias("n_missing"), (n / F.count("*")).alias("missing_share"))
 
 
-def _percentile(c: Column, p: float, accuracy: int | None) -> Column:
-    return F.percentile(c, F.lit(p)) if accuracy is None else F.percentile_approx(c, p, accuracy)
-
-
 def percentiles(df: DataFrame, by: list[str], at: list[float], value: str = "value", accuracy: int | None = None) -> DataFrame:
     """Percentiles, a column each: p2 for 0.02.
 
-    Exact and interpolated ones keep a group's distinct values in one task. With ``accuracy``
-    (say 100,000) they come from sketches of bounded size, off by a share of 1 / accuracy of the rows.
+    Exact and interpolated ones come from distributed selection, whatever a group's size; its
+    passes run when this is called. With ``accuracy`` (say 100,000) they come from sketches of
+    bounded size in one lazy pass, off by a share of 1 / accuracy of the rows.
     """
-    return df.groupBy(*by).agg(*[_percentile(F.col(value), p, accuracy).alias(f"p{round(p * 100)}") for p in at])
+    if accuracy is not None:
+        return df.groupBy(*by).agg(*[F.percentile_approx(value, p, accuracy).alias(f"p{round(p * 100)}") for p in at])
+    found = selection.wide(df, value, at, by)
+    if not by:
+        return found
+    groups = df.select(*by).distinct()
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
+    return groups.alias("l").join(found.alias("r"), same, "left").select(*[F.col(f"l.{c}") for c in by], *[F.col(f"r.p{round(p * 100)}") for p in at])
 
 
 def histogram(df: DataFrame, by: str, bins: int = 60, value: str = "value") -> DataFrame:
@@ -70,10 +76,17 @@ def histogram(df: DataFrame, by: str, bins: int = 60, value: str = "value") -> D
     return out.select(by, "bin", "n", (F.col("n") / (F.col("all") * (F.col("hi") - F.col("lo")) / bins)).alias("density"))
 
 
+def _beside(row: DataFrame, df: DataFrame, value: str, at: list[float], accuracy: int | None, order: list[str]) -> DataFrame:
+    """One row of figures with percentiles beside it."""
+    one = percentiles(df, [], at, value, accuracy).withColumn("__one", F.lit(1))
+    return row.withColumn("__one", F.lit(1)).join(one, "__one").select(*order)
+
+
 def describe(df: DataFrame, value: str, accuracy: int | None = None) -> DataFrame:
     """One row of summary figures; ``accuracy`` as in ``percentiles``."""
     c = F.col(value)
-    return df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("std"), F.min(c).alias("min"), *[_percentile(c, p / 100, accuracy).alias(f"p{p}") for p in (25, 50, 75)], F.max(c).alias("max"), F.sum(c).alias("total"))
+    row = df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"), F.sum(c).alias("total"))
+    return _beside(row, df, value, [0.25, 0.5, 0.75], accuracy, ["n", "mean", "std", "min", "p25", "p50", "p75", "max", "total"])
 
 
 def granules_by(df: DataFrame, key: str, path: str = "path") -> DataFrame:
@@ -100,7 +113,8 @@ def difference_of_means(df: DataFrame, by: list[str], a: str, b: str) -> DataFra
 def field_statistics(df: DataFrame, value: str, limit: float, accuracy: int | None = None) -> DataFrame:
     """One row of a field's figures; ``accuracy`` as in ``percentiles``."""
     c = F.col(value)
-    return df.agg(F.min(c).alias("least"), F.max(c).alias("greatest"), F.avg(c).alias("mean"), (F.count_if(c.isNull()) / F.count("*")).alias("missing_share"), _percentile(c, 0.99, accuracy).alias("p99"), F.count_if(c > limit).alias("n_above"))
+    row = df.agg(F.min(c).alias("least"), F.max(c).alias("greatest"), F.avg(c).alias("mean"), (F.count_if(c.isNull()) / F.count("*")).alias("missing_share"), F.count_if(c > limit).alias("n_above"))
+    return _beside(row, df, value, [0.99], accuracy, ["least", "greatest", "mean", "missing_share", "p99", "n_above"])
 
 
 def category_shares(df: DataFrame, code: str, labels: DataFrame | None = None) -> DataFrame:

@@ -7,16 +7,17 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from catchment.operators import selection
 from catchment.sources.tables import scratch
 
 
-def spatial_batches(points: DataFrame, size: int, x: str = "x", y: str = "y", id_col: str = "hru") -> DataFrame:
+def spatial_batches(points: DataFrame, size: int, x: str = "x", y: str = "y", id_col: str = "hru", sketched: int = 20_000) -> DataFrame:
     """``points`` with ``batch_id`` by bisection at the lower median, along x and y in turn.
 
     A node of ``size`` // 2 points or fewer, or one that a median does not part, stays whole.
     Each level is one aggregation and one join, whatever the number of nodes, and is written,
-    so that the next one starts from rows. Medians are quantile sketches of bounded size:
-    exact up to some ten thousand points in a node, beyond that good to a hundred thousandth of them.
+    so that the next one starts from rows. Medians are exact: of nodes up to ``sketched`` points
+    from a quantile sketch, whose error is below half a rank there, of larger ones by selection.
     """
     n = points.count()
     if not n:
@@ -27,6 +28,9 @@ def spatial_batches(points: DataFrame, size: int, x: str = "x", y: str = "y", id
     for level in range(depth):
         c = x if level % 2 == 0 else y
         cuts = now.where("__open").groupBy("__path").agg(F.percentile_approx(c, 0.5, 100_000).alias("__cut"), F.count("*").alias("__n"), F.max(c).alias("__hi"))
+        if now.where("__open").groupBy("__path").count().where(F.col("count") > sketched).take(1):
+            exact = selection.quantiles(now.where("__open"), c, [0.5], ["__path"], discrete=True, leaf=sketched)
+            cuts = cuts.drop("__cut").join(exact.select("__path", F.col(c).alias("__cut")), "__path")
         cuts = cuts.where((F.col("__n") > max(1, size // 2)) & (F.col("__hi") > F.col("__cut")))
         now = now.join(cuts.select("__path", "__cut"), "__path", "left")
         split = F.col("__open") & F.col("__cut").isNotNull()
