@@ -74,3 +74,61 @@ def to_lambert(lon: Column, lat: Column, lat1: float, lat2: float, lat0: float,
     rho = A * f * F.pow(F.tan(math.pi / 4 - r / 2) / F.pow((1 - _E * s) / (1 + _E * s), F.lit(_E / 2)), F.lit(n))
     theta = n * F.radians(lon - lon0)
     return x0 + rho * F.sin(theta), y0 + rho0 - rho * F.cos(theta)
+
+
+def _half_angle(s: Column) -> Column:
+    """Snyder's t from the sine of a latitude, without its tangent's pole."""
+    return F.sqrt((1 - s) / (1 + s) * F.pow((1 + _E * s) / (1 - _E * s), F.lit(_E)))
+
+
+def _cone(lat1: Column, lat2: Column, lat0: Column) -> tuple[Column, Column, Column]:
+    """Exponent, scale and the origin's radius of a Lambert cone whose parallels may differ from row to row."""
+    s1, s2, s0 = (F.sin(F.radians(x)) for x in (lat1, lat2, lat0))
+    m1, m2 = (F.cos(F.radians(x)) / F.sqrt(1 - _E2 * s * s) for x, s in ((lat1, s1), (lat2, s2)))
+    n = F.when(lat1 == lat2, s1).otherwise(F.log(m1 / m2) / F.log(_half_angle(s1) / _half_angle(s2)))
+    f = m1 / (n * F.pow(_half_angle(s1), n))
+    return n, f, A * f * F.pow(_half_angle(s0), n)
+
+
+def from_lambert(x: Column, y: Column, lat1, lat2, lat0, lon0, x0=0.0, y0=0.0) -> tuple[Column, Column]:
+    """The inverse of ``to_lambert``; parameters are numbers or columns.
+
+    The latitude comes from the conformal one by a series of four terms, good to 1e-10 degrees.
+    """
+    lat1, lat2, lat0, lon0, x0, y0 = (p if isinstance(p, Column) else F.lit(float(p)) for p in (lat1, lat2, lat0, lon0, x0, y0))
+    n, f, rho0 = _cone(lat1, lat2, lat0)
+    u, v = x - x0, rho0 - (y - y0)
+    sign = F.signum(n)
+    rho = sign * F.sqrt(u * u + v * v)
+    chi = math.pi / 2 - 2 * F.atan(F.pow(rho / (A * f), 1 / n))
+    e4, e6, e8 = _E2**2, _E2**3, _E2**4
+    terms = (_E2 / 2 + 5 * e4 / 24 + e6 / 12 + 13 * e8 / 360, 7 * e4 / 48 + 29 * e6 / 240 + 811 * e8 / 11520, 7 * e6 / 120 + 81 * e8 / 1120, 4279 * e8 / 161280)
+    lat = chi
+    for k, term in enumerate(terms, 1):
+        lat = lat + term * F.sin(2 * k * chi)
+    return lon0 + F.degrees(F.atan2(sign * u, sign * v) / n), F.degrees(lat)
+
+
+def to_lambert_by(lon: Column, lat: Column, lat1, lat2, lat0, lon0, x0=0.0, y0=0.0) -> tuple[Column, Column]:
+    """``to_lambert`` with parameters that are numbers or columns."""
+    lat1, lat2, lat0, lon0, x0, y0 = (p if isinstance(p, Column) else F.lit(float(p)) for p in (lat1, lat2, lat0, lon0, x0, y0))
+    n, f, rho0 = _cone(lat1, lat2, lat0)
+    rho, theta = A * f * F.pow(_half_angle(F.sin(F.radians(lat))), n), n * F.radians(lon - lon0)
+    return x0 + rho * F.sin(theta), y0 + rho0 - rho * F.cos(theta)
+
+
+def geographic(x: Column, y: Column, mapping: Column) -> tuple[Column, Column]:
+    """Longitude and latitude of points given in the system that a grid-mapping struct names.
+
+    ``mapping`` has grid_mapping_name, standard_parallel (one or two numbers),
+    latitude_of_projection_origin, longitude_of_central_meridian, false_easting and
+    false_northing; regions with different attributes may stand in one table. A system that is
+    not known raises.
+    """
+    name = mapping["grid_mapping_name"]
+    parallels = mapping["standard_parallel"]
+    or_zero = lambda c: F.coalesce(mapping[c], F.lit(0.0))
+    cone = from_lambert(x, y, parallels[0], F.coalesce(F.get(parallels, F.lit(1)), parallels[0]), mapping["latitude_of_projection_origin"], mapping["longitude_of_central_meridian"], or_zero("false_easting"), or_zero("false_northing"))
+    flat = from_sinusoidal(x, y)
+    odd = F.raise_error(F.concat(F.lit("unknown grid mapping: "), F.coalesce(name, F.lit("none")))).cast("double")
+    return tuple(F.when(name == "lambert_conformal_conic", cone[k]).when(name == "sinusoidal", flat[k]).when(name == "latitude_longitude", (x, y)[k]).otherwise(odd) for k in (0, 1))

@@ -82,10 +82,11 @@ def fill(bounds: DataFrame, centroids: DataFrame, max_candidates: int = 10, cell
     """Bounds with both ends missing take those of the nearest polygon that has both at the same time.
 
     Adds ``nn_filled`` (0 or 1). "observed": only observed bounds are given on. "chained":
-    polygons are gone through in id order and a filled one can give on.
+    polygons are gone through in id order and a filled one can give on. ``centroids`` (hru, x, y)
+    may also be neighbours (hru, donor, rank) that ``nearest`` has found before.
     """
     b = bounds.withColumn("__gap", F.col("lower_bound").isNull() & F.col("upper_bound").isNull())
-    near = nearest(b.where("__gap").select("hru").distinct(), centroids, max_candidates, cell)
+    near = centroids if "donor" in centroids.columns else nearest(b.where("__gap").select("hru").distinct(), centroids, max_candidates, cell)
     rest = [c for c in bounds.columns if c not in ("hru", "t", "lower_bound", "upper_bound")]
     if donors == "observed":
         have = bounds.where("lower_bound is not null and upper_bound is not null").select(F.col("hru").alias("donor"), "t", F.col("lower_bound").alias("dl"), F.col("upper_bound").alias("du"))

@@ -18,23 +18,49 @@ def kind_of(cell_methods: str | None) -> str:
     return kind
 
 
-def increments(df: DataFrame, by: list[str], ts: str = "ts", value: str = "value", per_year: bool = False) -> DataFrame:
-    """Hourly accumulations to increments. A negative difference is a reset: the raw value counts.
+def _same(left: str, right: str, by: list[str]) -> Column:
+    """Equality of keys, missing ones included."""
+    out = F.lit(True)
+    for c in by:
+        out = out & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return out
 
-    The first sample of a series has no increment and goes; with ``per_year`` also the
-    first of each year, as if years were worked on apart. A gap before a sample makes its
-    difference NULL, and then the raw value counts as well.
-    """
-    keys = [*by, F.year(ts)] if per_year else by
-    w = Window.partitionBy(*keys).orderBy(ts)
-    rows = df.withColumn("__n", F.row_number().over(w)).withColumn("__d", F.col(value) - F.lag(value).over(w))
-    return rows.where("__n > 1").withColumn(value, F.when(F.col("__d") >= 0, F.col("__d")).otherwise(F.col(value))).drop("__n", "__d")
 
+def last_samples(df: DataFrame, by: list[str], ts: str = "ts", value: str = "value") -> DataFrame:
+    """(by, ts, value) of each series' last sample: what the next year needs of this one."""
+    return df.groupBy(*by).agg(F.max(ts).alias(ts), F.max_by(value, ts).alias(value))
 
-def hourly_to_daily(df: DataFrame, by: list[str], ts: str = "ts", value: str = "value", per_year: bool = False) -> DataFrame:
+
+def increments(df: DataFrame, by: list[str], ts: str = "ts", value: str = "value", per_year: bool = False, before: DataFrame | None = None) -> DataFrame:
+    """Hourly accumulations to increments. A negative difference is a reset: the raw value counts.
+
+    The first sample of a series has no increment and goes, unless ``before`` (by, value: the
+    last samples of an earlier run, as ``last_samples`` gives them) has the series; with
+    ``per_year`` also the first of each year, as if years were worked on apart. A gap before a
+    sample makes its difference NULL, and then the raw value counts as well.
+
+    Samples are sorted within a series' month only. The last sample of a month is carried to
+    the next month that has any by a join with one row per series and month.
+    """
+    month = F.date_trunc("month", ts)
+    ends = df.groupBy(*by, month.alias("__m")).agg(F.max_by(value, ts).alias("__last"))
+    years = [F.year("__m")] if per_year else []
+    carried = ends.withColumn("__c", F.lag(F.struct("__last")).over(Window.partitionBy(*by, *years).orderBy("__m"))).drop("__last")
+    if before is not None and not per_year:
+        old = before.select(*by, F.struct(F.col(value).alias("__last")).alias("__old"))
+        carried = carried.alias("l").join(old.alias("r"), _same("l", "r", by), "left").select("l.*", "r.__old").withColumn("__c", F.coalesce("__c", "__old")).drop("__old")
+    w = Window.partitionBy(*by, "__m").orderBy(ts)
+    rows = df.withColumn("__m", month).withColumn("__n", F.row_number().over(w)).withColumn("__prev", F.lag(value).over(w))
+    met = rows.alias("l").join(carried.alias("r"), _same("l", "r", [*by, "__m"]), "left").select("l.*", F.col("r.__c").alias("__c"))
+    kept = met.where((F.col("__n") > 1) | F.col("__c").isNotNull())
+    d = F.col(value) - F.when(F.col("__n") > 1, F.col("__prev")).otherwise(F.col("__c.__last"))
+    return kept.withColumn("__d", d).withColumn(value, F.when(F.col("__d") >= 0, F.col("__d")).otherwise(F.col(value))).select(df.columns)
+
+
+def hourly_to_daily(df: DataFrame, by: list[str], ts: str = "ts", value: str = "value", per_year: bool = False, before: DataFrame | None = None) -> DataFrame:
     """Daily sums of increments; a stamp closes its hour, so 00:00 belongs to the day before. Missing counts 0."""
     day = F.to_date(F.col(ts) - F.expr("interval 1 hour"))
-    return increments(df, by, ts, value, per_year).groupBy(*by, day.alias("t")).agg(sum_or_zero(F.col(value)).alias(value))
+    return increments(df, by, ts, value, per_year, before).groupBy(*by, day.alias("t")).agg(sum_or_zero(F.col(value)).alias(value))
 
 
 def hourly_mean(df: DataFrame, by: list[str], ts: str = "ts", value: str = "value") -> DataFrame:

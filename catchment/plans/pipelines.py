@@ -10,6 +10,7 @@ from catchment.operators import raster, temporal, zonal
 from catchment.operators.quality import drift_summary
 from catchment.sources.archives import snow_headers, snow_pixels
 from catchment.sources.specs import SourceSpec
+from catchment.sources.tables import cut
 
 
 def aggregate_source(grid: DataFrame, weights: DataFrame, spec: SourceSpec, time: str = "t", cell: tuple[str, ...] = ("iy", "ix")) -> DataFrame:
@@ -60,7 +61,7 @@ def snow_archives(files: DataFrame, targets: DataFrame, day: str = r"(\d{8})") -
     first day; archives that differ from it by more than half a pixel or in shape raise.
     """
     date = F.to_date(F.regexp_extract("path", day, 1), "yyyyMMdd")
-    heads = snow_headers(files).withColumn("day", date)
+    heads = cut(snow_headers(files).withColumn("day", date))  # read three times below
     g = heads.orderBy("day").first()
     if g is None:
         raise FileNotFoundError("no snow archives")

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catchment.plans import queries_grids, queries_quality, queries_scalar, queries_space, queries_tables, queries_time
+from catchment.plans import queries_grids, queries_parts, queries_quality, queries_scalar, queries_space, queries_tables, queries_time
 
 Query = Callable[[SparkSession, str], DataFrame]
-GROUPS = (queries_scalar, queries_time, queries_space, queries_quality, queries_tables, queries_grids)
+GROUPS = (queries_scalar, queries_time, queries_space, queries_quality, queries_tables, queries_grids, queries_parts)
 
 
 def queries() -> dict[str, Query]:

@@ -15,7 +15,7 @@ from catchment.operators.temporal import composites_to_monthly
 from catchment.plans.targets.runoff import monthly
 
 
-def build(sources: dict[str, DataFrame], hrus: DataFrame, period: tuple[dt.date, dt.date], composites: str = "mod16", centroids: DataFrame | None = None) -> DataFrame:
+def build(sources: dict[str, DataFrame], hrus: DataFrame, period: tuple[dt.date, dt.date], composites: str = "mod16", centroids: DataFrame | None = None, donors: str = "observed") -> DataFrame:
     """Composite sources go to calendar months before the period is cut, so that its edges are whole."""
     parts = []
     for label, series in sources.items():
@@ -23,4 +23,4 @@ def build(sources: dict[str, DataFrame], hrus: DataFrame, period: tuple[dt.date,
         mm = monthly(rows, label, "aet", period)
         parts.append(mm.select("hru", "t", mm_to_inches_per_day(F.col("value"), F.col("t")).alias("value")))
     out = bounds_on_calendar(parts, hrus, labels(*period, "month"))
-    return fill(out, centroids) if centroids is not None else out
+    return fill(out, centroids, donors=donors) if centroids is not None else out

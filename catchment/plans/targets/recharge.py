@@ -15,7 +15,7 @@ from catchment.operators.temporal import annual
 from catchment.sources.specs import SHIMS, shims_by
 
 
-def build(sources: dict[str, DataFrame], hrus: DataFrame, period: tuple[dt.date, dt.date], window: tuple[dt.date, dt.date] | None = None, centroids: DataFrame | None = None) -> DataFrame:
+def build(sources: dict[str, DataFrame], hrus: DataFrame, period: tuple[dt.date, dt.date], window: tuple[dt.date, dt.date] | None = None, centroids: DataFrame | None = None, donors: str = "observed") -> DataFrame:
     """Reads the union of period and window; limits come from the window (the period by default)."""
     window = window or period
     shims = shims_by("label", SHIMS["recharge"])
@@ -27,4 +27,4 @@ def build(sources: dict[str, DataFrame], hrus: DataFrame, period: tuple[dt.date,
         scaled = normalize(annual(mm, ["hru"]), ["hru"], window=window)
         parts.append(scaled.where(in_period(t, *period)))
     out = bounds_on_calendar(parts, hrus, labels(*period, "year"))
-    return fill(out, centroids) if centroids is not None else out
+    return fill(out, centroids, donors=donors) if centroids is not None else out

@@ -21,11 +21,11 @@ def monthly(series: DataFrame, label: str, target: str, period: tuple[dt.date, d
     return rows.select("hru", month_start(F.col("t")).alias("t"), shim.convert(F.col("value"), F.col("t")).alias("value"))
 
 
-def build(sources: dict[str, DataFrame], meta: DataFrame, period: tuple[dt.date, dt.date], centroids: DataFrame | None = None) -> DataFrame:
+def build(sources: dict[str, DataFrame], meta: DataFrame, period: tuple[dt.date, dt.date], centroids: DataFrame | None = None, donors: str = "observed") -> DataFrame:
     """(hru, t, lower_bound, upper_bound, n_sources) from series by label; filled from neighbours if centroids are given."""
     parts = []
     for label, series in sources.items():
         rows = monthly(series, label, "runoff", period).join(meta.select("hru", "area_m2"), "hru")
         parts.append(rows.select("hru", "t", mm_to_cfs(F.col("value"), F.col("t"), F.col("area_m2")).alias("value")))
     out = bounds_on_calendar(parts, meta, labels(*period, "month"))
-    return fill(out, centroids) if centroids is not None else out
+    return fill(out, centroids, donors=donors) if centroids is not None else out

@@ -11,25 +11,47 @@ from pyspark.sql import functions as F
 from catchment.sources.tables import read_file_listing, stale
 
 
-def years_done(spark: SparkSession, path: str) -> DataFrame:
-    """(year, modified) of the years at ``path`` whose files all hold something."""
+MARKS = "year int, n_rows long, n_files long, n_bytes long"
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """(year, n_files, n_bytes, modified) as the years' files at ``path`` stand now."""
     try:
         files = read_file_listing(spark, path, "*.parquet")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "year int, modified timestamp")
+        return spark.createDataFrame([], "year int, n_files long, n_bytes long, modified timestamp")
     year = F.regexp_extract("path", r"year=(\d+)/", 1)
-    per = files.where(year != "").groupBy(year.cast("int").alias("year")).agg(F.min("length").alias("least"), F.min("modificationTime").alias("modified"))
-    return per.where("least > 0").select("year", "modified")
+    return files.where(year != "").groupBy(year.cast("int").alias("year")).agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"), F.min("modificationTime").alias("modified"))
+
+
+def _mark(spark: SparkSession, path: str, year: int, rows: int, files: int, size: int) -> None:
+    """A year's mark, beside the data; it is taken back before the year is written again."""
+    spark.createDataFrame([(year, rows, files, size)], MARKS).coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}.marks/mark={year}")
+
+
+def years_done(spark: SparkSession, path: str) -> DataFrame:
+    """(year, modified) of the years at ``path`` that were written to the end, hold rows, and still have all their files.
+
+    A year counts by the mark that is written after it: a job that died while its files were
+    moved has left none, and files that went since do not add up to it.
+    """
+    try:
+        marks = spark.read.schema(MARKS).parquet(f"{path.rstrip('/')}.marks")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "year int, modified timestamp")
+    return _files(spark, path).join(marks.where("n_rows > 0"), ["year", "n_files", "n_bytes"]).select("year", "modified")
 
 
 def run_years(spark: SparkSession, years: Iterable[int], build: Callable[[int], DataFrame], path: str, inputs: DataFrame | None = None) -> list[int]:
     """Build and write each of ``years`` that is not at ``path`` yet; returns the ones that were built.
 
-    A year whose files are empty leftovers is redone, and with ``inputs`` (year, modified)
-    one that is older than its newest input. Each year replaces its own folder only, so a
-    run that broke off goes on where it stopped.
+    A year that was cut off, is empty or has lost files is redone, and with ``inputs`` (year,
+    modified) one that is older than its newest input. Each year replaces its own folder only,
+    so a run that broke off goes on where it stopped.
     """
     done = years_done(spark, path)
     if inputs is not None:
@@ -37,7 +59,11 @@ def run_years(spark: SparkSession, years: Iterable[int], build: Callable[[int],
     there = {r["year"] for r in done.select("year").collect()}
     todo = [y for y in sorted(set(years)) if y not in there]
     for y in todo:
-        build(y).write.mode("overwrite").parquet(f"{path}/year={y}")
+        _mark(spark, path, y, 0, 0, 0)
+        at = f"{path}/year={y}"
+        build(y).write.mode("overwrite").parquet(at)
+        now = _files(spark, path).where(F.col("year") == y).first()
+        _mark(spark, path, y, spark.read.parquet(at).count(), *((now["n_files"], now["n_bytes"]) if now else (0, 0)))
     return todo
 
 

@@ -21,19 +21,27 @@ def parse_header(text: str) -> dict[str, str]:
     return {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in text.splitlines() if ":" in x)}
 
 
-def decode_archive(content: bytes) -> tuple[dict[str, str], np.ndarray]:
-    """Header and big-endian 16-bit grid of one archive; missing members and wrong sizes raise."""
-    with tarfile.open(fileobj=io.BytesIO(content)) as tar:
-        members = {m.name: m for m in tar.getmembers() if SNOW_MEMBER in m.name}
+class Archive:
+    """One archive's snow members. Members are found by their tar headers; a member is inflated when it is asked for."""
+
+    def __init__(self, content: bytes):
+        self.tar = tarfile.open(fileobj=io.BytesIO(content))  # noqa: SIM115
+        self.members = {m.name: m for m in self.tar.getmembers() if SNOW_MEMBER in m.name}
+
+    def read(self, end: str) -> bytes:
+        name = next((n for n in sorted(self.members) if n.endswith(end)), None)
+        if name is None:
+            raise ValueError(f"the archive has no snow member {end}")
+        return gzip.decompress(self.tar.extractfile(self.members[name]).read())
 
-        def read(end: str) -> bytes:
-            name = next((n for n in sorted(members) if n.endswith(end)), None)
-            if name is None:
-                raise ValueError(f"the archive has no snow member {end}")
-            return gzip.decompress(tar.extractfile(members[name]).read())
+    def header(self) -> dict[str, str]:
+        return parse_header(self.read(".txt.gz").decode("latin-1"))
 
-        header = parse_header(read(".txt.gz").decode("latin-1"))
-        raw = read(".dat.gz")
+
+def decode_archive(content: bytes) -> tuple[dict[str, str], np.ndarray]:
+    """Header and big-endian 16-bit grid of one archive; missing members and wrong sizes raise."""
+    archive = Archive(content)
+    header, raw = archive.header(), archive.read(".dat.gz")
     rows, columns = int(header["Number of rows"]), int(header["Number of columns"])
     if len(raw) != 2 * rows * columns:
         raise ValueError(f"{len(raw)} bytes for {rows} x {columns} pixels")
@@ -59,11 +67,11 @@ def snow_pixels(files: DataFrame, fill: int = -9999, rows_at_once: int = 200_000
 
 
 def snow_headers(files: DataFrame) -> DataFrame:
-    """(path, rows, columns, min_x, max_y, dx, dy) of each archive."""
+    """(path, rows, columns, min_x, max_y, dx, dy) of each archive; grids are not inflated."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            heads = [decode_archive(c)[0] for c in f["content"]]
+            heads = [Archive(c).header() for c in f["content"]]
             get = lambda key, kind: [kind(h[key]) for h in heads]
             yield pd.DataFrame({"path": f["path"], "rows": get("Number of rows", int), "columns": get("Number of columns", int), "min_x": get("Minimum x-axis coordinate", float), "max_y": get("Maximum y-axis coordinate", float), "dx": get("X-axis resolution", float), "dy": get("Y-axis resolution", float)})
 

@@ -124,3 +124,10 @@ def scratch(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/catchment-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to a new scratch table and read from there."""
+    path = f"{scratch(df.sparkSession)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
