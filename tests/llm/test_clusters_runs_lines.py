@@ -1,15 +1,17 @@
 """Clusters, periodic runs and line dedup: kernels and jobs against brute force, and awkward tables."""
 
 import hashlib
+import html
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from catchment.llm import line_dedup, periodic_runs, queries, shallot
+from catchment.llm import html_text, line_dedup, periodic_runs, queries, shallot
 from tests.llm.test_jobs import awkward
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -138,8 +140,6 @@ def test_split_goes_on_until_stable():
 
 def test_scan_of_long_segments():
     """One word, and a word at every second place, stay far from quadratic."""
-    import time
-
     began = time.perf_counter()
     assert periodic_runs.scan(np.zeros(100_000, np.int64), 4, 6) == [(0, 100_000, 1)]
     rng = np.random.default_rng(2)
@@ -281,3 +281,42 @@ def test_awkward_lines(spark):
     out = line_dedup.drop_lines(d)
     assert out.columns == d.columns and out.count() == d.count()
     assert line_dedup.drop_lines(d.limit(0)).count() == 0 and line_dedup.keep_bitmaps(d.limit(0)).count() == 0
+
+
+# Page text
+
+
+LONG = "A sentence, with points; and more of them. " * 4
+RECIPE = f"""<html><body><nav><a href=1>Home</a></nav><article><h1>Recipe</h1><p>{LONG}</p><p>{LONG}</p><h2>Needs</h2>
+<table><tr><td>Flour</td><td>200 g</td></tr></table><dl><dt>Time</dt><dd>20 min</dd></dl><p>{LONG}</p><ul><li>one</li><li>two, <a href=2>three</a></li></ul>
+<blockquote><p>Best bread ever, she said.</p></blockquote><figure><figcaption>A loaf</figcaption></figure><pre>a  b</pre><p>Set the <label>timer</label> now.</p>
+<div class=share>Share this, please.</div><div><a href=3>One more</a> <a href=4>Another</a></div></article><div>Elsewhere</div><footer>Imprint, 1.</footer></body></html>"""
+
+
+def test_article_keeps_what_it_holds():
+    want = ["Recipe", LONG.strip(), LONG.strip(), "Needs", "Flour", "200 g", "Time", "20 min", LONG.strip(), "one", "two, three", "Best bread ever, she said.", "A loaf", "a b", "Set the timer now."]
+    for name in ("article", "div", "section"):
+        assert html_text.main_text(RECIPE.replace("article", name)).split("\n\n") == want
+    assert "timer" not in html_text.main_text(RECIPE.replace("<p>Set the", "<form><p>Set the").replace("now.</p>", "now.</p></form>"))
+
+
+@pytest.mark.parametrize("page", ["<b>" * 100_000 + "text, here.", "<div>" * 100_000 + "text, here." + "</i>" * 100_000, "<p>a < b, " * 50_000, "<ul><li>" * 50_000 + "text, here.", "<a href='" * 50_000])
+def test_deep_and_unclosed_markup(page):
+    began = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - began < 10
+
+
+def test_pages_of_whole_tables(spark):
+    """All given pages have an article of headings, paragraphs and line breaks; a plain reading of that element says the same."""
+    sf = "/root/testdata/sf0.01"
+    got = {(r["page_id"], r["url"]): (r["text"], r["n_chars"]) for r in queries.op9_html_text(spark, sf).collect()}
+    rows = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    for r in rows:
+        inner = re.search(r"<article[^>]*>(.*?)</article>", r["html"], re.S)[1]
+        inner = re.sub(r"<(script|style)\b.*?</\1>|<!--.*?-->", "", inner, flags=re.S)
+        blocks = re.split(r"</?(?:h1|p)\b[^>]*>", inner)
+        blocks = [" ".join(re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br[^>]*>", " ", b)))).strip().split(" ")) for b in blocks]
+        want = "\n\n".join(b for b in blocks if b)
+        assert got[r["page_id"], r["url"]] == (want, len(want))
+    assert len(got) == len(rows) == 250
