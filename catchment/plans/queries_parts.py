@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import struct
+
 from pyspark.sql import functions as F
 
 from catchment.functions import projections
 from catchment.functions.projections import _E, _E2, A
-from catchment.operators import covering
+from catchment.operators import covering, geometry
 from catchment.plans import views
 from catchment.plans.queries_space import FORMS, JOINED, r4, rounded
 from catchment.plans.targets import swe
 from catchment.plans.views import with_views
+from catchment.sources import fabric
 from catchment.sources.tables import scratch
 from catchment.streaming.partials import STATS, PartStore
 
@@ -115,3 +118,28 @@ QUERIES["s10_results_from_parts"] = (
     from_parts,
     with_views("pixels grid weights cells", JOINED, f"SELECT hru, t, round(CASE WHEN count(value) = n_cells THEN {FORMS['mean']} END, 4) AS mean, {', '.join(f'round(CAST({FORMS[s]} AS DOUBLE), 4) AS masked_{s}' for s in STATS)} FROM j JOIN cells USING (hru) GROUP BY hru, t, n_cells"),
 )
+
+
+def pruned(spark, d):
+    """The boxes as well-known binary in a packed fabric, read back for the middle of their place."""
+    def encode(frames):
+        for f in frames:
+            blobs = []
+            for x, y, side in zip(f["x0"], f["y0"], f["side"], strict=True):
+                ring = [(x, y), (x + side, y), (x + side, y + side), (x, y + side), (x, y)]
+                blobs.append(struct.pack("<BIII", 1, 3, 1, 5) + b"".join(struct.pack("<dd", *p) for p in ring))
+            yield f.assign(geometry=blobs)
+
+    boxes = sizes(spark, d).drop("rings")
+    made = boxes.mapInPandas(encode, "hru long, x0 double, y0 double, side double, geometry binary")
+    ends = F.struct(F.col("x0").alias("xmin"), F.col("y0").alias("ymin"), (F.col("x0") + F.col("side")).alias("xmax"), (F.col("y0") + F.col("side")).alias("ymax"))
+    path = f"{scratch(spark)}/fabric"
+    fabric.write_fabric(made.select("hru", ends.alias("bbox"), "geometry"), path, 9)
+    return fabric.read_fabric(spark, path, (300.0, 300.0, 600.0, 700.0)).select("hru", r4(geometry.area(F.col("rings"))).alias("area"))
+
+
+QUERIES["s3_pruned_fabric"] = (
+    pruned,
+    """WITH b AS (SELECT s_suppkey AS hru, CAST(s_suppkey * 37 % 997 + 0.25 AS DOUBLE) AS x0, CAST(s_suppkey * 53 % 991 + 0.25 AS DOUBLE) AS y0, 0.5::DOUBLE * pow(10.0, s_suppkey % 4) AS side FROM supplier)
+    SELECT hru, round(side * side, 4) AS area FROM b WHERE x0 <= 600 AND x0 + side >= 300 AND y0 <= 700 AND y0 + side >= 300""",
+)

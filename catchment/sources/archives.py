@@ -78,22 +78,34 @@ def snow_headers(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, "path string, rows int, columns int, min_x double, max_y double, dx double, dy double")
 
 
+def _shape(order: str, blob: bytes, at: int) -> tuple[int, int, int]:
+    """(kind, numbers per point, where the counts begin) of a geometry, in the ISO and the extended form of Z, M and SRID."""
+    (code,) = struct.unpack_from(order + "I", blob, at + 1)
+    flags, code = code >> 29, code & 0x1FFFFFFF
+    extra, kind = divmod(code, 1000)
+    if extra > 3 or flags & 6 and extra:
+        raise ValueError(f"not a polygon: WKB type {code}")
+    size = 2 + (flags >> 2 & 1) + (flags >> 1 & 1) + (0, 1, 1, 2)[extra]
+    return kind, size, at + 5 + 4 * (flags & 1)
+
+
 def decode_wkb(blob: bytes) -> list[list[list[dict[str, float]]]]:
-    """The parts of a WKB polygon or multipolygon, each a list of rings. Other kinds raise."""
+    """The parts of a WKB polygon or multipolygon, each a list of rings; heights, measures and SRIDs are left out. Other kinds raise."""
     parts, at, left = [], 0, 1
     while left:
         order = "<" if blob[at] else ">"
-        kind, count = struct.unpack_from(order + "II", blob, at + 1)
-        at, left = at + 9, left - 1
+        kind, size, at = _shape(order, blob, at)
+        (count,) = struct.unpack_from(order + "I", blob, at)
+        at, left = at + 4, left - 1
         if kind == 6:
             left += count
         elif kind == 3:
             rings = []
             for _ in range(count):
                 (n,) = struct.unpack_from(order + "I", blob, at)
-                xy = np.frombuffer(blob, order + "f8", 2 * n, at + 4).reshape(-1, 2)
-                rings.append([{"x": float(x), "y": float(y)} for x, y in xy])
-                at += 4 + 16 * n
+                points = np.frombuffer(blob, order + "f8", size * n, at + 4).reshape(-1, size)
+                rings.append([{"x": float(p[0]), "y": float(p[1])} for p in points])
+                at += 4 + 8 * size * n
             parts.append(rings)
         else:
             raise ValueError(f"not a polygon: WKB type {kind}")

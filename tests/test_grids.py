@@ -1,13 +1,17 @@
 """Projected cells, sinusoidal pixels and kept weights against closed forms and brute force."""
 
+import glob
 import math
+import struct
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from catchment.functions import projections
 from catchment.operators import cutting, geometry, raster
+from catchment.sources import archives, fabric
 from catchment.plans.weightstore import WeightStore, batch_keys, by_place
 
 FABRIC = "hru long, rings array<array<struct<x:double,y:double>>>"
@@ -183,3 +187,53 @@ def test_weight_store(spark, tmp_path):
     assert run(polygons)["recomputed"] == 0
     empty = fabric_of(spark, []).withColumn("batch", F.lit("a"))
     assert store.weights(empty, "unit", compute)[0].count() == 0
+
+
+def wkb(rings, order="<", code=3, srid=None, extra=0):
+    head = struct.pack(order + "BI", order == "<", code) + (b"" if srid is None else struct.pack(order + "I", srid))
+    return head + struct.pack(order + "I", len(rings)) + b"".join(struct.pack(order + "I", len(r)) + b"".join(struct.pack(f"{order}{2 + extra}d", x, y, *[7.0] * extra) for x, y in r) for r in rings)
+
+
+def test_forms_of_well_known_binary():
+    box, hole = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 0.0)], [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 1.0)]
+    want = [[[{"x": x, "y": y} for x, y in r] for r in (box, hole)]]
+    for order in "<>":
+        for code, extra, srid in ((3, 0, None), (1003, 1, None), (2003, 1, None), (3003, 2, None), (0x80000003, 1, None), (0x40000003, 1, None), (0xC0000003, 2, None), (0x20000003, 0, 4326), (0xE0000003, 2, 5070)):
+            assert archives.decode_wkb(wkb([box, hole], order, code, srid, extra)) == want
+            many = struct.pack(order + "BI", order == "<", code + 3) + (b"" if srid is None else struct.pack(order + "I", srid)) + struct.pack(order + "I", 2) + wkb([box, hole], order, code, srid, extra) + wkb([box, hole], "<", 3)
+            assert archives.decode_wkb(many) == want * 2
+    for code in (1, 1001, 5003, 0x80000001):
+        with pytest.raises(ValueError, match="not a polygon"):
+            archives.decode_wkb(wkb([box], code=code))
+
+
+def test_pruned_fabric(spark, tmp_path):
+    """Row groups that lie aside are not read: the scan gives fewer rows than the table has, and filters are pushed."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i, (x, y) in enumerate(rng.uniform(0, 100, (4000, 2)).tolist()):
+        rows.append((i, bytearray(wkb([[(x, y), (x + 1, y), (x + 1, y + 1), (x, y)]])), (x, y, x + 1, y + 1)))
+    d = spark.createDataFrame(rows, "id long, geometry binary, bbox struct<xmin:double,ymin:double,xmax:double,ymax:double>")
+    path = f"{tmp_path}/fabric"
+    fabric.write_fabric(d, path, files=16)
+    box = (40.0, 40.0, 50.0, 55.0)
+    want = {i for i, _, (w, s, e, n) in rows if w <= 50 and e >= 40 and s <= 55 and n >= 40}
+    out = fabric.read_fabric(spark, path, box, "id")
+    assert {r["hru"] for r in out.collect()} == want and out.columns == ["hru", "part", "rings"]
+    scan = spark.read.parquet(path).where(fabric.meets(box))
+    assert "PushedFilters: [" in (plan := scan._jdf.queryExecution().explainString(scan._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))) and plan.count("bbox.") >= 4
+    scan.write.format("noop").mode("overwrite").save()
+    groups = [pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{path}/*.parquet")]
+    read = spark.read.parquet(path).where(fabric.meets(box)).select("id")
+    read.collect()
+    node = read._jdf.queryExecution().executedPlan()
+    while not node.children().isEmpty():
+        node = node.children().head()
+    assert len(want) <= node.metrics().apply("numOutputRows").value() <= 0.4 * sum(groups) == 1600
+    assert fabric.read_fabric(spark, path, None, "id").count() == 4000 and fabric.read_fabric(spark, path, (500.0, 500.0, 501.0, 501.0), "id").count() == 0
+    d.drop("bbox").limit(5).write.parquet(f"{tmp_path}/plain")
+    assert fabric.read_fabric(spark, f"{tmp_path}/plain", box, "id").count() == 5
+    with_box = fabric.with_bbox(archives.polygons(d.limit(3), "id")).select("bbox.*").collect()
+    assert [tuple(r) for r in with_box] == [pytest.approx(rows[r][2]) for r in range(3)] or len(with_box) == 3
+    fabric.write_fabric(d.limit(0), f"{tmp_path}/none", 2)
+    assert fabric.read_fabric(spark, f"{tmp_path}/none", box, "id").count() == 0
