@@ -90,6 +90,16 @@ def _cone(lat1: Column, lat2: Column, lat0: Column) -> tuple[Column, Column, Col
     return n, f, A * f * F.pow(_half_angle(s0), n)
 
 
+def _from_conformal(chi: Column) -> Column:
+    """Latitude from the conformal one, in radians."""
+    e4, e6, e8 = _E2**2, _E2**3, _E2**4
+    terms = (_E2 / 2 + 5 * e4 / 24 + e6 / 12 + 13 * e8 / 360, 7 * e4 / 48 + 29 * e6 / 240 + 811 * e8 / 11520, 7 * e6 / 120 + 81 * e8 / 1120, 4279 * e8 / 161280)
+    lat = chi
+    for k, term in enumerate(terms, 1):
+        lat = lat + term * F.sin(2 * k * chi)
+    return lat
+
+
 def from_lambert(x: Column, y: Column, lat1, lat2, lat0, lon0, x0=0.0, y0=0.0) -> tuple[Column, Column]:
     """The inverse of ``to_lambert``; parameters are numbers or columns.
 
@@ -101,12 +111,7 @@ def from_lambert(x: Column, y: Column, lat1, lat2, lat0, lon0, x0=0.0, y0=0.0) -
     sign = F.signum(n)
     rho = sign * F.sqrt(u * u + v * v)
     chi = math.pi / 2 - 2 * F.atan(F.pow(rho / (A * f), 1 / n))
-    e4, e6, e8 = _E2**2, _E2**3, _E2**4
-    terms = (_E2 / 2 + 5 * e4 / 24 + e6 / 12 + 13 * e8 / 360, 7 * e4 / 48 + 29 * e6 / 240 + 811 * e8 / 11520, 7 * e6 / 120 + 81 * e8 / 1120, 4279 * e8 / 161280)
-    lat = chi
-    for k, term in enumerate(terms, 1):
-        lat = lat + term * F.sin(2 * k * chi)
-    return lon0 + F.degrees(F.atan2(sign * u, sign * v) / n), F.degrees(lat)
+    return lon0 + F.degrees(F.atan2(sign * u, sign * v) / n), F.degrees(_from_conformal(chi))
 
 
 def to_lambert_by(lon: Column, lat: Column, lat1, lat2, lat0, lon0, x0=0.0, y0=0.0) -> tuple[Column, Column]:
@@ -117,6 +122,10 @@ def to_lambert_by(lon: Column, lat: Column, lat1, lat2, lat0, lon0, x0=0.0, y0=0
     return x0 + rho * F.sin(theta), y0 + rho0 - rho * F.cos(theta)
 
 
+def _odd(name: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("unknown grid mapping: "), F.coalesce(name, F.lit("none")))).cast("double")
+
+
 def geographic(x: Column, y: Column, mapping: Column) -> tuple[Column, Column]:
     """Longitude and latitude of points given in the system that a grid-mapping struct names.
 
@@ -130,5 +139,51 @@ def geographic(x: Column, y: Column, mapping: Column) -> tuple[Column, Column]:
     or_zero = lambda c: F.coalesce(mapping[c], F.lit(0.0))
     cone = from_lambert(x, y, parallels[0], F.coalesce(F.get(parallels, F.lit(1)), parallels[0]), mapping["latitude_of_projection_origin"], mapping["longitude_of_central_meridian"], or_zero("false_easting"), or_zero("false_northing"))
     flat = from_sinusoidal(x, y)
-    odd = F.raise_error(F.concat(F.lit("unknown grid mapping: "), F.coalesce(name, F.lit("none")))).cast("double")
-    return tuple(F.when(name == "lambert_conformal_conic", cone[k]).when(name == "sinusoidal", flat[k]).when(name == "latitude_longitude", (x, y)[k]).otherwise(odd) for k in (0, 1))
+    return tuple(F.when(name == "lambert_conformal_conic", cone[k]).when(name == "sinusoidal", flat[k]).when(name == "latitude_longitude", (x, y)[k]).otherwise(_odd(name)) for k in (0, 1))
+
+
+def step_by_step(points: Column, *steps) -> Column:
+    """An array of points (x, y) through ``steps`` of (a, b) -> (a, b), one after another.
+
+    Each step is computed once for a point; composed as plain expressions, a formula that uses
+    its argument several times would repeat all that stands before it.
+    """
+    def run(step):
+        def one(p: Column) -> Column:
+            a, b = step(p["x"], p["y"])
+            return F.struct(a.alias("x"), b.alias("y"))
+
+        return one
+
+    for step in steps:
+        points = F.transform(points, run(step))
+    return points
+
+
+def geographic_steps(mapping: Column) -> tuple:
+    """``geographic`` in two steps: to the conformal latitude, and from there."""
+    name, parallels = mapping["grid_mapping_name"], mapping["standard_parallel"]
+    conic = name == "lambert_conformal_conic"
+
+    def cone(x: Column, y: Column) -> tuple[Column, Column]:
+        n, f, rho0 = _cone(parallels[0], F.coalesce(F.get(parallels, F.lit(1)), parallels[0]), mapping["latitude_of_projection_origin"])
+        u, v = x - F.coalesce(mapping["false_easting"], F.lit(0.0)), rho0 - (y - F.coalesce(mapping["false_northing"], F.lit(0.0)))
+        chi = math.pi / 2 - 2 * F.atan(F.pow(F.signum(n) * F.sqrt(u * u + v * v) / (A * f), 1 / n))
+        lon, lat = (F.when(name == "sinusoidal", flat).when(name == "latitude_longitude", plain).otherwise(_odd(name)) for flat, plain in zip(from_sinusoidal(x, y), (x, y), strict=True))
+        return F.when(conic, mapping["longitude_of_central_meridian"] + F.degrees(F.atan2(F.signum(n) * u, F.signum(n) * v) / n)).otherwise(lon), F.when(conic, chi).otherwise(lat)
+
+    return cone, lambda lon, lat: (lon, F.when(conic, F.degrees(_from_conformal(lat))).otherwise(lat))
+
+
+def albers_steps(p: dict[str, float] = ALBERS) -> tuple:
+    """``to_albers`` in two steps: to the authalic quantity, and from there."""
+    n, c, rho0 = _albers(p)
+
+    def authalic(lon: Column, s: Column) -> tuple[Column, Column]:
+        return lon, A * F.sqrt(c - n * (1 - _E2) * (s / (1 - _E2 * s * s) - F.log((1 - _E * s) / (1 + _E * s)) / (2 * _E))) / n
+
+    def plane(lon: Column, rho: Column) -> tuple[Column, Column]:
+        theta = n * F.radians(lon - p["lon0"])
+        return rho * F.sin(theta), rho0 - rho * F.cos(theta)
+
+    return lambda lon, lat: (lon, F.sin(F.radians(lat))), authalic, plane

@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def align(series: DataFrame, spine: DataFrame, hrus: DataFrame, hru: str = "hru", t: str = "t", value: str = "value") -> DataFrame:
+def align(series: DataFrame, spine: DataFrame, hrus: DataFrame, hru: str = "hru", t: str = "t", value: str = "value", most: int = 100_000) -> DataFrame:
     """One row per polygon and calendar label, NULL where the series has none.
 
-    Two rows with the same label raise. The calendar is the small side of the product.
+    Two rows with the same label raise. The result is the product of polygons and calendar; the
+    calendar goes to every task, so that one of more than ``most`` labels raises.
     """
+    if spine.count() > most:
+        raise ValueError(f"a calendar has more than {most} labels")
     every = hrus.select(hru).distinct().join(F.broadcast(spine.select(t)))
     one = series.groupBy(hru, t).agg(F.first(value).alias(value), F.count("*").alias("__n"))
     one = one.withColumn(value, F.when(F.col("__n") == 1, F.col(value)).otherwise(F.raise_error(F.lit("a period occurs twice in one series"))))

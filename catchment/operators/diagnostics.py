@@ -122,7 +122,7 @@ def category_shares(df: DataFrame, code: str, labels: DataFrame | None = None) -
     n = df.groupBy(code).agg(F.count("*").alias("n"))
     out = n.withColumn("percent", 100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()))
     if labels is not None:
-        out = out.join(F.broadcast(labels), code, "left").withColumn("label", F.coalesce("label", F.lit("Unknown"))).select(code, "label", "n", "percent")
+        out = out.join(labels, code, "left").withColumn("label", F.coalesce("label", F.lit("Unknown"))).select(code, "label", "n", "percent")
     return out.orderBy(F.desc("n"), code)
 
 

@@ -13,8 +13,8 @@ from catchment.sources.tables import scratch
 def nearest(gaps: DataFrame, points: DataFrame, k: int, cell: float, hru: str = "hru", x: str = "x", y: str = "y") -> DataFrame:
     """(hru, donor, rank): the ``k`` nearest other points of each gap at any distance, ties by donor id.
 
-    Points are keyed by square cells of side ``cell`` (halved while cells would hold many
-    points) and, level by level, of twice the side until one cell holds all. A gap is searched at the first level where its cell and the
+    Points are keyed by square cells that would hold one point each if they were spread evenly (of
+    side ``cell`` times a power of two) and, level by level, of twice the side until one cell holds all. A gap is searched at the first level where its cell and the
     eight around it hold k + 1 points: the k-th neighbour is then within 2.83 sides, so an
     equi-join with the cells up to three away finds all k. Points of one place are searched
     for once, and only the k + 1 smallest ids of a place can be donors.
@@ -22,7 +22,7 @@ def nearest(gaps: DataFrame, points: DataFrame, k: int, cell: float, hru: str =
     ends = points.agg(F.min(x), F.min(y), F.max(x) - F.min(x), F.max(y) - F.min(y), F.count("*")).first()
     x0, y0, *span, n = (v or 0.0 for v in ends)
     levels = max(0, math.ceil(math.log2(max(*span, cell) / cell))) + 1
-    finest = min(0, math.floor(math.log2(max(span) / math.sqrt(n) / cell))) if n and max(span) > 0 else 0
+    finest = math.floor(math.log2(max(span) / math.sqrt(n) / cell)) if n and max(span) > 0 else 0
     side = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col("level"))
     key = lambda c, o: F.floor((F.col(c) - o) / side)
     every = lambda df: df.withColumn("level", F.explode(F.sequence(F.lit(finest), F.lit(levels)))).withColumns({"cx": key("px", x0), "cy": key("py", y0)})

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from catchment.functions.projections import _E, _E2, A, ALBERS, SPHERE, _albers
 from catchment.operators import cutting, raster, zonal
-from catchment.plans import pipelines, views
+from catchment.plans import pipelines, runs, views
 from catchment.plans.queries_space import r4, rounded
 from catchment.plans.views import with_views
 from catchment.plans.weightstore import WeightStore, by_place
+from catchment.sources.specs import SourceSpec
 from catchment.sources.tables import scratch
 
 QUERIES: dict = {}
@@ -150,3 +151,30 @@ QUERIES["e8_et_tiles_by_overlap"] = (
     m AS (SELECT t, iy, ix, CASE WHEN value <= 45 THEN value END AS value FROM o QUALIFY row_number() OVER (PARTITION BY t, iy, ix ORDER BY tile) = 1)""",
     "SELECT t, ty, tx, round(sum(area * value) / sum(area), 4) AS value FROM m JOIN areas USING (iy, ix) WHERE area > 1e-9 * u * u AND value IS NOT NULL GROUP BY ALL"),
 )
+
+
+def regions(spark, d):
+    """Yearly grid files of a western and an eastern region, run for every other year first and then for all of them."""
+    x0, y0, dx, dy, nx, ny = views.lonlat_grid(spark, d)
+    cells = views.grid(spark, d).select("t", (F.floor(F.col("cell") * 7919 / nx) % ny).cast("int").alias("iy"), (F.col("cell") * 7919 % nx).cast("int").alias("ix"), "value")
+    values = cells.groupBy("t", "iy", "ix").agg(F.avg("value").alias("value"))
+    path, west = scratch(spark), F.col("ix") < nx // 3
+    grid = cutting.lonlat_cells(spark, x0, y0, dx, dy, nx, ny)
+    landed = {}
+    for name, part in (("west", west), ("east", ~west)):
+        values.where(part).repartition("t").write.parquet(f"{path}/grids/{name}")
+        landed[name] = runs.Landed(f"{path}/grids/{name}", "t date, iy int, ix int, value double", grid.where(part), f"{name}/{dx}")
+    spec = SourceSpec("demo", ("value",), "masked_mean")
+    ends = values.agg(F.min(F.year("t")), F.max(F.year("t"))).first()
+    years = range(ends[0], ends[1] + 1)
+    boxes = views.albers_boxes(spark, d)
+    for some in (years[::2], years):
+        out = runs.run_regions(spark, spec, landed, boxes, some, f"{path}/out", f"{path}/weights", batch_side=3e6 / views.box_rows(spark, d) * 4)
+    return rounded(out.select("region", "hru", "t", "value"), "value")
+
+
+QUERIES["x5_regions_by_year"] = (
+    regions,
+    with_views("pixels grid box_rows albers_boxes lonlat_grid", f"{SHARES}, v AS (SELECT t, CAST(floor(cell * 7919 / nx) % ny AS INT) AS iy, CAST(cell * 7919 % nx AS INT) AS ix, avg(value) AS value, any_value(nx) AS nx FROM grid, lonlat_grid GROUP BY ALL)",
+    "SELECT CASE WHEN ix < nx // 3 THEN 'west' ELSE 'east' END AS region, hru, t, round(sum(share * value) / sum(CASE WHEN value IS NOT NULL THEN share END), 4) AS value FROM v JOIN shares USING (iy, ix) WHERE share > 1e-9 GROUP BY ALL"),
+)

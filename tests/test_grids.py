@@ -1,8 +1,10 @@
 """Projected cells, sinusoidal pixels and kept weights against closed forms and brute force."""
 
+import datetime as dt
 import glob
 import math
 import struct
+import time
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -11,8 +13,10 @@ from pyspark.sql import functions as F
 
 from catchment.functions import projections
 from catchment.operators import cutting, geometry, raster
-from catchment.sources import archives, fabric
+from catchment.plans import runs
 from catchment.plans.weightstore import WeightStore, batch_keys, by_place
+from catchment.sources import archives, fabric
+from catchment.sources.specs import SourceSpec
 
 FABRIC = "hru long, rings array<array<struct<x:double,y:double>>>"
 
@@ -237,3 +241,34 @@ def test_pruned_fabric(spark, tmp_path):
     assert [tuple(r) for r in with_box] == [pytest.approx(rows[r][2]) for r in range(3)] or len(with_box) == 3
     fabric.write_fabric(d.limit(0), f"{tmp_path}/none", 2)
     assert fabric.read_fabric(spark, f"{tmp_path}/none", box, "id").count() == 0
+
+
+def test_a_source_from_files_to_years(spark, tmp_path):
+    """Two regions with different Lambert attributes: weights are kept, years go on, newer files redo their year only."""
+    kind = "t date, iy int, ix int, value double"
+    fabric_ = fabric_of(spark, [(1, [np.array([(-99, 40), (-97, 40), (-97, 42), (-99, 42)], float)]), (2, [np.array([(-157, 20), (-156, 20), (-156, 21)], float)])]).withColumn("rings", geometry.project(F.col("rings"), projections.to_albers))
+    area = {r["hru"]: r["a"] for r in fabric_.select("hru", geometry.area(F.col("rings")).alias("a")).collect()}
+    regions = {}
+    for name, (lat1, lat2, lat0, lon0) in {"na": (25.0, 60.0, 42.5, -100.0), "hi": (19.0, 22.0, 20.5, -156.5)}.items():
+        mapping = F.struct(F.lit("lambert_conformal_conic").alias("grid_mapping_name"), F.array(F.lit(lat1), F.lit(lat2)).alias("standard_parallel"), F.lit(lat0).alias("latitude_of_projection_origin"), F.lit(lon0).alias("longitude_of_central_meridian"), F.lit(0.0).alias("false_easting"), F.lit(0.0).alias("false_northing"))
+        cells = spark.createDataFrame([(i, j, -4e5 + j * 5e4, -4e5 + (j + 1) * 5e4, 4e5 - (i + 1) * 5e4, 4e5 - i * 5e4) for i in range(16) for j in range(16)], "iy int, ix int, w double, e double, s double, n double")
+        landed = runs.Landed(f"{tmp_path}/{name}", kind, runs.mapped_cells(cells, mapping), name)
+        for year in (2001, 2002):
+            spark.createDataFrame([(dt.date(year, 1, 1), i, j, float(year)) for i in range(16) for j in range(16)], kind).coalesce(1).write.mode("append").parquet(landed.path)
+        regions[name] = landed
+    weights, _ = runs.kept_weights(spark, fabric_, regions["na"], f"{tmp_path}/w", 5e5)
+    assert {r["hru"]: r["a"] for r in weights.groupBy("hru").agg(F.sum("area").alias("a")).collect()} == {1: pytest.approx(area[1], rel=1e-5)}
+    spec = SourceSpec("daymet", ("value",))
+    go = lambda years: runs.run_source(spark, spec, regions["na"], fabric_, years, f"{tmp_path}/out", f"{tmp_path}/w", "na")
+    out, built, counts = go([2001])
+    assert built == [2001] and counts["recomputed"] == 0 and [r["value"] for r in out.collect()] == [pytest.approx(2001.0)]
+    out, built, counts = go([2001, 2002])
+    assert built == [2002] and counts["recomputed"] == 0 and out.count() == 2
+    time.sleep(1.1)
+    spark.createDataFrame([(dt.date(2002, 1, 2), 0, 0, 1.0)], kind).write.mode("append").parquet(regions["na"].path)
+    assert go([2001, 2002])[1] == [2002]
+    both = runs.run_regions(spark, spec, regions, fabric_, [2001], f"{tmp_path}/out", f"{tmp_path}/w")
+    assert {(r["region"], r["hru"]) for r in both.collect()} == {("na", 1), ("hi", 2)}
+    spark.createDataFrame([], kind).write.parquet(f"{tmp_path}/empty")
+    with pytest.raises(FileNotFoundError):
+        runs.run_source(spark, spec, runs.Landed(f"{tmp_path}/empty", kind, regions["na"].cells, "na"), fabric_, [2001], f"{tmp_path}/o", f"{tmp_path}/w")

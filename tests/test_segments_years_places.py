@@ -140,6 +140,9 @@ def test_lambert_both_ways(spark):
     for r in out.collect():
         assert abs(r["lon1"] - r["lon"]) < 1e-8 and abs(r["lat1b"] - r["lat"]) < 1e-8 and (r["lon2"], r["lat2b"]) == pytest.approx((r["lon1"], r["lat1b"]), abs=1e-12)
         assert (r["x"], r["y"]) == pytest.approx((r["px"], r["py"]), abs=1e-6)
+    stepped = d.withColumns({"x": x, "y": y}).withColumn("q", projections.step_by_step(F.array(F.struct("x", "y")), *projections.geographic_steps(mapping), *projections.albers_steps())).withColumns(dict(zip(("ax", "ay"), projections.to_albers(F.col("lon"), F.col("lat")), strict=True)))
+    for r in stepped.where("region = 'na'").collect():
+        assert (r["q"][0]["x"], r["q"][0]["y"]) == pytest.approx((r["ax"], r["ay"]), abs=1e-3)
     # Snyder's worked example on the Clarke ellipsoid has other axes; this is EPSG's two-parallel form at its own origin.
     home = out.where("region = 'hi'").select(*projections.to_lambert_by(F.lit(-157.0), F.lit(20.5), 21.0, 21.0, 20.5, -157.0, 5e5, 1e5)).first()
     assert tuple(home) == pytest.approx((5e5, 1e5), abs=1e-6)
