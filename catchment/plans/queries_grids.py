@@ -76,7 +76,7 @@ QUERIES["e1_projected_mean"] = (
 def reuse(spark, d):
     """Batches wanted and recomputed: at first, again, with one polygon moved within its square, and on another grid."""
     boxes = views.albers_boxes(spark, d)
-    u = 3e6 / views.box_rows(spark, d)
+    u = views.box_unit(spark, d)
     x0, y0, dx, dy, nx, ny = views.lonlat_grid(spark, d)
     moved = F.col("hru") == F.lit(boxes.agg(F.max("hru")).first()[0])
     point = lambda p: F.struct((p["x"] + F.when(moved, 0.05 * u).otherwise(0.0)).alias("x"), p["y"].alias("y"))
@@ -94,7 +94,7 @@ def reuse(spark, d):
 
 QUERIES["g6_weight_reuse"] = (
     reuse,
-    with_views("box_rows albers_boxes", "b AS (SELECT hru, floor(x0 / (4 * 3e6 / rows)) AS bx, floor(y0 / (4 * 3e6 / rows)) AS b_y FROM albers_boxes, box_rows), n AS (SELECT bx, b_y, count(*) AS n, max(hru) = (SELECT max(hru) FROM b) AS last FROM b GROUP BY ALL), c AS (SELECT count(*) AS batches, sum(n) AS polygons, sum(CASE WHEN last THEN n END) AS moved FROM n)",
+    with_views("box_rows albers_boxes", "b AS (SELECT hru, floor(x0 / (4 * least(3e6 / rows, 3.3e5))) AS bx, floor(y0 / (4 * least(3e6 / rows, 3.3e5))) AS b_y FROM albers_boxes, box_rows), n AS (SELECT bx, b_y, count(*) AS n, max(hru) = (SELECT max(hru) FROM b) AS last FROM b GROUP BY ALL), c AS (SELECT count(*) AS batches, sum(n) AS polygons, sum(CASE WHEN last THEN n END) AS moved FROM n)",
     """SELECT CAST(step AS INT) AS step, batches AS n_batches, CAST(CASE step WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE batches END AS BIGINT) AS n_recomputed, CAST(CASE step WHEN 1 THEN 0 WHEN 2 THEN moved ELSE polygons END AS BIGINT) AS n_polygons,
     round(CAST(1.7::DOUBLE * 1.7::DOUBLE * polygons AS DOUBLE), 4) AS total FROM c, (SELECT unnest(range(4)) AS step)"""),
 )
@@ -169,7 +169,7 @@ def regions(spark, d):
     years = range(ends[0], ends[1] + 1)
     boxes = views.albers_boxes(spark, d)
     for some in (years[::2], years):
-        out = runs.run_regions(spark, spec, landed, boxes, some, f"{path}/out", f"{path}/weights", batch_side=3e6 / views.box_rows(spark, d) * 4)
+        out = runs.run_regions(spark, spec, landed, boxes, some, f"{path}/out", f"{path}/weights", batch_side=4 * views.box_unit(spark, d))
     return rounded(out.select("region", "hru", "t", "value"), "value")
 
 

@@ -85,9 +85,14 @@ def box_rows(spark: SparkSession, d: str) -> int:
     return (table(spark, d, "supplier").agg(F.max("s_suppkey")).first()[0] or 0) // 10 + 2
 
 
+def box_unit(spark: SparkSession, d: str) -> float:
+    """Metres per unit of the boxes' pattern: it stays within 3000 km in height and 4000 km in width."""
+    return min(3e6 / box_rows(spark, d), 3.3e5)
+
+
 def albers_boxes(spark: SparkSession, d: str) -> DataFrame:
-    """(hru, rings, x0, y0, side): the boxes' pattern in metres of the equal-area system, 3000 km high whatever their number."""
-    u = 3e6 / box_rows(spark, d)
+    """(hru, rings, x0, y0, side): the boxes' pattern in metres of the equal-area system."""
+    u = box_unit(spark, d)
     p = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
     b = table(spark, d, "supplier").select(F.col("s_suppkey").alias("hru"), (-2.2e6 + (F.col("s_suppkey") % 10 + 0.3) * u).alias("x0"), (3e5 + (F.floor(F.col("s_suppkey") / 10) + 0.3) * u).alias("y0"), F.lit(1.7 * u).alias("side"))
     x0, y0, x1, y1 = F.col("x0"), F.col("y0"), F.col("x0") + F.col("side"), F.col("y0") + F.col("side")
@@ -130,7 +135,7 @@ SQL = {
         composites AS (SELECT hru, y + k * 8 AS t, CASE WHEN NOT (hru = 3 AND k = 9) THEN s END AS value FROM bins)""",
     "boxes": "boxes AS (SELECT s_suppkey AS hru, CAST(s_suppkey % 10 + 0.3 AS DOUBLE) AS x0, CAST(floor(s_suppkey / 10) + 0.3 AS DOUBLE) AS y0 FROM supplier)",
     "box_rows": "box_rows AS (SELECT max(s_suppkey) // 10 + 2 AS rows FROM supplier)",
-    "albers_boxes": "albers_boxes AS (SELECT s_suppkey AS hru, -2.2e6 + (s_suppkey % 10 + 0.3::DOUBLE) * (3e6 / rows) AS x0, 3e5 + (s_suppkey // 10 + 0.3::DOUBLE) * (3e6 / rows) AS y0, 1.7::DOUBLE * 3e6 / rows AS side FROM supplier, box_rows)",
+    "albers_boxes": "albers_boxes AS (SELECT s_suppkey AS hru, -2.2e6 + (s_suppkey % 10 + 0.3::DOUBLE) * least(3e6 / rows, 3.3e5) AS x0, 3e5 + (s_suppkey // 10 + 0.3::DOUBLE) * least(3e6 / rows, 3.3e5) AS y0, 1.7::DOUBLE * least(3e6 / rows, 3.3e5) AS side FROM supplier, box_rows)",
     "lonlat_grid": "lonlat_grid AS (SELECT 30.0::DOUBLE / rows AS dx, (80 * rows + 29) // 30 AS nx, (46 * rows + 29) // 30 AS ny FROM box_rows)",
     "centroids": "centroids AS (SELECT vec_id AS hru, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings)",
     "meta": "meta AS (SELECT s_suppkey % 20 AS hru, count(*) * 1e6 AS area_m2 FROM supplier GROUP BY 1)",
