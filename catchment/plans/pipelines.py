@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catchment.functions.masks import et_fill_by_tile
 from catchment.operators import raster, temporal, zonal
 from catchment.operators.quality import drift_summary
 from catchment.sources.archives import snow_headers, snow_pixels
+from catchment.sources.snow_source import register
 from catchment.sources.specs import SourceSpec
 from catchment.sources.tables import cut
 
@@ -69,3 +72,19 @@ def snow_archives(files: DataFrame, targets: DataFrame, day: str = r"(\d{8})") -
     lookup = raster.nearest_lookup(targets, g["min_x"], g["max_y"], g["dx"], g["dy"], g["columns"], g["rows"])
     pixels = snow_pixels(files).select(date.alias("t"), "iy", "ix", "value")
     return raster.resample(pixels, lookup)
+
+
+def snow_source(spark: SparkSession, path: str, targets: DataFrame, first: dt.date, last: dt.date, pattern: str = r"(\d{8}).*\.tar$", days: int = 8) -> DataFrame:
+    """The same from a folder of archives, for the days from ``first`` to ``last``.
+
+    Headers are read without their grids, grids are inflated once, and archives of other days are not opened.
+    """
+    register(spark)
+    rows = lambda mode: spark.read.format("snow_archives").options(pattern=pattern, mode=mode, days=days).load(path).where(F.col("t").between(first, last))
+    heads = cut(rows("headers"))
+    g = heads.orderBy("t", "path").first()
+    if g is None:
+        raise FileNotFoundError("no snow archives")
+    drift_summary(heads.withColumn("day", F.col("t")), half_pixel=g["dx"] / 2)
+    lookup = raster.nearest_lookup(targets, g["min_x"], g["max_y"], g["dx"], g["dy"], g["columns"], g["rows"])
+    return raster.resample(rows("pixels"), lookup)

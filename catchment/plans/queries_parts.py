@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import gzip
+import io
 import struct
+import tarfile
 
+import numpy as np
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from catchment.functions import projections
 from catchment.functions.projections import _E, _E2, A
 from catchment.operators import covering, geometry
-from catchment.plans import views
+from catchment.plans import pipelines, views
 from catchment.plans.queries_space import FORMS, JOINED, r4, rounded
 from catchment.plans.targets import swe
 from catchment.plans.views import with_views
-from catchment.sources import fabric
+from catchment.sources import fabric, tables
+from catchment.sources.archives import SNOW_MEMBER
 from catchment.sources.tables import scratch
 from catchment.streaming.partials import STATS, PartStore
 
@@ -143,3 +151,63 @@ QUERIES["s3_pruned_fabric"] = (
     """WITH b AS (SELECT s_suppkey AS hru, CAST(s_suppkey * 37 % 997 + 0.25 AS DOUBLE) AS x0, CAST(s_suppkey * 53 % 991 + 0.25 AS DOUBLE) AS y0, 0.5::DOUBLE * pow(10.0, s_suppkey % 4) AS side FROM supplier)
     SELECT hru, round(side * side, 4) AS area FROM b WHERE x0 <= 600 AND x0 + side >= 300 AND y0 <= 700 AND y0 + side >= 300""",
 )
+
+
+def _pack(path):
+    """Writes one day's pixels (rows, iy, ix, value) as an archive; a task that is repeated writes the same file again."""
+    def run(key, frame):
+        rows = int(frame["rows"].iloc[0])
+        grid = np.full((rows, 12), -9999, ">i2")
+        some = frame[frame["value"].notna()]
+        grid[some["iy"], some["ix"]] = some["value"]
+        head = f"Number of rows: {rows}\nNumber of columns: 12\nMinimum x-axis coordinate: 0\nMaximum y-axis coordinate: {rows}\nX-axis resolution: 1\nY-axis resolution: 1\n"
+        day = key[0].strftime("%Y%m%d")
+        store, at = fs.FileSystem.from_uri(path)
+        with store.open_output_stream(f"{at}/day_{day}.tar") as out, tarfile.open(fileobj=out, mode="w|") as tar:
+            for end, body in (("txt", head.encode()), ("dat", grid.tobytes())):
+                packed = gzip.compress(body)
+                info = tarfile.TarInfo(f"us_{SNOW_MEMBER}_{day}.{end}.gz")
+                info.size = len(packed)
+                tar.addfile(info, io.BytesIO(packed))
+        return pd.DataFrame({"t": [key[0]]})
+
+    return run
+
+
+def snow_days(spark, d):
+    """Every day's pixels go to an archive in the shared folder, and those of two years come back through the data source."""
+    path = scratch(spark).removeprefix("file://").removeprefix("file:")
+    store, at = fs.FileSystem.from_uri(path)
+    store.create_dir(at, recursive=True)
+    pixels = views.gridded(spark, d, F.min).withColumn("rows", F.lit(views.box_rows(spark, d)))
+    pixels.groupBy("t").applyInPandas(_pack(path), "t date").write.format("noop").mode("overwrite").save()
+    target = views.boxes(spark, d).select("hru", (F.col("x0") + 0.85).alias("x"), (F.col("y0") + 0.85).alias("y"))
+    return pipelines.snow_source(spark, path, target, dt.date(1996, 1, 1), dt.date(1997, 12, 31), days=64).select("hru", "t", "value")
+
+
+QUERIES["s8_snow_source"] = (
+    snow_days,
+    with_views("pixels boxes box_rows", "k AS (SELECT hru, CAST(floor(x0 + 0.85) AS INT) AS ix, CAST(floor(rows - (y0 + 0.85)) AS INT) AS iy FROM boxes, box_rows), v AS (SELECT CAST(floor(cell / 12) % rows AS INT) AS iy, CAST(cell % 12 AS INT) AS ix, t, min(value) AS value FROM pixels, box_rows GROUP BY ALL)", "SELECT hru, t, CAST(value AS DOUBLE) AS value FROM k JOIN v USING (ix, iy) WHERE value IS NOT NULL AND t BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'"),
+)
+
+
+def grid_files(spark, d):
+    """Grid files by name pattern, other files beside them, and two cadences of one source under keys of their own."""
+    path = scratch(spark)
+    grid = views.grid(spark, d).select("t", "cell", "value")
+    grid.write.parquet(f"{path}/grids/yearly")
+    views.hourly(spark, d).write.mode("overwrite").json(f"{path}/grids/notes")
+    rows = tables.read_grids(spark, f"{path}/grids", "t date, cell long, value double")
+    yearly = rows.select(F.lit("era5_land").alias("source"), F.lit("ro").alias("var"), (F.col("cell") % 20).alias("hru"), "t", "value").groupBy("source", "var", "hru", "t").agg(F.avg("value").alias("value"))
+    daily = views.pixels(spark, d).groupBy(F.lit("era5_land_sd").alias("source"), F.lit("sd").alias("var"), (F.col("cell") % 20).alias("hru"), "t").agg(F.avg("value").alias("value"))
+    tables.write_series(yearly, f"{path}/series")
+    tables.write_series(daily, f"{path}/series")
+    period = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
+    both = [tables.read_series(spark, f"{path}/series", source, var, period) for source, var in (("era5_land", "ro"), ("era5_land_sd", "sd"))]
+    return rounded(both[0].unionByName(both[1]).groupBy("source", "var", "hru").agg(F.count("*").alias("n"), F.avg("value").alias("mean")), "mean")
+
+
+QUERIES["s1_s14_two_cadences"] = (
+    grid_files,
+    with_views("pixels grid", "s AS (SELECT 'era5_land' AS source, 'ro' AS var, cell % 20 AS hru, t, avg(value) AS value FROM grid GROUP BY ALL UNION ALL SELECT 'era5_land_sd', 'sd', cell % 20, t, avg(value) FROM pixels GROUP BY ALL)", "SELECT source, var, hru, count(*) AS n, round(avg(value), 4) AS mean FROM s WHERE t BETWEEN DATE '1995-01-01' AND DATE '2001-12-31' GROUP BY ALL"),
+)

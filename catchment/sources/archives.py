@@ -24,8 +24,9 @@ def parse_header(text: str) -> dict[str, str]:
 class Archive:
     """One archive's snow members. Members are found by their tar headers; a member is inflated when it is asked for."""
 
-    def __init__(self, content: bytes):
-        self.tar = tarfile.open(fileobj=io.BytesIO(content))  # noqa: SIM115
+    def __init__(self, content: bytes = b"", file=None):
+        # A plain tar file is sought through; trying compressed forms first would read ahead.
+        self.tar = tarfile.open(fileobj=file, mode="r:") if file else tarfile.open(fileobj=io.BytesIO(content))  # noqa: SIM115
         self.members = {m.name: m for m in self.tar.getmembers() if SNOW_MEMBER in m.name}
 
     def read(self, end: str) -> bytes:
@@ -37,15 +38,18 @@ class Archive:
     def header(self) -> dict[str, str]:
         return parse_header(self.read(".txt.gz").decode("latin-1"))
 
+    def grid(self, header: dict[str, str]) -> np.ndarray:
+        raw, (rows, columns) = self.read(".dat.gz"), (int(header["Number of rows"]), int(header["Number of columns"]))
+        if len(raw) != 2 * rows * columns:
+            raise ValueError(f"{len(raw)} bytes for {rows} x {columns} pixels")
+        return np.frombuffer(raw, ">i2").reshape(rows, columns)
+
 
 def decode_archive(content: bytes) -> tuple[dict[str, str], np.ndarray]:
     """Header and big-endian 16-bit grid of one archive; missing members and wrong sizes raise."""
     archive = Archive(content)
-    header, raw = archive.header(), archive.read(".dat.gz")
-    rows, columns = int(header["Number of rows"]), int(header["Number of columns"])
-    if len(raw) != 2 * rows * columns:
-        raise ValueError(f"{len(raw)} bytes for {rows} x {columns} pixels")
-    return header, np.frombuffer(raw, ">i2").reshape(rows, columns)
+    header = archive.header()
+    return header, archive.grid(header)
 
 
 def snow_pixels(files: DataFrame, fill: int = -9999, rows_at_once: int = 200_000) -> DataFrame:

@@ -162,3 +162,55 @@ def test_headers_do_not_inflate_grids(monkeypatch):
     monkeypatch.setattr(archives.gzip, "decompress", lambda b: read.append(len(plain(b))) or plain(b))
     assert archives.Archive(out.getvalue()).header() == {"Number of rows": "2", "Number of columns": "3"} and read == [39]
     assert archives.decode_archive(out.getvalue())[1].tolist() == [[0, 1, 2], [3, 4, 5]] and read == [39, 39, 12]
+
+
+def test_archives_as_a_source(spark, tmp_path):
+    """Archives of other days are not opened, header scans leave the grids on disk, and pixels are those of the binary files."""
+    import datetime as dt
+
+    from catchment.plans import pipelines
+    from catchment.sources import snow_source
+
+    rng = np.random.default_rng(1)
+    want = set()
+    for d in range(1, 6):
+        grid = rng.integers(-9999, 30_000, (200, 300)).astype(">i2")
+        grid[rng.random((200, 300)) < 0.95] = -9999
+        head = "Number of rows: 200\nNumber of columns: 300\nMinimum x-axis coordinate: 0\nMaximum y-axis coordinate: 200\nX-axis resolution: 1\nY-axis resolution: 1\n"
+        with tarfile.open(tmp_path / f"SNODAS_2001010{d}.tar", "w") as tar:
+            for name, body in ((f"us_ssmv01025_{d}.dat.gz", bytes(rng.bytes(200_000))), (f"us_ssmv11034_{d}.dat.gz", gzip.compress(grid.tobytes())), (f"us_ssmv11034_{d}.txt.gz", gzip.compress(head.encode()))):
+                info = tarfile.TarInfo(name)
+                info.size = len(body)
+                tar.addfile(info, io.BytesIO(body))
+        want |= {(dt.date(2001, 1, d), int(i), int(j), float(grid[i, j])) for i, j in zip(*np.nonzero(grid != -9999), strict=True)}
+    (tmp_path / "SNODAS_20010103.txt").write_bytes(b"no archive")
+    (tmp_path / "SNODAS_20010109.tar").write_bytes(b"not to be opened")
+    snow_source.register(spark)
+    read = lambda **o: spark.read.format("snow_archives").options(**o).load(str(tmp_path))
+    some = read().where("t >= date'2001-01-02' and t < date'2001-01-05'")
+    assert {tuple(r) for r in some.collect()} == {w for w in want if 2 <= w[0].day <= 4}
+    assert some.rdd.getNumPartitions() == 1 and read(days="1").where("t >= date'2001-01-02' and t < date'2001-01-05'").rdd.getNumPartitions() == 3
+    assert read(mode="headers").where("t in (date'2001-01-01', date'2001-01-05')").select("t", "rows", "max_y").collect() == [(dt.date(2001, 1, 1), 200, 200.0), (dt.date(2001, 1, 5), 200, 200.0)]
+    assert read().where("t = date'1999-01-01'").count() == 0
+
+    class Counted:
+        def __init__(self, f):
+            self.f, self.bytes = f, 0
+
+        def read(self, n=-1):
+            out = self.f.read(n)
+            self.bytes += len(out)
+            return out
+
+        def __getattr__(self, name):
+            return getattr(self.f, name)
+
+    size = (tmp_path / "SNODAS_20010101.tar").stat().st_size
+    with open(tmp_path / "SNODAS_20010101.tar", "rb", buffering=0) as f:
+        counted = Counted(f)
+        assert archives.Archive(file=counted).header()["Number of rows"] == "200" and counted.bytes < 6000 < size / 30
+
+    targets = spark.createDataFrame([(k, j + 0.5, 200 - i - 0.5) for k, (i, j) in enumerate([(0, 0), (10, 20), (199, 299)])], "hru long, x double, y double")
+    got = {(r["hru"], r["t"], r["value"]) for r in pipelines.snow_source(spark, str(tmp_path), targets, dt.date(2001, 1, 1), dt.date(2001, 1, 5)).select("hru", "t", "value").collect()}
+    at = {(0, 0): 0, (10, 20): 1, (199, 299): 2}
+    assert got == {(at[w[1], w[2]], w[0], w[3]) for w in want if (w[1], w[2]) in at}
