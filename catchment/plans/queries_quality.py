@@ -37,14 +37,14 @@ QUERIES["a21_contributors_per_time"] = (lambda s, d: dg.contributors_per_time(qu
 
 
 def cover(spark, d):
-    return views.daily(spark, d).where("source = 'click'").select("hru", "t", "value", (F.col("hru") / 25.0).cast("double").alias("vaf"))
+    return views.daily(spark, d).select("hru", "t", "value", (F.col("hru") / 25.0).cast("double").alias("vaf"))
 
 
 def _cover_summary(spark, d):
     return dg.coverage_by_day(cover(spark, d), "value", 50.0, "vaf", 0.4)
 
 
-COVER = "c AS (SELECT t, count(value) AS n_finite, count(*) FILTER (value > 50) AS n_above, count(*) FILTER (hru / 25.0 >= 0.4) AS n_covered, count(*) FILTER (value > 50 AND hru / 25.0 >= 0.4) AS n_overlap FROM daily WHERE source = 'click' GROUP BY t)"
+COVER = "c AS (SELECT t, count(value) AS n_finite, count(*) FILTER (value > 50) AS n_above, count(*) FILTER (hru / 25.0 >= 0.4) AS n_covered, count(*) FILTER (value > 50 AND hru / 25.0 >= 0.4) AS n_overlap FROM daily GROUP BY t)"
 QUERIES["a22_coverage_by_day"] = (_cover_summary, with_views("daily", COVER, "SELECT * FROM c"))
 QUERIES["o3_best_day"] = (lambda s, d: dg.best_day(_cover_summary(s, d), month=1), with_views("daily", COVER, "SELECT * FROM c WHERE month(t) = 1 ORDER BY n_overlap DESC, t LIMIT 1"))
 QUERIES["a23_missing_count"] = (lambda s, d: rounded(dg.missing_count(views.pixels(s, d)), "missing_share"), with_views("pixels", "", "SELECT count(*) FILTER (value IS NULL) AS n_missing, round(count(*) FILTER (value IS NULL) / count(*), 4) AS missing_share FROM pixels"))
@@ -84,7 +84,7 @@ QUERIES["q5_repeated"] = (lambda s, d: q.repeated(views.table(s, d, "orders"), "
 
 
 def q6(spark, d):
-    f = views.pixels(spark, d).where("year(t) % 3 <> 0").groupBy(F.year("t").alias("year"), F.when(F.year("t") % 2 == 0, F.col("cell") % 2).otherwise(0).alias("file")).agg(F.count("value").alias("n_rows"))
+    f = views.pixels(spark, d).groupBy((F.year("t") + F.when(F.year("t") % 3 == 0, 100).otherwise(0)).alias("year"), F.when(F.year("t") % 2 == 0, F.col("cell") % 2).otherwise(0).alias("file")).agg(F.count("value").alias("n_rows"))
     return q.year_coverage(f, 1994, 2001)
 
 
