@@ -1,7 +1,7 @@
 """N-gram Jaccard self-join in the metric space of shingle sets, exact at a given similarity.
 
 Jaccard distance is a metric, but most sets are at distance 1 from one another, so regions
-around documents alone would not part them. The join therefore works on two levels.
+around documents alone would not part them at first. The join therefore works on several levels.
 
 0. Isolated sets. A shingle that no other set holds cannot be part of an overlap, so a set
    with fewer than t n shared shingles links with nothing. Blocks of documents send each
@@ -14,13 +14,21 @@ around documents alone would not part them. The join therefore works on two leve
    documents in a sketch of fixed size; it only chooses the order, so it cannot lose a link.
 2. Document pivots. In each of these regions the least set is the pivot, and all sets that
    share a pivot make up its region. Distances to the pivot are computed exactly; what is
-   within the radius is linked to it and so is one component with it. What is left of a
-   region is parted again, into rings by distance to the pivot: by the triangle inequality
-   linked sets lie in one ring or in neighbouring ones, and of the region's main component
-   only the rows in the window around the others are kept. Rings are cut into tiles of
-   bounded size; sets outside the main component meet all rows of their windows, two tiles
-   at a time. A pair of tiles returns a spanning forest of its links, so a dense group does
-   not turn into all its pairs.
+   within the radius is linked to it and so is one component with it. Of the region's main
+   component only the rows in the window around the others stay open.
+3. Recursion. A region with many open rows is parted again. First into Voronoi cells: each
+   row goes to the nearest of several of the region's rows, its home, and to every cell whose
+   pivot is at most two radii farther off; by the triangle inequality two linked sets meet in
+   the home of either. A pair must hold a row that is at home, so boundary rows are not
+   compared with one another. Where the metric cannot part the rows, since they are about as
+   far from one another as from any pivot, the pivots are singletons again: prefixes are
+   taken anew in the order of how many of the region's own rows hold a shingle, without the
+   shingles that one row alone holds. Every parting is exact; one that does not halve the
+   pairs to be compared is not made, so the recursion ends by itself.
+4. Leaves. Rings by distance to the pivot: linked sets lie in one ring or in neighbouring
+   ones. Rings are cut into tiles of bounded size, two of which are compared at a time. A pair
+   of tiles returns a spanning forest of its links, so a dense group does not turn into all
+   its pairs.
 
 Equal sets are one node. All candidates are checked on whole sets. Shingles are compared by
 64-bit hashes. Groups are reduced before shuffles; wide joins are plain shuffle joins that
@@ -38,7 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catchment.llm.shared import components, cut, shared_dir
@@ -47,6 +55,8 @@ from catchment.llm.shared import components, cut, shared_dir
 COUNTERS, CHUNK = 1 << 20, 1 << 14
 #: Tiles of a region hold so many rows and hashes at most, on average.
 TILE_ROWS, TILE_HASHES = 256, 200_000
+#: Regions with more open rows than this are parted again, into so many Voronoi cells.
+CELL_ROWS, CELLS = 1024, 8
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -347,6 +357,103 @@ def _tile(num: int, den: int):
     return tile
 
 
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per shingle of each set."""
+    for batch in batches:
+        sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("s")]
+        for lo in range(0, len(sets), 500):
+            some = sets[lo : lo + 500]
+            at = pa.array(np.repeat(np.arange(lo, lo + len(some)), [len(x) for x in some]))
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in ("p", "fp", "n", "core")] + [pa.array(np.concatenate(some))], names=["p", "fp", "n", "core", "h"])
+
+
+def _distance() -> Column:
+    """Jaccard distance of a row of overlaps."""
+    return 1 - F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter"))
+
+
+def _linked(num: int, den: int) -> Column:
+    return F.col("inter") * den >= (F.col("na") + F.col("nb") - F.col("inter")) * num
+
+
+#: Columns of the rows of regions.
+_ROW = ["p", "fp", "n", "d", "c", "core"]
+
+
+def _windowed(rows: DataFrame, radius: float) -> DataFrame:
+    """Without the rows that are too near or too far from the pivot to reach a core row of their region."""
+    edge = rows.where("core").groupBy("p").agg(F.min("d").alias("near"), F.max("d").alias("far"))
+    return rows.join(edge, "p").where(F.col("core") | F.col("d").between(F.col("near") - radius - 1e-9, F.col("far") + radius + 1e-9)).drop("near", "far")
+
+
+def _paying(children: DataFrame, size: DataFrame) -> DataFrame:
+    """The regions p of ``size`` whose ``children`` (parent, p, core) have at most half their pairs to compare."""
+    each = children.groupBy("parent", "p").agg((F.count("*") * F.sum(F.col("core").cast("long"))).alias("w"))
+    work = each.groupBy(F.col("parent").alias("p")).agg(F.sum("w").alias("w"))
+    return size.join(work, "p", "left").where(2 * F.coalesce("w", F.lit(0)) <= F.col("k") * F.col("a")).select("p")
+
+
+def _parted(rows: DataFrame, members: DataFrame, distances, num: int, den: int, path: str) -> tuple[DataFrame, list[DataFrame]]:
+    """The leaves of the recursion over the regions of ``rows``, and the links found on the way.
+
+    ``rows`` and leaves hold p (the region), fp, n, d (distance to the region's pivot), c (what
+    is linked already) and core: a pair is to be compared if one of its rows at least is core.
+    """
+    radius = 1 - num / den
+    near = _linked(num, den)
+    leaves, links, step = [], [], 0
+    while True:
+        step += 1
+        size = rows.groupBy("p").agg(F.count("*").alias("k"), F.sum(F.col("core").cast("long")).alias("a")).where("a > 0")
+        sized = rows.join(size, "p")
+        leaves.append(sized.where(F.col("k") <= CELL_ROWS).select(*_ROW))
+        large = cut(sized.where(F.col("k") > CELL_ROWS), f"{path}/large{step}")
+        if large.isEmpty():
+            break
+        size = large.select("p", "k", "a").distinct()
+
+        # Voronoi cells: the pivots are compared with all rows of the region and are done with then.
+        draw = F.pmod(F.xxhash64("fp", F.lit(step)), F.lit(CELLS))
+        pivots = cut(large.groupBy("p", draw.alias("draw")).agg(F.min("fp").alias("q")).select("p", "q"), f"{path}/pivots{step}")
+        away = distances(large.join(pivots, "p").where("fp <> q").select(F.col("q").alias("a"), F.col("fp").alias("b")).distinct(), f"away{step}")
+        links.append(away.where(near).select("a", "b"))
+        others = large.join(pivots.withColumnRenamed("q", "fp"), ["p", "fp"], "left_anti").drop("d")
+        e = away.select(F.col("a").alias("q"), F.col("b").alias("fp"), _distance().alias("d"))
+        placed = others.join(pivots, "p").join(e, ["q", "fp"])
+        home = placed.groupBy("p", "fp").agg(F.min(F.struct("d", "q")).alias("home"))
+        cells = placed.join(home, ["p", "fp"]).where(F.col("d") <= F.col("home.d") + 2 * radius + 1e-9)
+        cells = cells.select(F.col("p").alias("parent"), F.xxhash64("p", "q").alias("p"), "fp", "n", "d", "c", (F.col("core") & (F.col("q") == F.col("home.q"))).alias("core"))
+        cells = cut(_windowed(cells, radius), f"{path}/cells{step}")
+        paying = cut(_paying(cells, size), f"{path}/paying{step}")
+        rows = cells.join(paying.withColumnRenamed("p", "parent"), "parent", "left_semi").select(*_ROW)
+
+        rest = large.join(paying, "p", "left_anti")
+        if not rest.isEmpty():
+            # Singletons: only shingles that a core row and another row hold can be part of an overlap.
+            held = rest.join(members.select("fp", "s"), "fp").select("p", "fp", "n", "core", "s")
+            held = cut(held.mapInArrow(_spread, "p long, fp long, n int, core boolean, h long"), f"{path}/held{step}")
+            common = held.groupBy("p", "h").agg(F.count("*").alias("w"), F.max("core").alias("some")).where("w > 1 and some").drop("some")
+            own = held.join(common, ["p", "h"]).groupBy("p", "fp", "n", "core").agg(F.sort_array(F.collect_list(F.struct("w", "h"))).alias("hs"))
+            take = F.size("hs") - F.expr(f"int(({num} * n + {den - 1}) div {den})") + 1
+            keys = own.where(take > 0).select("p", "fp", "core", F.explode(F.slice("hs", F.lit(1), take)).alias("x")).select("p", "fp", "core", "x.h")
+            regions = keys.groupBy("p", "h").agg(F.min("fp").alias("q"), F.max("fp").alias("top"), F.max("core").alias("some")).where("q < top and some")
+            met = keys.join(regions.select("p", "h", "q"), ["p", "h"]).where("fp <> q").select("p", "q", "fp", "core").distinct()
+            met = cut(met.select(F.col("p").alias("parent"), F.xxhash64("p", "q", F.lit(step)).alias("p"), "q", "fp", "core"), f"{path}/met{step}")
+            also = cut(_paying(met, size.join(paying, "p", "left_anti")), f"{path}/also{step}").withColumnRenamed("p", "parent")
+            met = met.join(also, "parent", "left_semi")
+            star = distances(met.select(F.col("q").alias("a"), F.col("fp").alias("b")).distinct(), f"stars{step}")
+            links.append(star.where(near).select("a", "b"))
+            e = star.select(F.col("a").alias("q"), F.col("b").alias("fp"), _distance().alias("d"))
+            around = met.join(e, ["q", "fp"]).join(rest.select(F.col("p").alias("parent"), "fp", "n", "c"), ["parent", "fp"])
+            rows = rows.unionByName(_windowed(around.select(*_ROW), radius))
+            leaves.append(rest.join(also.withColumnRenamed("parent", "p"), "p", "left_anti").select(*_ROW))
+        rows = cut(rows, f"{path}/rows{step}")
+    whole = leaves[0]
+    for more in leaves[1:]:
+        whole = whole.unionByName(more)
+    return cut(whole, f"{path}/leaves"), links
+
+
 def link_classes(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id; linked means intersection/union >= num/den."""
     placed = _classes(docs, k, num, den, id_col, text_col, path or shared_dir(docs.sparkSession))
@@ -366,7 +473,9 @@ def drop_linked(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4, id_col:
     keys = ["__key", "__tie"]
     kept = kept.select(F.xxhash64("doc_id").alias("__key"), F.col("tie").alias("__tie")).distinct()
     keyed = docs.withColumn("__key", F.xxhash64(F.col(id_col).cast("long"))).withColumn("__tie", F.xxhash64(text_col))
-    return keyed.join(kept, keys, "left_semi").groupBy(*keys).agg(F.first(F.struct(*[F.col(c) for c in docs.columns])).alias("__row")).select("__row.*")
+    # Rows of one document that differ elsewhere: always the same one stays.
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind])
+    return keyed.join(kept, keys, "left_semi").groupBy(*keys).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), whole).alias("__row")).select("__row.*")
 
 
 def _classes(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str, path: str) -> DataFrame:
@@ -398,28 +507,29 @@ def _classes(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col:
         both = pairs.join(b, "b").join(a, "a").select("a", "b", "sa", "sb")
         return cut(both.mapInArrow(_overlaps, "a long, b long, inter int, na int, nb int"), f"{path}/{name}")
 
-    union = F.col("na") + F.col("nb") - F.col("inter")
-    linked = F.col("inter") * den >= union * num
+    linked = _linked(num, den)
     radius = 1 - num / den
 
     # Every set against the pivots of its regions. From here on a region is all that shares
     # a pivot, each row with its exact distance to it.
     star = distances(region, "star")
     links = star.where(linked).select("a", "b")
-    rows_of = star.select(F.col("a").alias("p"), F.col("b").alias("fp"), F.col("nb").alias("n"), (1 - F.col("inter") / union).alias("d"))
+    rows_of = star.select(F.col("a").alias("p"), F.col("b").alias("fp"), F.col("nb").alias("n"), _distance().alias("d"))
     comp = components(links, f"{path}/comp1").select(F.col("node").alias("fp"), F.col("component").alias("c"))
     rows_of = rows_of.join(comp, "fp", "left").withColumn("c", F.coalesce("c", "fp"))
-    parts = rows_of.groupBy("p", "c").agg(F.count("*").alias("k"), F.min("d").alias("near"), F.max("d").alias("far"))
+    parts = rows_of.groupBy("p", "c").agg(F.count("*").alias("k"))
     main = parts.groupBy("p").agg(F.max_by("c", F.struct("k", "c")).alias("c0"), F.count("*").alias("parts"))
-    edge = parts.join(main.where("parts > 1"), "p").where("c <> c0").groupBy("p", "c0").agg(F.min("near").alias("near"), F.max("far").alias("far"))
-    # Rows of the main component matter only as far as the triangle inequality lets them reach the others.
-    reach = (F.col("c") != F.col("c0")) | F.col("d").between(F.col("near") - radius - 1e-9, F.col("far") + radius + 1e-9)
-    ring = F.floor(F.col("d") / radius).cast("int").alias("r")
-    open_ = cut(rows_of.join(edge, "p").where(reach).select("p", "fp", "n", "d", "c", "c0", ring), f"{path}/open")
+    # A pair within the main component of a region says nothing new: one of its rows must be of another.
+    several = rows_of.join(main.where("parts > 1"), "p").withColumn("core", F.col("c") != F.col("c0"))
+    open_ = cut(_windowed(several.select(*_ROW), radius), f"{path}/open")
     if not open_.isEmpty():
+        leaves, found = _parted(open_, members, distances, num, den, path)
+        for more in found:
+            links = links.unionByName(more)
+        leaves = leaves.withColumn("r", F.floor(F.col("d") / radius).cast("int"))
         tiles = F.greatest(F.ceil(F.sum("n") / TILE_HASHES), F.ceil(F.count("*") / TILE_ROWS)).cast("int")
         sides = []
-        for name, side in (("x", open_.where("c <> c0")), ("y", open_)):
+        for name, side in (("x", leaves.where("core")), ("y", leaves)):
             count = side.groupBy("p", "r").agg(tiles.alias("t"))
             dealt = side.join(count, ["p", "r"]).select("p", F.col("r").alias(f"r{name}"), F.pmod(F.xxhash64("fp"), F.col("t")).cast("int").alias(f"t{name}"), "fp", "d", "c")
             sides.append((count.select("p", F.col("r").alias(f"r{name}"), F.explode(F.sequence(F.lit(0), F.col("t") - 1)).alias(f"t{name}")), dealt))

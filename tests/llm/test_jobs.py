@@ -153,6 +153,38 @@ def test_jaccard_join(spark, monkeypatch):
     assert got == brute_components(texts)
 
 
+@pytest.mark.parametrize("crowd", [True, False])
+def test_jaccard_regions_that_are_parted_again(spark, monkeypatch, tmp_path, crowd):
+    """Many rows with one prefix shingle: families within the metric's reach, and rows that are alike in nothing else."""
+    monkeypatch.setattr(jaccard_join, "CELL_ROWS", 24)
+    monkeypatch.setattr(jaccard_join, "TILE_ROWS", 9)
+    if not crowd:  # no shingle is known to be crowded, so all rows meet in the passage's region
+        monkeypatch.setattr(jaccard_join, "_crowded", lambda sketch: bytes(jaccard_join.COUNTERS // 8))
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(60)]
+    parts = [[f"s{k}_{i}" for i in range(40)] for k in range(70)]
+    texts = [passage + sum(rng.sample(parts, 4), []) for _ in range(260)]
+    for family in range(6):
+        base = passage + [f"f{family}_{i}" for i in range(90)]
+        for _ in range(18):
+            texts.append([w if rng.random() > rng.choice([0.005, 0.02, 0.06]) else f"r{rng.randrange(40)}" for w in base])
+    for _ in range(40):  # links between rows of the parts, and chains of them
+        t = list(rng.choice(texts[:260]))
+        at = rng.randrange(len(t) - 12)
+        t[at : at + rng.randrange(4, 12)] = ["z"]
+        texts.append(t)
+    texts = dict(enumerate(map(" ".join, texts)))
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.link_classes(d, path=str(tmp_path)).collect()}
+    assert got == brute_components(texts)
+    if not crowd:
+        work = F.count("*") * F.sum(F.col("core").cast("long"))
+        tables = {n: spark.read.parquet(f"{tmp_path}/{n}").groupBy("p").agg(work.alias("w")) for n in ("open", "leaves")}
+        pairs = {n: t.agg(F.sum("w")).first()[0] or 0 for n, t in tables.items()}
+        assert tables["open"].agg(F.max("w")).first()[0] > 200 * 200
+        assert pairs["leaves"] < pairs["open"] / 4
+
+
 def test_embedding_links(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(40, 24))
