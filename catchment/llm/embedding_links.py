@@ -41,13 +41,14 @@ from pyspark.sql import functions as F
 from catchment.llm.shared import components, cut, shared_dir
 
 FOUND = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("other", pa.int64())])
-GRAM = pa.schema([("dim", pa.int32()), ("n", pa.int64()), ("g", pa.binary())])
+GRAM = pa.schema([("dim", pa.int32()), ("g", pa.binary())])
+#: Groups that the tasks' matrices are added up in before the last sum.
+SUMS = 256
 
 
 def _gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of products of unit vectors, one row per length of vectors."""
     sums: dict[int, np.ndarray] = {}
-    count: dict[int, int] = {}
     for batch in batches:
         by: dict[int, list] = {}
         for v in batch.column(0).to_pylist():
@@ -56,19 +57,20 @@ def _gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x = np.array(vs, np.float64)
             x /= np.linalg.norm(x, axis=1)[:, None]
             sums[d] = sums.get(d, 0) + x.T @ x
-            count[d] = count.get(d, 0) + len(x)
     for d, g in sums.items():
-        yield pa.RecordBatch.from_pydict({"dim": [d], "n": [count[d]], "g": [g.tobytes()]}, schema=GRAM)
+        yield pa.RecordBatch.from_pydict({"dim": [d], "g": [g.tobytes()]}, schema=GRAM)
 
 
 def _axes(vectors: DataFrame) -> dict[int, np.ndarray]:
-    """Principal axes for each length of vectors, strongest first. One matrix a task is added up."""
+    """Principal axes for each length of vectors, strongest first. One matrix a task is added up, in ``SUMS`` groups first."""
 
     def add(group: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(g, np.float64) for g in group.column("g").to_pylist())
         return pa.table({"dim": pa.array([group.column("dim")[0].as_py()], pa.int32()), "g": pa.array([total.tobytes()])})
 
-    sums = vectors.select("v").mapInArrow(_gram, "dim int, n long, g binary").groupBy("dim").applyInArrow(add, "dim int, g binary")
+    sums = vectors.select("v").mapInArrow(_gram, "dim int, g binary").withColumn("k", F.spark_partition_id() % SUMS)
+    for keys in (["dim", "k"], ["dim"]):
+        sums = sums.groupBy(*keys).applyInArrow(add, "dim int, g binary")
     out = {}
     for r in sums.collect():
         d = r["dim"]

@@ -7,7 +7,9 @@ sentence may be wrapped anywhere between words. What is not known ends a run, ot
 list marks, copyright notices (sign or year, and names) and reserved rights. The sequence of identifiers of each text is then matched against ordered
 rules: a rule names a licence and the identifiers that must follow one another, in order,
 without another known sentence in between. The longest rule that matches at a position
-wins, and matching goes on behind it.
+wins, and matching goes on behind it. A tag line holds an expression: its names, joined by
+"or" and "and", with known exceptions left out, give one identifier each; an older name with
+a plus sign is that of the later versions. Full licence texts are known by their titles.
 
 Each text is worked on by itself, so nothing is shuffled. The tables of sentences and rules
 are parameters of fixed size.
@@ -29,6 +31,8 @@ SCANNED = pa.schema([("doc_id", pa.int64()), ("licenses", pa.list_(pa.string()))
 SPLIT = re.compile(r"[\r\n]+|(?<=[.;:!?])\s+")
 WORDS = re.compile(r"[^\W_]+")
 LIST = re.compile(r"[^\w\s]*\s*[^\w\s]*(?:\d{1,2}|[a-zA-Z]|[ivxIVX]{2,4})[.)](?:\s+|$)")
+TAG_LINE = re.compile(r"SPDX-License-Identifier:[^\r\n]*", re.I)
+PLUS = re.compile(r"(?<=\d)\+(?![\w+])")
 NOTICE = re.compile(r"[\W_]*(?:copyright[\s:,]*(?:\(c\)|©|&copy;|\d{4})|\(c\)\s*\d{4}|©|all rights reserved\W*$)", re.I)
 
 # Sentences of public licences and their identifiers.
@@ -107,6 +111,18 @@ SENTENCES: dict[str, str] = {
     "cc-by-nc-nd-4": "Licensed under CC BY-NC-ND 4.0.",
     "cc0-dedicated": "The person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law.",
     "cc0-licensed": "Licensed under CC0 1.0.",
+    "apache-title": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions.",
+    "apache-title-plain": "Apache License Version 2.0, January 2004 TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions.",
+    "apache-means": '"License" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document.',
+    "gpl3-title": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "gpl2-title": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "lgpl3-title": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "lgpl21-title": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "agpl3-title": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    "mpl2-title": "Mozilla Public License Version 2.0 1. Definitions",
+    "epl2-title": 'Eclipse Public License - v 2.0 THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE ("AGREEMENT").',
+    "bsl-title": "Boost Software License - Version 1.0 - August 17th, 2003",
+    "cc0-title": "Creative Commons Legal Code CC0 1.0 Universal",
 }
 # The wording of public Creative Commons licences by identifier.
 CREATIVE = {
@@ -123,12 +139,15 @@ TAGS = (
     "CC-BY-ND-4.0 CC-BY-SA-3.0 CC-BY-SA-4.0 CC0-1.0 EPL-1.0 EPL-2.0 EUPL-1.2 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1-only LGPL-2.1-or-later "
     "LGPL-3.0-only LGPL-3.0-or-later MIT MIT-0 MPL-2.0 MS-PL Unlicense WTFPL Zlib"
 ).split()
+# Older names that tags still use, and the exceptions that may follow a name.
+OLDER = {f"{name}-{version}": f"{name}-{version}-only" for name, version in (("GPL", "2.0"), ("GPL", "3.0"), ("LGPL", "2.1"), ("LGPL", "3.0"), ("AGPL", "3.0"))}
+EXCEPTIONS = "Autoconf-exception-3.0 Bison-exception-2.2 Classpath-exception-2.0 GCC-exception-3.1 LLVM-exception Linux-syscall-note".split()
 for _name, _words in CREATIVE.items():
     for _version in ("3.0", "4.0"):
         _kind = "Unported" if _version == "3.0" else "International"
         SENTENCES[f"{_name}-{_version}-deed"] = f"This work is licensed under a Creative Commons {_words} {_version} {_kind} License."
         SENTENCES[f"{_name}-{_version}-the-deed"] = f"This work is licensed under the Creative Commons {_words} {_version} {_kind} License."
-for _name in TAGS:
+for _name in (*TAGS, *OLDER):
     SENTENCES[f"tag-{_name}"] = f"SPDX-License-Identifier: {_name}"
 # Licences (SPDX identifiers) and the sentence sequences that grant them.
 RULES: list[tuple[str, tuple[str, ...]]] = [
@@ -200,7 +219,18 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("CC0-1.0", ("cc0-dedicated",)),
     ("CC0-1.0", ("cc0-licensed",)),
     *((f"{name}-{version}", (f"{name}-{version}-{deed}",)) for name in CREATIVE for version in ("3.0", "4.0") for deed in ("deed", "the-deed")),
+    *(("Apache-2.0", (title, *more)) for title in ("apache-title", "apache-title-plain") for more in ((), ("apache-means",))),
+    ("GPL-3.0-only", ("gpl3-title",)),
+    ("GPL-2.0-only", ("gpl2-title",)),
+    ("LGPL-3.0-only", ("lgpl3-title",)),
+    ("LGPL-2.1-only", ("lgpl21-title",)),
+    ("AGPL-3.0-only", ("agpl3-title",)),
+    ("MPL-2.0", ("mpl2-title",)),
+    ("EPL-2.0", ("epl2-title",)),
+    ("BSL-1.0", ("bsl-title",)),
+    ("CC0-1.0", ("cc0-title",)),
     *((name, (f"tag-{name}",)) for name in TAGS),
+    *((name, (f"tag-{older}",)) for older, name in OLDER.items()),
 ]
 
 
@@ -212,6 +242,7 @@ def normalise(sentence: str) -> str:
 def parts_of(text: str) -> list[tuple[str, bool]]:
     """Normalised parts of a text in order, each with whether it may be left out between sentences."""
     out = []
+    text = TAG_LINE.sub(lambda m: PLUS.sub("-or-later", m[0]), text)
     for part in SPLIT.split(text):
         notice = NOTICE.match(part) is not None
         if not notice and (mark := LIST.match(part)):
@@ -221,6 +252,13 @@ def parts_of(text: str) -> list[tuple[str, bool]]:
     return [x for x in out if x[0]]
 
 
+#: The words that begin a tag, those that join its names, and the exceptions.
+TAG_WORDS = normalise("SPDX-License-Identifier:")
+TAG = tuple(TAG_WORDS.split())
+JOINS = {("or",), ("and",)}
+WITH = {tuple(normalise(f"with {x}").split()) for x in EXCEPTIONS}
+
+
 def by_first_word(known: dict[str, str]) -> dict[str, list[str]]:
     """Normalised sentences by their first words."""
     heads: dict[str, list[str]] = {}
@@ -229,17 +267,58 @@ def by_first_word(known: dict[str, str]) -> dict[str, list[str]]:
     return heads
 
 
-def identify(text: str | None, known: dict[str, str], heads: dict[str, list[str]]) -> list[str | None]:
+def tag_names(known: dict[str, str]) -> dict[tuple[str, ...], str]:
+    """Identifiers of the sentences that are tags, by the words of the name."""
+    return {tuple(whole.split()[len(TAG) :]): i for whole, i in known.items() if tuple(whole.split()[: len(TAG)]) == TAG}
+
+
+def expression(parts: list[tuple[str, bool]], k: int, names: dict[tuple[str, ...], str]) -> tuple[list[str], int, bool]:
+    """Identifiers of the tag that begins with part ``k``, how many parts it takes, and whether it ends within the last one.
+
+    Names may be wrapped over parts like any other sentence.
+    """
+    words: list[str] = []
+    ends: list[int] = []
+
+    def longest(at: int, of) -> int:
+        most = max(map(len, of))
+        while len(words) < at + most and k + len(ends) < len(parts):
+            words.extend(parts[k + len(ends)][0].split())
+            ends.append(len(words))
+        return next((n for n in range(min(most, len(words) - at), 0, -1) if tuple(words[at : at + n]) in of), 0)
+
+    found: list[str] = []
+    at = last = len(TAG)
+    while n := longest(at, names):
+        found.append(names[tuple(words[at : at + n])])
+        at = last = at + n
+        if n := longest(at, WITH):
+            at = last = at + n
+        if not longest(at, JOINS):
+            break
+        at += 1
+    taken = next((j for j, end in enumerate(ends) if end >= last), 0)
+    return found, taken + 1, bool(found) and ends[taken] > last
+
+
+def identify(text: str | None, known: dict[str, str], heads: dict[str, list[str]], tags: dict[tuple[str, ...], str] | None = None) -> list[str | None]:
     """Identifiers of the text's sentences in order; None where unknown sentences stand.
 
     ``known`` is keyed by the normalised sentence, ``heads`` lists by first word the
-    normalised sentences that may be spread over several parts.
+    normalised sentences that may be spread over several parts, ``tags`` the names that
+    expressions may join.
     """
     out: list[str | None] = []
     parts = parts_of(text or "")
     k = 0
     while k < len(parts):
         first, loose = parts[k]
+        if tags and first.startswith(TAG_WORDS):
+            some, step, within = expression(parts, k, tags)
+            if some:
+                out += [*some, None] if within else some
+                k += step
+                continue
         found, step = known.get(first), 1
         for whole in heads.get(first.split(" ", 1)[0], ()):
             joined, j = first, k + 1
@@ -272,14 +351,14 @@ def match(ids: list[str | None], rules: list[tuple[str, tuple[str, ...]]]) -> li
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: dict[str, str] | None = None, rules: list[tuple[str, tuple[str, ...]]] | None = None) -> DataFrame:
     """Per row: doc_id, licenses (sorted, distinct), n_matches, n_sentences (known ones)."""
     known = {normalise(s): i for i, s in (sentences or SENTENCES).items()}
-    heads = by_first_word(known)
+    heads, tags = by_first_word(known), tag_names(known)
     order = rules or RULES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, count, held = [], [], []
             for t in batch.column(1).to_pylist():
-                ids = identify(t, known, heads)
+                ids = identify(t, known, heads, tags)
                 names = match(ids, order)
                 found.append(sorted(set(names)))
                 count.append(len(names))

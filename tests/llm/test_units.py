@@ -165,6 +165,52 @@ def test_wrapped_and_numbered_licences():
     assert scan("Copyright 2020 C. Released under the MIT License.") == ["MIT"]
 
 
+def test_tags_and_full_texts():
+    known = {licenses.normalise(s): i for i, s in licenses.SENTENCES.items()}
+    tags = licenses.tag_names(known)
+    scan = lambda t: licenses.match(licenses.identify(t, known, licenses.by_first_word(known), tags), licenses.RULES)
+    for mark, end in (("", ""), ("# ", ""), ("/* ", " */"), ("<!-- ", " -->")):
+        tag = lambda x: scan(f"first line\n{mark}SPDX-License-Identifier: {x}{end}\nint main() {{}}\n")  # noqa: E731, B023
+        for name in licenses.TAGS:
+            assert tag(name) == [name]
+        assert tag("Apache-2.0 OR MIT") == ["Apache-2.0", "MIT"]
+        assert tag("(MIT-0 AND (MIT or BSD-3-Clause)) OR GPL-2.0-or-later WITH Classpath-exception-2.0") == ["MIT-0", "MIT", "BSD-3-Clause", "GPL-2.0-or-later"]
+        assert tag("GPL-2.0 WITH Linux-syscall-note OR MIT") == ["GPL-2.0-only", "MIT"]
+        assert tag("LGPL-2.1+") == ["LGPL-2.1-or-later"] and tag("GPL-3.0+ AND MIT") == ["GPL-3.0-or-later", "MIT"]
+        assert tag("MIT OR LicenseRef-own") == ["MIT"] and tag("LicenseRef-own OR MIT") == [] and tag("") == []
+    assert scan("SPDX-License-Identifier:MIT") == ["MIT"]
+    assert scan("SPDX-License-Identifier: Apache-2.0\nor something else") == ["Apache-2.0"]
+    assert scan("SPDX-License-Identifier: Apache-2.0 OR\n# MIT\nReleased under the MIT License.") == ["Apache-2.0", "MIT", "MIT"]
+    assert scan("SPDX-License-Identifier: MIT Permission") == ["MIT"] and scan("SPDX-License-Identifier:") == []
+    apache = """                                 Apache License
+                           Version 2.0, January 2004
+                        http://www.apache.org/licenses/
+
+   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION
+
+   1. Definitions.
+
+      "License" shall mean the terms and conditions for use, reproduction,
+      and distribution as defined by Sections 1 through 9 of this document.
+
+      "Licensor" shall mean the copyright owner or entity authorized by"""
+    assert scan(apache) == ["Apache-2.0"]
+    gpl = """                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+ Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>
+ Everyone is permitted to copy and distribute verbatim copies
+ of this license document, but changing it is not allowed.
+
+                            Preamble
+
+  The GNU General Public License is a free, copyleft license for
+software and other kinds of works.
+"""
+    assert scan(gpl) == ["GPL-3.0-only"]
+    assert scan("Mozilla Public License Version 2.0\n====\n\n1. Definitions\n---\n") == ["MPL-2.0"] and scan("The Mozilla Public License Version 2.0 is one.") == []
+
+
 def test_label_model_and_classifier():
     rng = np.random.default_rng(2)
     y = rng.random(3000) < 0.15
