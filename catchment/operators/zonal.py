@@ -23,6 +23,15 @@ def cell_counts(weights: DataFrame) -> DataFrame:
     return weights.groupBy("hru").agg(F.count("*").alias("n_cells"), F.sum("area").alias("all_area"))
 
 
+def small(weights: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """``weights`` marked to go to every task whole if they have no more than ``most`` rows (some 100 MB), else as they are.
+
+    Counts the rows, so give it weights that are kept. The grid stays where it was read then:
+    only sums per polygon and time are shuffled.
+    """
+    return F.broadcast(weights) if weights.limit(most + 1).count() <= most else weights
+
+
 def weighted(grid: DataFrame, weights: DataFrame, cell: tuple[str, ...] = ("iy", "ix")) -> DataFrame:
     """The core join: every grid value with each polygon that its cell is part of."""
     return grid.join(weights, list(cell))
@@ -52,17 +61,16 @@ def aggregate(grid: DataFrame, weights: DataFrame, values: list[str], stat: str
 
 
 def _medians(rows: DataFrame, values: list[str], time: str) -> DataFrame:
-    """Weighted medians and counts (``__n_``) of all values at once: weights are added up by distinct value before they run."""
-    kinds = dict(rows.dtypes)
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(v).cast("double").alias("v")) for k, v in enumerate(values)])).alias("e")
-    mass = rows.select("hru", time, "area", each).groupBy("hru", time, "e.k", "e.v").agg(F.sum("area").alias("w"), F.count("*").alias("n"))
-    whole = Window.partitionBy("hru", time, "k")
-    there = F.when(F.col("v").isNotNull(), F.col("w"))
-    half = mass.withColumn("__run", F.sum(there).over(whole.orderBy(F.col("v").asc_nulls_last()))).withColumn("__all", F.sum(there).over(whole))
-    reached = F.col("v").isNotNull() & (F.col("__run") >= F.col("__all") / 2)
-    pick = [F.min(F.when((F.col("k") == k) & reached, F.col("v"))).cast(kinds[v]).alias(v) for k, v in enumerate(values)]
-    count = [F.coalesce(F.sum(F.when((F.col("k") == k) & F.col("v").isNotNull(), F.col("n"))), F.lit(0)).alias(f"__n_{v}") for k, v in enumerate(values)]
-    return half.groupBy("hru", time).agg(*pick, *count)
+    """Weighted medians and counts (``__n_``) of all values: one shuffle by polygon and time, one sort for each value."""
+    whole = Window.partitionBy("hru", time)
+    rows, pick, count = rows.select("hru", time, "area", *values), [], []
+    for k, v in enumerate(values):
+        there = F.when(F.col(v).isNotNull(), F.col("area"))
+        rows = rows.withColumn(f"__run{k}", F.sum(there).over(whole.orderBy(F.col(v).asc_nulls_last())))
+        rows = rows.withColumn(f"__all{k}", F.sum(there).over(whole))
+        pick.append(F.min(F.when(F.col(f"__run{k}") >= F.col(f"__all{k}") / 2, F.col(v))).alias(v))
+        count.append(F.count(v).alias(f"__n_{v}"))
+    return rows.groupBy("hru", time).agg(*pick, *count)
 
 
 def covered_fraction(grid: DataFrame, weights: DataFrame, value: str, time: str = "t", cell: tuple[str, ...] = ("iy", "ix")) -> DataFrame:

@@ -126,7 +126,8 @@ ANNUAL = f"""mm AS (SELECT source, hru, t, CASE source WHEN 'B' THEN value * {DA
 
 
 def e4(spark, d):
-    out = recharge.build({"reitz": views.one(spark, d, "A"), "watergap": views.one(spark, d, "B"), "era5": views.one(spark, d, "C")}, views.meta(spark, d), PERIOD, WINDOW)
+    x = views.by_source(spark, d)
+    out = recharge.build({"reitz": x["A"], "watergap": x["B"], "era5": x["C"]}, views.meta(spark, d), PERIOD, WINDOW)
     return rounded(out, "lower_bound", "upper_bound")
 
 
@@ -135,7 +136,7 @@ QUERIES["e4_recharge_bounds"] = (e4, _bounds_sql("series meta", f"{SPINE}, {ANNU
 
 def _soil(k):
     def run(spark, d):
-        out = soil_moisture.build({x: views.one(spark, d, x) for x in "ABC"}, views.meta(spark, d), PERIOD, WINDOW)[k]
+        out = soil_moisture.build(views.by_source(spark, d), views.meta(spark, d), PERIOD, WINDOW)[k]
         return rounded(out, "lower_bound", "upper_bound")
 
     return run

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from catchment.functions.projections import albers_steps, geographic_steps, step_by_step
 from catchment.operators.cutting import cell_weights, with_corners
+from catchment.operators.zonal import small
 from catchment.plans.pipelines import aggregate_source, to_long
 from catchment.plans.weightstore import WeightStore, by_place
 from catchment.plans.yearly import run_years, stitch
@@ -51,6 +52,7 @@ def run_source(spark: SparkSession, spec: SourceSpec, landed: Landed, fabric: Da
     years = sorted(set(years))
     grid = read_grids(spark, landed.path, landed.schema)
     weights, counts = kept_weights(spark, fabric, landed, store, batch_side)
+    weights = small(cut(weights))
     inputs = file_stamps(grid.select(F.year("t").alias("year"), "_metadata"))
     key = spec.source if region is None else f"{spec.source}_{region}"
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catchment.sources.tables import cut
+
 N_HRU = 400
 
 
@@ -50,6 +52,12 @@ def one(spark: SparkSession, d: str, source: str) -> DataFrame:
     return series(spark, d).where(F.col("source") == source).drop("source")
 
 
+def by_source(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The three sources' (hru, t, value), worked out once and written; each is read with its filter."""
+    rows = cut(series(spark, d))
+    return {x: rows.where(F.col("source") == x).drop("source") for x in "ABC"}
+
+
 def hourly(spark: SparkSession, d: str) -> DataFrame:
     """(hru, ts, value): the greatest event value of each hour, missing where it is below 20."""
     ts = F.date_trunc("hour", "ts")

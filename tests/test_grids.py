@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catchment.functions import projections
-from catchment.operators import cutting, geometry, raster
+from catchment.operators import cutting, geometry, raster, zonal
 from catchment.plans import runs
 from catchment.plans.weightstore import WeightStore, batch_keys, by_place
 from catchment.sources import archives, fabric
@@ -267,6 +267,10 @@ def test_a_source_from_files_to_years(spark, tmp_path):
     time.sleep(1.1)
     spark.createDataFrame([(dt.date(2002, 1, 2), 0, 0, 1.0)], kind).write.mode("append").parquet(regions["na"].path)
     assert go([2001, 2002])[1] == [2002]
+    files = spark.read.parquet(regions["na"].path)
+    for most, joins in ((10_000, "BroadcastHashJoin"), (3, "SortMergeJoin")):
+        plan = zonal.aggregate(files, zonal.small(weights, most), ["value"], "masked_mean")._jdf.queryExecution().executedPlan().toString()
+        assert joins in plan and plan.count("Exchange hashpartitioning(hru") == 1 and ("Exchange hashpartitioning(iy" in plan) == (most == 3)
     both = runs.run_regions(spark, spec, regions, fabric_, [2001], f"{tmp_path}/out", f"{tmp_path}/w")
     assert {(r["region"], r["hru"]) for r in both.collect()} == {("na", 1), ("hi", 2)}
     spark.createDataFrame([], kind).write.parquet(f"{tmp_path}/empty")
