@@ -82,7 +82,8 @@ class Stream:
         fresh = new | np.concatenate([[rows[0, 0] != self.last], rows[1:, 0] != rows[:-1, 0]])
         group, count = np.cumsum(new), np.cumsum(fresh)
         rank = count - np.concatenate([[-self.n], count[new] - 1])[group]  # 1: the document that keeps its lines
-        size = np.full(group[-1] + 1, self.n)
+        size = np.zeros(group[-1] + 1, np.int64)  # documents of each hash so far; other hashes than the open one begin at none
+        size[0] = self.n
         np.maximum.at(size, group, rank)
         opening = np.zeros(len(size), bool)
         opening[0], opening[min(1, len(size) - 1)] = self.opening, begin or (len(size) == 1 and self.opening)

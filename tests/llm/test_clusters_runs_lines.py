@@ -267,6 +267,18 @@ def test_stream_in_pieces():
         assert gone | {x for x in open_ if len(held[x[0]]) >= 3 and x[1] != max(held[x[0]])} == want
 
 
+@pytest.mark.parametrize("batch", [1, 3, 10])
+def test_lines_of_two_documents_behind_frequent_ones(spark, batch):
+    """What one hash counted up to does not count for the hashes of later batches."""
+    rows = [(i, f"this line stands in all of them\nthis line stands in {i // 2} and its pair\nthis line stands in {i % 3} and every third") for i in range(24)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = line_dedup.drop_lines(spark.createDataFrame(rows, "doc_id long, text string"), counts=True, tasks=1).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(tuple(r) for r in got) == brute_lines(rows, 20, 3)
+
+
 def test_bitmaps(spark):
     same = "this line stands in all of them"
     d = spark.createDataFrame([(i, f"{same}\nown line number {i} of its document\n{same} ") for i in range(5)], "doc_id long, text string")
