@@ -8,6 +8,11 @@ merge visits only the indexed positions and re-indexes only the two neighbours i
 If a merge creates a pair of a lower rank than its own, that rank goes first. Encoded words
 are kept in a table of bounded size, so a frequent word is replayed once per worker.
 
+Words of up to ``SHORT`` bytes are replayed together, by spans of ranks: of a span's positions,
+the lowest rank of each word merges, in all words at once, until the span is empty. Words do
+not touch each other, so each word sees its own merges in rank order. Longer words, where one
+merge a step would be too slow, go rank by rank with all of a rank's positions.
+
 The pattern never matches across the start of a run of white space, so texts are cut there
 by Arrow and only distinct pieces go through the pattern; texts with white space other than
 blanks, tabs and line ends go through it whole.
@@ -40,6 +45,10 @@ CODED = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha25
 ODD = "[\\x01\\x0b\\x0c\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 #: Longer words and pieces are not kept.
 LONGEST = 64
+#: Longer words are replayed rank by rank; shorter ones by so many spans of ranks.
+SHORT, SPANS = 32, 64
+#: The rank of a pair that does not merge.
+NONE = 1 << 31
 
 
 class Ranks:
@@ -62,12 +71,82 @@ class Ranks:
             for y, b in enumerate(self.single):
                 self.first[x, y] = self.pair.get(a << 32 | b, -1)
 
+        # The pairs as sorted arrays, with one behind the last; an id that no pair holds; where spans of ranks end.
+        self.none = max(self.bytes) + 1
+        self.keys = np.array([*sorted(self.pair), np.iinfo(np.int64).max])
+        self.merged = np.array([*map(self.pair.get, self.keys[:-1].tolist()), NONE])
+        self.spans = np.unique([*np.geomspace(256, self.none, SPANS).astype(np.int64)[:-1], self.none])
+
     def replay(self, words: list[bytes]) -> list[bytes]:
         """The ids of each of the distinct, not empty ``words``, as little-endian unsigned 32-bit integers."""
         whole = list(map(self.rank.get, words))
-        if rest := [w for w, r in zip(words, whole, strict=True) if r is None]:
-            replayed = iter(self._merge(rest))
-        return [next(replayed) if r is None else r.to_bytes(4, "little") for r in whole]
+        rest = [w for w, r in zip(words, whole, strict=True) if r is None]
+        short, long = [w for w in rest if len(w) <= SHORT], [w for w in rest if len(w) > SHORT]
+        some, others = iter(self._merge_short(short) if short else ()), iter(self._merge(long) if long else ())
+        return [r.to_bytes(4, "little") if r is not None else next(some if len(w) <= SHORT else others) for w, r in zip(words, whole, strict=True)]
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of each pair's merge."""
+        key = a << 32 | b
+        at = np.searchsorted(self.keys, key)
+        return np.where(self.keys[at] == key, self.merged[at], NONE)
+
+    def _merge_short(self, words: list[bytes]) -> list[bytes]:
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        edge, end = np.cumsum(size), len(raw)
+        word = np.repeat(np.arange(len(words)), size)
+        # Behind all positions, ``end`` stands for none; its token merges with nothing.
+        token = np.append(np.array(self.single, np.int64)[raw], self.none)
+        after, before = np.arange(1, end + 2), np.arange(-1, end)
+        after[edge - 1] = before[edge - size] = after[end] = end
+        now = np.full(end + 1, NONE)  # the rank of the pair that begins at a position
+        now[: end - 1] = self.first[raw[:-1], raw[1:]]
+        now[edge - 1] = NONE
+        now[now < 0] = NONE
+        lowest = np.full(len(words), np.iinfo(np.int64).max)
+        # The inverted index: the positions of pairs that merge, under the span of their ranks.
+        places: list[list[np.ndarray]] = [[] for _ in self.spans]
+
+        def index(at: np.ndarray) -> None:
+            at = at[now[at] < NONE]
+            span = np.searchsorted(self.spans, now[at], "right")
+            order = np.argsort(span, kind="stable")
+            found, cuts = np.unique(span[order], return_index=True)
+            for k, some in zip(found.tolist(), np.split(at[order], cuts[1:]), strict=False):
+                places[k].append(some)
+
+        index(np.arange(end))
+        k = 0
+        while k < len(places):
+            if not places[k]:
+                k += 1
+                continue
+            at, places[k] = np.concatenate(places[k]), []
+            at = np.sort(at[np.searchsorted(self.spans, now[at], "right") == k])  # others have merged or changed since
+            at = at[np.diff(at, prepend=-1) > 0]
+            value, owner = now[at] * (end + 1) + at, word[at]
+            np.minimum.at(lowest, owner, value)
+            goes = lowest[owner] == value
+            lowest[owner] = np.iinfo(np.int64).max
+            if not goes.all():
+                places[k].append(at[~goes])
+            i = at[goes]
+            r, j, p = now[i], after[i], before[i]
+            n = after[j]
+            token[i], token[j], now[j] = r, -1, NONE
+            after[i], before[n] = n, i
+            now[i], now[p] = self._rank(r, token[n]), self._rank(token[p], r)
+            now[end] = NONE
+            new = np.concatenate([i, p])
+            index(new)
+            lower = now[new]
+            if len(lower) and (least := int(lower.min())) < NONE:
+                k = min(k, int(np.searchsorted(self.spans, least, "right")))
+        alive = token[:end] >= 0
+        ends = (4 * np.cumsum(alive)[edge - 1]).tolist()
+        flat = token[:end][alive].astype("<u4").tobytes()
+        return [flat[x:y] for x, y in zip([0, *ends[:-1]], ends, strict=True)]
 
     def _merge(self, words: list[bytes]) -> list[bytes]:
         size = np.fromiter(map(len, words), np.int64, len(words))

@@ -71,6 +71,40 @@ def test_lower_rank_goes_first(tmp_path):
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [[256, 257], [120, 257, 257], [122]]
 
 
+@pytest.mark.parametrize("spans", [1, 3, 64])
+def test_short_words_are_replayed_together(tmp_path, monkeypatch, spans):
+    """As a plain merge of each word's lowest pair, in whatever order ranks come; pairs are not looked up word by word."""
+
+    class Counted(dict):
+        n = 0
+
+        def get(self, *a):
+            Counted.n += 1
+            return super().get(*a)
+
+    def plain(rank, word):
+        parts = [bytes([b]) for b in word]
+        while found := min(((rank[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in rank), default=None):
+            parts[found[1] : found[1] + 2] = [parts[found[1]] + parts[found[1] + 1]]
+        return [rank[x] for x in parts]
+
+    monkeypatch.setattr(byte_bpe, "SPANS", spans)
+    rng = random.Random(spans)
+    for k in range(12):
+        tokens = [bytes([b]) for b in range(256)] + sorted({bytes(rng.choices(b"abc", k=rng.randrange(2, 7))) for _ in range(50)}, key=lambda _: rng.random())
+        if k % 3 == 0:
+            rng.shuffle(tokens)
+        file = tmp_path / f"ranks{k}"
+        file.write_bytes(b"\n".join(base64.b64encode(t) + b" %d" % (i * (1 + 300 * (k % 2))) for i, t in enumerate(tokens)))
+        ranks = byte_bpe.Ranks(str(file))
+        ranks.pair, Counted.n = Counted(ranks.pair), 0
+        words = sorted({bytes(rng.choices(b"abcd", k=rng.randrange(1, byte_bpe.SHORT + 1))) for _ in range(200)})
+        got = [np.frombuffer(x, "<u4").tolist() for x in ranks.replay(words)]
+        assert got == [[ranks.rank[w]] if w in ranks.rank else plain(ranks.rank, w) for w in words] and Counted.n == 0
+        words = [bytes(rng.choices(b"abc", k=40)) for _ in range(5)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in ranks.replay(words)] == [plain(ranks.rank, w) for w in words] and Counted.n > 0
+
+
 @pytest.mark.parametrize("text", [*TEXTS, "a" * 3000, " " * 3000, "日本" * 900, "ab c" * 900, "▁x y" * 500])
 def test_spliced_counts(text):
     path = P.path("piece_bpe_32k.model")
