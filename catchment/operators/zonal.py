@@ -24,12 +24,13 @@ def cell_counts(weights: DataFrame) -> DataFrame:
 
 
 def small(weights: DataFrame, most: int = 1_000_000) -> DataFrame:
-    """``weights`` marked to go to every task whole if they have no more than ``most`` rows (some 100 MB), else as they are.
+    """``weights`` marked to go to every task whole if they have no more than ``most`` rows (some 100 MB), else to be joined by cell.
 
     Counts the rows, so give it weights that are kept. The grid stays where it was read then:
-    only sums per polygon and time are shuffled.
+    only sums per polygon and time are shuffled. Larger weights are marked too, as Spark judges
+    by the size of packed files and would send to every task what is much larger there.
     """
-    return F.broadcast(weights) if weights.limit(most + 1).count() <= most else weights
+    return weights.hint("broadcast" if weights.limit(most + 1).count() <= most else "merge")
 
 
 def weighted(grid: DataFrame, weights: DataFrame, cell: tuple[str, ...] = ("iy", "ix")) -> DataFrame:
