@@ -86,7 +86,7 @@ def swe_years(spark, d):
     day.write.parquet(path := f"{scratch(spark)}/swe")
     day = spark.read.parquet(path)
     hrus = day.select("hru").distinct()
-    centroids = hrus.select("hru", (F.col("hru") % 5).cast("double").alias("x"), (F.floor(F.col("hru") / 5) * 1.1).cast("double").alias("y"))
+    centroids = hrus.select("hru", (F.col("hru") % 5).cast("double").alias("x"), (F.floor(F.col("hru") / 5) * 11 / 10).alias("y"))  # as 1.1 is exact in the SQL
     ends = day.agg(F.min(F.year("t")), F.max(F.year("t"))).first()
     sources = {x: day.where(F.col("label") == x).drop("label") for x in ("daymet", "snodas", "era5", "margulis")}
     out = swe.build_years(spark, sources, hrus, range(ends[0], ends[1] + 1), f"{scratch(spark)}/years", "or", centroids)

@@ -42,3 +42,12 @@ def test_query(spark, con, name):
     assert {d[0]: str(d[1]) for d in rel.description} == {c: KINDS[kinds[c]] for c in columns}
     at = [names.index(c) for c in columns]
     assert got == sorted(tuple(plain(r[i]) for i in at) for r in rel.fetchall())
+
+
+def test_donors_of_snow_years_at_nearly_equal_distances(spark, con, tmp_path):
+    """Days on which many polygons need a donor, and two stand at distances that only rounding tells apart."""
+    con.execute(f"COPY (SELECT * FROM read_parquet('/root/testdata/sf0.01/lineitem.parquet') WHERE year(l_shipdate) = 1996) TO '{tmp_path}/lineitem.parquet'")
+    columns = ["hru", "t", "lower_bound", "upper_bound", "n_sources", "nn_filled"]
+    got = sorted(tuple(map(plain, r)) for r in QUERIES["e6_swe_by_year"](spark, str(tmp_path)).select(columns).collect())
+    sql = SQL["e6_swe_by_year"].replace("FROM lineitem", f"FROM read_parquet('{tmp_path}/lineitem.parquet')")
+    assert got == sorted(tuple(map(plain, r)) for r in con.execute(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall())
