@@ -13,7 +13,7 @@ from catchment.operators.cutting import cell_weights, with_corners
 from catchment.operators.zonal import small
 from catchment.plans.pipelines import aggregate_source, to_long
 from catchment.plans.weightstore import WeightStore, by_place
-from catchment.plans.yearly import run_years, stitch
+from catchment.plans.yearly import polygon_set, run_years, stitch
 from catchment.sources.specs import SourceSpec
 from catchment.sources.tables import cut, file_stamps, read_grids
 
@@ -47,21 +47,26 @@ def run_source(spark: SparkSession, spec: SourceSpec, landed: Landed, fabric: Da
 
     Years lie below ``out`` under the source's key, a region's under source_region, so that
     regions neither share years nor get in each other's way. A year is redone when grid files
-    that hold days of it are newer. No grid file at all raises.
+    that hold days of it are newer. No grid file at all raises, and so does a year that none of
+    them holds. A polygon that no grid row of a year meets has no rows in it; a region without
+    polygons has none at all.
     """
     years = sorted(set(years))
     grid = read_grids(spark, landed.path, landed.schema)
     weights, counts = kept_weights(spark, fabric, landed, store, batch_side)
     weights = small(cut(weights))
-    inputs = file_stamps(grid.select(F.year("t").alias("year"), "_metadata"))
+    inputs = cut(file_stamps(grid.select(F.year("t").alias("year"), "_metadata")))
+    held = {r["year"] for r in inputs.select("year").collect()}
+    if gone := [y for y in years if y not in held]:
+        raise ValueError(f"no data for {gone}")
     key = spec.source if region is None else f"{spec.source}_{region}"
 
     def one(year: int) -> DataFrame:
         wide = aggregate_source(grid.where(F.year("t") == year), weights, spec)
         return to_long(wide, spec.source, [c for c in wide.columns if c not in ("hru", "t")])
 
-    built = run_years(spark, years, one, f"{out}/{key}", cut(inputs))
-    return stitch(spark, f"{out}/{key}", years), built, counts
+    built = run_years(spark, years, one, f"{out}/{key}", inputs, polygon_set(weights))
+    return stitch(spark, f"{out}/{key}", years, by_marks=True), built, counts
 
 
 def run_regions(spark: SparkSession, spec: SourceSpec, regions: dict[str, Landed], fabric: DataFrame, years: Iterable[int], out: str, store: str, **how) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from catchment.sources.tables import read_file_listing, stale
 
 
-MARKS = "year int, n_rows long, n_files long, n_bytes long"
+MARKS = "year int, n_rows long, n_files long, n_bytes long, polygons string"
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -26,32 +26,44 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return files.where(year != "").groupBy(year.cast("int").alias("year")).agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"), F.min("modificationTime").alias("modified"))
 
 
-def _mark(spark: SparkSession, path: str, year: int, rows: int, files: int, size: int) -> None:
+def _mark(spark: SparkSession, path: str, year: int, rows: int, files: int, size: int, polygons: str | None = None) -> None:
     """A year's mark, beside the data; it is taken back before the year is written again."""
-    spark.createDataFrame([(year, rows, files, size)], MARKS).coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}.marks/mark={year}")
+    spark.createDataFrame([(year, rows, files, size, polygons)], MARKS).coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}.marks/mark={year}")
 
 
-def years_done(spark: SparkSession, path: str) -> DataFrame:
-    """(year, modified) of the years at ``path`` that were written to the end, hold rows, and still have all their files.
+def polygon_set(rows: DataFrame, hru: str = "hru") -> str:
+    """A digest of the set of polygons in ``rows``."""
+    r = rows.select(hru).distinct().agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(hru)).alias("x")).first()
+    return f"{r['n']}/{r['x']}"
 
-    A year counts by the mark that is written after it: a job that died while its files were
-    moved has left none, and files that went since do not add up to it.
-    """
+
+def _marks(spark: SparkSession, path: str) -> DataFrame:
+    """The marks of years that were written to the end and still have all their files, rows or not, with ``modified``."""
     try:
         marks = spark.read.schema(MARKS).parquet(f"{path.rstrip('/')}.marks")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "year int, modified timestamp")
-    return _files(spark, path).join(marks.where("n_rows > 0"), ["year", "n_files", "n_bytes"]).select("year", "modified")
+        marks = spark.createDataFrame([], MARKS)
+    return _files(spark, path).join(marks, ["year", "n_files", "n_bytes"])
+
+
+def years_done(spark: SparkSession, path: str) -> DataFrame:
+    """(year, modified) of the years at ``path`` that were written to the end, hold rows, and still have all their files.
+
+    A year counts by the mark that is written after it: a job that died while its files were
+    moved has left none, and files that went since do not add up to it.
+    """
+    return _marks(spark, path).where("n_rows > 0").select("year", "modified")
 
 
-def run_years(spark: SparkSession, years: Iterable[int], build: Callable[[int], DataFrame], path: str, inputs: DataFrame | None = None) -> list[int]:
+def run_years(spark: SparkSession, years: Iterable[int], build: Callable[[int], DataFrame], path: str, inputs: DataFrame | None = None, polygons: str | None = None) -> list[int]:
     """Build and write each of ``years`` that is not at ``path`` yet; returns the ones that were built.
 
     A year that was cut off, is empty or has lost files is redone, and with ``inputs`` (year,
     modified) one that is older than its newest input. Each year replaces its own folder only,
-    so a run that broke off goes on where it stopped.
+    so a run that broke off goes on where it stopped. ``polygons`` names the set that years are
+    worked out for, and is kept with them for ``stitch``.
     """
     done = years_done(spark, path)
     if inputs is not None:
@@ -63,16 +75,22 @@ def run_years(spark: SparkSession, years: Iterable[int], build: Callable[[int],
         at = f"{path}/year={y}"
         build(y).write.mode("overwrite").parquet(at)
         now = _files(spark, path).where(F.col("year") == y).first()
-        _mark(spark, path, y, spark.read.parquet(at).count(), *((now["n_files"], now["n_bytes"]) if now else (0, 0)))
+        _mark(spark, path, y, spark.read.parquet(at).count(), *((now["n_files"], now["n_bytes"]) if now else (0, 0)), polygons)
     return todo
 
 
-def stitch(spark: SparkSession, path: str, years: Iterable[int], hru: str = "hru") -> DataFrame:
-    """All of ``years`` at ``path`` as one table. A year that is missing, or that has other polygons than the first one, raises."""
+def stitch(spark: SparkSession, path: str, years: Iterable[int], hru: str = "hru", by_marks: bool = False) -> DataFrame:
+    """All of ``years`` at ``path`` as one table. A year that is missing, or that has other polygons than the first one, raises.
+
+    A year's polygons are those of its rows or, with ``by_marks``, those that it was worked out for
+    (``polygons`` of ``run_years``): then a sparse grid may leave any of them out in a year, or all.
+    """
     wanted = sorted(set(years))
     rows = spark.read.parquet(path).where(F.col("year").isin(wanted))
     sets = rows.select("year", hru).distinct().groupBy("year").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(hru)).alias("x"))
-    found = {r["year"]: (r["n"], r["x"]) for r in sets.collect()}
+    found = {r["year"]: f"{r['n']}/{r['x']}" for r in sets.collect()}
+    if by_marks:
+        found |= {r["year"]: r["polygons"] for r in _marks(spark, path).where(F.col("polygons").isNotNull()).select("year", "polygons").collect()}
     if gone := [y for y in wanted if y not in found]:
         raise ValueError(f"no data for {gone}")
     if odd := [y for y in wanted if found[y] != found[wanted[0]]]:

@@ -276,3 +276,25 @@ def test_a_source_from_files_to_years(spark, tmp_path):
     spark.createDataFrame([], kind).write.parquet(f"{tmp_path}/empty")
     with pytest.raises(FileNotFoundError):
         runs.run_source(spark, spec, runs.Landed(f"{tmp_path}/empty", kind, regions["na"].cells, "na"), fabric_, [2001], f"{tmp_path}/o", f"{tmp_path}/w")
+
+
+def test_a_source_whose_grid_is_sparse(spark, tmp_path):
+    """A region without polygons, a year in which a polygon has no grid row, and one in which none has; other polygons still raise."""
+    kind = "t date, iy int, ix int, value double"
+    box = lambda x: [np.array([(x, 0), (x + 1, 0), (x + 1, 1), (x, 1)], float)]
+    fabric_ = fabric_of(spark, [(1, box(0)), (2, box(1))])
+    regions = {}
+    for name, x in (("west", 0), ("east", 50)):
+        cells = cutting.with_corners(spark.createDataFrame([(0, k, float(x + k), float(x + k + 1), 0.0, 1.0) for k in range(3)], "iy int, ix int, w double, e double, s double, n double"), lambda x, y: (x, y))
+        regions[name] = runs.Landed(f"{tmp_path}/{name}", kind, cells.select("iy", "ix", "corners"), name)
+        rows = [(dt.date(2001, 1, 1), 0, 0, 1.0), (dt.date(2001, 1, 1), 0, 1, None), (dt.date(2002, 1, 1), 0, 0, 3.0), (dt.date(2003, 1, 1), 0, 2, 9.0)]
+        spark.createDataFrame(rows, kind).coalesce(1).write.parquet(regions[name].path)
+    spec = SourceSpec("daymet", ("value",), "masked_mean")
+    go = lambda some, years: sorted((r["region"], r["hru"], r["t"].year, r["value"]) for r in runs.run_regions(spark, spec, regions, some, years, f"{tmp_path}/out", f"{tmp_path}/w").collect())
+    want = [("west", 1, 2001, 1.0), ("west", 1, 2002, 3.0), ("west", 2, 2001, None)]
+    assert sorted(go(fabric_, [2001]), key=str) == [want[0], want[2]] and sorted(go(fabric_, [2001, 2002, 2003]), key=str) == want
+    with pytest.raises(ValueError, match="no data for .2004"):
+        go(fabric_, [2003, 2004])
+    spark.createDataFrame([(dt.date(2004, 1, 1), 0, 0, 1.0)], kind).write.mode("append").parquet(regions["west"].path)
+    with pytest.raises(ValueError, match="other polygons"):
+        runs.run_source(spark, spec, regions["west"], fabric_.where("hru = 1"), [2002, 2004], f"{tmp_path}/out", f"{tmp_path}/w", "west")
