@@ -21,18 +21,72 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catchment.functions.projections import to_albers
+from catchment.operators.geometry import bounds
+from catchment.sources.tables import cut
 
 RINGS = "array<array<struct<x:double,y:double>>>"
+#: Cells along a block's side, from coarse to fine; each holds the next a whole number of times.
+BLOCKS = (512, 64, 8)
 
 
-def lonlat_cells(spark: SparkSession, x0: float, y0: float, dx: float, dy: float, nx: int, ny: int, project=to_albers) -> DataFrame:
-    """(iy, ix, corners) of a regular geographic grid, corners projected by ``project(lon, lat)``."""
-    n = spark.range(nx * ny)
-    cells = n.select((F.col("id") / nx).cast("int").alias("iy"), (F.col("id") % nx).cast("int").alias("ix"))
+def lonlat_cells(spark: SparkSession, x0: float, y0: float, dx: float, dy: float, nx: int, ny: int, project=to_albers, near: DataFrame | None = None, rings: str = "rings") -> DataFrame:
+    """(iy, ix, corners) of a regular geographic grid, corners projected by ``project(lon, lat)``.
+
+    With ``near``, a fabric in the projected system, only cells of blocks that its polygons' boxes
+    may meet: the work grows with them then, not with the grid. Blocks are looked for at once.
+    """
+    if near is None:
+        cells = spark.range(nx * ny).select((F.col("id") / nx).cast("int").alias("iy"), (F.col("id") % nx).cast("int").alias("ix"))
+    else:
+        cells = _inside(cut(_blocks(spark, (x0, y0, dx, dy, nx, ny), project, near, rings)).repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))), BLOCKS[-1], 1, nx, ny)
     west, south = x0 + F.col("ix") * dx, y0 + F.col("iy") * dy
     return with_corners(cells.withColumns({"w": west, "e": west + dx, "s": south, "n": south + dy}), project).select("iy", "ix", "corners")
 
 
+def _inside(blocks: DataFrame, side: int, part: int, nx: int, ny: int) -> DataFrame:
+    """(iy, ix) of the parts, ``part`` cells wide, of blocks (iy, ix) that are ``side`` cells wide; a last part may reach beyond the grid."""
+    k = side // part
+    step = lambda c: F.explode(F.sequence(F.col(c) * k, F.col(c) * k + (k - 1)))
+    parts = blocks.withColumn("iy", step("iy")).withColumn("ix", step("ix")).where((F.col("ix") * part < nx) & (F.col("iy") * part < ny))
+    return parts.select(F.col("iy").cast("int").alias("iy"), F.col("ix").cast("int").alias("ix"))
+
+
+def _blocks(spark: SparkSession, grid: tuple[float, float, float, float, int, int], project, near: DataFrame, rings: str) -> DataFrame:
+    """(iy, ix) of the finest blocks of a grid that may meet a fabric's boxes, found from coarse to fine.
+
+    A block's cells lie within its projected rim, corner by corner, so the rim's box holds them all.
+    Blocks and polygons meet on square buckets of a block's size. Blocks whose rim leaves the
+    projection's domain stay.
+    """
+    x0, y0, dx, dy, nx, ny = grid
+    some = spark.range(25).select((F.col("id") % 5 * (nx - 1) / 4).cast("int").alias("ix"), (F.floor(F.col("id") / 5) * (ny - 1) / 4).cast("int").alias("iy"))
+    west, south = x0 + F.col("ix") * dx, y0 + F.col("iy") * dy
+    mean = bucket_side(with_corners(some.withColumns({"w": west, "e": west + dx, "s": south, "n": south + dy}), project), 1)
+    boxes = near.select(*(c.alias(n) for c, n in zip(bounds(F.col(rings)), "wsen", strict=True)))
+    found = None
+    for k, b in enumerate(BLOCKS):
+        if k:
+            blocks = _inside(found, BLOCKS[k - 1], b, nx, ny)
+        else:
+            wide = -(-nx // b)
+            blocks = spark.range(wide * -(-ny // b)).select(F.floor(F.col("id") / wide).cast("int").alias("iy"), (F.col("id") % wide).cast("int").alias("ix"))
+        rim = blocks.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(4 * b - 1)))).withColumns({"side": F.floor(F.col("k") / b), "p": F.col("k") % b})
+        # Around the rim: p cells to the east, to the north, and the same on the far sides from the far corner.
+        along = lambda flat: F.when(F.col("side") == flat, F.col("p")).when(F.col("side") == flat + 2, b - F.col("p")).when(F.col("side").isin(0, 3), 0).otherwise(b)  # noqa: B023, E731
+        lon, lat = x0 + F.least(F.col("ix") * b + along(0), F.lit(nx)) * dx, y0 + F.least(F.col("iy") * b + along(1), F.lit(ny)) * dy
+        px, py = project(lon, lat)
+        rim = rim.select("iy", "ix", px.alias("x"), py.alias("y"))
+        odd = F.col("x").isNull() | F.col("y").isNull() | F.isnan("x") | F.isnan("y")
+        ends = rim.groupBy("iy", "ix").agg(F.max(odd).alias("odd"), *(f(c).alias(n) for f, c, n in ((F.min, "x", "w"), (F.max, "x", "e"), (F.min, "y", "s"), (F.max, "y", "n"))))
+        size = b * mean
+        # A millionth of a block for rounding.
+        steps = lambda lo, hi, more: F.sequence(F.floor(F.col(lo) / size - more), F.floor(F.col(hi) / size + more))  # noqa: B023, E731
+        taken = boxes.withColumn("bx", F.explode(steps("w", "e", 0.0))).withColumn("by", F.explode(steps("s", "n", 0.0))).select("bx", "by", F.lit(True).alias("taken")).distinct()
+        spread = ends.withColumn("bx", F.explode_outer(F.when(~F.col("odd"), steps("w", "e", 1e-6)))).withColumn("by", F.explode_outer(F.when(~F.col("odd"), steps("s", "n", 1e-6))))
+        found = spread.join(taken, ["bx", "by"], "left").where("odd or taken").select("iy", "ix").distinct()
+    return found
+
+
 def axis_cells(x_axis: DataFrame, y_axis: DataFrame, project=to_albers) -> DataFrame:
     """The same from irregular axes (idx, lo, hi), such as Gaussian latitudes; the grid is their product."""
     ends = lambda axis, i, lo, hi: axis.select(F.col("idx").cast("int").alias(i), F.col("lo").cast("double").alias(lo), F.col("hi").cast("double").alias(hi))
@@ -147,6 +201,16 @@ def _points(part) -> list[np.ndarray]:
     return [np.array([(p["x"], p["y"]) for p in r], float).reshape(-1, 2) for r in part or []]
 
 
+def _cells(lists: pa.ListArray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(iy, ix, corners) of each of the lists; the cells of one list have equally many corners."""
+    flat, rows = lists.values, lists.offsets.to_numpy()
+    iy, ix, points = (flat.field(c) for c in ("iy", "ix", "corners"))
+    iy, ix, at = iy.to_numpy(), ix.to_numpy(), points.offsets.to_numpy()
+    xy = np.stack([points.values.field(c).to_numpy(zero_copy_only=False) for c in ("x", "y")], axis=1)
+    for lo, hi in zip(rows[:-1], rows[1:], strict=True):
+        yield iy[lo:hi], ix[lo:hi], xy[at[lo] : at[hi]].reshape(hi - lo, at[lo + 1] - at[lo], 2)
+
+
 def bucketed(fabric: DataFrame, side: float, hru: str = "hru", rings: str = "rings") -> DataFrame:
     """(bx, by, hru, rings) of polygons cut to square buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,9 +253,8 @@ def cell_weights(fabric: DataFrame, cells: DataFrame, side: float | None = None,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for one, value, cells in zip(*(batch.column(j).to_pylist() for j in range(3)), strict=True):
-                shape = _points(value)
-                corners = np.array([[(p["x"], p["y"]) for p in c["corners"]] for c in cells])
+            for one, value, (iy, ix, corners) in zip(batch.column(0).to_pylist(), batch.column(1), _cells(batch.column(2)), strict=True):
+                shape = _points(value.as_py())
                 outline = shape[0]
                 lo, hi = corners.min(axis=1), corners.max(axis=1)
                 near = np.nonzero(((lo <= outline.max(axis=0)) & (hi >= outline.min(axis=0))).all(axis=1))[0]
@@ -200,8 +263,8 @@ def cell_weights(fabric: DataFrame, cells: DataFrame, side: float | None = None,
                 area = areas(shape, corners[near])
                 # What is left of a cell that only touches the piece is rounding.
                 keep = area > 1e-11 * (hi - lo)[near].prod(axis=1)
-                near = near[keep].tolist()
-                yield pa.RecordBatch.from_arrays([pa.array([cells[i]["iy"] for i in near], pa.int32()), pa.array([cells[i]["ix"] for i in near], pa.int32()), pa.array([one] * len(near), pa.int64()), pa.array(area[keep])], names=["iy", "ix", "hru", "area"])
+                near = near[keep]
+                yield pa.RecordBatch.from_arrays([pa.array(iy[near], pa.int32()), pa.array(ix[near], pa.int32()), pa.array([one] * len(near), pa.int64()), pa.array(area[keep])], names=["iy", "ix", "hru", "area"])
 
     met = bucketed(fabric, side, hru, rings).join(groups, ["bx", "by"]).select("hru", "rings", "cells")
     return met.mapInArrow(run, "iy int, ix int, hru long, area double").groupBy("iy", "ix", "hru").agg(F.sum("area").alias("area"))

@@ -45,7 +45,7 @@ SHARES = f"""nodes AS (SELECT i, j, {_X} AS x, {_Y} AS y FROM (SELECT unnest(ran
 
 def projected(spark, d):
     boxes = views.albers_boxes(spark, d)
-    return cutting.cell_weights(boxes, cutting.lonlat_cells(spark, *views.lonlat_grid(spark, d))).join(boxes.select("hru", "side"), "hru")
+    return cutting.cell_weights(boxes, cutting.lonlat_cells(spark, *views.lonlat_grid(spark, d), near=boxes)).join(boxes.select("hru", "side"), "hru")
 
 
 QUERIES["g5_projected_weights"] = (
@@ -84,9 +84,9 @@ def reuse(spark, d):
     store = WeightStore(spark, f"{scratch(spark)}/weights")
     rows = []
     for step, (fabric, n) in enumerate(((boxes, nx), (boxes, nx), (other, nx), (boxes, nx + 1))):
-        cells = cutting.lonlat_cells(spark, x0, y0, dx, dy, n, ny)
+        cut = lambda some, n=n: cutting.cell_weights(some, cutting.lonlat_cells(spark, x0, y0, dx, dy, n, ny, near=some), 12 * u)
         placed = by_place(fabric, 4 * u, F.col("x0"), F.col("y0"))
-        kept, counts = store.weights(placed.select("hru", "rings", "batch"), f"{x0}/{y0}/{dx}/{dy}/{n}/{ny}", lambda some, cells=cells: cutting.cell_weights(some, cells, 12 * u))
+        kept, counts = store.weights(placed.select("hru", "rings", "batch"), f"{x0}/{y0}/{dx}/{dy}/{n}/{ny}", cut)
         total = kept.agg(F.sum("area")).first()[0] / u / u
         rows.append((step, counts["wanted"], counts["recomputed"], counts["polygons"], float(total)))
     return rounded(spark.createDataFrame(rows, "step int, n_batches long, n_recomputed long, n_polygons long, total double"), "total")
@@ -159,7 +159,8 @@ def regions(spark, d):
     cells = views.grid(spark, d).select("t", (F.floor(F.col("cell") * 7919 / nx) % ny).cast("int").alias("iy"), (F.col("cell") * 7919 % nx).cast("int").alias("ix"), "value")
     values = cells.groupBy("t", "iy", "ix").agg(F.avg("value").alias("value"))
     path, west = scratch(spark), F.col("ix") < nx // 3
-    grid = cutting.lonlat_cells(spark, x0, y0, dx, dy, nx, ny)
+    boxes = views.albers_boxes(spark, d)
+    grid = cutting.lonlat_cells(spark, x0, y0, dx, dy, nx, ny, near=boxes)
     landed = {}
     for name, part in (("west", west), ("east", ~west)):
         values.where(part).repartition("t").write.parquet(f"{path}/grids/{name}")
@@ -167,7 +168,6 @@ def regions(spark, d):
     spec = SourceSpec("demo", ("value",), "masked_mean")
     ends = values.agg(F.min(F.year("t")), F.max(F.year("t"))).first()
     years = range(ends[0], ends[1] + 1)
-    boxes = views.albers_boxes(spark, d)
     for some in (years[::2], years):
         out = runs.run_regions(spark, spec, landed, boxes, some, f"{path}/out", f"{path}/weights", batch_side=4 * views.box_unit(spark, d))
     return rounded(out.select("region", "hru", "t", "value"), "value")

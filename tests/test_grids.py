@@ -112,6 +112,24 @@ def test_geographic_cells_of_geographic_polygons(spark):
     assert other.keys() == first.keys()
 
 
+def test_cells_near_a_fabric(spark):
+    """Of a fine grid only blocks near the polygons are made; the weights are those of all cells."""
+    rng = np.random.default_rng(5)
+    places = [(-110.0, 28.0, 0.02), (-82.5, 48.0, 0.6), (-95.3, 38.1, 0.3), (-95.0, 38.1, 0.001), (-120.0, 30.0, 0.5)]  # the last lies off the grid
+    fabric = fabric_of(spark, [(i, [star(rng, 30, *p)]) for i, p in enumerate(places)]).withColumn("rings", geometry.project(F.col("rings"), projections.to_albers))
+    grid = (-110.0, 28.0, 0.0275, 0.025, 1003, 801)
+    near = cutting.lonlat_cells(spark, *grid, near=fabric)
+    ids = near.select("iy", "ix").collect()
+    assert len(ids) == len(set(ids)) < 0.02 * 1003 * 801 and all(0 <= r["ix"] < 1003 and 0 <= r["iy"] < 801 for r in ids)
+    weights = lambda cells: {(r["iy"], r["ix"], r["hru"]): r["area"] for r in cutting.cell_weights(fabric, cells, 3e4).collect()}
+    got = weights(near)
+    assert {k[2] for k in got} == {0, 1, 2, 3} and got == pytest.approx(weights(cutting.lonlat_cells(spark, *grid)), rel=1e-9)
+    assert cutting.lonlat_cells(spark, *grid, near=fabric.limit(0)).count() == 0
+    # A projection that leaves its domain keeps its blocks, and tiny grids have one block.
+    lost = lambda lon, lat: (F.when(lon < -100, lon), lat)
+    assert cutting.lonlat_cells(spark, -110.0, 28.0, 5.0, 5.0, 3, 1, lost, near=fabric).count() == 3
+
+
 def test_weights_of_awkward_fabrics(spark):
     box = np.array([(0, 0), (1, 0), (1, 1), (0, 1)], float)
     d = fabric_of(spark, [(1, [box]), (1, [box + 1])]).unionByName(spark.createDataFrame([(2, None), (3, []), (4, [[]])], FABRIC)).withColumn("area", F.lit("x"))
