@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from catchment.operators.cutting import RINGS, _points
 from catchment.operators.geometry import inside
+from catchment.sources.tables import cut
 
 LEVELS = range(-40, 41)
 
@@ -71,28 +72,59 @@ def cover(rings: list[np.ndarray], depth: int) -> Iterator[tuple[int, np.ndarray
 def covering(fabric: DataFrame, depth: int = 4, hru: str = "hru", rings: str = "rings") -> DataFrame:
     """(level, cx, cy, hru, rings) of all polygons; ``rings`` is NULL for inner cells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
         for batch in batches:
-            for one, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                shape = _points(value)
-                if not shape or not len(shape[0]):
-                    continue
-                for level, cx, cy, inner in cover(shape, depth):
-                    yield pa.RecordBatch.from_arrays([pa.array([level] * len(cx), pa.int32()), pa.array(cx.astype(np.int64)), pa.array(cy.astype(np.int64)), pa.array([one] * len(cx), pa.int64()), pa.array([None if inner else value] * len(cx), kind)], names=["level", "cx", "cy", "hru", "rings"])
+            found, size = [], 0
+            for i, value in enumerate(batch.column(1)):
+                shape = _points(value.as_py())
+                if shape and len(shape[0]):
+                    for level, cx, cy, inner in cover(shape, depth):
+                        found.append((level, cx, cy, i, inner))
+                        size += len(cx)
+                if found and (size > 50_000 or i == batch.num_rows - 1):
+                    many = [len(f[1]) for f in found]
+                    column = lambda k, kind: pa.array(np.repeat([f[k] for f in found], many), kind)  # noqa: B023, E731
+                    at = column(3, pa.int64())
+                    cx, cy = (pa.array(np.concatenate([f[k] for f in found]).astype(np.int64)) for k in (1, 2))
+                    kept = pa.array(at.to_numpy(), mask=np.repeat([f[4] for f in found], many))
+                    yield pa.RecordBatch.from_arrays([column(0, pa.int32()), cx, cy, batch.column(0).take(at), batch.column(1).take(kept)], names=["level", "cx", "cy", "hru", "rings"])
+                    found, size = [], 0
 
     some = fabric.select(F.col(hru).cast("long").alias("hru"), F.col(rings).cast(RINGS).alias("rings"))
     return some.repartition("hru").mapInArrow(run, f"level int, cx long, cy long, hru long, rings {RINGS}")
 
 
+KEY = ["level", "cx", "cy"]
+
+
+def foremost(cells: DataFrame, levels: list[int], crowd: int = 8) -> DataFrame:
+    """``cells`` without those that cannot give any point its least polygon.
+
+    Of the inner cells of one place the least id stays. Where more than ``crowd`` polygons have an
+    edge cell, those go that come after a polygon of which this cell or one around it is an inner cell.
+    """
+    inner = cells.where("rings is null").groupBy(*KEY).agg(F.min("hru").alias("hru"))
+    edges = cells.where("rings is not null")
+    around = edges.groupBy(*KEY).count().where(F.col("count") > crowd).withColumn("up", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).where("up <= level")
+    wide = F.pow(F.lit(2.0), F.col("level") - F.col("up"))
+    around = around.withColumns({"ux": F.floor(F.col("cx") / wide), "uy": F.floor(F.col("cy") / wide)})
+    # Marked for a shuffle: Spark judges by the size of packed files, and a fabric's cells are many times as large.
+    first = around.join(inner.select(*(F.col(c).alias(a) for c, a in zip((*KEY, "hru"), ("up", "ux", "uy", "first"), strict=True))).hint("merge"), ["up", "ux", "uy"])
+    first = first.groupBy(*KEY).agg(F.min("first").alias("first"))
+    edges = edges.join(first, KEY, "left").where(F.col("first").isNull() | (F.col("hru") < F.col("first")))
+    return edges.select(*KEY, "hru", "rings").unionByName(inner.withColumn("rings", F.lit(None).cast(RINGS)))
+
+
 def locate(points: DataFrame, cells: DataFrame, x: str = "x", y: str = "y", hru: str = "hru") -> DataFrame:
     """``points`` with the polygon of a covering that each lies in, NULL outside; the least id of several.
 
     Points of one place are looked up once, on the levels that the covering has (81 at the most).
+    The covering is written first, and only its foremost cells meet points.
     """
+    cells = cut(cells.select(*KEY, "hru", "rings"))
     levels = [r["level"] for r in cells.select("level").distinct().collect()]
     places = points.select(F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y")).where("__x is not null and __y is not null").distinct()
     size = F.pow(F.lit(2.0), -F.col("level"))
     keyed = places.withColumn("level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumns({"cx": F.floor(F.col("__x") / size), "cy": F.floor(F.col("__y") / size)})
-    met = keyed.join(cells.withColumnRenamed("hru", "__hru").withColumnRenamed("rings", "__rings"), ["level", "cx", "cy"])
+    met = keyed.join(foremost(cells, levels).withColumnsRenamed({"hru": "__hru", "rings": "__rings"}).hint("merge"), KEY)
     found = met.where(F.col("__rings").isNull() | inside(F.col("__x"), F.col("__y"), F.col("__rings"))).groupBy("__x", "__y").agg(F.min("__hru").alias(hru))
     return points.join(found, (F.col(x) == F.col("__x")) & (F.col(y) == F.col("__y")), "left").select(*points.columns, hru)

@@ -115,6 +115,26 @@ def test_coverings(spark):
     assert covering.locate(points, covering.covering(fabric.limit(0))).where("hru is not null").count() == 0 and covering.locate(points.limit(0), cells).count() == 0
 
 
+def test_foremost_cells(spark):
+    """Polygons upon one another: each place has one inner cell, crowded edges lose what lies behind, and no cells go to the driver whole."""
+    rng = np.random.default_rng(6)
+    value = lambda r: [[{"x": float(x), "y": float(y)} for x, y in r]]
+    square = np.array([(0, 0), (1, 0), (1, 1), (0, 1)], float)
+    rows = [(i, value(square * side + rng.uniform(0, 60, 2))) for i, side in enumerate(rng.choice([0.7, 7.0, 70.0], 300))]
+    fabric = spark.createDataFrame(rows, "hru long, rings array<array<struct<x:double,y:double>>>")
+    points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-5, 130, (3000, 2)))], "id long, x double, y double")
+    cells = covering.covering(fabric)
+    out = covering.locate(points, cells)
+    assert {(r["id"], r["hru"]) for r in out.collect()} == {(r["id"], r["hru"]) for r in geometry.locate(points, fabric, 8.0).collect()}
+    left = covering.foremost(cells, [r["level"] for r in cells.select("level").distinct().collect()])
+    inner = left.where("rings is null")
+    assert inner.count() == inner.select(*covering.KEY).distinct().count() == cells.where("rings is null").select(*covering.KEY).distinct().count()
+    most = lambda c: c.where("rings is not null").groupBy(*covering.KEY).count().agg(F.max("count")).first()[0]
+    assert most(cells) > 2 * most(left)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin [level") >= 1 and "BroadcastHashJoin [level" not in plan
+
+
 def test_inner_cells_skip_the_ray(spark):
     """A point in an inner cell is found without rings."""
     square = np.array([(0, 0), (1000, 0), (1000, 1000), (0, 1000)], float)
