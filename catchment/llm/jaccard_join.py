@@ -6,7 +6,8 @@ around documents alone would not part them at first. The join therefore works on
 0. Isolated sets. A shingle that no other set holds cannot be part of an overlap, so a set
    with fewer than t n shared shingles links with nothing. Blocks of documents send each
    distinct hash once to the hash's owner, which answers with those that came from more than
-   one block or document; what is left are the sets that can link at all.
+   one block or document; what is left are the sets that can link at all. Equal sets would
+   answer for one another, so one document of each takes part.
 1. Singleton pivots. The sets that are at less than distance 1 from the pivot {s} are those
    that hold shingle s. A set lies in the region of every shingle of its prefix, in one
    global order; two sets within the radius always share such a region (prefix length
@@ -57,6 +58,8 @@ COUNTERS, CHUNK = 1 << 20, 1 << 14
 TILE_ROWS, TILE_HASHES = 256, 200_000
 #: Regions with more open rows than this are parted again, into so many Voronoi cells.
 CELL_ROWS, CELLS = 1024, 8
+#: Copies that go to every task as keys at most (some 100 MB); of more of them, texts are shuffled once.
+COPIES = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -454,6 +457,17 @@ def _parted(rows: DataFrame, members: DataFrame, distances, num: int, den: int,
     return cut(whole, f"{path}/leaves"), links
 
 
+def _without_copies(rows: DataFrame, sets: DataFrame, path: str) -> DataFrame:
+    """``rows`` (doc_id, tie, text) with one document of those with equal sets; rows that agree in id and text stay together."""
+    key = F.xxhash64("doc_id", "tie").alias("key")
+    keys = sets.where("n > 0").select("fp", key)
+    first = keys.groupBy("fp").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").drop("last")
+    copies = cut(keys.join(first, "fp").where("key <> first").select("key").distinct(), f"{path}/copies")
+    if not (n := copies.limit(COPIES + 1).count()):
+        return rows
+    return rows.withColumn("key", key).join(copies.hint("broadcast" if n <= COPIES else "merge"), "key", "left_anti").drop("key")
+
+
 def link_classes(docs: DataFrame, k: int = 5, num: int = 3, den: int = 4, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id; linked means intersection/union >= num/den."""
     placed = _classes(docs, k, num, den, id_col, text_col, path or shared_dir(docs.sparkSession))
@@ -488,7 +502,7 @@ def _classes(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col:
 
     chars = rows.agg(F.sum(F.char_length("text"))).first()[0] or 0
     owners = max(16, chars // 8_000_000)
-    probes = rows.select("text").mapInArrow(_probes(k, num, den, owners), "p int, block long, idx binary, h binary, fps binary, need binary")
+    probes = _without_copies(rows, sets, path).select("text").mapInArrow(_probes(k, num, den, owners), "p int, block long, idx binary, h binary, fps binary, need binary")
     answers = probes.groupBy("p").applyInArrow(_answer, "block long, idx binary, fps binary, need binary")
     able = cut(answers.groupBy("block").applyInArrow(_able, "fp long").distinct(), f"{path}/able")
 

@@ -185,6 +185,21 @@ def test_jaccard_regions_that_are_parted_again(spark, monkeypatch, tmp_path, cro
         assert pairs["leaves"] < pairs["open"] / 4
 
 
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_copies_do_not_vouch_for_one_another(spark, monkeypatch, tmp_path, most):
+    """A table beside copies of itself: no more sets are looked at than without the copies, and all copies link."""
+    monkeypatch.setattr(jaccard_join, "COPIES", most)
+    rng = random.Random(8)
+    texts = [" ".join(f"v{rng.randrange(10**6)}" for _ in range(40)) for _ in range(60)]
+    texts += [texts[0] + " more", texts[1].upper(), texts[2], None, "", "one"]
+    rows = [(1000 * k + i, t) for k in range(3) for i, t in enumerate(texts)] + [(None, texts[3]), (5, texts[5])]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(7, "doc_id")
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard_join.link_classes(d, path=str(tmp_path)).collect()}
+    root = {60: 0, 61: 1, 62: 2}
+    assert got == {(1000 * k + i, root.get(i, i) if t else 1000 * k + i) for k in range(3) for i, t in enumerate(texts)} | {(None, 3)}
+    assert spark.read.parquet(f"{tmp_path}/members").count() == 2  # texts 0 and 60
+
+
 def test_embedding_links(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(40, 24))
